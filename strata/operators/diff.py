@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SIDE = "__side"
+_SURPLUS = "__surplus"
 
 
 def _aligned(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -21,44 +21,35 @@ def dataset_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
     """Rows ``(*keys, change, before, after)`` for every key that differs.
 
     ``change`` is ``added``, ``removed`` or ``changed``; ``before`` and ``after`` are
-    structs of the other columns. Nulls equal nulls. Both sides go through one
-    grouping by key instead of a join, so a key that should be unique and is not
-    cannot multiply; it fails the job.
+    structs of the other columns. Nulls equal nulls. Equal rows cancel out first, in a
+    hash aggregation that copes with any number of copies; only what is left is
+    grouped by key. There is no join, so a key that should be unique and is not cannot
+    multiply: if its rows differ, it fails the job.
     """
-    before, after = _aligned(before, after)
-    others = [name for name in before.columns if name not in keys]
-    if not others:
-        others = list(keys)
-
-    def side(df: DataFrame, number: int) -> DataFrame:
-        return df.select(
-            *[F.col(f"`{key}`") for key in keys],
-            F.struct(*[F.col(f"`{name}`") for name in others]).alias("row"),
-            F.lit(number).alias(_SIDE),
-        )
-
-    def only(number: int) -> Column:
-        return F.when(F.col(_SIDE) == number, F.col("row"))
-
-    both = side(before, 0).unionByName(side(after, 1))
-    grouped = both.groupBy(*[F.col(f"`{key}`") for key in keys]).agg(
-        F.first(only(0), ignorenulls=True).alias("before"),
-        F.first(only(1), ignorenulls=True).alias("after"),
-        F.count_if(F.col(_SIDE) == 0).alias("__before_rows"),
-        F.count_if(F.col(_SIDE) == 1).alias("__after_rows"),
+    names = [F.col(f"`{key}`") for key in keys]
+    others = [name for name in before.columns if name not in keys] or list(keys)
+    left = multiset_diff(before, after, _SURPLUS)
+    row = F.struct(*[F.col(f"`{name}`") for name in others])
+
+    def side(present: Column) -> Column:
+        return F.first(F.when(present, row), ignorenulls=True)
+
+    gone, new = F.col(_SURPLUS) < 0, F.col(_SURPLUS) > 0
+    grouped = left.groupBy(*names).agg(
+        side(gone).alias("before"),
+        side(new).alias("after"),
+        F.sum(F.greatest(-F.col(_SURPLUS), F.lit(0))).alias("__before_rows"),
+        F.sum(F.greatest(F.col(_SURPLUS), F.lit(0))).alias("__after_rows"),
     )
     repeated = (F.col("__before_rows") > 1) | (F.col("__after_rows") > 1)
+    failure = F.raise_error(F.lit("dataset_diff: a key occurs more than once")).cast("string")
     change = (
-        F.when(repeated, F.raise_error(F.lit("dataset_diff: a key occurs more than once")).cast("string"))
+        F.when(repeated, failure)
         .when(F.col("before").isNull(), "added")
         .when(F.col("after").isNull(), "removed")
-        .when(~F.col("before").eqNullSafe(F.col("after")), "changed")
-    )
-    return (
-        grouped.withColumn("change", change)
-        .filter(F.col("change").isNotNull())
-        .select(*[F.col(f"`{key}`") for key in keys], "change", "before", "after")
+        .otherwise("changed")
     )
+    return grouped.select(*names, change.alias("change"), "before", "after")
 
 
 def multiset_diff(before: DataFrame, after: DataFrame, count: str = "surplus") -> DataFrame:

@@ -116,9 +116,10 @@ def retain_last(
     form to store: with tombstones kept, an older event that arrives in a later run
     cannot revive a deleted key.
 
-    ``existing_unique`` states that ``existing`` holds one row per key. Then, if the
-    keys of ``incoming`` are measured to stay within ``bound``, the untouched rows of
-    ``existing`` bypass the shuffle; this runs a small job over the incoming keys.
+    ``existing_unique`` states that ``existing`` is a stored table with one row per key.
+    Then, if the keys of ``incoming`` are measured to stay within ``bound``, the
+    untouched rows of ``existing`` bypass the shuffle. This runs a small job over the
+    incoming keys, and reads ``existing`` once for each of the two ways.
     ``touched_by`` may name fewer columns than ``keys`` to tell touched rows by.
     """
     if not keys or not order:

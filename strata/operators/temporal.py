@@ -23,8 +23,8 @@ _UNTIL = "__until"
 def affected_partitions(changes: DataFrame, at: str, unit: str = "month") -> DataFrame:
     """The periods that ``changes`` touch, one row each; null dates touch none."""
     return (
-        changes.select(period_of(F.col(f"`{at}`"), unit).alias("period"))
-        .filter(F.col("period").isNotNull())
+        changes.filter(F.col(f"`{at}`").isNotNull())
+        .select(period_of(F.col(f"`{at}`"), unit).alias("period"))
         .distinct()
     )
 
@@ -43,9 +43,9 @@ def _last_per_period(
     period: str,
     order_is_total: bool,
 ) -> DataFrame:
-    dated = changes.withColumn(period, period_of(F.col(f"`{order[0]}`"), unit))
+    moment = F.col(f"`{order[0]}`")
     return retain_last(
-        dated.filter(F.col(period).isNotNull()),
+        changes.filter(moment.isNotNull()).withColumn(period, period_of(moment, unit)),
         keys=[*keys, period],
         order=order,
         deleted=deleted,

@@ -17,9 +17,14 @@ _LATEST_EVENT = """
     from events
 """
 
-# A stored state that drops its error rows: an older live row is kept in their place,
-# but only if no later row arrives.
-ORACLE["merge_latest"] = f"""
+_CURRENT = f"""
+select user_id, ts, event_id, event_type, value from ({_LATEST_EVENT}) where rn = 1 and not deleted
+"""
+ORACLE["merge_latest"] = _CURRENT
+ORACLE["current_state_incremental"] = _CURRENT
+
+# The stored state has no error rows, only the incoming half has.
+ORACLE["merge_missing_flag"] = f"""
 with kept as (
     select * from events where ts >= {SPLIT} or event_type <> 'error'
 ), ranked as (
@@ -67,11 +72,6 @@ ORACLE["merge_tombstones"] = f"""
 select user_id, ts, event_id, event_type, value, deleted from ({_LATEST_EVENT}) where rn = 1
 """
 
-_CURRENT = f"""
-select user_id, ts, event_id, event_type, value from ({_LATEST_EVENT}) where rn = 1 and not deleted
-"""
-ORACLE["current_state_incremental"] = _CURRENT
-
 ORACLE["publish_snapshot"] = ORACLE["merge_tombstones"]
 
 

@@ -49,13 +49,24 @@ def _versions(spark: SparkSession, folder: str) -> DataFrame:
     return events.withColumn("deleted", F.col("event_type") == "error")
 
 
+def _halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows from before the split, and from then on."""
+    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
+    return rows.filter(~late), rows.filter(late)
+
+
 @query
 def merge_latest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _versions(spark, folder)
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
-    # The stored state knows no delete flag; its error rows never became state.
-    existing = rows.filter(~late & is_live("deleted")).drop("deleted")
-    return st.retain_last(rows.filter(late), existing, deleted="deleted", **EVENT_ORDER)
+    existing, incoming = _halves(_versions(spark, folder))
+    return st.retain_last(incoming, existing, deleted="deleted", **EVENT_ORDER)
+
+
+@query
+def merge_missing_flag(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored rows know no delete flag, so all of them are live."""
+    existing, incoming = _halves(_versions(spark, folder))
+    stored = existing.filter(is_live("deleted")).drop("deleted")
+    return st.retain_last(incoming, stored, deleted="deleted", **EVENT_ORDER)
 
 
 @query
@@ -97,7 +108,7 @@ def merge_tombstones(spark: SparkSession, folder: str) -> DataFrame:
     first = F.col("event_type").isin("error", "purchase", "signup")
     settings = {"deleted": "deleted", "keep_tombstones": True, **EVENT_ORDER}
     state = st.retain_last(rows.filter(first), **settings)
-    return st.retain_last(rows.filter(~first), state, existing_unique=True, **settings)
+    return st.retain_last(rows.filter(~first), state, **settings)
 
 
 def _envelopes(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,11 +141,10 @@ def flatten_changes_field(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _state_run(spark: SparkSession, folder: str, image: str) -> DataFrame:
-    events = _envelopes(spark, folder)
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
+    early, late = _halves(_envelopes(spark, folder))
     settings = {"keys": ["user_id"], "sequence": ["event_id"], "image": image}
-    stored = st.current_state(events.filter(~late), keep_tombstones=True, **settings)
-    return _as_of_ntz(st.current_state(events.filter(late), stored, **settings))
+    stored = st.current_state(early, keep_tombstones=True, **settings)
+    return _as_of_ntz(st.current_state(late, stored, **settings))
 
 
 @query
@@ -149,31 +159,29 @@ def current_state_field(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def apply_changes(spark: SparkSession, folder: str) -> DataFrame:
-    events = _envelopes(spark, folder)
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
+    early, late = _halves(_envelopes(spark, folder))
     path = st.working_folder(spark, "state")
     settings = {"keys": ["user_id"], "sequence": ["event_id"]}
     # The younger events come first, so the second run gets only older ones.
-    st.apply_changes(events.filter(late), path, **settings)
-    return _as_of_ntz(st.apply_changes(events.filter(~late), path, **settings))
+    st.apply_changes(late, path, **settings)
+    return _as_of_ntz(st.apply_changes(early, path, **settings))
 
 
 @query
 def current_state_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _versions(spark, folder)
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
+    early, late = _halves(_versions(spark, folder))
     work = st.working_folder(spark, "stream")
     source = f"{work}/landing"
 
     def arrive(part: DataFrame) -> int | None:
         part.write.mode("append").parquet(source)
         return st.current_state_incremental(
-            spark, source, rows.schema, f"{work}/state", f"{work}/checkpoint",
+            spark, source, early.schema, f"{work}/state", f"{work}/checkpoint",
             deleted="deleted", **EVENT_ORDER,
         )
 
-    arrive(rows.filter(late))
-    arrive(rows.filter(~late))
+    arrive(late)
+    arrive(early)
     return st.read_state(spark, f"{work}/state", "deleted")
 
 
@@ -540,12 +548,11 @@ def roll_forward(spark: SparkSession, folder: str) -> DataFrame:
 def publish_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """A state merged with itself as target: the second version reads the first."""
     path = st.working_folder(spark, "published")
-    rows = _versions(spark, folder)
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
+    early, late = _halves(_versions(spark, folder))
     settings = {"deleted": "deleted", "keep_tombstones": True, **EVENT_ORDER}
-    st.publish_snapshot(st.retain_last(rows.filter(~late), **settings), path)
+    st.publish_snapshot(st.retain_last(early, **settings), path)
     target = st.read_snapshot(spark, path)
-    merged = st.retain_last(rows.filter(late), target, existing_unique=True, **settings)
+    merged = st.retain_last(late, target, existing_unique=True, **settings)
     st.publish_snapshot(merged, path)
     st.purge_versions(spark, path, keep=1)
     return st.read_snapshot(spark, path)
@@ -587,10 +594,10 @@ def read_unprocessed(spark: SparkSession, folder: str) -> DataFrame:
     """Files that landed since the last successful run; a failed run is not remembered."""
     path = st.working_folder(spark, "landing")
     events = table(spark, folder, "events")
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
+    early, late = _halves(events)
     ledger = st.RunLedger(spark, f"{path}/runs")
     schema = events.schema
-    events.filter(~late).write.mode("append").parquet(f"{path}/files")
+    early.write.mode("append").parquet(f"{path}/files")
     with ledger.run("ingest") as run:
         st.read_unprocessed(run, spark, f"{path}/files", schema, "parquet").write.parquet(f"{path}/first")
     try:
@@ -598,7 +605,7 @@ def read_unprocessed(spark: SparkSession, folder: str) -> DataFrame:
             raise InterruptedError("this run fails")
     except InterruptedError:
         pass
-    events.filter(late).write.mode("append").parquet(f"{path}/files")
+    late.write.mode("append").parquet(f"{path}/files")
     with ledger.run("ingest") as run:
         fresh = st.read_unprocessed(run, spark, f"{path}/files", schema, "parquet")
         fresh.write.parquet(f"{path}/second")
@@ -608,8 +615,8 @@ def read_unprocessed(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def unprocessed(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")
-    late = F.col("ts") >= F.lit(str(SPLIT)).cast("timestamp_ntz")
-    return st.unprocessed(events, events.filter(~late).select("event_id"), ["event_id"])
+    early, _ = _halves(events)
+    return st.unprocessed(events, early.select("event_id"), ["event_id"])
 
 
 @query
