@@ -11,7 +11,7 @@ from strata.functions.protection import (
     PII_PATTERNS,
     count_kind,
     hmac_sha256,
-    redact,
+    redact_kind,
     seal,
     unseal,
 )
@@ -96,7 +96,9 @@ def pii_redact(
     df: DataFrame, columns: Sequence[str], kinds: Sequence[str] | None = None
 ) -> DataFrame:
     """Replace sensitive spans inside whole texts by the name of their kind."""
-    return df.withColumns({name: redact(F.col(f"`{name}`"), kinds) for name in columns})
+    for kind in list(PII_PATTERNS) if kinds is None else kinds:
+        df = df.withColumns({name: redact_kind(F.col(f"`{name}`"), kind) for name in columns})
+    return df
 
 
 def pii_scan(
@@ -105,7 +107,7 @@ def pii_scan(
     """Rows ``(*by, kind, hits, rows_hit)``: what a redaction would find, all kinds in one pass."""
     chosen = list(PII_PATTERNS) if kinds is None else list(kinds)
     text = F.col(f"`{column}`")
-    counts = {f"c{i}": F.coalesce(count_kind(text, kind), F.lit(0)) for i, kind in enumerate(chosen)}
+    counts = {f"c{i}": count_kind(text, kind) for i, kind in enumerate(chosen)}
     groups = [F.col(f"`{name}`") for name in by]
     counted = df.select(*groups, *[cell.alias(name) for name, cell in counts.items()])
     totals = []

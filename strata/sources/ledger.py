@@ -67,8 +67,15 @@ class RunLedger:
     ) -> str:
         """Write down a successful run and return its id."""
         run_id = run_id or uuid.uuid4().hex
-        row = [(job, run_id, started_at, read_until or started_at, _now())]
-        self.spark.createDataFrame(row, RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        cells = {
+            "job": job,
+            "run_id": run_id,
+            "started_at": started_at,
+            "read_until": read_until or started_at,
+            "committed_at": _now(),
+        }
+        row = self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in cells.items()])
+        row.coalesce(1).write.mode("append").parquet(self.path)
         return run_id
 
     @contextmanager
