@@ -42,7 +42,13 @@ from strata.operators.temporal import (
     roll_forward,
     snapshot_at,
 )
-from strata.plans.jobs import apply_changes, build_product, load_typed_table
+from strata.plans.jobs import (
+    apply_changes,
+    build_product,
+    load_typed_table,
+    merge_partitions,
+    reprocess,
+)
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
 from strata.sources.ledger import RunLedger, read_unprocessed, replay_range, unprocessed
@@ -92,6 +98,7 @@ __all__ = [
     "latest_version",
     "load_typed_table",
     "lookup_join",
+    "merge_partitions",
     "multiset_diff",
     "nest_attribute",
     "parse_date",
@@ -120,6 +127,7 @@ __all__ = [
     "redact",
     "replace_table",
     "replay_range",
+    "reprocess",
     "resolve_schema",
     "retain_last",
     "roll_forward",

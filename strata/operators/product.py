@@ -12,6 +12,7 @@ from strata.functions.dates import parse_date
 from strata.operators.grain import assert_grain
 from strata.plans.skew import hot_key_hashes, lookup_join
 from strata.plans.sizing import broadcasts_anyway
+from strata.session import cut_lineage
 
 
 def standardize(
@@ -79,7 +80,7 @@ def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFram
             known = set(item.on) <= set(base.columns)
             hot = hot_key_hashes(base if known else result, list(item.on))
             if hot and forks:
-                result = result.checkpoint()
+                result = cut_lineage(result)
             forks += bool(hot)
         result = lookup_join(
             result, attributes, dict(zip(item.on, keys, strict=True)), split_hot=splits, hot=hot

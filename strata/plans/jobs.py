@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from strata.operators.conform import Declared, conform
-from strata.operators.merge import current_state, is_live
+from strata.operators.merge import current_state, is_live, retain_last, with_flag
 from strata.operators.product import Enrichment, standardize, wide_product
+from strata.sources.partitions import rebuild_partitions
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
     latest_version,
@@ -74,3 +75,64 @@ def apply_changes(
     version = publish_snapshot(merged, state_path)
     purge_versions(spark, state_path, keep)
     return read_snapshot(spark, state_path, version).filter(is_live(deleted)).drop(deleted)
+
+
+def _of_partitions(df: DataFrame, column: str, values: Iterable) -> DataFrame:
+    """Rows of some partitions; the filter is on literals, so other folders are not read."""
+    values = list(values)
+    cell = df[f"`{column}`"]
+    chosen = cell.isin([value for value in values if value is not None])
+    return df.filter((chosen | cell.isNull()) if None in values else chosen)
+
+
+def reprocess(
+    source: DataFrame,
+    build: Callable[[DataFrame], DataFrame],
+    path: str,
+    column: str,
+    affected: Iterable,
+) -> list:
+    """Rebuild the ``affected`` partitions of a table from the same partitions of ``source``.
+
+    Running it again changes nothing. Returns the partitions that became empty.
+    """
+    affected = list(affected)
+    return rebuild_partitions(build(_of_partitions(source, column, affected)), path, column, affected)
+
+
+def merge_partitions(
+    incoming: DataFrame,
+    path: str,
+    column: str,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None = None,
+    order_is_total: bool = False,
+) -> list:
+    """Merge ``incoming`` into a table partitioned by ``column``, touching few partitions.
+
+    For tables too large to be rewritten on each run. ``column`` must follow from the
+    key (a creation month, say, or a hash bucket), so that all versions of a row share
+    a partition. Only the partitions that ``incoming`` touches are read and rewritten;
+    their values, at most as many as there are folders, come to the driver. The table
+    stores the delete flag. Returns the touched partition values.
+    """
+    spark = incoming.sparkSession
+    changes = with_flag(incoming, deleted)
+    touched = [row[0] for row in changes.select(f"`{column}`").distinct().collect()]
+    if not touched:
+        return []
+    stored = _of_partitions(spark.read.schema(changes.schema).parquet(path), column, touched)
+    merged = retain_last(
+        changes,
+        stored,
+        keys=keys,
+        order=order,
+        deleted=deleted,
+        keep_tombstones=True,
+        order_is_total=order_is_total,
+        existing_unique=True,
+    )
+    rebuild_partitions(merged, path, column, touched)
+    return touched

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "strata", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,3 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
 def working_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return os.path.join(shared_folder(spark), "strata", f"{name}-{uuid.uuid4().hex}")
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back, so that later uses start from there."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

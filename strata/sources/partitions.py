@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.sources.storage import Storage
 
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def spread_by(df: DataFrame, *columns: str) -> DataFrame:
     """Gather rows by partition column before a partitioned write.
@@ -21,16 +24,52 @@ def spread_by(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def _folder(column: str, value: object) -> str:
-    return f"{column}={value}"
+def _value_text(value: object) -> str:
+    """A partition value the way Spark spells it in folder names, before escaping."""
+    if value is None:
+        return _NULL_FOLDER
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, dt.datetime):
+        text = str(value)
+        return text.rstrip("0") if value.microsecond else text
+    return str(value)
+
+
+def _files(storage: Storage, column: str, affected: list) -> dict[str, tuple[str, set[str]]]:
+    """Folder and data files of the affected partitions that exist, by value."""
+    wanted = {_value_text(value) for value in affected}
+    found = {}
+    for folder in storage.names():
+        name, _, value = folder.partition("=")
+        if unquote(name) == column and unquote(value) in wanted:
+            files = {f for f in storage.names(folder) if not f.startswith(("_", "."))}
+            found[unquote(value)] = (folder, files)
+    return found
 
 
-def _data_files(storage: Storage, folder: str) -> set[str]:
-    return {name for name in storage.names(folder) if not name.startswith(("_", "."))}
+def _ordered(affected: Iterable) -> list:
+    return sorted(set(affected), key=lambda value: (value is not None, value))
 
 
 def _rebuilt_only(df: DataFrame, column: str, affected: list) -> DataFrame:
-    return df.filter(F.col(f"`{column}`").isin(affected)) if affected else df.limit(0)
+    cell = F.col(f"`{column}`")
+    chosen = cell.isin([value for value in affected if value is not None])
+    return df.filter((chosen | cell.isNull()) if None in affected else chosen)
+
+
+def _remove_emptied(
+    storage: Storage, column: str, affected: list, before: dict[str, tuple[str, set[str]]]
+) -> list:
+    """Remove partitions that still hold a file from before the rebuild."""
+    after = _files(storage, column, affected)
+    emptied = []
+    for value in affected:
+        folder, files = after.get(_value_text(value), ("", set()))
+        if files & before.get(_value_text(value), ("", set()))[1]:
+            storage.remove(folder)
+            emptied.append(value)
+    return emptied
 
 
 def rebuild_partitions(df: DataFrame, path: str, column: str, affected: Iterable) -> list:
@@ -42,25 +81,27 @@ def rebuild_partitions(df: DataFrame, path: str, column: str, affected: Iterable
     has become empty, so those are removed afterwards; they are told by still holding
     a file from before. Returns the removed partition values.
     """
-    affected = sorted(set(affected))
+    affected = _ordered(affected)
+    if not affected:
+        return []
     storage = Storage(df.sparkSession, path)
-    before = {value: _data_files(storage, _folder(column, value)) for value in affected}
+    before = _files(storage, column, affected)
     writer = spread_by(_rebuilt_only(df, column, affected), column).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
-    emptied = []
-    for value in affected:
-        if before[value] & _data_files(storage, _folder(column, value)):
-            storage.remove(_folder(column, value))
-            emptied.append(value)
-    return emptied
+    return _remove_emptied(storage, column, affected, before)
 
 
 def rebuild_table_partitions(df: DataFrame, table: str, column: str, affected: Iterable) -> list:
     """The same for a catalog table partitioned by ``column`` alone."""
+    affected = _ordered(affected)
+    if not affected:
+        return []
     spark = df.sparkSession
-    affected = sorted(set(affected))
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    location = details.filter("col_name = 'Location'").first()["data_type"]
+    storage = Storage(spark, unquote(location))
+    before = _files(storage, column, affected)
     columns = [f"`{name}`" for name in spark.table(table).columns]
-    old = _files_of(spark, table, column, affected)
     rebuilt = spread_by(_rebuilt_only(df.select(*columns), column, affected), column)
     name = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(name)
@@ -69,22 +110,9 @@ def rebuild_table_partitions(df: DataFrame, table: str, column: str, affected: I
         rebuilt.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(name, previous)
-    spark.catalog.refreshTable(table)
-    left = _files_of(spark, table, column, affected)
-    emptied = [value for value in affected if old[str(value)] & left[str(value)]]
+    emptied = _remove_emptied(storage, column, affected, before)
     for value in emptied:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = '{value}')")
-        # Dropping an external table's partition leaves its files behind.
-        location = _location(spark, table)
-        Storage(spark, location).remove(_folder(column, value))
+        text = "null" if value is None else f"'{_value_text(value)}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = {text})")
+    spark.catalog.refreshTable(table)
     return emptied
-
-
-def _location(spark: SparkSession, table: str) -> str:
-    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
-    return details.filter("col_name = 'Location'").first()["data_type"]
-
-
-def _files_of(spark: SparkSession, table: str, column: str, values: list) -> dict[str, set[str]]:
-    storage = Storage(spark, unquote(_location(spark, table)))
-    return {str(value): _data_files(storage, _folder(column, value)) for value in values}

@@ -54,6 +54,8 @@ def replace_table(
     running reader.
     """
     spark = df.sparkSession
+    if any(column.isPartition for column in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is partitioned; rebuild its partitions instead")
     fitted = conform(df, table_schema(spark, table) if schema is None else schema, mode)
     version = publish_snapshot(fitted, path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version_path(path, version)}'")

@@ -1,0 +1,115 @@
+import hashlib
+import hmac
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata import (
+    hmac_sha256,
+    pii_decrypt,
+    pii_detokenize,
+    pii_encrypt,
+    pii_redact,
+    pii_remove,
+    pii_scan,
+    pii_tokenize,
+    redact,
+    vault_additions,
+    working_folder,
+)
+from strata.functions.protection import PII_PATTERNS
+
+KEY = b"test key"
+MASTERS = {"old": b"o" * 16, "new": b"n" * 32}
+
+
+def test_remove(spark):
+    df = spark.sql("select 1 as a, 2 as b, named_struct('x', 1, 'y', 2) as s")
+    assert pii_remove(df, ["b", "s.x"]).dtypes == [("a", "int"), ("s", "struct<y:int>")]
+    with pytest.raises(ValueError):
+        pii_remove(df, ["nope"])
+
+
+def people(spark):
+    return spark.createDataFrame([(1, "Ada"), (2, "Zoë"), (3, None), (4, "Ada")], "id int, name string")
+
+
+def test_encrypt_round_trip_over_key_rotation(spark, rows):
+    old = pii_encrypt(people(spark), ["name"], MASTERS["old"], "old")
+    new = pii_encrypt(people(spark), ["name"], MASTERS["new"], "new")
+    both = old.unionByName(new)
+    assert rows(pii_decrypt(both, ["name"], MASTERS)) == sorted(rows(people(spark)) * 2, key=lambda r: (r[0]))
+    stored = old.select("name.payload", "name.key_id").collect()
+    assert stored[2]["payload"] is None
+    payloads = [bytes(row["payload"]) for row in stored if row["payload"] is not None]
+    assert len(set(payloads)) == 3  # equal values look different
+    assert all(b"Ada" not in payload for payload in payloads)
+    assert rows(pii_decrypt(new, ["name"], {"old": MASTERS["old"]}), "name") == [(None,)] * 4
+    with pytest.raises(ValueError):
+        pii_encrypt(people(spark), ["name"], b"short", "bad")
+
+
+def test_tokens_match_the_standard_library(spark):
+    df = spark.createDataFrame([("Ada",), ("Zoë",), ("",), (None,)], "v string")
+    for key in (b"k", b"x" * 64):
+        for value, token in df.select("v", hmac_sha256(F.col("v"), key)).collect():
+            wanted = None if value is None else hmac.new(key, value.encode(), hashlib.sha256).hexdigest()
+            assert token == wanted
+    with pytest.raises(ValueError):
+        hmac_sha256(F.col("v"), b"x" * 65)
+
+
+def test_vault_grows_by_new_values_only(spark, rows):
+    path = working_folder(spark, "vault")
+    secret = {"column": "name", "key": KEY, "key_id": "new", "master": MASTERS["new"]}
+    vault_additions(people(spark).limit(1), **secret).write.parquet(path)
+    added = vault_additions(people(spark), vault=spark.read.parquet(path), **secret)
+    assert added.count() == 1
+    added.write.mode("append").parquet(path)
+    vault = spark.read.parquet(path)
+    assert vault_additions(people(spark), vault=vault, **secret).isEmpty()
+    tokens = pii_tokenize(people(spark), ["name"], KEY)
+    for split in (None, True):
+        back = pii_detokenize(tokens, "name", vault, "new", MASTERS, split_hot=split)
+        assert back.columns == ["id", "name"]
+        assert rows(back) == rows(people(spark))
+    assert rows(pii_detokenize(tokens, "name", vault.limit(0), "new", MASTERS), "name") == [(None,)] * 4
+
+
+TEXTS = [
+    ("mail a.b+c@example.co.uk now", "mail [EMAIL] now"),
+    ("émile@example.com", "é[EMAIL]"),
+    (f'token = "{"0a" * 20}"', "[SECRET]"),
+    ('token = "short"', 'token = "short"'),
+    ("4111 1111-11111111 and 4111111111111111", "[CREDIT_CARD] and [CREDIT_CARD]"),
+    ("41111111111111111", "41111111111111111"),
+    ("from 10.0.0.255.", "from [IP_ADDRESS]."),
+    ("123-45-6789", "[SSN]"),
+    ("nothing @ all - 12.5", "nothing @ all - 12.5"),
+    (None, None),
+    ("", ""),
+]
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame(TEXTS, "text string, wanted string")
+    for out in (pii_redact(df, ["text"]), df.withColumn("text", redact(F.col("text")))):
+        for row in out.collect():
+            assert row["text"] == row["wanted"]
+    only = pii_redact(df, ["text"], ["SSN"])
+    assert only.filter("text like '%[SSN]%'").count() == 1
+    assert only.filter("text like '%[EMAIL]%'").count() == 0
+    with pytest.raises(ValueError):
+        pii_redact(df, ["text"], ["NAME"])
+
+
+def test_whole_texts_are_covered(spark):
+    far = spark.range(1).select(F.concat(F.repeat(F.lit("word "), 200_000), F.lit("x@example.org")).alias("text"))
+    assert pii_redact(far, ["text"]).first()["text"].endswith("word [EMAIL]")
+
+
+def test_scan(spark, rows):
+    df = spark.createDataFrame([("a", "x@y.org z@y.org"), ("a", "none"), ("b", None)], "lang string, text string")
+    got = rows(pii_scan(df, "text", ["lang"], ["EMAIL", "SSN"]))
+    assert got == [("a", "EMAIL", 2, 1), ("a", "SSN", 0, 0), ("b", "EMAIL", 0, 0), ("b", "SSN", 0, 0)]
+    assert {row[0] for row in rows(pii_scan(df, "text"))} == set(PII_PATTERNS)

@@ -104,6 +104,15 @@ ORACLE["current_state"] = _state("row")
 ORACLE["current_state_field"] = _state("field")
 ORACLE["apply_changes"] = _state("row")
 
+ORACLE["merge_partitions"] = """
+with orders_now as (
+    select *, o_orderpriority = '1-URGENT' and year(o_orderdate) >= 1999 as again from orders
+)
+select o_orderkey, case when again then o_totalprice * 2 else o_totalprice end as o_totalprice,
+       case when again then 2 else 1 end as version, year(o_orderdate)::int as o_year
+from orders_now where not (again and o_orderstatus = 'F')
+"""
+
 # -- schemas ---------------------------------------------------------------------------
 
 ORACLE["conform_flat"] = """
@@ -304,6 +313,15 @@ from orders where year(o_orderdate) <> 1998
 """
 ORACLE["rebuild_table_partitions"] = ORACLE["rebuild_partitions"]
 
+ORACLE["reprocess"] = """
+with days as (select *, strftime(ts, '%Y-%m-%d') as day from events)
+select event_id, user_id, day,
+       case when day in ('2024-01-03', '2024-01-05') then -value else value end as value
+from days
+where day not in ('2024-01-03', '2024-01-04', '2024-01-05')
+   or (day <> '2024-01-04' and event_type <> 'error')
+"""
+
 ORACLE["read_unprocessed"] = f"select * from events where ts >= {SPLIT}"
 
 ORACLE["unprocessed"] = f"""

@@ -185,6 +185,33 @@ def current_state_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return st.read_state(spark, f"{work}/state", "deleted")
 
 
+@query
+def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Urgent orders arrive again with new prices; the years they touch are rebuilt."""
+    path = st.working_folder(spark, "merged")
+    orders = table(spark, folder, "orders").withColumns(
+        {
+            "o_year": F.year("o_orderdate"),
+            "version": F.lit(1),
+            "gone": F.lit(False),
+        }
+    )
+    orders.hint("rebalance", "o_year").write.partitionBy("o_year").parquet(path)
+    again = orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_year") >= 1999))
+    changes = again.withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice") * 2,
+            "version": F.lit(2),
+            "gone": F.col("o_orderstatus") == "F",
+        }
+    )
+    st.merge_partitions(
+        changes, path, "o_year", keys=["o_orderkey"], order=["version"], deleted="gone"
+    )
+    merged = spark.read.parquet(path).filter(is_live("gone"))
+    return merged.select("o_orderkey", "o_totalprice", "version", "o_year")
+
+
 # -- schemas ---------------------------------------------------------------------------
 
 LINE_SCHEMA = (
@@ -574,6 +601,23 @@ def rebuild_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).drop("o_orderdate")
 
 
+@query
+def reprocess(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed events by day, three days of which are built again by corrected code."""
+    path = st.working_folder(spark, "days")
+    raw = table(spark, folder, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    columns = ["event_id", "user_id", "value", "day"]
+    raw.select(*columns).hint("rebalance", "day").write.partitionBy("day").parquet(path)
+
+    def corrected(events: DataFrame) -> DataFrame:
+        valid = events.filter((F.col("event_type") != "error") & (F.col("day") != "2024-01-04"))
+        return valid.withColumn("value", -F.col("value")).select(*columns)
+
+    for _ in range(2):
+        st.reprocess(raw, corrected, path, "day", ["2024-01-03", "2024-01-04", "2024-01-05"])
+    return spark.read.schema("event_id long, user_id long, value double, day string").parquet(path)
+
+
 @query
 def rebuild_table_partitions(spark: SparkSession, folder: str) -> DataFrame:
     path = st.working_folder(spark, "table-years")
