@@ -68,7 +68,11 @@ from strata.sources.tables import (
     writes_table,
 )
 from strata.streaming.files import process_new_files
-from strata.streaming.state import current_state_incremental, read_state
+from strata.streaming.state import (
+    current_state_incremental,
+    current_state_partitioned,
+    read_state,
+)
 
 __all__ = [
     "Enrichment",
@@ -87,6 +91,7 @@ __all__ = [
     "count_lost",
     "current_state",
     "current_state_incremental",
+    "current_state_partitioned",
     "dataset_diff",
     "earliest_affected",
     "fit",

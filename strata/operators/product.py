@@ -88,16 +88,29 @@ def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFram
     return result
 
 
+def _most_rows(df: DataFrame, keys: list[Column]) -> int:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n").alias("most")).first()["most"] or 0
+
+
 def nest_attribute(
-    children: DataFrame, keys: Sequence[str], value: str, name: str | None = None
+    children: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    name: str | None = None,
+    max_values: int = 1_000_000,
 ) -> DataFrame:
     """Child rows folded into one sorted array of distinct values per key.
 
     Repeated values are removed first, on the map side too, so only what ends up in
-    an array is gathered. Null values are left out.
+    an array is gathered. Null values are left out. An array is one cell of one row:
+    if a key turns out to have more than ``max_values`` values, this raises before
+    anything is gathered (counting runs a job over the key columns).
     """
     names = [F.col(f"`{key}`") for key in keys]
     distinct = children.select(*names, F.col(f"`{value}`")).distinct()
+    if _most_rows(children, names) > max_values and _most_rows(distinct, names) > max_values:
+        raise ValueError(f"more than {max_values} values of {value!r} for one {list(keys)}")
     folded = F.array_sort(F.collect_list(f"`{value}`")).alias(name or value)
     return distinct.groupBy(*names).agg(folded)
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from strata.operators.conform import Declared, conform
 from strata.operators.merge import current_state, is_live, retain_last, with_flag
 from strata.operators.product import Enrichment, standardize, wide_product
+from strata.plans.sizing import sized_for
 from strata.sources.partitions import rebuild_partitions
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
@@ -17,6 +18,7 @@ from strata.sources.snapshots import (
     purge_versions,
     read_snapshot,
 )
+from strata.sources.storage import Storage
 from strata.sources.tables import replace_table
 
 
@@ -39,7 +41,8 @@ def build_product(
     base: DataFrame, enrichments: Sequence[Enrichment], path: str, keep: int = 2
 ) -> int:
     """A wide data product, fully replaced; returns the published version."""
-    version = publish_snapshot(wide_product(base, enrichments), path)
+    with sized_for(base, *[item.frame for item in enrichments]):
+        version = publish_snapshot(wide_product(base, enrichments), path)
     purge_versions(base.sparkSession, path, keep)
     return version
 
@@ -62,17 +65,18 @@ def apply_changes(
     spark = events.sparkSession
     last = latest_version(spark, state_path)
     existing = None if last is None else read_snapshot(spark, state_path, last)
-    merged = current_state(
-        events,
-        existing,
-        keys=keys,
-        image=image,
-        sequence=sequence,
-        deleted=deleted,
-        keep_tombstones=True,
-        existing_unique=True,
-    )
-    version = publish_snapshot(merged, state_path)
+    with sized_for(events, *([] if existing is None else [existing])):
+        merged = current_state(
+            events,
+            existing,
+            keys=keys,
+            image=image,
+            sequence=sequence,
+            deleted=deleted,
+            keep_tombstones=True,
+            existing_unique=True,
+        )
+        version = publish_snapshot(merged, state_path)
     purge_versions(spark, state_path, keep)
     return read_snapshot(spark, state_path, version).filter(is_live(deleted)).drop(deleted)
 
@@ -97,7 +101,9 @@ def reprocess(
     Running it again changes nothing. Returns the partitions that became empty.
     """
     affected = list(affected)
-    return rebuild_partitions(build(_of_partitions(source, column, affected)), path, column, affected)
+    chosen = _of_partitions(source, column, affected)
+    with sized_for(chosen):
+        return rebuild_partitions(build(chosen), path, column, affected)
 
 
 def merge_partitions(
@@ -116,23 +122,27 @@ def merge_partitions(
     key (a creation month, say, or a hash bucket), so that all versions of a row share
     a partition. Only the partitions that ``incoming`` touches are read and rewritten;
     their values, at most as many as there are folders, come to the driver. The table
-    stores the delete flag. Returns the touched partition values.
+    stores the delete flag, so merging the same rows again changes nothing. Readers may
+    see some partitions before and some after the merge. Returns the touched values.
     """
     spark = incoming.sparkSession
     changes = with_flag(incoming, deleted)
     touched = [row[0] for row in changes.select(f"`{column}`").distinct().collect()]
     if not touched:
         return []
-    stored = _of_partitions(spark.read.schema(changes.schema).parquet(path), column, touched)
-    merged = retain_last(
-        changes,
-        stored,
-        keys=keys,
-        order=order,
-        deleted=deleted,
-        keep_tombstones=True,
-        order_is_total=order_is_total,
-        existing_unique=True,
-    )
-    rebuild_partitions(merged, path, column, touched)
+    stored = None
+    if Storage(spark, path).names():
+        stored = _of_partitions(spark.read.schema(changes.schema).parquet(path), column, touched)
+    with sized_for(changes, *([] if stored is None else [stored])):
+        merged = retain_last(
+            changes,
+            stored,
+            keys=keys,
+            order=order,
+            deleted=deleted,
+            keep_tombstones=True,
+            order_is_total=order_is_total,
+            existing_unique=True,
+        )
+        rebuild_partitions(merged, path, column, touched)
     return touched

@@ -1,13 +1,20 @@
-"""Size checks that stand before every broadcast."""
+"""Size checks that stand before every broadcast, and the sizes of tasks."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, StringType, StructType
 
+_MB = 1024 * 1024
+_SHUFFLE_TARGET = 256 * _MB
+_MOST_SHUFFLE_PARTITIONS = 50_000  # beyond, the number of shuffle blocks is the bottleneck
+_MOST_SCAN_TASKS = 100_000
+_LARGEST_SPLIT = 1024 * _MB
 _CELL = 16  # bytes reckoned for a fixed-width value with its row overhead
 
 
@@ -52,3 +59,34 @@ def broadcasts_anyway(df: DataFrame) -> bool:
     """Will Spark broadcast ``df`` by itself under the session's threshold?"""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     return planned_bytes(df) <= conf.autoBroadcastJoinThreshold()
+
+
+def task_sizes(total: int, shuffle_partitions: int, split_bytes: int) -> tuple[int, int]:
+    """Shuffle partitions and scan split size for ``total`` bytes of input.
+
+    Never below the given settings: AQE joins shuffle partitions that turn out small,
+    but cannot add any.
+    """
+    wanted = min(-(-total // _SHUFFLE_TARGET), _MOST_SHUFFLE_PARTITIONS)
+    split = min(-(-total // _MOST_SCAN_TASKS), _LARGEST_SPLIT)
+    return max(wanted, shuffle_partitions), max(split, split_bytes)
+
+
+@contextmanager
+def sized_for(*frames: DataFrame) -> Iterator[None]:
+    """Plan what runs inside the block with task sizes that suit the input of ``frames``."""
+    spark = frames[0].sparkSession
+    shuffle, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    before = {name: spark.conf.get(name) for name in (shuffle, split)}
+    conf = spark._jsparkSession.sessionState().conf()
+    total = sum(planned_bytes(frame) for frame in frames)
+    partitions, split_bytes = task_sizes(
+        total, conf.numShufflePartitions(), conf.filesMaxPartitionBytes()
+    )
+    spark.conf.set(shuffle, str(partitions))
+    spark.conf.set(split, str(split_bytes))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

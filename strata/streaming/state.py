@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators.conform import Declared
 from strata.operators.merge import is_live, retain_last, with_flag
+from strata.plans.jobs import merge_partitions
+from strata.plans.sizing import sized_for
 from strata.sources.snapshots import latest_version, publish_snapshot, read_snapshot
 from strata.streaming.files import process_new_files
 
@@ -41,22 +44,58 @@ def current_state_incremental(
         previous = latest_version(session, state_path, before=number)
         # The next version is planned from stored files, so lineage does not grow.
         state = None if previous is None else read_snapshot(session, state_path, previous)
-        merged = retain_last(
-            changes,
-            state,
-            keys=keys,
-            order=order,
-            deleted=deleted,
-            keep_tombstones=True,
-            order_is_total=order_is_total,
-            existing_unique=True,
-        )
-        publish_snapshot(merged, state_path, version=number)
+        with sized_for(changes, *([] if state is None else [state])):
+            merged = retain_last(
+                changes,
+                state,
+                keys=keys,
+                order=order,
+                deleted=deleted,
+                keep_tombstones=True,
+                order_is_total=order_is_total,
+                existing_unique=True,
+            )
+            publish_snapshot(merged, state_path, version=number)
 
     process_new_files(spark, source, schema, checkpoint, merge, fmt, max_files, timeout)
     return latest_version(spark, state_path)
 
 
+def current_state_partitioned(
+    spark: SparkSession,
+    source: str,
+    schema: Declared,
+    state_path: str,
+    checkpoint: str,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    column: str = "bucket",
+    buckets: int | None = None,
+    fmt: str = "parquet",
+    max_files: int | None = None,
+    timeout: int = 3600,
+) -> None:
+    """The same for a state too large to be written anew with each batch.
+
+    The state is partitioned by ``column``, which must follow from the key; with
+    ``buckets`` it is computed, as a hash of the key. A batch rewrites the partitions it
+    touches, see :func:`strata.plans.jobs.merge_partitions`; a repeated batch changes
+    nothing. Unlike numbered versions, a batch becomes visible partition by partition.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        changes = transform(batch) if transform else batch
+        if buckets is not None:
+            hashed = F.xxhash64(*[F.col(f"`{key}`") for key in keys])
+            changes = changes.withColumn(column, F.pmod(hashed, F.lit(buckets)).cast("int"))
+        merge_partitions(changes, state_path, column, keys=keys, order=order, deleted=deleted)
+
+    process_new_files(spark, source, schema, checkpoint, merge, fmt, max_files, timeout)
+
+
 def read_state(spark: SparkSession, state_path: str, deleted: str | None = None) -> DataFrame:
     """The live rows of the newest published state."""
     state = read_snapshot(spark, state_path)

@@ -24,7 +24,7 @@ from strata import (
     wide_product,
     working_folder,
 )
-from strata.plans.sizing import Bound, within
+from strata.plans.sizing import Bound, sized_for, task_sizes, within
 from strata.plans.skew import hot_key_hashes
 
 BOOK = "title string, publish_date string, author string"
@@ -162,6 +162,19 @@ def test_measured_bound(spark):
     assert within(df.limit(0), Bound(rows=0, bytes=0))
 
 
+def test_task_sizes(spark):
+    mb, tb = 2**20, 2**40
+    assert task_sizes(10 * mb, 200, 128 * mb) == (200, 128 * mb)
+    assert task_sizes(tb, 200, 128 * mb) == (4096, 128 * mb)
+    partitions, split = task_sizes(100 * tb, 200, 128 * mb)
+    assert partitions == 50_000 and split == 1024 * mb
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    huge = spark.range(2**38)
+    with sized_for(huge):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 8192
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 # -- grain, arrays, rollups ------------------------------------------------------------
 
 
@@ -182,6 +195,9 @@ def test_coverage(spark, rows):
 def test_nested_arrays(spark, rows):
     children = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None)], "k int, label string")
     assert rows(nest_attribute(children, ["k"], "label")) == [(1, ["a", "b"]), (2, [])]
+    assert nest_attribute(children, ["k"], "label", max_values=2).count() == 2
+    with pytest.raises(ValueError, match="more than 1 values"):
+        nest_attribute(children, ["k"], "label", max_values=1)
     base = spark.createDataFrame([(1,), (2,), (3,)], "id int")
     whole = attach_nested(base, children, {"id": "k"}, "label", "labels")
     assert rows(whole) == [(1, ["a", "b"]), (2, []), (3, [])]

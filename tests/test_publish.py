@@ -9,6 +9,7 @@ from strata import (
     RunLedger,
     apply_changes,
     current_state_incremental,
+    current_state_partitioned,
     flatten_changes,
     latest_version,
     merge_partitions,
@@ -277,6 +278,26 @@ def test_state_from_a_growing_folder(spark, rows):
     assert rows(read_state(spark, f"{path}/state", "_deleted"), "id", "email") == [(2, "c")]
 
 
+def test_state_in_buckets(spark, rows):
+    path = working_folder(spark, "stream")
+
+    def arrive(*events):
+        spark.createDataFrame(events, EVENT).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        current_state_partitioned(
+            spark, f"{path}/in", EVENT, f"{path}/state", f"{path}/checkpoint",
+            keys=["id"], order=["_as_of"], deleted="_deleted", transform=flatten_changes, buckets=3,
+        )
+
+    arrive(*[(None, (n, "first"), 10) for n in range(9)])
+    folders = {name: set(os.listdir(f"{local(path)}/state/{name}")) for name in os.listdir(f"{local(path)}/state") if "=" in name}
+    arrive(((1, "first"), None, 30))
+    after = {name: set(os.listdir(f"{local(path)}/state/{name}")) for name in folders}
+    assert sum(folders[name] != after[name] for name in folders) == 1
+    arrive((None, (1, "late"), 20))
+    state = spark.read.parquet(f"{path}/state").filter("not _deleted")
+    assert rows(state, "id") == [(n,) for n in range(9) if n != 1]
+
+
 def test_failed_batch_comes_again_under_its_number(spark):
     path = working_folder(spark, "stream")
     spark.range(3).write.parquet(f"{path}/in")

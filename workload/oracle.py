@@ -22,6 +22,7 @@ select user_id, ts, event_id, event_type, value from ({_LATEST_EVENT}) where rn
 """
 ORACLE["merge_latest"] = _CURRENT
 ORACLE["current_state_incremental"] = _CURRENT
+ORACLE["current_state_partitioned"] = _CURRENT
 
 # The stored state has no error rows, only the incoming half has.
 ORACLE["merge_missing_flag"] = f"""

@@ -212,6 +212,27 @@ def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
     return merged.select("o_orderkey", "o_totalprice", "version", "o_year")
 
 
+@query
+def current_state_partitioned(spark: SparkSession, folder: str) -> DataFrame:
+    early, late = _halves(_versions(spark, folder))
+    work = st.working_folder(spark, "buckets")
+    for part in (late, early):
+        part.write.mode("append").parquet(f"{work}/landing")
+        st.current_state_partitioned(
+            spark,
+            f"{work}/landing",
+            early.schema,
+            f"{work}/state",
+            f"{work}/checkpoint",
+            keys=["user_id"],
+            order=["ts", "event_id"],
+            deleted="deleted",
+            buckets=4,
+        )
+    state = spark.read.parquet(f"{work}/state")
+    return state.filter(is_live("deleted")).select(*EVENT_COLUMNS)
+
+
 # -- schemas ---------------------------------------------------------------------------
 
 LINE_SCHEMA = (
