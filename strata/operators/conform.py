@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+from strata.functions.columns import named
 from strata.functions.casting import count_lost, find_field, fit
 
 # A schema, its DDL text, or a function that gives one of them when it is needed.
@@ -69,7 +70,7 @@ def conform(df: DataFrame, schema: Declared, mode: str = "strict") -> DataFrame:
     exact = _case_sensitive(df)
     cells: list[Column] = []
     for wanted in resolve_schema(schema).fields:
-        cell = F.col(f"`{wanted.name}`")
+        cell = named(wanted.name)
         given = find_field(df.schema, wanted.name, exact)
         if given is not None:
             cell = fit(cell, given.dataType, wanted.dataType, lenient, exact)
@@ -88,7 +89,7 @@ def conform_losses(df: DataFrame, schema: Declared) -> DataFrame:
         given = find_field(df.schema, wanted.name, exact)
         if given is None:
             raise ValueError(f"column {wanted.name!r} is missing")
-        lost = count_lost(F.col(f"`{given.name}`"), given.dataType, wanted.dataType, exact)
+        lost = count_lost(named(given.name), given.dataType, wanted.dataType, exact)
         totals.append(F.coalesce(F.sum(lost), F.lit(0)).alias(f"c{index}"))
         pairs.append(
             F.struct(F.lit(wanted.name).alias("column_name"), F.col(f"c{index}").alias("lost"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named
+
 _SURPLUS = "__surplus"
 
 
@@ -14,7 +16,7 @@ def _aligned(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]
     if set(before.columns) != set(after.columns):
         odd = sorted(set(before.columns) ^ set(after.columns))
         raise ValueError(f"columns on one side only: {odd}")
-    return before, after.select(*[F.col(f"`{name}`") for name in before.columns])
+    return before, after.select(*[named(name) for name in before.columns])
 
 
 def dataset_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,10 +28,10 @@ def dataset_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Da
     grouped by key. There is no join, so a key that should be unique and is not cannot
     multiply: if its rows differ, it fails the job.
     """
-    names = [F.col(f"`{key}`") for key in keys]
+    names = [named(key) for key in keys]
     others = [name for name in before.columns if name not in keys] or list(keys)
     left = multiset_diff(before, after, _SURPLUS)
-    row = F.struct(*[F.col(f"`{name}`") for name in others])
+    row = F.struct(*[named(name) for name in others])
 
     def side(present: Column) -> Column:
         return F.first(F.when(present, row), ignorenulls=True)
@@ -62,7 +64,7 @@ def multiset_diff(before: DataFrame, after: DataFrame, count: str = "surplus") -
     signed = before.withColumn(count, F.lit(-1).cast("long")).unionByName(
         after.withColumn(count, F.lit(1).cast("long"))
     )
-    columns = [F.col(f"`{name}`") for name in before.columns]
+    columns = [named(name) for name in before.columns]
     return signed.groupBy(*columns).agg(F.sum(count).alias(count)).filter(F.col(count) != 0)
 
 

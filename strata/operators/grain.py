@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named
 from strata.plans.skew import lookup_join
 
 
@@ -20,7 +21,7 @@ def grain_check(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFra
     Counts are added up on the map side first, so hot keys do no harm.
     """
     return (
-        df.groupBy(*[F.col(f"`{key}`") for key in keys])
+        df.groupBy(*[named(key) for key in keys])
         .agg(F.count(F.lit(1)).alias(count))
         .filter(F.col(count) > 1)
     )
@@ -36,5 +37,5 @@ def assert_grain(df: DataFrame, keys: Sequence[str]) -> None:
 
 def grain_coverage(required: DataFrame, product: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Keys of ``required`` that have no row in ``product``, once each."""
-    wanted = required.select(*[F.col(f"`{name}`") for name in on]).distinct()
+    wanted = required.select(*[named(name) for name in on]).distinct()
     return lookup_join(wanted, product, on, "left_anti", split_hot=False)

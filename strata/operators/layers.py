@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from strata.functions.columns import quoted
 from strata.sources.partitions import spread_by
 
 
@@ -17,7 +18,7 @@ def bronze_to_silver(
     if kind is not None:
         if kind_column is None:
             raise ValueError("kind needs kind_column")
-        clean = clean.filter(clean[f"`{kind_column}`"] == kind)
+        clean = clean.filter(clean[quoted(kind_column)] == kind)
     return clean
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType, VariantType
 
+from strata.functions.columns import named, quoted
 from strata.functions.dates import from_epoch_millis
 from strata.plans.sizing import DEFAULT_BOUND, Bound, within
 
@@ -28,7 +29,7 @@ def _sortable(dtype: DataType) -> bool:
 
 def is_live(deleted: str) -> Column:
     """True unless the delete flag is set; an unknown flag counts as live."""
-    return ~F.coalesce(F.col(f"`{deleted}`"), F.lit(False))
+    return ~F.coalesce(named(deleted), F.lit(False))
 
 
 def with_flag(df: DataFrame, deleted: str | None) -> DataFrame:
@@ -51,7 +52,7 @@ def newest_first(
     row; then the remaining columns, so that the same input always gives the same
     winner.
     """
-    ranking = [F.col(f"`{name}`").desc_nulls_last() for name in order]
+    ranking = [named(name).desc_nulls_last() for name in order]
     if _ARRIVAL in df.columns:
         ranking.append(F.col(_ARRIVAL).desc())
     if deleted is not None:
@@ -59,7 +60,7 @@ def newest_first(
     if not order_is_total:
         used = {*keys, *order, _ARRIVAL, deleted}
         ranking += [
-            F.col(f"`{field.name}`").desc_nulls_last()
+            named(field.name).desc_nulls_last()
             for field in df.schema.fields
             if field.name not in used and _sortable(field.dataType)
         ]
@@ -75,7 +76,7 @@ def _rank_one(
 ) -> DataFrame:
     # row_number() == 1 right above the window makes Spark cut every task's rows to
     # one per key before the shuffle, which is also what tames a hot key.
-    window = Window.partitionBy(*[F.col(f"`{key}`") for key in keys]).orderBy(
+    window = Window.partitionBy(*[named(key) for key in keys]).orderBy(
         *newest_first(df, keys, order, deleted, order_is_total)
     )
     ranked = df.withColumn(_RANK, F.row_number().over(window))
@@ -85,8 +86,8 @@ def _rank_one(
 def _matching(keys: DataFrame, df: DataFrame, names: Sequence[str], how: str) -> DataFrame:
     """Null-safe semi or anti join of ``df`` with a bounded set of keys."""
     aliases = {name: f"__touched_{i}" for i, name in enumerate(names)}
-    small = F.broadcast(keys.select(*[F.col(f"`{n}`").alias(a) for n, a in aliases.items()]))
-    same = [df[f"`{name}`"].eqNullSafe(small[alias]) for name, alias in aliases.items()]
+    small = F.broadcast(keys.select(*[named(n).alias(a) for n, a in aliases.items()]))
+    same = [df[quoted(name)].eqNullSafe(small[alias]) for name, alias in aliases.items()]
     return df.join(small, reduce(and_, same), how)
 
 
@@ -131,7 +132,7 @@ def retain_last(
         existing = with_flag(existing, deleted)
         if existing_unique:
             names = touched_by or keys
-            touched = incoming.select(*[f"`{name}`" for name in names]).distinct()
+            touched = incoming.select(*[quoted(name) for name in names]).distinct()
             if within(touched, bound):
                 untouched = _matching(touched, existing, names, "left_anti")
                 existing = _matching(touched, existing, names, "left_semi")
@@ -139,7 +140,7 @@ def retain_last(
             existing.withColumn(_ARRIVAL, F.lit(0))
         )
     result = _rank_one(merged, keys, order, deleted, order_is_total).select(
-        *[f"`{name}`" for name in columns]
+        *[quoted(name) for name in columns]
     )
     if untouched is not None:
         result = result.unionByName(untouched)
@@ -168,7 +169,7 @@ def flatten_changes(
     """
     if image not in ("row", "field"):
         raise ValueError(f"image is 'row' or 'field', not {image!r}")
-    new, old = F.col(f"`{after}`"), F.col(f"`{before}`")
+    new, old = named(after), named(before)
     known = {field.name for field in events.schema[before].dataType.fields}
     cells = []
     for field in events.schema[after].dataType.fields:
@@ -182,9 +183,9 @@ def flatten_changes(
         cells.append(value.alias(name))
     return events.select(
         *cells,
-        from_epoch_millis(F.col(f"`{event_millis}`")).alias(as_of),
+        from_epoch_millis(named(event_millis)).alias(as_of),
         new.isNull().alias(deleted),
-        *[F.col(f"`{name}`") for name in carry],
+        *[named(name) for name in carry],
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named
 from strata.functions.protection import (
     PII_PATTERNS,
     count_kind,
@@ -25,7 +26,7 @@ def pii_remove(df: DataFrame, fields: Sequence[str]) -> DataFrame:
         if top not in df.columns:
             raise ValueError(f"no column {top!r}")
         if inner:
-            df = df.withColumn(top, F.col(f"`{top}`").dropFields(inner))
+            df = df.withColumn(top, named(top).dropFields(inner))
         else:
             df = df.drop(top)
     return df
@@ -35,13 +36,13 @@ def pii_encrypt(
     df: DataFrame, columns: Sequence[str], master: bytes, key_id: str, data_key: bytes | None = None
 ) -> DataFrame:
     """Replace text columns by their encrypted form, on the executors."""
-    sealed = {name: seal(F.col(f"`{name}`"), master, key_id, data_key) for name in columns}
+    sealed = {name: seal(named(name), master, key_id, data_key) for name in columns}
     return df.withColumns(sealed)
 
 
 def pii_decrypt(df: DataFrame, columns: Sequence[str], masters: Mapping[str, bytes]) -> DataFrame:
     """The reverse of :func:`pii_encrypt`; ``masters`` holds every key id still in use."""
-    return df.withColumns({name: unseal(F.col(f"`{name}`"), masters) for name in columns})
+    return df.withColumns({name: unseal(named(name), masters) for name in columns})
 
 
 def pii_tokenize(df: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame:
@@ -50,7 +51,7 @@ def pii_tokenize(df: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame
     A token is computed from value and key alone, so tokenizing needs neither a
     lookup nor a shuffle, and a run that is repeated gives the same tokens.
     """
-    return df.withColumns({name: hmac_sha256(F.col(f"`{name}`"), key) for name in columns})
+    return df.withColumns({name: hmac_sha256(named(name), key) for name in columns})
 
 
 def vault_additions(
@@ -66,8 +67,8 @@ def vault_additions(
     The value is stored encrypted. Repeated values collapse on the map side before
     the lookup, so it has one row per value and no hot key.
     """
-    named = df.select(F.col(f"`{column}`").cast("string").alias("value"))
-    found = named.filter(F.col("value").isNotNull()).distinct()
+    values = df.select(named(column).cast("string").alias("value"))
+    found = values.filter(F.col("value").isNotNull()).distinct()
     tokens = found.select(hmac_sha256(F.col("value"), key).alias("token"), "value")
     if vault is not None:
         known = vault.filter(F.col("key_id") == key_id)
@@ -86,10 +87,11 @@ def pii_detokenize(
 ) -> DataFrame:
     """Tokens turned back into values; a token that the vault lacks gives null."""
     known = vault.filter(F.col("key_id") == key_id).select("token", F.col("value").alias("__value"))
+    known = known.dropDuplicates(["token"])  # two runs may have added a token at once
     columns = df.columns
     found = lookup_join(df, known, {column: "token"}, split_hot=split_hot)
     found = found.withColumn(column, unseal(F.col("__value"), masters))
-    return found.select(*[F.col(f"`{name}`") for name in columns])
+    return found.select(*[named(name) for name in columns])
 
 
 def pii_redact(
@@ -97,7 +99,7 @@ def pii_redact(
 ) -> DataFrame:
     """Replace sensitive spans inside whole texts by the name of their kind."""
     for kind in list(PII_PATTERNS) if kinds is None else kinds:
-        df = df.withColumns({name: redact_kind(F.col(f"`{name}`"), kind) for name in columns})
+        df = df.withColumns({name: redact_kind(named(name), kind) for name in columns})
     return df
 
 
@@ -106,9 +108,9 @@ def pii_scan(
 ) -> DataFrame:
     """Rows ``(*by, kind, hits, rows_hit)``: what a redaction would find, all kinds in one pass."""
     chosen = list(PII_PATTERNS) if kinds is None else list(kinds)
-    text = F.col(f"`{column}`")
+    text = named(column)
     counts = {f"c{i}": count_kind(text, kind) for i, kind in enumerate(chosen)}
-    groups = [F.col(f"`{name}`") for name in by]
+    groups = [named(name) for name in by]
     counted = df.select(*groups, *[cell.alias(name) for name, cell in counts.items()])
     totals = []
     for name in counts:

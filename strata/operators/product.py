@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named, quoted
 from strata.functions.dates import parse_date
 from strata.operators.grain import assert_grain
 from strata.plans.skew import hot_key_hashes, lookup_join
@@ -28,7 +29,7 @@ def standardize(
     """
     cells = []
     for name, given in columns.items():
-        cell = F.col(f"`{given}`") if isinstance(given, str) else given
+        cell = named(given) if isinstance(given, str) else given
         if dates and name in dates:
             cell = parse_date(cell, dates[name], strict)
         cells.append(cell.alias(name))
@@ -63,9 +64,9 @@ def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFram
         keys = [f"__key_{i}" for i in range(len(item.on))]
         pairs = zip(item.on.values(), keys, strict=True)
         attributes = item.frame.select(
-            *[F.col(f"`{name}`").alias(key) for name, key in pairs],
+            *[named(name).alias(key) for name, key in pairs],
             *[
-                (F.col(f"`{given}`") if isinstance(given, str) else given).alias(name)
+                (named(given) if isinstance(given, str) else given).alias(name)
                 for name, given in item.columns.items()
             ],
         )
@@ -107,11 +108,11 @@ def nest_attribute(
     if a key turns out to have more than ``max_values`` values, this raises before
     anything is gathered (counting runs a job over the key columns).
     """
-    names = [F.col(f"`{key}`") for key in keys]
-    distinct = children.select(*names, F.col(f"`{value}`")).distinct()
+    names = [named(key) for key in keys]
+    distinct = children.select(*names, named(value)).distinct()
     if _most_rows(children, names) > max_values and _most_rows(distinct, names) > max_values:
         raise ValueError(f"more than {max_values} values of {value!r} for one {list(keys)}")
-    folded = F.array_sort(F.collect_list(f"`{value}`")).alias(name or value)
+    folded = F.array_sort(F.collect_list(quoted(value))).alias(name or value)
     return distinct.groupBy(*names).agg(folded)
 
 
@@ -123,12 +124,12 @@ def attach_nested(
     nested = nest_attribute(children, list(on.values()), value, name)
     joined = lookup_join(base, nested, on)
     empty = F.array().cast(joined.schema[name].dataType)
-    return joined.withColumn(name, F.coalesce(F.col(f"`{name}`"), empty))
+    return joined.withColumn(name, F.coalesce(named(name), empty))
 
 
 def array_filter(product: DataFrame, column: str, value: object) -> DataFrame:
     """Rows whose array column holds ``value``."""
-    return product.filter(F.array_contains(F.col(f"`{column}`"), value))
+    return product.filter(F.array_contains(named(column), value))
 
 
 def product_rollup(
@@ -138,7 +139,7 @@ def product_rollup(
 ) -> DataFrame:
     """Group a product by any of its columns; groups are pre-aggregated before the shuffle."""
     groups = [
-        (F.col(f"`{given}`") if isinstance(given, str) else given).alias(name)
+        (named(given) if isinstance(given, str) else given).alias(name)
         for name, given in by.items()
     ]
     return product.groupBy(*groups).agg(*[cell.alias(name) for name, cell in measures.items()])

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named, quoted
 from strata.functions.dates import next_period, period_of, periods_between, previous_period
 from strata.operators.merge import is_live, retain_last, with_flag
 from strata.plans.sizing import DEFAULT_BOUND, Bound
@@ -23,15 +24,15 @@ _UNTIL = "__until"
 def affected_partitions(changes: DataFrame, at: str, unit: str = "month") -> DataFrame:
     """The periods that ``changes`` touch, one row each; null dates touch none."""
     return (
-        changes.filter(F.col(f"`{at}`").isNotNull())
-        .select(period_of(F.col(f"`{at}`"), unit).alias("period"))
+        changes.filter(named(at).isNotNull())
+        .select(period_of(named(at), unit).alias("period"))
         .distinct()
     )
 
 
 def earliest_affected(changes: DataFrame, at: str, unit: str = "month") -> dt.date | None:
     """First period that ``changes`` touch. Runs a job that returns one value."""
-    return changes.agg(period_of(F.min(f"`{at}`"), unit).alias("first")).first()["first"]
+    return changes.agg(period_of(F.min(quoted(at)), unit).alias("first")).first()["first"]
 
 
 def _last_per_period(
@@ -43,7 +44,7 @@ def _last_per_period(
     period: str,
     order_is_total: bool,
 ) -> DataFrame:
-    moment = F.col(f"`{order[0]}`")
+    moment = named(order[0])
     return retain_last(
         changes.filter(moment.isNotNull()).withColumn(period, period_of(moment, unit)),
         keys=[*keys, period],
@@ -65,7 +66,7 @@ def _spread(
 ) -> DataFrame:
     """Repeat each key's row in every period up to the key's next row, or ``upto``."""
     columns = latest.columns
-    by_time = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.col(period))
+    by_time = Window.partitionBy(*[named(k) for k in keys]).orderBy(F.col(period))
     last = F.lit(upto).cast("date")
     following = previous_period(F.lead(period).over(by_time), unit)
     spans = latest.withColumn(_UNTIL, F.least(F.coalesce(following, last), last))
@@ -73,7 +74,7 @@ def _spread(
         # The span of a delete is known by now, so it can go before rows multiply.
         spans = spans.filter(is_live(deleted))
     covered = F.explode(periods_between(F.col(period), F.col(_UNTIL), unit)).alias(period)
-    others = [F.col(f"`{name}`") for name in columns if name != period]
+    others = [named(name) for name in columns if name != period]
     spread = spans.select(*others, covered)
     return spread if deleted is None or keep_tombstones else spread.drop(deleted)
 
@@ -169,7 +170,7 @@ def roll_forward(
         missing = periods_between(
             next_period(F.lit(stored_upto), unit), F.lit(upto).cast("date"), unit
         )
-        others = [F.col(f"`{name}`") for name in stored.columns if name != period]
+        others = [named(name) for name in stored.columns if name != period]
         carried = (
             stored.filter(F.col(period) == F.lit(stored_upto))
             .select(*others, F.explode(missing).alias(period))

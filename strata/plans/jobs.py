@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from strata.functions.columns import quoted
 from strata.operators.conform import Declared, conform
 from strata.operators.merge import current_state, is_live, retain_last, with_flag
 from strata.operators.product import Enrichment, standardize, wide_product
@@ -84,7 +85,7 @@ def apply_changes(
 def _of_partitions(df: DataFrame, column: str, values: Iterable) -> DataFrame:
     """Rows of some partitions; the filter is on literals, so other folders are not read."""
     values = list(values)
-    cell = df[f"`{column}`"]
+    cell = df[quoted(column)]
     chosen = cell.isin([value for value in values if value is not None])
     return df.filter((chosen | cell.isNull()) if None in values else chosen)
 
@@ -127,7 +128,7 @@ def merge_partitions(
     """
     spark = incoming.sparkSession
     changes = with_flag(incoming, deleted)
-    touched = [row[0] for row in changes.select(f"`{column}`").distinct().collect()]
+    touched = [row[0] for row in changes.select(quoted(column)).distinct().collect()]
     if not touched:
         return []
     stored = None

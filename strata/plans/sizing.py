@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, StringType, StructType
 
+from strata.functions.columns import named
+
 _MB = 1024 * 1024
 _SHUFFLE_TARGET = 256 * _MB
 _MOST_SHUFFLE_PARTITIONS = 50_000  # beyond, the number of shuffle blocks is the bottleneck
@@ -32,7 +34,7 @@ DEFAULT_BOUND = Bound()
 def _width(schema: StructType) -> Column:
     total = F.lit(_CELL * len(schema.fields)).cast("long")
     for field in schema.fields:
-        cell = F.col(f"`{field.name}`")
+        cell = named(field.name)
         if isinstance(field.dataType, (StringType, BinaryType)):
             total = total + F.coalesce(F.octet_length(cell), F.lit(0))
         elif not isinstance(field.dataType, AtomicType):

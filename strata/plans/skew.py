@@ -28,6 +28,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from strata.functions.columns import named, quoted
 from strata.plans.sizing import DEFAULT_BOUND, Bound, broadcasts_anyway, within
 
 HOT_KEYS = 256
@@ -45,7 +46,7 @@ _SAFE_KEYS = (
 
 
 def _key_hash(names: list[str]) -> Column:
-    return F.xxhash64(*[F.col(f"`{name}`") for name in names])
+    return F.xxhash64(*[named(name) for name in names])
 
 
 def hot_key_hashes(df: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> list[int]:
@@ -56,7 +57,7 @@ def hot_key_hashes(df: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> lis
     share, as its error is far below it. A wrong guess would only move rows to the
     other, equally exact way.
     """
-    cells = ", ".join(f"`{key}`" for key in keys)
+    cells = ", ".join(quoted(key) for key in keys)
     found = df.agg(
         F.expr(f"approx_top_k(xxhash64({cells}), {limit}, {_TRACKED})").alias("top"),
         F.count(F.lit(1)).alias("total"),
@@ -93,13 +94,13 @@ def lookup_join(
     right_keys = [f"__on_{i}" for i in range(len(on))]
     carried = [name for name in right.columns if name not in on.values()]
     right = right.select(
-        *[F.col(f"`{name}`").alias(key) for name, key in zip(on.values(), right_keys, strict=True)],
-        *([F.col(f"`{name}`").alias(name) for name in carried] if how == "left_outer" else []),
+        *[named(name).alias(key) for name, key in zip(on.values(), right_keys, strict=True)],
+        *([named(name).alias(name) for name in carried] if how == "left_outer" else []),
     )
 
     def joined(some: DataFrame, lookup: DataFrame) -> DataFrame:
         pairs = zip(left_keys, right_keys, strict=True)
-        condition = reduce(and_, [some[f"`{mine}`"] == lookup[other] for mine, other in pairs])
+        condition = reduce(and_, [some[quoted(mine)] == lookup[other] for mine, other in pairs])
         out = some.join(lookup, condition, how)
         return out.drop(*right_keys) if how == "left_outer" else out
 

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named
 from strata.operators.conform import Declared
 from strata.plans.skew import lookup_join
 from strata.sources.raw import read_raw
@@ -148,4 +149,4 @@ def replay_range(df: DataFrame, ledger: RunLedger, job: str, first: str, end: st
         F.lit(moment.strftime("%Y-%m-%d %H:%M:%S.%f") + zone).cast(kind)
         for moment in ledger.bounds(job, first, end)
     )
-    return df.filter((F.col(f"`{at}`") >= start) & (F.col(f"`{at}`") < stop))
+    return df.filter((named(at) >= start) & (named(at) < stop))

@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from strata.functions.columns import named, quoted
 from strata.sources.storage import Storage
 
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -53,7 +53,7 @@ def _ordered(affected: Iterable) -> list:
 
 
 def _rebuilt_only(df: DataFrame, column: str, affected: list) -> DataFrame:
-    cell = F.col(f"`{column}`")
+    cell = named(column)
     chosen = cell.isin([value for value in affected if value is not None])
     return df.filter((chosen | cell.isNull()) if None in affected else chosen)
 
@@ -101,7 +101,7 @@ def rebuild_table_partitions(df: DataFrame, table: str, column: str, affected: I
     location = details.filter("col_name = 'Location'").first()["data_type"]
     storage = Storage(spark, unquote(location))
     before = _files(storage, column, affected)
-    columns = [f"`{name}`" for name in spark.table(table).columns]
+    columns = [quoted(name) for name in spark.table(table).columns]
     rebuilt = spread_by(_rebuilt_only(df.select(*columns), column, affected), column)
     name = "spark.sql.sources.partitionOverwriteMode"
     previous = spark.conf.get(name)
@@ -113,6 +113,6 @@ def rebuild_table_partitions(df: DataFrame, table: str, column: str, affected: I
     emptied = _remove_emptied(storage, column, affected, before)
     for value in emptied:
         text = "null" if value is None else f"'{_value_text(value)}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = {text})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({quoted(column)} = {text})")
     spark.catalog.refreshTable(table)
     return emptied

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import named
 from strata.operators.conform import Declared
 from strata.operators.merge import is_live, retain_last, with_flag
 from strata.plans.jobs import merge_partitions
@@ -31,7 +32,7 @@ def current_state_incremental(
     order_is_total: bool = False,
     timeout: int = 3600,
 ) -> int | None:
-    """Merge the files that are new since the last call into the state; returns its version.
+    """Merge files that are new since the last call into the state; returns its version.
 
     ``transform`` turns a batch into versioned rows (for change events, pass
     :func:`strata.operators.merge.flatten_changes`). Each batch publishes the version with its own number, so a batch
@@ -89,7 +90,7 @@ def current_state_partitioned(
     def merge(batch: DataFrame, number: int) -> None:
         changes = transform(batch) if transform else batch
         if buckets is not None:
-            hashed = F.xxhash64(*[F.col(f"`{key}`") for key in keys])
+            hashed = F.xxhash64(*[named(key) for key in keys])
             changes = changes.withColumn(column, F.pmod(hashed, F.lit(buckets)).cast("int"))
         merge_partitions(changes, state_path, column, keys=keys, order=order, deleted=deleted)
 

@@ -132,6 +132,17 @@ def test_untouched_rows_bypass_the_shuffle(spark, rows, plan):
     assert rows(fast) == rows(slow) and fast.count() == 1001
 
 
+def test_any_column_name(spark, rows):
+    names = ["the key", "a.b", "tick`s", "gone?"]
+    new = spark.createDataFrame([(1, 2, "n", False), (2, 2, "n", True)], names)
+    old = spark.createDataFrame([(1, 1, "o", False), (2, 1, "o", False), (3, 1, "o", False)], names)
+    got = retain_last(
+        new, old, keys=["the key"], order=["a.b"], deleted="gone?", existing_unique=True
+    )
+    assert got.columns == names[:3]
+    assert rows(got) == [(1, 2, "n"), (3, 1, "o")]
+
+
 def test_plan_cuts_rows_before_the_shuffle(spark, plan):
     frame = spark.createDataFrame([], RECORD)
     text = plan(retain_last(frame.repartition(2), frame.repartition(2), **MERGE))
