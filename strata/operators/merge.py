@@ -16,6 +16,7 @@ from strata.plans.sizing import DEFAULT_BOUND, Bound, within
 
 _ARRIVAL = "__arrival"
 _RANK = "__rank"
+_HIT = "__hit"
 
 
 def _sortable(dtype: DataType) -> bool:
@@ -83,12 +84,36 @@ def _rank_one(
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def _matching(keys: DataFrame, df: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """Null-safe semi or anti join of ``df`` with a bounded set of keys."""
-    aliases = {name: f"__touched_{i}" for i, name in enumerate(names)}
-    small = F.broadcast(keys.select(*[named(n).alias(a) for n, a in aliases.items()]))
-    same = [df[quoted(name)].eqNullSafe(small[alias]) for name, alias in aliases.items()]
-    return df.join(small, reduce(and_, same), how)
+def _patch(
+    existing: DataFrame, newest: DataFrame, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """``existing`` (one row per key) with the bounded rows of ``newest`` put in.
+
+    The large side is read once as a whole and once for its keys alone, and is neither
+    shuffled nor sorted.
+    """
+    new = {name: f"__new_{i}" for i, name in enumerate(newest.columns)}
+    small = newest.select(*[named(name).alias(alias) for name, alias in new.items()])
+
+    def same_keys(one: DataFrame, other: DataFrame) -> Column:
+        return reduce(and_, [one[quoted(key)].eqNullSafe(other[new[key]]) for key in keys])
+
+    hits = F.broadcast(small.withColumn(_HIT, F.lit(True)))
+    joined = existing.join(hits, same_keys(existing, hits), "left_outer")
+    # Structs compare field by field with nulls lowest, as the ranking does; equal ones
+    # go to the newcomer.
+    stays = F.struct(*[named(name) for name in order]) > F.struct(*[new[name] for name in order])
+    replaced = F.col(_HIT).isNotNull() & ~stays
+    patched = joined.select(
+        *[F.when(replaced, F.col(new[n])).otherwise(named(n)).alias(n) for n in newest.columns]
+    )
+    small_keys = F.broadcast(small.select(*[new[key] for key in keys]))
+    known = existing.select(*[quoted(key) for key in keys])
+    known = known.join(small_keys, same_keys(known, small_keys), "left_semi")
+    added = small.join(known, same_keys(known, small), "left_anti")
+    return patched.unionByName(
+        added.select(*[F.col(alias).alias(name) for name, alias in new.items()])
+    )
 
 
 def retain_last(
@@ -101,7 +126,6 @@ def retain_last(
     keep_tombstones: bool = False,
     order_is_total: bool = False,
     existing_unique: bool = False,
-    touched_by: Sequence[str] | None = None,
     bound: Bound = DEFAULT_BOUND,
 ) -> DataFrame:
     """One row per key: the newest of ``incoming`` and ``existing``, unless it is a delete.
@@ -118,35 +142,32 @@ def retain_last(
     cannot revive a deleted key.
 
     ``existing_unique`` states that ``existing`` is a stored table with one row per key.
-    Then, if the keys of ``incoming`` are measured to stay within ``bound``, the
-    untouched rows of ``existing`` bypass the shuffle. This runs a small job over the
-    incoming keys, and reads ``existing`` once for each of the two ways.
-    ``touched_by`` may name fewer columns than ``keys`` to tell touched rows by.
+    Then, if the newest incoming rows are measured to stay within ``bound``, they are
+    broadcast into ``existing``, which is neither shuffled nor sorted. Measuring runs a
+    job over ``incoming``, so that should be a scan or a checkpoint.
     """
     if not keys or not order:
         raise ValueError("retain_last needs at least one key and one order column")
     incoming = with_flag(incoming, deleted)
-    columns = incoming.columns
-    merged, untouched = incoming, None
+    merged = None
     if existing is not None:
         existing = with_flag(existing, deleted)
-        if existing_unique:
-            names = touched_by or keys
-            touched = incoming.select(*[quoted(name) for name in names]).distinct()
-            if within(touched, bound):
-                untouched = _matching(touched, existing, names, "left_anti")
-                existing = _matching(touched, existing, names, "left_semi")
-        merged = incoming.withColumn(_ARRIVAL, F.lit(1)).unionByName(
-            existing.withColumn(_ARRIVAL, F.lit(0))
-        )
-    result = _rank_one(merged, keys, order, deleted, order_is_total).select(
-        *[quoted(name) for name in columns]
-    )
-    if untouched is not None:
-        result = result.unionByName(untouched)
+        if existing_unique and _types(existing) == _types(incoming):
+            newest = _rank_one(incoming, keys, order, deleted, order_is_total)
+            if within(newest, bound):
+                merged = _patch(existing, newest, keys, order)
+        if merged is None:
+            incoming = incoming.withColumn(_ARRIVAL, F.lit(1))
+            incoming = incoming.unionByName(existing.withColumn(_ARRIVAL, F.lit(0)))
+    if merged is None:
+        merged = _rank_one(incoming, keys, order, deleted, order_is_total).drop(_ARRIVAL)
     if deleted is not None and not keep_tombstones:
-        result = result.filter(is_live(deleted)).drop(deleted)
-    return result
+        merged = merged.filter(is_live(deleted)).drop(deleted)
+    return merged
+
+
+def _types(df: DataFrame) -> dict[str, str]:
+    return dict(df.dtypes)
 
 
 def flatten_changes(

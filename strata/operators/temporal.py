@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import named, quoted
 from strata.functions.dates import next_period, period_of, periods_between, previous_period
 from strata.operators.merge import is_live, retain_last, with_flag
-from strata.plans.sizing import DEFAULT_BOUND, Bound
+from strata.plans.sizing import DEFAULT_BOUND, Bound, within
 
 _UNTIL = "__until"
 
@@ -177,21 +179,33 @@ def roll_forward(
             .filter(F.col(period) >= F.lit(first))
         )
         affected = affected.unionByName(carried)
+    touched, untouched = affected, None
+    late_keys = latest.select(*[quoted(key) for key in keys]).distinct()
+    if within(late_keys, bound):
+        touched = _with_keys(affected, late_keys, keys, "left_semi")
+        untouched = _with_keys(affected, late_keys, keys, "left_anti")
     rebuilt = retain_last(
         arrivals,
-        affected,
+        touched,
         keys=[*keys, period],
         order=order,
         deleted=deleted,
         keep_tombstones=True,
         order_is_total=order_is_total,
-        existing_unique=True,
-        touched_by=keys,
-        bound=bound,
     )
+    if untouched is not None:
+        rebuilt = rebuilt.unionByName(untouched)
     return _finish(rebuilt, deleted, keep_tombstones)
 
 
+def _with_keys(df: DataFrame, chosen: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Null-safe semi or anti join of ``df`` with a bounded set of keys."""
+    alias = {key: f"__key_{i}" for i, key in enumerate(keys)}
+    small = F.broadcast(chosen.select(*[named(key).alias(alias[key]) for key in keys]))
+    same = reduce(and_, [df[quoted(key)].eqNullSafe(small[alias[key]]) for key in keys])
+    return df.join(small, same, how)
+
+
 def _finish(df: DataFrame, deleted: str | None, keep_tombstones: bool) -> DataFrame:
     if deleted is None or keep_tombstones:
         return df
