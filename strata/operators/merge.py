@@ -13,6 +13,7 @@ from pyspark.sql.types import DataType, MapType, StructType, VariantType
 from strata.functions.columns import named, quoted
 from strata.functions.dates import from_epoch_millis
 from strata.plans.sizing import DEFAULT_BOUND, Bound, within
+from strata.session import cut_lineage
 
 _ARRIVAL = "__arrival"
 _RANK = "__rank"
@@ -143,8 +144,8 @@ def retain_last(
 
     ``existing_unique`` states that ``existing`` is a stored table with one row per key.
     Then, if the newest incoming rows are measured to stay within ``bound``, they are
-    broadcast into ``existing``, which is neither shuffled nor sorted. Measuring runs a
-    job over ``incoming``, so that should be a scan or a checkpoint.
+    broadcast into ``existing``, which is neither shuffled nor sorted. This runs jobs:
+    one to measure those rows, and one to keep them in the checkpoint folder.
     """
     if not keys or not order:
         raise ValueError("retain_last needs at least one key and one order column")
@@ -155,7 +156,7 @@ def retain_last(
         if existing_unique and _types(existing) == _types(incoming):
             newest = _rank_one(incoming, keys, order, deleted, order_is_total)
             if within(newest, bound):
-                merged = _patch(existing, newest, keys, order)
+                merged = _patch(existing, cut_lineage(newest), keys, order)
         if merged is None:
             incoming = incoming.withColumn(_ARRIVAL, F.lit(1))
             incoming = incoming.unionByName(existing.withColumn(_ARRIVAL, F.lit(0)))

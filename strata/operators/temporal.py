@@ -19,6 +19,7 @@ from strata.functions.columns import named, quoted
 from strata.functions.dates import next_period, period_of, periods_between, previous_period
 from strata.operators.merge import is_live, retain_last, with_flag
 from strata.plans.sizing import DEFAULT_BOUND, Bound, within
+from strata.session import cut_lineage
 
 _UNTIL = "__until"
 
@@ -166,6 +167,11 @@ def roll_forward(
     if first is None:
         return _finish(stored.filter(F.lit(False)), deleted, keep_tombstones)
     latest = _last_per_period(late, keys, order, deleted, unit, period, order_is_total)
+    late_keys = latest.select(*[quoted(key) for key in keys]).distinct()
+    few = within(late_keys, bound)
+    if few:
+        latest = cut_lineage(latest)
+        late_keys = latest.select(*[quoted(key) for key in keys]).distinct()
     arrivals = _spread(latest, keys, None, upto, unit, period, True)
     affected = stored.filter(F.col(period) >= F.lit(first))
     if upto > stored_upto:
@@ -180,8 +186,7 @@ def roll_forward(
         )
         affected = affected.unionByName(carried)
     touched, untouched = affected, None
-    late_keys = latest.select(*[quoted(key) for key in keys]).distinct()
-    if within(late_keys, bound):
+    if few:
         touched = _with_keys(affected, late_keys, keys, "left_semi")
         untouched = _with_keys(affected, late_keys, keys, "left_anti")
     rebuilt = retain_last(

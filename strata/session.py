@@ -19,6 +19,7 @@ def build_session(name: str = "strata", master: str | None = None, **conf: str)
         SparkSession.builder.appName(name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
