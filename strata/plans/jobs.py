@@ -35,7 +35,8 @@ def load_typed_table(
 ) -> DataFrame:
     """Raw files to a typed catalog table, fully replaced."""
     raw = conform(read_raw(spark, source, raw_schema, fmt), raw_schema)
-    return replace_table(standardize(raw, columns, dates), table, path)
+    with sized_for(raw):
+        return replace_table(standardize(raw, columns, dates), table, path)
 
 
 def build_product(

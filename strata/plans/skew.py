@@ -45,8 +45,13 @@ _SAFE_KEYS = (
 )
 
 
-def _key_hash(names: list[str]) -> Column:
-    return F.xxhash64(*[named(name) for name in names])
+def _key_hash(df: DataFrame, names: list[str]) -> Column:
+    """Hash of the key that is equal for equal keys, whatever integer type they have."""
+    cells = []
+    for name in names:
+        whole = isinstance(df.schema[name].dataType, IntegralType)
+        cells.append(named(name).cast("long") if whole else named(name))
+    return F.xxhash64(*cells)
 
 
 def hot_key_hashes(df: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> list[int]:
@@ -57,16 +62,18 @@ def hot_key_hashes(df: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> lis
     share, as its error is far below it. A wrong guess would only move rows to the
     other, equally exact way.
     """
-    cells = ", ".join(quoted(key) for key in keys)
-    found = df.agg(
-        F.expr(f"approx_top_k(xxhash64({cells}), {limit}, {_TRACKED})").alias("top"),
+    hashes = df.select(_key_hash(df, keys).alias("h"))
+    found = hashes.agg(
+        F.expr(f"approx_top_k(h, {limit}, {_TRACKED})").alias("top"),
         F.count(F.lit(1)).alias("total"),
     ).first()
     return [cell["item"] for cell in found["top"] or [] if cell["count"] * limit > found["total"]]
 
 
 def _hashes_alike(left: DataType, right: DataType) -> bool:
-    """Whether equal keys have equal hashes: false for 0.0 and -0.0, or for other types."""
+    """Whether equal keys have equal hashes: not so for 0.0 and -0.0, or for mixed types."""
+    if isinstance(left, IntegralType) and isinstance(right, IntegralType):
+        return True
     return left == right and isinstance(left, _SAFE_KEYS)
 
 
@@ -119,10 +126,10 @@ def lookup_join(
     hot = hot_key_hashes(left, left_keys) if hot is None else hot
     if not hot:
         return joined(left, right)
-    hot_right = right.filter(_key_hash(right_keys).isin(hot))
+    hot_right = right.filter(_key_hash(right, right_keys).isin(hot))
     if not within(hot_right, bound):
         return joined(left, right)
-    is_hot = _key_hash(left_keys).isin(hot)
+    is_hot = _key_hash(left, left_keys).isin(hot)
     return joined(left.filter(is_hot), F.broadcast(hot_right)).unionByName(
         joined(left.filter(~is_hot), right)
     )

@@ -12,7 +12,12 @@ from strata.operators.conform import Declared
 from strata.operators.merge import is_live, retain_last, with_flag
 from strata.plans.jobs import merge_partitions
 from strata.plans.sizing import sized_for
-from strata.sources.snapshots import latest_version, publish_snapshot, read_snapshot
+from strata.sources.snapshots import (
+    latest_version,
+    publish_snapshot,
+    purge_versions,
+    read_snapshot,
+)
 from strata.streaming.files import process_new_files
 
 
@@ -30,6 +35,7 @@ def current_state_incremental(
     fmt: str = "parquet",
     max_files: int | None = None,
     order_is_total: bool = False,
+    keep: int = 2,
     timeout: int = 3600,
 ) -> int | None:
     """Merge files that are new since the last call into the state; returns its version.
@@ -37,8 +43,11 @@ def current_state_incremental(
     ``transform`` turns a batch into versioned rows (for change events, pass
     :func:`strata.operators.merge.flatten_changes`). Each batch publishes the version with its own number, so a batch
     that is repeated after a failure has no further effect. Without new files nothing
-    happens. The state keeps its tombstones; :func:`read_state` hides them.
+    happens. The state keeps its tombstones; :func:`read_state` hides them. The newest
+    ``keep`` versions stay: a repeated batch starts from the one before its own.
     """
+    if keep < 2:
+        raise ValueError("keep at least two versions")
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         changes = with_flag(transform(batch) if transform else batch, deleted)
@@ -57,6 +66,7 @@ def current_state_incremental(
                 existing_unique=True,
             )
             publish_snapshot(merged, state_path, version=number)
+        purge_versions(session, state_path, keep)
 
     process_new_files(spark, source, schema, checkpoint, merge, fmt, max_files, timeout)
     return latest_version(spark, state_path)

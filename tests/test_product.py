@@ -139,6 +139,15 @@ def test_split_equals_plain_join(spark, rows, plan, how):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_split_across_integer_types(spark, plan):
+    left = skewed(spark).select("id", F.col("k").cast("int").alias("k"))
+    right = spark.range(3000).select(F.col("id").alias("rk"), F.lit("v").alias("v"))
+    out = lookup_join(left, right, {"k": "rk"}, split_hot=True)
+    assert plan(out).count("Join") == 2
+    plain = lookup_join(left, right, {"k": "rk"}, split_hot=False)
+    assert out.filter("v is null").count() == plain.filter("v is null").count()
+
+
 def test_no_split_where_hashes_could_differ(spark, rows):
     left = spark.sql("select * from values (0.0D, 1), (-0.0D, 2), (0.0D, 3) as t(k, i)")
     right = spark.sql("select 0.0D as k, 'zero' as v")
