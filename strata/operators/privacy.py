@@ -85,12 +85,17 @@ def pii_detokenize(
     masters: Mapping[str, bytes],
     split_hot: bool | None = None,
 ) -> DataFrame:
-    """Tokens turned back into values; a token that the vault lacks gives null."""
-    known = vault.filter(F.col("key_id") == key_id).select("token", F.col("value").alias("__value"))
+    """Tokens turned back into values; a token that the vault lacks gives null.
+
+    Values are decrypted once per token, before the lookup, so they pass through
+    shuffles in the clear: set ``spark.io.encryption.enabled`` where that matters.
+    """
+    known = vault.filter(F.col("key_id") == key_id).select("token", "value")
     known = known.dropDuplicates(["token"])  # two runs may have added a token at once
+    known = known.select("token", unseal(F.col("value"), masters).alias("__value"))
     columns = df.columns
     found = lookup_join(df, known, {column: "token"}, split_hot=split_hot)
-    found = found.withColumn(column, unseal(F.col("__value"), masters))
+    found = found.withColumn(column, F.col("__value"))
     return found.select(*[named(name) for name in columns])
 
 

@@ -2,15 +2,17 @@
 
 Overwriting a folder that the same job reads loses the data: Spark is lazy, and the
 old files are gone when the plan runs. Each publish therefore writes a new version
-and marks it when it is complete. Readers take the newest marked one. One job at a
-time may publish to a path.
+and marks it when it is complete; the mark holds the schema. Readers take the newest
+marked one. One job at a time may publish to a path.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from strata.operators.conform import Declared, resolve_schema
 from strata.sources.partitions import spread_by
@@ -57,7 +59,7 @@ def publish_snapshot(
         df = spread_by(df, *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(version_path(path, version))
-    storage.mark(folder, _MARK)
+    storage.write_text(df.schema.json(), folder, _MARK)
     return version
 
 
@@ -73,8 +75,12 @@ def read_snapshot(
         if schema is None:
             raise FileNotFoundError(f"nothing is published at {path}")
         return spark.createDataFrame([], resolve_schema(schema))
-    reader = spark.read if schema is None else spark.read.schema(resolve_schema(schema))
-    return reader.parquet(version_path(path, chosen))
+    if schema is None:
+        # As published: no file is opened to infer it, an empty snapshot has one too, and
+        # partition values keep their type.
+        text = Storage(spark, path).read_text(f"{_PREFIX}{chosen}", _MARK)
+        schema = StructType.fromJson(json.loads(text))
+    return spark.read.schema(resolve_schema(schema)).parquet(version_path(path, chosen))
 
 
 def purge_versions(spark: SparkSession, path: str, keep: int = 1) -> list[int]:

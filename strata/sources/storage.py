@@ -1,7 +1,7 @@
 """The few file operations that Spark's readers and writers do not offer.
 
 They use the Hadoop file system that Spark itself writes with, so they work on any
-storage Spark can reach. Only names are handled here, never data.
+storage Spark can reach. Names and schemas are handled here, never data.
 """
 
 from __future__ import annotations
@@ -31,9 +31,20 @@ class Storage:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(path)]
 
-    def mark(self, *parts: str) -> None:
-        """Create an empty file; object stores do this atomically."""
-        self._fs.create(self._path(*parts), True).close()
+    def write_text(self, text: str, *parts: str) -> None:
+        """Create a small file; on object stores it appears as a whole or not at all."""
+        stream = self._fs.create(self._path(*parts), True)
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+
+    def read_text(self, *parts: str) -> str:
+        stream = self._fs.open(self._path(*parts))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def remove(self, *parts: str) -> None:
         if not parts:

@@ -46,6 +46,16 @@ def test_publish_reads_its_own_target(spark, rows):
     assert rows(read_snapshot(spark, path, version=0)) == [(0,), (1,), (2,)]
 
 
+def test_schema_is_published_too(spark, rows):
+    path = working_folder(spark, "snap")
+    df = spark.createDataFrame([(1, "007")], "id int, code string")
+    publish_snapshot(df, path, partition_by=["code"])
+    assert rows(read_snapshot(spark, path), "code") == [("007",)]
+    publish_snapshot(df.limit(0), path, partition_by=["code"])
+    empty = read_snapshot(spark, path)
+    assert empty.isEmpty() and empty.dtypes == df.dtypes
+
+
 def test_unfinished_version_is_invisible_and_replaced(spark, rows):
     path = working_folder(spark, "snap")
     publish_snapshot(spark.range(1), path)
@@ -230,6 +240,19 @@ def test_files_chosen_by_time(spark, rows):
     assert rows(got) == [(2,)]
 
 
+def test_files_outside_the_range_are_not_opened(spark, rows):
+    path = working_folder(spark, "raw")
+    spark.range(1).coalesce(1).write.parquet(path)
+    broken = f"{local(path)}/part-broken.parquet"
+    with open(broken, "wb") as file:
+        file.write(b"this is no such file")
+    os.utime(broken, (1_700_000_000, 1_700_000_000))
+    since = dt.datetime.fromtimestamp(1_700_000_001, dt.UTC)
+    assert rows(read_raw(spark, path, "id bigint", "parquet", since=since)) == [(0,)]
+    with pytest.raises(Exception):
+        read_raw(spark, path, "id bigint", "parquet").collect()
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_replay_first_in_end_out(spark, rows, plan, kind):
     ledger = RunLedger(spark, working_folder(spark, "ledger"))

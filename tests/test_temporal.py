@@ -1,6 +1,8 @@
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as hs
 from pyspark.sql import functions as F
 
 from strata import (
@@ -178,6 +180,29 @@ def test_roll_forward_into_new_periods(spark):
     assert by_period(rolled, "gone") == brute_force(old + new, MONTHS[2:])
 
 
+VERSIONS = hs.lists(
+    hs.tuples(hs.integers(1, 3), hs.integers(0, 120), hs.booleans(), hs.booleans()),
+    min_size=1, max_size=12, unique_by=lambda r: (r[0], r[1]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(versions=VERSIONS)
+def test_any_late_rows(spark, versions):
+    start = day("2024-01-05")
+    rows = [
+        (key, (start + dt.timedelta(days=after)).isoformat(), f"v{after}", gone, late)
+        for key, after, gone, late in versions
+    ]
+    early = [row[:4] for row in rows if not row[4]]
+    late = [row[:4] for row in rows if row[4]]
+    stored = store(spark, early, "2024-05-01")
+    rolled = roll_forward(stored, changes(spark, *late), stored_upto=day("2024-05-01"), **HOW)
+    first = min((row[1][:7] for row in late), default="9999")
+    touched = [month for month in MONTHS if month[:7] >= first]
+    assert by_period(rolled, "gone") == brute_force(early + late, touched)
+
+
 def test_roll_forward_of_nothing(spark):
     stored = store(spark, HISTORY, "2024-05-01")
     assert roll_forward(stored, changes(spark), stored_upto=day("2024-05-01"), **HOW).isEmpty()
