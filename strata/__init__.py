@@ -45,9 +45,11 @@ from strata.operators.temporal import (
 from strata.plans.jobs import (
     apply_changes,
     build_product,
+    load_period,
     load_typed_table,
     merge_partitions,
     reprocess,
+    roll_snapshots,
 )
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
@@ -101,6 +103,7 @@ __all__ = [
     "grain_coverage",
     "hmac_sha256",
     "latest_version",
+    "load_period",
     "load_typed_table",
     "lookup_join",
     "merge_partitions",
@@ -136,6 +139,7 @@ __all__ = [
     "resolve_schema",
     "retain_last",
     "roll_forward",
+    "roll_snapshots",
     "route",
     "same_rows",
     "schema_from_columns",

@@ -96,8 +96,8 @@ def pit_snapshots(
 ) -> DataFrame:
     """Every period's snapshot from the full change history, in one pass.
 
-    The period of a row is that of ``order[0]``; ``upto`` is the last period to
-    build. Rows are first cut to one per key and period, on the map side too, so a
+    The period of a row is that of ``order[0]``; a row without a date belongs to none.
+    ``upto`` is the last period to build. Rows are first cut to one per key and period, on the map side too, so a
     key with a third of all changes reaches the second shuffle with at most one row
     per period.
     """
@@ -146,6 +146,7 @@ def roll_forward(
     order: Sequence[str],
     stored_upto: dt.date,
     upto: dt.date | None = None,
+    first: dt.date | None = None,
     deleted: str | None = None,
     unit: str = "month",
     period: str = "period",
@@ -161,9 +162,10 @@ def roll_forward(
     row of each key at that time, so each late row only has to compete with it in the
     periods that the late row reaches. Earlier partitions are not read. While the
     keys of ``late`` stay within ``bound``, stored rows of other keys do not shuffle.
+    ``first`` hands in the earliest period if it is known already.
     """
     upto = max(upto or stored_upto, stored_upto)
-    first = earliest_affected(late, order[0], unit)
+    first = first or earliest_affected(late, order[0], unit)
     if first is None:
         return _finish(stored.filter(F.lit(False)), deleted, keep_tombstones)
     latest = _last_per_period(late, keys, order, deleted, unit, period, order_is_total)

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
-from strata.functions.columns import quoted
+from strata.functions.columns import named, quoted
+from strata.functions.dates import period_of, periods_between, previous_period
 from strata.operators.conform import Declared, conform
 from strata.operators.merge import current_state, is_live, retain_last, with_flag
 from strata.operators.product import Enrichment, standardize, wide_product
+from strata.operators.temporal import (
+    pit_partition,
+    pit_snapshots,
+    roll_forward,
+)
 from strata.plans.sizing import sized_for
 from strata.sources.partitions import rebuild_partitions
 from strata.sources.raw import read_raw
@@ -148,3 +157,93 @@ def merge_partitions(
         )
         rebuild_partitions(merged, path, column, touched)
     return touched
+
+
+def load_period(
+    incoming: DataFrame,
+    path: str,
+    current: dt.date,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None = None,
+    unit: str = "month",
+    period: str = "period",
+) -> None:
+    """Rebuild the current period's partition of a snapshot table, by ingest time.
+
+    Reads two partitions, the previous and the current one, and writes one. The table
+    stores the delete flag; running the job again changes nothing.
+    """
+    spark = incoming.sparkSession
+    changes = with_flag(incoming, deleted)
+    here = F.lit(current).cast("date")
+    row = spark.range(1).select(period_of(here, unit), previous_period(period_of(here, unit), unit))
+    now, before = row.first()
+    schema = StructType(changes.schema.fields).add(period, DateType())
+
+    def stored(start: dt.date) -> DataFrame:
+        if not Storage(spark, path).exists(f"{period}={start}"):
+            return changes.limit(0)
+        return _of_partitions(spark.read.schema(schema).parquet(path), period, [start]).drop(period)
+
+    previous, present = stored(before), stored(now)
+    with sized_for(changes, previous, present):
+        rebuilt = pit_partition(
+            changes, previous, present, keys=keys, order=order, deleted=deleted, keep_tombstones=True
+        )
+        rebuilt = rebuilt.withColumn(period, F.lit(now).cast("date"))
+        rebuild_partitions(rebuilt, path, period, [now])
+
+
+def roll_snapshots(
+    late: DataFrame,
+    path: str,
+    upto: dt.date,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None = None,
+    unit: str = "month",
+    period: str = "period",
+    order_is_total: bool = False,
+) -> list[dt.date]:
+    """Merge ``late`` into a snapshot table and roll it forward to the period ``upto``.
+
+    Rebuilds the partitions from the earliest affected one on, and leaves older ones
+    alone. Without a table yet, all are built. The table stores the delete flag;
+    running the job again changes nothing. Returns the periods that were written.
+    """
+    spark = late.sparkSession
+    changes = with_flag(late, deleted)
+    dates = changes.select(period_of(named(order[0]), unit).alias("at"))
+    first, newest = dates.agg(F.min("at"), F.max("at")).first()
+    if first is None:
+        return []
+    prefix = f"{period}="
+    found = [n.removeprefix(prefix) for n in Storage(spark, path).names() if n.startswith(prefix)]
+    how = {
+        "keys": keys,
+        "order": order,
+        "deleted": deleted,
+        "unit": unit,
+        "period": period,
+        "keep_tombstones": True,
+        "order_is_total": order_is_total,
+    }
+    stored_upto = dt.date.fromisoformat(max(found)) if found else None
+    upto = max(upto, stored_upto or upto)
+    if newest > upto:
+        raise ValueError(f"rows of {newest} lie after the last period {upto}")
+    if stored_upto:
+        schema = StructType(changes.schema.fields).add(period, DateType())
+        stored = spark.read.schema(schema).parquet(path)
+        rolled = roll_forward(stored, changes, stored_upto=stored_upto, upto=upto, first=first, **how)
+    else:
+        rolled = pit_snapshots(changes, upto=upto, **how)
+    last = period_of(F.lit(upto).cast("date"), unit)
+    calendar = periods_between(F.lit(first).cast("date"), last, unit)
+    written = spark.range(1).select(calendar).first()[0]
+    with sized_for(changes, rolled):
+        rebuild_partitions(rolled, path, period, written)
+    return written

@@ -24,7 +24,14 @@ from strata import (
     wide_product,
     working_folder,
 )
-from strata.plans.sizing import Bound, sized_for, task_sizes, within
+from strata.plans.sizing import (
+    Bound,
+    planned_bytes,
+    scanned_bytes,
+    sized_for,
+    task_sizes,
+    within,
+)
 from strata.plans.skew import hot_key_hashes
 
 BOOK = "title string, publish_date string, author string"
@@ -184,6 +191,17 @@ def test_task_sizes(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+def test_scanned_bytes_of_a_join(spark):
+    path = working_folder(spark, "sizes")
+    spark.range(10_000).write.parquet(path)
+    one = spark.read.parquet(path)
+    joined = one.join(one.withColumnRenamed("id", "other"), F.col("id") == F.col("other"))
+    single = scanned_bytes(one)
+    assert 0 < scanned_bytes(joined) <= 2 * single
+    assert planned_bytes(joined) > 100 * single
+    assert scanned_bytes(one.filter("id > 3").checkpoint()) <= single
+
+
 # -- grain, arrays, rollups ------------------------------------------------------------
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,12 +9,14 @@ from pyspark.sql import functions as F
 from strata import (
     affected_partitions,
     earliest_affected,
+    load_period,
     pit_partition,
     pit_snapshots,
     publish_snapshot,
     read_snapshot,
     retain_last,
     roll_forward,
+    roll_snapshots,
     snapshot_at,
     working_folder,
 )
@@ -216,6 +219,32 @@ def test_snapshot_at_reads_one_partition(spark, rows, plan):
     assert set(march.columns) == {"id", "at", "value"}
 
 
+def test_snapshot_table_takes_late_rows(spark):
+    path = working_folder(spark, "table")
+    settings = {**HOW, "upto": day("2024-05-01")}
+    assert len(roll_snapshots(changes(spark, *HISTORY), path, **settings)) == 5
+    january = set(os.listdir(f"{path.removeprefix('file:')}/period=2024-01-01"))
+    for _ in range(2):
+        written = roll_snapshots(changes(spark, *LATE), path, **settings)
+        assert written == [day(month) for month in MONTHS[1:]]
+        table = spark.read.schema(CHANGE + ", period date").parquet(path)
+        assert by_period(table, "gone") == brute_force(HISTORY + LATE, MONTHS)
+    assert set(os.listdir(f"{path.removeprefix('file:')}/period=2024-01-01")) == january
+    assert roll_snapshots(changes(spark), path, **settings) == []
+    with pytest.raises(ValueError, match="2024-06-01"):
+        roll_snapshots(changes(spark, (1, "2024-06-09", "too late", False)), path, **settings)
+
+
+def test_periods_loaded_one_by_one(spark):
+    path = working_folder(spark, "table")
+    for month in MONTHS:
+        arrived = [row for row in HISTORY if row[1] and row[1][:7] == month[:7]]
+        for _ in range(2):
+            load_period(changes(spark, *arrived), path, day(month) + dt.timedelta(days=9), **HOW)
+    table = spark.read.schema(CHANGE + ", period date").parquet(path)
+    assert by_period(table, "gone") == EXPECTED
+
+
 def test_partition_rebuild_equals_history(spark):
     """Ingest-time rebuild, month after month, gives the one-pass snapshots."""
     history = [row for row in HISTORY if row[1]]

@@ -284,6 +284,19 @@ _PIT = f"""
 
 ORACLE["pit_snapshots"] = _PIT
 
+ORACLE["roll_snapshots"] = _PIT
+
+ORACLE["load_period"] = """
+with ranked as (
+    select y.period, o.*, row_number() over (
+        partition by y.period, o.o_custkey order by o.o_orderdate desc, o.o_orderkey desc) as rn
+    from (select unnest(generate_series(1995, 2001)) as period) y
+    join orders o on year(o.o_orderdate) between 1995 and y.period
+)
+select o_custkey, o_orderkey, o_orderdate, o_totalprice, period || '-01-01' as period
+from ranked where rn = 1 and o_orderstatus <> 'F'
+"""
+
 ORACLE["pit_partition"] = """
 with ranked as (
     select *, row_number() over (

@@ -607,6 +607,43 @@ def roll_forward(spark: SparkSession, folder: str) -> DataFrame:
     return rolled.select(*PIT_COLUMNS, F.col("period").cast("string"))
 
 
+@query
+def roll_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """A snapshot table loaded from on-time rows, then brought up to date with late ones."""
+    path = st.working_folder(spark, "rolled")
+    changes = _order_changes(spark, folder)
+    last = _last_month(changes)
+    late = _is_late()
+    settings = {**PIT, "deleted": "gone"}
+    for part in (changes.filter(~late), changes.filter(late)):
+        st.roll_snapshots(part.drop("o_orderpriority"), path, last, **settings)
+    return _live_snapshots(spark, path)
+
+
+def _live_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    columns = "o_custkey long, o_orderkey long, o_orderdate timestamp_ntz, o_totalprice double"
+    table = spark.read.schema(f"{columns}, gone boolean, period date").parquet(path)
+    return table.filter(is_live("gone")).select(*PIT_COLUMNS, F.col("period").cast("string"))
+
+
+@query
+def load_period(spark: SparkSession, folder: str) -> DataFrame:
+    """Years loaded one after the other, each from its own orders and the year before."""
+    path = st.working_folder(spark, "yearly")
+    changes = _order_changes(spark, folder).drop("o_orderpriority")
+    for year in range(1995, 2002):
+        st.load_period(
+            changes.filter(F.year("o_orderdate") == year),
+            path,
+            dt.date(year, 7, 1),
+            keys=PIT["keys"],
+            order=PIT["order"],
+            deleted="gone",
+            unit="year",
+        )
+    return _live_snapshots(spark, path)
+
+
 # -- publishing, rebuilding, reading what is new ---------------------------------------
 
 
