@@ -18,8 +18,13 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_query(spark, connection, name):
+def test_query(spark, connection, plan, name):
     df = queries()[name](spark, FOLDER)
+    text = plan(df)
+    for unwanted in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin"):
+        assert unwanted not in text
+    # Only totals over everything end in one task, which gets one row from each other task.
+    assert "SinglePartition" not in text or name == "conform_losses"
     columns, wanted = sql_rows(connection, oracle_sql()[name])
     assert sorted(df.columns) == columns
     assert spark_rows(df) == wanted
