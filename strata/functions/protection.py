@@ -25,15 +25,11 @@ PII_PATTERNS = {
     "SSN": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
 }
 
-# What any match of a pattern contains, as a cheaper pattern. Most texts
-# hold no cue and are spared the full one. A replacement never adds a cue.
-_CUES = {
-    "EMAIL": "@",
-    "SECRET": "token = ",
-    "CREDIT_CARD": "[0-9]{4}",
-    "IP_ADDRESS": r"[0-9]\.[0-9]",
-    "SSN": "[0-9]-[0-9]",
-}
+# What any match of a pattern contains. Most texts hold no cue and are
+# spared the full pattern. A replacement never adds a cue, so cues may be looked up in
+# the text as it was at first.
+_LITERAL_CUES = {"EMAIL": "@", "SECRET": "token = "}
+_DIGIT_CUES = {"CREDIT_CARD": "[0-9]{4}", "IP_ADDRESS": r"[0-9]\.[0-9]", "SSN": "[0-9]-[0-9]"}
 
 _HMAC_BLOCK = 64
 _MASTER_KEY_SIZES = (16, 24, 32)
@@ -95,16 +91,25 @@ def _kinds(kinds: Sequence[str] | None) -> list[str]:
     return chosen
 
 
-def _has_cue(column: Column, kind: str) -> Column:
-    cue = _CUES[kind]
-    return column.rlike(cue) if "[" in cue else F.contains(column, F.lit(cue))
+def has_digit(column: Column) -> Column:
+    return column.rlike("[0-9]")
+
+
+def _has_cue(column: Column, kind: str, digit: Column) -> Column:
+    if kind in _LITERAL_CUES:
+        return F.contains(column, F.lit(_LITERAL_CUES[kind]))
+    return digit & column.rlike(_DIGIT_CUES[kind])
 
 
-def redact_kind(column: Column, kind: str) -> Column:
-    """Every span of one kind replaced by the kind's name in square brackets."""
+def redact_kind(column: Column, kind: str, digit: Column | None = None) -> Column:
+    """Every span of one kind replaced by the kind's name in square brackets.
+
+    ``digit`` tells whether the text holds a digit, if that is known already.
+    """
     _kinds([kind])
+    digit = has_digit(column) if digit is None else digit
     replaced = F.regexp_replace(column, PII_PATTERNS[kind], f"[{kind}]")
-    return F.when(_has_cue(column, kind), replaced).otherwise(column)
+    return F.when(_has_cue(column, kind, digit), replaced).otherwise(column)
 
 
 def redact(column: Column, kinds: Sequence[str] | None = None) -> Column:
@@ -121,4 +126,4 @@ def count_kind(column: Column, kind: str) -> Column:
     """Number of spans of one kind in the whole text."""
     _kinds([kind])
     found = F.regexp_count(column, F.lit(PII_PATTERNS[kind])).cast("long")
-    return F.when(_has_cue(column, kind), found).otherwise(F.lit(0).cast("long"))
+    return F.when(_has_cue(column, kind, has_digit(column)), found).otherwise(F.lit(0).cast("long"))

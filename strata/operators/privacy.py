@@ -11,6 +11,7 @@ from strata.functions.columns import named
 from strata.functions.protection import (
     PII_PATTERNS,
     count_kind,
+    has_digit,
     hmac_sha256,
     redact_kind,
     seal,
@@ -103,9 +104,13 @@ def pii_redact(
     df: DataFrame, columns: Sequence[str], kinds: Sequence[str] | None = None
 ) -> DataFrame:
     """Replace sensitive spans inside whole texts by the name of their kind."""
+    flags = {name: f"__digit_{i}" for i, name in enumerate(columns)}
+    df = df.withColumns({flag: has_digit(named(name)) for name, flag in flags.items()})
     for kind in list(PII_PATTERNS) if kinds is None else kinds:
-        df = df.withColumns({name: redact_kind(named(name), kind) for name in columns})
-    return df
+        df = df.withColumns(
+            {name: redact_kind(named(name), kind, F.col(flag)) for name, flag in flags.items()}
+        )
+    return df.drop(*flags.values())
 
 
 def pii_scan(
