@@ -17,6 +17,8 @@ _SHUFFLE_TARGET = 256 * _MB
 _MOST_SHUFFLE_PARTITIONS = 50_000  # beyond, the number of shuffle blocks is the bottleneck
 _MOST_SCAN_TASKS = 100_000
 _LARGEST_SPLIT = 1024 * _MB
+_MOST_FILES = 200_000
+_LARGEST_FILE = 512 * _MB
 _CELL = 16  # bytes reckoned for a fixed-width value with its row overhead
 
 
@@ -75,30 +77,41 @@ def broadcasts_anyway(df: DataFrame) -> bool:
     return planned_bytes(df) <= conf.autoBroadcastJoinThreshold()
 
 
-def task_sizes(total: int, shuffle_partitions: int, split_bytes: int) -> tuple[int, int]:
-    """Shuffle partitions and scan split size for ``total`` bytes of input.
+def task_sizes(
+    total: int, shuffle_partitions: int, split_bytes: int, advisory_bytes: int
+) -> tuple[int, int, int]:
+    """Shuffle partitions, scan split size and AQE's partition size for ``total`` bytes of input.
 
     Never below the given settings: AQE joins shuffle partitions that turn out small,
-    but cannot add any.
+    but adds some only where a rebalance is asked for, and there by its own size, which
+    is also that of the written files.
     """
     wanted = min(-(-total // _SHUFFLE_TARGET), _MOST_SHUFFLE_PARTITIONS)
     split = min(-(-total // _MOST_SCAN_TASKS), _LARGEST_SPLIT)
-    return max(wanted, shuffle_partitions), max(split, split_bytes)
+    advisory = min(-(-total // _MOST_FILES), _LARGEST_FILE)
+    return max(wanted, shuffle_partitions), max(split, split_bytes), max(advisory, advisory_bytes)
 
 
 @contextmanager
 def sized_for(*frames: DataFrame) -> Iterator[None]:
     """Plan what runs inside the block with task sizes that suit the input of ``frames``."""
     spark = frames[0].sparkSession
-    shuffle, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
-    before = {name: spark.conf.get(name) for name in (shuffle, split)}
-    conf = spark._jsparkSession.sessionState().conf()
-    total = sum(scanned_bytes(frame) for frame in frames)
-    partitions, split_bytes = task_sizes(
-        total, conf.numShufflePartitions(), conf.filesMaxPartitionBytes()
+    names = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+    before = {name: spark.conf.get(name) for name in names}
+    sql = spark._jsparkSession.sessionState().conf()
+    units = spark._jvm.org.apache.spark.network.util.JavaUtils
+    given = (
+        int(before[names[0]]),
+        sql.filesMaxPartitionBytes(),
+        units.byteStringAsBytes(before[names[2]]),
     )
-    spark.conf.set(shuffle, str(partitions))
-    spark.conf.set(split, str(split_bytes))
+    total = sum(scanned_bytes(frame) for frame in frames)
+    for name, value in zip(names, task_sizes(total, *given), strict=True):
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:

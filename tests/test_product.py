@@ -180,15 +180,19 @@ def test_measured_bound(spark):
 
 def test_task_sizes(spark):
     mb, tb = 2**20, 2**40
-    assert task_sizes(10 * mb, 200, 128 * mb) == (200, 128 * mb)
-    assert task_sizes(tb, 200, 128 * mb) == (4096, 128 * mb)
-    partitions, split = task_sizes(100 * tb, 200, 128 * mb)
-    assert partitions == 50_000 and split == 1024 * mb
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    huge = spark.range(2**38)
-    with sized_for(huge):
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 8192
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    given = (200, 128 * mb, 64 * mb)
+    assert task_sizes(10 * mb, *given) == given
+    assert task_sizes(tb, *given) == (4096, 128 * mb, 64 * mb)
+    assert task_sizes(1000 * tb, *given) == (50_000, 1024 * mb, 512 * mb)
+    names = (
+        "spark.sql.shuffle.partitions",
+        "spark.sql.files.maxPartitionBytes",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+    before = [spark.conf.get(name) for name in names]
+    with sized_for(spark.range(2**38)):
+        assert int(spark.conf.get(names[0])) == 8192
+    assert [spark.conf.get(name) for name in names] == before
 
 
 def test_scanned_bytes_of_a_join(spark):
