@@ -53,7 +53,13 @@ from strata.plans.jobs import (
 )
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
-from strata.sources.ledger import RunLedger, read_unprocessed, replay_range, unprocessed
+from strata.sources.ledger import (
+    RunLedger,
+    read_unprocessed,
+    replay_files,
+    replay_range,
+    unprocessed,
+)
 from strata.sources.partitions import rebuild_partitions, rebuild_table_partitions
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
@@ -134,6 +140,7 @@ __all__ = [
     "rebuild_table_partitions",
     "redact",
     "replace_table",
+    "replay_files",
     "replay_range",
     "reprocess",
     "resolve_schema",

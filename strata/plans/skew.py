@@ -71,9 +71,11 @@ def hot_key_hashes(df: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> lis
 
 
 def _hashes_alike(left: DataType, right: DataType) -> bool:
-    """Whether equal keys have equal hashes: not so for 0.0 and -0.0, or for mixed types."""
+    """Whether equal keys have equal hashes: not so for 0.0 and -0.0, or 'a' and 'A' that collate."""
     if isinstance(left, IntegralType) and isinstance(right, IntegralType):
         return True
+    if isinstance(left, StringType) and left.collation != "UTF8_BINARY":
+        return False
     return left == right and isinstance(left, _SAFE_KEYS)
 
 
@@ -103,7 +105,7 @@ def lookup_join(
     right = right.select(
         *[named(name).alias(key) for name, key in zip(on.values(), right_keys, strict=True)],
         *([named(name).alias(name) for name in carried] if how == "left_outer" else []),
-    )
+    ).dropna(subset=right_keys)
 
     def joined(some: DataFrame, lookup: DataFrame) -> DataFrame:
         pairs = zip(left_keys, right_keys, strict=True)

@@ -150,3 +150,17 @@ def replay_range(df: DataFrame, ledger: RunLedger, job: str, first: str, end: st
         for moment in ledger.bounds(job, first, end)
     )
     return df.filter((named(at) >= start) & (named(at) < stop))
+
+
+def replay_files(
+    ledger: RunLedger,
+    job: str,
+    first: str,
+    end: str,
+    path: str,
+    schema: Declared | None = None,
+    fmt: str = "json",
+) -> DataFrame:
+    """The same for files, by the time each one was written; the others are not opened."""
+    start, stop = ledger.bounds(job, first, end)
+    return read_raw(ledger.spark, path, schema, fmt, since=start, until=stop)

@@ -163,6 +163,20 @@ def test_no_split_where_hashes_could_differ(spark, rows):
     ]
 
 
+def test_no_split_where_text_collates(spark):
+    left = spark.sql("select collate('A', 'UTF8_LCASE') as k from range(10)")
+    right = spark.sql("select collate('a', 'UTF8_LCASE') as k, 1 as v")
+    assert lookup_join(left, right, {"k": "k"}, split_hot=True).filter("v = 1").count() == 10
+
+
+def test_null_lookup_keys_do_not_prevent_the_split(spark, plan):
+    left = skewed(spark)
+    right = spark.range(500).selectExpr("if(id < 400, null, id) as rk", "id as v")
+    out = lookup_join(left, right, {"k": "rk"}, split_hot=True, bound=Bound(rows=100))
+    assert plan(out).count("Join") == 2
+    assert out.count() == left.count()
+
+
 def test_oversized_hot_side_is_not_broadcast(spark, rows):
     left = spark.range(100).selectExpr("id", "1L as k")
     right = spark.createDataFrame([(1, "x" * 100)], "rk bigint, v string")

@@ -347,6 +347,8 @@ ORACLE["replay_range"] = """
 select * from events where ts >= timestamp '2024-01-04 06:00:00' and ts < timestamp '2024-01-08 06:00:00'
 """
 
+ORACLE["replay_files"] = "select * from events where event_type in ('purchase', 'signup')"
+
 # -- sensitive values ------------------------------------------------------------------
 
 ORACLE["pii_remove"] = "select c_custkey, c_nationkey, c_mktsegment from customer"

@@ -748,6 +748,22 @@ def replay_range(spark: SparkSession, folder: str) -> DataFrame:
     return st.replay_range(table(spark, folder, "events"), ledger, "daily", "run-4", "run-8", "ts")
 
 
+@query
+def replay_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that landed between two runs, of three that landed in all."""
+    path = st.working_folder(spark, "replay")
+    events = table(spark, folder, "events")
+    ledger = st.RunLedger(spark, f"{path}/runs")
+    kinds = (["click", "view"], ["purchase", "signup"], ["error"])
+    for number, chosen in enumerate(kinds):
+        with ledger.run("ingest", run_id=f"run-{number}"):
+            part = events.filter(F.col("event_type").isin(chosen))
+            part.write.mode("append").parquet(f"{path}/files")
+    return st.replay_files(
+        ledger, "ingest", "run-1", "run-2", f"{path}/files", events.schema, "parquet"
+    )
+
+
 # -- sensitive values ------------------------------------------------------------------
 
 
