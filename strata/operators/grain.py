@@ -28,11 +28,12 @@ def grain_check(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFra
 
 
 def assert_grain(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a key occurs more than once. Runs a job over the key columns."""
-    repeated = grain_check(df, keys).limit(3).collect()
-    if repeated:
-        examples = [row.asDict() for row in repeated]
-        raise GrainError(f"more than one row per {list(keys)}, for example {examples}")
+    """Raise if a key occurs more than once. Runs one job over the key columns."""
+    example = F.first(F.struct(*[named(key) for key in keys]))
+    repeated = grain_check(df, keys, "__n").agg(F.count("__n").alias("n"), example.alias("key")).first()
+    if repeated["n"]:
+        key = repeated["key"].asDict()
+        raise GrainError(f"{repeated['n']} keys have more than one row, for example {key}")
 
 
 def grain_coverage(required: DataFrame, product: DataFrame, on: Mapping[str, str]) -> DataFrame:
