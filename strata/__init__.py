@@ -48,6 +48,7 @@ from strata.plans.jobs import (
     load_period,
     load_typed_table,
     merge_partitions,
+    merge_table_partitions,
     reprocess,
     roll_snapshots,
 )
@@ -60,7 +61,11 @@ from strata.sources.ledger import (
     replay_range,
     unprocessed,
 )
-from strata.sources.partitions import rebuild_partitions, rebuild_table_partitions
+from strata.sources.partitions import (
+    rebuild_partitions,
+    rebuild_table_partitions,
+    swap_table_partitions,
+)
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
     latest_version,
@@ -113,6 +118,7 @@ __all__ = [
     "load_typed_table",
     "lookup_join",
     "merge_partitions",
+    "merge_table_partitions",
     "multiset_diff",
     "nest_attribute",
     "parse_date",
@@ -154,6 +160,7 @@ __all__ = [
     "shared_folder",
     "snapshot_at",
     "standardize",
+    "swap_table_partitions",
     "table_schema",
     "unprocessed",
     "unseal",

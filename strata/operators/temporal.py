@@ -97,9 +97,9 @@ def pit_snapshots(
     """Every period's snapshot from the full change history, in one pass.
 
     The period of a row is that of ``order[0]``; a row without a date belongs to none.
-    ``upto`` is the last period to build. Rows are first cut to one per key and period, on the map side too, so a
-    key with a third of all changes reaches the second shuffle with at most one row
-    per period.
+    ``upto`` is the last period to build. Rows are first cut to one per key and period,
+    on the map side too, so a key with a third of all changes reaches the second shuffle
+    with at most one row per period.
     """
     latest = _last_per_period(changes, keys, order, deleted, unit, period, order_is_total)
     return _spread(latest, keys, deleted, upto, unit, period, keep_tombstones)
@@ -220,7 +220,11 @@ def _finish(df: DataFrame, deleted: str | None, keep_tombstones: bool) -> DataFr
 
 
 def snapshot_at(
-    stored: DataFrame, when: dt.date, *, deleted: str | None = None, unit: str = "month",
+    stored: DataFrame,
+    when: dt.date,
+    *,
+    deleted: str | None = None,
+    unit: str = "month",
     period: str = "period",
 ) -> DataFrame:
     """The data as it stood in the period of ``when``.

@@ -20,7 +20,7 @@ from strata.operators.temporal import (
     roll_forward,
 )
 from strata.plans.sizing import sized_for
-from strata.sources.partitions import rebuild_partitions
+from strata.sources.partitions import rebuild_partitions, swap_table_partitions
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
     latest_version,
@@ -133,12 +133,16 @@ def merge_partitions(
     key (a creation month, say, or a hash bucket), so that all versions of a row share
     a partition. Only the partitions that ``incoming`` touches are read and rewritten;
     their values, at most as many as there are folders, come to the driver. The table
-    stores the delete flag, so merging the same rows again changes nothing. Readers may
-    see some partitions before and some after the merge. Returns the touched values.
+    stores the delete flag, so merging the same rows again changes nothing. Returns the
+    touched values.
+
+    Readers may see some partitions before and some after the merge. If the driver dies
+    while Spark swaps the folders, rows of a partition may be left in the staging folder
+    below ``path``; :func:`merge_table_partitions` has no such moment.
     """
     spark = incoming.sparkSession
     changes = with_flag(incoming, deleted)
-    touched = [row[0] for row in changes.select(quoted(column)).distinct().collect()]
+    touched = _values(changes, column)
     if not touched:
         return []
     stored = None
@@ -159,6 +163,47 @@ def merge_partitions(
     return touched
 
 
+def _values(df: DataFrame, column: str) -> list:
+    return [row[0] for row in df.select(quoted(column)).distinct().collect()]
+
+
+def merge_table_partitions(
+    incoming: DataFrame,
+    table: str,
+    column: str,
+    folder: str,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None = None,
+    order_is_total: bool = False,
+) -> list:
+    """:func:`merge_partitions` for a catalog table, without overwriting anything.
+
+    The touched partitions are written to the new ``folder`` and switched over in the
+    catalog, see :func:`strata.sources.partitions.swap_table_partitions`.
+    """
+    spark = incoming.sparkSession
+    changes = with_flag(incoming, deleted)
+    touched = _values(changes, column)
+    if not touched:
+        return []
+    stored = _of_partitions(spark.table(table), column, touched)
+    with sized_for(changes, stored):
+        merged = retain_last(
+            changes,
+            stored,
+            keys=keys,
+            order=order,
+            deleted=deleted,
+            keep_tombstones=True,
+            order_is_total=order_is_total,
+            existing_unique=True,
+        )
+        swap_table_partitions(merged, table, column, touched, folder)
+    return touched
+
+
 def load_period(
     incoming: DataFrame,
     path: str,

@@ -112,7 +112,47 @@ def rebuild_table_partitions(df: DataFrame, table: str, column: str, affected: I
         spark.conf.set(name, previous)
     emptied = _remove_emptied(storage, column, affected, before)
     for value in emptied:
-        text = "null" if value is None else f"'{_value_text(value)}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({quoted(column)} = {text})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_partition_spec(column, value)}")
+    spark.catalog.refreshTable(table)
+    return emptied
+
+
+def _partition_spec(column: str, value: object) -> str:
+    text = "null" if value is None else "'" + _value_text(value).replace("'", "\\'") + "'"
+    return f"PARTITION ({quoted(column)} = {text})"
+
+
+def swap_table_partitions(
+    df: DataFrame, table: str, column: str, affected: Iterable, folder: str
+) -> list:
+    """Replace partitions of a catalog table by pointing the catalog at new folders.
+
+    The rows are written to ``folder``, which must be a new one, and each partition is
+    switched to its new place when all are complete. Nothing is overwritten: a job that
+    dies at any point leaves every partition with its old rows or its new ones, and
+    running it again with another folder completes it. Old folders stay until they are
+    removed by whoever knows that no reader uses them. Returns the emptied partitions.
+    """
+    affected = _ordered(affected)
+    if not affected:
+        return []
+    spark = df.sparkSession
+    storage = Storage(spark, folder)
+    if storage.names():
+        raise FileExistsError(f"{folder} is not empty")
+    columns = [quoted(name) for name in spark.table(table).columns]
+    rebuilt = spread_by(_rebuilt_only(df.select(*columns), column, affected), column)
+    rebuilt.write.partitionBy(column).parquet(folder)
+    written = _files(storage, column, affected)
+    emptied = []
+    for value in affected:
+        spec = _partition_spec(column, value)
+        if _value_text(value) in written:
+            place = f"{folder.rstrip('/')}/{written[_value_text(value)][0]}"
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{place}'")
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{place}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+            emptied.append(value)
     spark.catalog.refreshTable(table)
     return emptied

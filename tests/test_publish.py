@@ -13,6 +13,7 @@ from strata import (
     flatten_changes,
     latest_version,
     merge_partitions,
+    merge_table_partitions,
     process_new_files,
     publish_snapshot,
     purge_versions,
@@ -23,6 +24,7 @@ from strata import (
     rebuild_partitions,
     rebuild_table_partitions,
     replay_range,
+    swap_table_partitions,
     unprocessed,
     working_folder,
 )
@@ -177,6 +179,42 @@ def test_rebuild_catalog_table(spark, rows):
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
 
 
+def test_swap_partitions_in_the_catalog(spark, rows):
+    path = working_folder(spark, "parts")
+    name = "years_" + path[-12:]
+    spark.sql(f"create table {name} (id int, y int) using parquet partitioned by (y) location '{path}/t'")
+    years(spark).write.insertInto(name)
+    old = sorted(os.listdir(f"{local(path)}/t/y=1997"))
+    new = rebuilt(spark.table(name)).unionByName(spark.createDataFrame([(9, 2001)], "id int, y int"))
+    assert swap_table_partitions(new, name, "y", [1997, 1998, 2001], f"{path}/run1") == [1998]
+    expected = [(4, 1999), (9, 2001), (10, 1997), (20, 1997)]
+    assert rows(spark.table(name)) == expected
+    assert sorted(os.listdir(f"{local(path)}/t/y=1997")) == old
+    with pytest.raises(FileExistsError):
+        swap_table_partitions(new, name, "y", [1997], f"{path}/run1")
+    swap_table_partitions(spark.table(name), name, "y", [1997, 2001], f"{path}/run2")
+    assert rows(spark.table(name)) == expected
+    assert rows(spark.table(name).filter("y = 2001")) == [(9, 2001)]
+
+
+def test_merge_into_catalog_partitions(spark, rows):
+    path = working_folder(spark, "parts")
+    name = "state_" + path[-12:]
+    columns = "id int, v int, gone boolean, p string"
+    spark.sql(f"create table {name} ({columns}) using parquet partitioned by (p) location '{path}/t'")
+
+    def merge(run, *new):
+        return merge_table_partitions(
+            spark.createDataFrame(new, columns), name, "p", f"{path}/{run}",
+            keys=["id"], order=["v"], deleted="gone",
+        )
+
+    merge("r1", (1, 1, False, "a"), (2, 1, False, "it's"), (3, 1, False, None))
+    assert set(merge("r2", (1, 2, True, "a"), (3, 2, False, None))) == {"a", None}
+    merge("r3", (1, 1, False, "a"))
+    assert rows(spark.table(name).filter("not gone"), "id", "v", "p") == [(2, 1, "it's"), (3, 2, None)]
+
+
 # -- run records -----------------------------------------------------------------------
 
 

@@ -114,6 +114,8 @@ select o_orderkey, case when again then o_totalprice * 2 else o_totalprice end a
 from orders_now where not (again and o_orderstatus = 'F')
 """
 
+ORACLE["merge_table_partitions"] = ORACLE["merge_partitions"]
+
 # -- schemas ---------------------------------------------------------------------------
 
 ORACLE["conform_flat"] = """

@@ -203,18 +203,17 @@ def current_state_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return st.read_state(spark, f"{work}/state", "deleted")
 
 
-@query
-def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Urgent orders arrive again with new prices; the years they touch are rebuilt."""
-    path = st.working_folder(spark, "merged")
-    orders = table(spark, folder, "orders").withColumns(
-        {
-            "o_year": F.year("o_orderdate"),
-            "version": F.lit(1),
-            "gone": F.lit(False),
-        }
+def _priced_again(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Orders by year; and the urgent ones of the last years, with new prices or cancelled."""
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey",
+        "o_orderstatus",
+        "o_orderpriority",
+        "o_totalprice",
+        F.lit(1).alias("version"),
+        F.lit(False).alias("gone"),
+        F.year("o_orderdate").alias("o_year"),
     )
-    orders.hint("rebalance", "o_year").write.partitionBy("o_year").parquet(path)
     again = orders.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_year") >= 1999))
     changes = again.withColumns(
         {
@@ -223,10 +222,36 @@ def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
             "gone": F.col("o_orderstatus") == "F",
         }
     )
-    st.merge_partitions(
-        changes, path, "o_year", keys=["o_orderkey"], order=["version"], deleted="gone"
+    return orders, changes
+
+
+VERSIONED = {"keys": ["o_orderkey"], "order": ["version"], "deleted": "gone"}
+
+
+@query
+def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Changed orders merged into the years they touch."""
+    path = st.working_folder(spark, "merged")
+    orders, changes = _priced_again(spark, folder)
+    orders.hint("rebalance", "o_year").write.partitionBy("o_year").parquet(path)
+    st.merge_partitions(changes, path, "o_year", **VERSIONED)
+    merged = spark.read.schema(orders.schema).parquet(path).filter(is_live("gone"))
+    return merged.select("o_orderkey", "o_totalprice", "version", "o_year")
+
+
+@query
+def merge_table_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in a catalog table, whose partitions are switched to new folders."""
+    path = st.working_folder(spark, "switched")
+    name = "orders_" + path[-12:]
+    orders, changes = _priced_again(spark, folder)
+    columns = ", ".join(f"{column} {kind}" for column, kind in orders.dtypes)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (o_year) LOCATION '{path}/first'"
     )
-    merged = spark.read.parquet(path).filter(is_live("gone"))
+    orders.hint("rebalance", "o_year").write.insertInto(name)
+    st.merge_table_partitions(changes, name, "o_year", f"{path}/second", **VERSIONED)
+    merged = spark.table(name).filter(is_live("gone"))
     return merged.select("o_orderkey", "o_totalprice", "version", "o_year")
 
 
