@@ -21,17 +21,17 @@ from strata import (
 
 DECLARED = [
     ("title", "string", T.StringType()),
-    ("author_age", "tinyint", T.ByteType()),
-    ("puddles", "smallint", T.ShortType()),
-    ("kangaroos", "int", T.IntegerType()),
-    ("trees", "bigint", T.LongType()),
-    ("publish_date", "date", T.DateType()),
-    ("author_time", "timestamp", T.TimestampType()),
-    ("royalties", "decimal(38,2)", T.DecimalType(38, 2)),
-    ("pet", "struct<name:string,age:int>", T.StructType().add("name", "string").add("age", "integer")),
-    ("stats", "array<int>", T.ArrayType(T.IntegerType())),
+    ("level", "tinyint", T.ByteType()),
+    ("rooms", "smallint", T.ShortType()),
+    ("visits", "int", T.IntegerType()),
+    ("steps", "bigint", T.LongType()),
+    ("opened", "date", T.DateType()),
+    ("seen_at", "timestamp", T.TimestampType()),
+    ("fees", "decimal(38,2)", T.DecimalType(38, 2)),
+    ("owner", "struct<name:string,age:int>", T.StructType().add("name", "string").add("age", "integer")),
+    ("scores", "array<int>", T.ArrayType(T.IntegerType())),
     (
-        "metadata",
+        "labels",
         "array<struct<key:string,value:string>>",
         T.ArrayType(T.StructType().add("key", "string").add("value", "string")),
     ),

@@ -36,8 +36,8 @@ from strata.plans.skew import hot_key_hashes
 
 BOOK = "title string, publish_date string, author string"
 AUTHOR = "name string, id bigint, birth_date string"
-TOLKIEN = ("The Hobbit", "1937-09-21", "J. R. R. Tolkien")
-ORWELL = ("1984", "1949-06-08", "George Orwell")
+MOMO = ("Momo", "1973-01-01", "Michael Ende")
+EMIL = ("Emil und die Detektive", "1929-10-15", "Erich Kästner")
 
 
 def books(spark, *rows):
@@ -50,13 +50,13 @@ def authors(spark, *rows):
 
 def test_standardize(spark, rows):
     out = standardize(
-        books(spark, TOLKIEN, ("Untitled", "soon", None)),
+        books(spark, MOMO, ("Untitled", "soon", None)),
         {"title": "title", "publish_date": "publish_date", "author_name": "author"},
         {"publish_date": "yyyy-MM-dd"},
     )
     assert out.dtypes == [("title", "string"), ("publish_date", "date"), ("author_name", "string")]
     assert rows(out) == [
-        ("The Hobbit", dt.date(1937, 9, 21), "J. R. R. Tolkien"),
+        ("Momo", dt.date(1973, 1, 1), "Michael Ende"),
         ("Untitled", None, None),
     ]
 
@@ -68,7 +68,7 @@ def test_strict_dates_raise(spark):
 
 def product(spark, known, **more):
     raw = wide_product(
-        books(spark, TOLKIEN, ORWELL),
+        books(spark, MOMO, EMIL),
         [
             Enrichment(
                 known, {"author": "name"}, {"author_birth_date": parse_date(F.col("birth_date")), "author_id": "id"},
@@ -81,16 +81,16 @@ def product(spark, known, **more):
 
 @pytest.mark.parametrize("split_hot", [False, True])
 def test_matched_and_unmatched(spark, rows, split_hot):
-    got = rows(product(spark, authors(spark, ("J. R. R. Tolkien", 7, "1892-01-03")), split_hot=split_hot))
+    got = rows(product(spark, authors(spark, ("Michael Ende", 7, "1929-11-12")), split_hot=split_hot))
     assert got == [
-        ("1984", "George Orwell", None, None),
-        ("The Hobbit", "J. R. R. Tolkien", dt.date(1892, 1, 3), 7),
+        ("Emil und die Detektive", "Erich Kästner", None, None),
+        ("Momo", "Michael Ende", dt.date(1929, 11, 12), 7),
     ]
 
 
 def test_repeated_lookup_key(spark):
-    twice = authors(spark, ("George Orwell", 1, None), ("George Orwell", 2, None))
-    with pytest.raises(GrainError, match="George Orwell"):
+    twice = authors(spark, ("Erich Kästner", 1, None), ("Erich Kästner", 2, None))
+    with pytest.raises(GrainError, match="Erich Kästner"):
         product(spark, twice)
     assert product(spark, twice, unique=False).count() == 3
 
@@ -271,7 +271,7 @@ def test_silver(spark, rows):
 def test_raw_files_to_typed_table(spark, rows):
     path = working_folder(spark, "job")
     name = "books_" + path[-12:]
-    books(spark, TOLKIEN, ORWELL).write.json(f"{path}/landing")
+    books(spark, MOMO, EMIL).write.json(f"{path}/landing")
     spark.sql(
         f"create table {name} (title string, publish_date date, author_name string)"
         f" using parquet location '{path}/table/v=0'"
@@ -283,8 +283,8 @@ def test_raw_files_to_typed_table(spark, rows):
             {"publish_date": "yyyy-MM-dd"}, name, f"{path}/table",
         )
     assert rows(spark.table(name)) == [
-        ("1984", dt.date(1949, 6, 8), "George Orwell"),
-        ("The Hobbit", dt.date(1937, 9, 21), "J. R. R. Tolkien"),
+        ("Emil und die Detektive", dt.date(1929, 10, 15), "Erich Kästner"),
+        ("Momo", dt.date(1973, 1, 1), "Michael Ende"),
     ]
 
 
@@ -292,6 +292,6 @@ def test_product_job(spark):
     path = working_folder(spark, "job")
     for _ in range(4):
         build_product(
-            books(spark, TOLKIEN), [Enrichment(authors(spark), {"author": "name"}, {"author_id": "id"})], path
+            books(spark, MOMO), [Enrichment(authors(spark), {"author": "name"}, {"author_id": "id"})], path
         )
     assert read_snapshot(spark, path).count() == 1
