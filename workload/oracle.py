@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.functions.protection import PII_PATTERNS
+from strata.functions.protection import NO_WORD_AFTER, NO_WORD_BEFORE, PII_PATTERNS
 from workload.spark_queries import HMAC_KEY
 
 ORACLE: dict[str, str] = {}
@@ -381,8 +381,15 @@ select distinct {_hmac("strftime(o_orderdate, '%Y-%m')")} as token, '2024' as ke
 ORACLE["pii_detokenize"] = "select event_id, event_type from events"
 
 
+# RE2 has no look-around; its \b knows ASCII word characters only, which is the same here.
+_PATTERNS = {
+    kind: pattern.replace(NO_WORD_BEFORE, r"\b").replace(NO_WORD_AFTER, r"\b")
+    for kind, pattern in PII_PATTERNS.items()
+}
+
+
 def _redacted(expression: str) -> str:
-    for kind, pattern in PII_PATTERNS.items():
+    for kind, pattern in _PATTERNS.items():
         expression = f"regexp_replace({expression}, '{pattern}', '[{kind}]', 'g')"
     return expression
 
@@ -394,7 +401,7 @@ ORACLE["pii_scan"] = " union all ".join(
 select lang, '{kind}' as kind, sum(hits)::bigint as hits, count(*) filter (hits > 0) as rows_hit
 from (select lang, len(regexp_extract_all(text, '{pattern}')) as hits from documents) group by lang
 """
-    for kind, pattern in PII_PATTERNS.items()
+    for kind, pattern in _PATTERNS.items()
 )
 
 # -- comparing versions ----------------------------------------------------------------
