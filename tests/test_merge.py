@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as hs
 from pyspark.sql import functions as F
 
-from strata import current_state, flatten_changes, retain_last
+from strata import current_state, flatten_changes, retain_last, same_rows
 from strata.plans.sizing import Bound
 
 RECORD = "id int, value string, _as_of timestamp, _deleted boolean"
@@ -176,6 +176,29 @@ def test_properties(spark, rows, versions, seed):
     assert rows(both) == rows(state)
 
 
+SMALL = hs.one_of(hs.none(), hs.integers(0, 2))
+ROWS = hs.lists(
+    hs.tuples(hs.one_of(hs.none(), hs.integers(1, 4)), SMALL, SMALL, hs.sampled_from([None, True, False])),
+    max_size=10,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(new=ROWS, old=ROWS)
+def test_broadcast_and_shuffle_agree(spark, rows, new, old):
+    """With nulls and ties in keys, order and flags, whichever way the merge takes."""
+    schema = "id int, a int, b int, gone boolean, side string"
+    how = {"keys": ["id"], "order": ["a", "b"], "deleted": "gone"}
+    unique = list({row[0]: row for row in old}.values())
+    incoming = spark.createDataFrame([(*row, "new") for row in new], schema)
+    existing = spark.createDataFrame([(*row, "old") for row in unique], schema)
+    for keep in (True, False):
+        shuffled = retain_last(incoming, existing, keep_tombstones=keep, **how)
+        put_in = retain_last(incoming, existing, keep_tombstones=keep, existing_unique=True, **how)
+        assert put_in.columns == shuffled.columns
+        assert same_rows(put_in, shuffled)
+
+
 # -- change events ---------------------------------------------------------------------
 
 PERSON = "id int, first_name string, last_name string, email string"
