@@ -102,6 +102,9 @@ def lookup_join(
     left_keys = list(on)
     right_keys = [f"__on_{i}" for i in range(len(on))]
     carried = [name for name in right.columns if name not in on.values()]
+    clash = {name.lower() for name in left.columns} & {name.lower() for name in carried}
+    if how == "left_outer" and clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
     right = right.select(
         *[named(name).alias(key) for name, key in zip(on.values(), right_keys, strict=True)],
         *([named(name).alias(name) for name in carried] if how == "left_outer" else []),

@@ -177,6 +177,13 @@ def test_null_lookup_keys_do_not_prevent_the_split(spark, plan):
     assert out.count() == left.count()
 
 
+def test_lookup_must_not_repeat_a_column(spark):
+    left = spark.range(1).selectExpr("id", "1 as v")
+    with pytest.raises(ValueError, match="v"):
+        lookup_join(left, spark.range(1).selectExpr("id as k", "2 as V"), {"id": "k"})
+    assert lookup_join(left, left, {"id": "id"}, "left_semi").columns == ["id", "v"]
+
+
 def test_oversized_hot_side_is_not_broadcast(spark, rows):
     left = spark.range(100).selectExpr("id", "1L as k")
     right = spark.createDataFrame([(1, "x" * 100)], "rk bigint, v string")
