@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from strata.functions.columns import quoted
-from strata.sources.partitions import spread_by
+from strata.sources.snapshots import publish_snapshot
 
 
 def bronze_to_silver(
@@ -22,9 +22,10 @@ def bronze_to_silver(
     return clean
 
 
-def route(silver: DataFrame, by: str, path: str) -> None:
-    """Write all conceptual tables in one pass, one folder per value of ``by``.
+def route(silver: DataFrame, by: str, path: str) -> int:
+    """Publish all conceptual tables in one pass, one folder per value of ``by``.
 
-    The rows of a large table are spread over several tasks and files.
+    The rows of a large table are spread over several tasks and files. Returns the
+    published version; a filter on ``by`` reads one table of it.
     """
-    spread_by(silver, by).write.mode("overwrite").partitionBy(by).parquet(path)
+    return publish_snapshot(silver, path, partition_by=[by])

@@ -265,14 +265,17 @@ def test_rollup(spark, rows):
 # -- layers and jobs -------------------------------------------------------------------
 
 
-def test_silver(spark, rows):
+def test_silver(spark, rows, plan):
     raw = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, "b", 7)], "id int, kind string, v int")
     assert rows(bronze_to_silver(raw, ["v"], "a", "kind")) == [(1, "a", 5)]
     with pytest.raises(ValueError):
         bronze_to_silver(raw, ["v"], "a")
     path = working_folder(spark, "silver")
-    route(bronze_to_silver(raw, ["v"]), "kind", path)
-    assert rows(spark.read.parquet(f"{path}/kind=b"), "id", "v") == [(3, 7)]
+    assert route(bronze_to_silver(raw, ["v"]), "kind", path) == 0
+    assert route(read_snapshot(spark, path).filter("id < 9"), "kind", path) == 1
+    only_b = read_snapshot(spark, path).filter("kind = 'b'")
+    assert rows(only_b, "id", "v") == [(3, 7)]
+    assert "PartitionFilters: [isnotnull(kind" in plan(only_b)
 
 
 def test_raw_files_to_typed_table(spark, rows):
