@@ -9,6 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.conform import Declared, conform, table_schema
+from strata.sources.partitions import spread_by
 from strata.sources.snapshots import publish_snapshot, purge_versions, version_path
 
 
@@ -29,12 +30,15 @@ def write_conformed(
 ) -> DataFrame:
     """Write ``df`` to a catalog table, conformed to ``schema`` or to the table's own.
 
-    Returns the conformed frame. It appends, or replaces the table's rows. A table
-    that ``df`` itself reads cannot be replaced this way; see :func:`replace_table`.
+    Returns the conformed frame. It appends, or replaces the table's rows. Rows of a
+    partitioned table are gathered by partition first. A table that ``df`` itself reads
+    cannot be replaced this way; see :func:`replace_table`.
     """
     spark = df.sparkSession
     fitted = conform(df, table_schema(spark, table) if schema is None else schema, mode)
-    fitted.write.insertInto(table, overwrite=overwrite)
+    parts = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+    gathered = spread_by(fitted, *parts) if parts else fitted
+    gathered.write.insertInto(table, overwrite=overwrite)
     return fitted
 
 

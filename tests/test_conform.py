@@ -164,6 +164,16 @@ def test_write_and_read_conformed(spark, rows):
     assert spark.table(name).count() == 1
 
 
+def test_partitioned_table_gets_few_files(spark, rows):
+    name, path = _table(spark, "a bigint, p int", by="partitioned by (p)")
+    many = spark.range(0, 100, 1, 10).selectExpr("id as a", "id % 2 as p")
+    write_conformed(many, name)
+    assert spark.table(name).count() == 100
+    assert len(spark.table(name).inputFiles()) == 2
+    with pytest.raises(ValueError, match="partitioned"):
+        replace_table(many, name, path)
+
+
 def test_replace_table_that_is_read(spark, rows):
     name, path = _table(spark, "x bigint")
     replace_table(spark.range(3).toDF("x"), name, path)
