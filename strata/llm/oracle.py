@@ -1,3 +1,21 @@
 """DuckDB SQL of those queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_top_k": """
+        with whole as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and list_count(embedding) = len(embedding)
+              and not list_bool_or(list_transform(embedding, lambda x: coalesce(not isfinite(x), true)))
+        ), scored as (
+            select q.vec_id as query_id, e.vec_id, list_inner_product(q.v, e.v)::bigint as score
+            from whole q join whole e on q.vec_id <> e.vec_id
+            where q.vec_id % 100 = 0
+        )
+        select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank,
+               vec_id, score
+        from scored
+        qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+    """,
+}

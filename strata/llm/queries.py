@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from strata.llm.ann import nearest_neighbours
 from strata.llm.licenses import scan_licenses
 from strata.llm.mixing import mix_report
+from strata.llm.shipping import ship
+from strata.llm.topk import exact_top_k
 
 
 def _table(spark, folder: str, name: str):
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_nearest(spark, folder):
+    return nearest_neighbours(_table(spark, folder, "embeddings"))
+
+
 def op7_mixture(spark, folder):
     return mix_report(_table(spark, folder, "documents"))
 
@@ -18,7 +26,13 @@ def op8_licenses(spark, folder):
     return scan_licenses(_table(spark, folder, "documents"))
 
 
+def op9_top_k(spark, folder):
+    return exact_top_k(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
+    "op3_nearest": op3_nearest,
     "op7_mixture": op7_mixture,
     "op8_licenses": op8_licenses,
+    "op9_top_k": op9_top_k,
 }
