@@ -2,22 +2,37 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from strata.llm.ann import nearest_neighbours
+from strata.llm.bpe import round_trips
 from strata.llm.licenses import scan_licenses
 from strata.llm.mixing import mix_report
 from strata.llm.shipping import ship
+from strata.llm.token_counts import token_counts
 from strata.llm.topk import exact_top_k
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _table(spark, folder: str, name: str):
     ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_bpe(spark, folder):
+    return round_trips(_table(spark, folder, "documents"), BYTE_BPE)
+
+
 def op3_nearest(spark, folder):
     return nearest_neighbours(_table(spark, folder, "embeddings"))
 
 
+def op5_token_counts(spark, folder):
+    return token_counts(_table(spark, folder, "documents"), BYTE_BPE)
+
+
 def op7_mixture(spark, folder):
     return mix_report(_table(spark, folder, "documents"))
 
@@ -31,7 +46,9 @@ def op9_top_k(spark, folder):
 
 
 QUERIES = {
+    "op2_bpe": op2_bpe,
     "op3_nearest": op3_nearest,
+    "op5_token_counts": op5_token_counts,
     "op7_mixture": op7_mixture,
     "op8_licenses": op8_licenses,
     "op9_top_k": op9_top_k,
