@@ -6,11 +6,14 @@ import public_tokenizers
 
 from strata.llm.ann import nearest_neighbours
 from strata.llm.bpe import round_trips
+from strata.llm.langid import fit_language_model, held_out, predict_languages
 from strata.llm.licenses import scan_licenses
 from strata.llm.mixing import mix_report
 from strata.llm.shipping import ship
 from strata.llm.token_counts import token_counts
+from strata.llm.token_store import stored_documents, write_tokens
 from strata.llm.topk import exact_top_k
+from strata.session import working_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,10 +32,23 @@ def op3_nearest(spark, folder):
     return nearest_neighbours(_table(spark, folder, "embeddings"))
 
 
+def op4_language(spark, folder):
+    docs = _table(spark, folder, "documents")
+    out = held_out(docs["doc_id"])
+    predicted = predict_languages(docs, fit_language_model(docs.where(~out)))
+    return predicted.select("doc_id", held_out(predicted["doc_id"]).alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_counts(spark, folder):
     return token_counts(_table(spark, folder, "documents"), BYTE_BPE)
 
 
+def op6_token_files(spark, folder):
+    target = working_folder(spark, "tokens")
+    write_tokens(_table(spark, folder, "documents"), WORD_BPE, target)
+    return stored_documents(spark, target)
+
+
 def op7_mixture(spark, folder):
     return mix_report(_table(spark, folder, "documents"))
 
@@ -48,7 +64,9 @@ def op9_top_k(spark, folder):
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_nearest": op3_nearest,
+    "op4_language": op4_language,
     "op5_token_counts": op5_token_counts,
+    "op6_token_files": op6_token_files,
     "op7_mixture": op7_mixture,
     "op8_licenses": op8_licenses,
     "op9_top_k": op9_top_k,
