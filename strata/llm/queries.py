@@ -6,8 +6,10 @@ import public_tokenizers
 
 from strata.llm.ann import nearest_neighbours
 from strata.llm.bpe import round_trips
+from strata.llm.dedup import near_duplicates
 from strata.llm.langid import fit_language_model, held_out, predict_languages
 from strata.llm.licenses import scan_licenses
+from strata.llm.lm import score_texts
 from strata.llm.mixing import mix_report
 from strata.llm.shipping import ship
 from strata.llm.token_counts import token_counts
@@ -24,6 +26,10 @@ def _table(spark, folder: str, name: str):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lm_scores(spark, folder):
+    return score_texts(_table(spark, folder, "documents"))
+
+
 def op2_bpe(spark, folder):
     return round_trips(_table(spark, folder, "documents"), BYTE_BPE)
 
@@ -61,7 +67,12 @@ def op9_top_k(spark, folder):
     return exact_top_k(_table(spark, folder, "embeddings"))
 
 
+def op10_near_duplicates(spark, folder):
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_bpe": op2_bpe,
     "op3_nearest": op3_nearest,
     "op4_language": op4_language,
@@ -70,4 +81,5 @@ QUERIES = {
     "op7_mixture": op7_mixture,
     "op8_licenses": op8_licenses,
     "op9_top_k": op9_top_k,
+    "op10_near_duplicates": op10_near_duplicates,
 }
