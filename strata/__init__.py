@@ -62,12 +62,14 @@ from strata.sources.ledger import (
     unprocessed,
 )
 from strata.sources.partitions import (
+    purge_swapped,
     rebuild_partitions,
     rebuild_table_partitions,
     swap_table_partitions,
 )
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
+    labelled_version,
     latest_version,
     publish_snapshot,
     purge_versions,
@@ -113,6 +115,7 @@ __all__ = [
     "grain_check",
     "grain_coverage",
     "hmac_sha256",
+    "labelled_version",
     "latest_version",
     "load_period",
     "load_typed_table",
@@ -135,6 +138,7 @@ __all__ = [
     "process_new_files",
     "product_rollup",
     "publish_snapshot",
+    "purge_swapped",
     "purge_versions",
     "read_conformed",
     "read_raw",

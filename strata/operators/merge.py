@@ -12,12 +12,14 @@ from pyspark.sql.types import DataType, MapType, StructType, VariantType
 
 from strata.functions.columns import named, quoted
 from strata.functions.dates import from_epoch_millis
-from strata.plans.sizing import DEFAULT_BOUND, Bound, within
+from strata.plans.sizing import DEFAULT_BOUND, Bound, scanned_bytes, within
 from strata.session import cut_lineage
 
 _ARRIVAL = "__arrival"
 _RANK = "__rank"
 _HIT = "__hit"
+_KNOWN = "__known"
+_HOPELESS = 64
 
 
 def _sortable(dtype: DataType) -> bool:
@@ -69,7 +71,7 @@ def newest_first(
     return ranking
 
 
-def _rank_one(
+def newest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -85,36 +87,60 @@ def _rank_one(
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def _patch(
-    existing: DataFrame, newest: DataFrame, keys: Sequence[str], order: Sequence[str]
-) -> DataFrame:
-    """``existing`` (one row per key) with the bounded rows of ``newest`` put in.
+def _same_keys(one: DataFrame, other: DataFrame, keys: Sequence[str], new: dict[str, str]) -> Column:
+    return reduce(and_, [one[quoted(key)].eqNullSafe(other[new[key]]) for key in keys])
+
+
+def _stays(order: Sequence[str], new: dict[str, str]) -> Column:
+    """Structs compare field by field with nulls lowest, as the ranking does; equal ones go to the newcomer."""
+    return F.struct(*[named(name) for name in order]) > F.struct(*[new[name] for name in order])
 
-    The large side is read once as a whole and once for its keys alone, and is neither
-    shuffled nor sorted.
+
+def merge_into_unique(
+    newest: DataFrame,
+    existing: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    bound: Bound = DEFAULT_BOUND,
+) -> tuple[DataFrame | None, DataFrame]:
+    """``newest`` (one row per key) put into ``existing``, each of whose rows is replaced or stays.
+
+    Returns the rows that stand where the stored ones stood, and the others. While ``newest``
+    stays within ``bound`` it is kept in the checkpoint folder and broadcast: ``existing`` is
+    read once as a whole and once for its keys alone, and neither shuffled nor sorted. Beyond
+    that one full outer join gives the same rows, all of them as "others". A key that
+    ``existing`` repeats stays repeated in both ways.
     """
     new = {name: f"__new_{i}" for i, name in enumerate(newest.columns)}
-    small = newest.select(*[named(name).alias(alias) for name, alias in new.items()])
 
-    def same_keys(one: DataFrame, other: DataFrame) -> Column:
-        return reduce(and_, [one[quoted(key)].eqNullSafe(other[new[key]]) for key in keys])
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.select(*[named(name).alias(alias) for name, alias in new.items()])
+
+    # A scan this much larger than the bound hardly shrinks to it; then nothing is measured.
+    if scanned_bytes(newest) <= _HOPELESS * bound.bytes:
+        newest = cut_lineage(newest)
+        if within(newest, bound):
+            return _patch(existing, renamed(newest), keys, order, new)
+    arriving = renamed(newest).withColumn(_HIT, F.lit(True))
+    known = existing.withColumn(_KNOWN, F.lit(True))
+    joined = known.join(arriving, _same_keys(known, arriving, keys, new), "full_outer")
+    takes = F.col(_KNOWN).isNull() | (F.col(_HIT).isNotNull() & ~_stays(order, new))
+    cells = [F.when(takes, F.col(new[n])).otherwise(named(n)).alias(n) for n in newest.columns]
+    return None, joined.select(*cells)
+
 
+def _patch(
+    existing: DataFrame, small: DataFrame, keys: Sequence[str], order: Sequence[str], new: dict[str, str]
+) -> tuple[DataFrame, DataFrame]:
     hits = F.broadcast(small.withColumn(_HIT, F.lit(True)))
-    joined = existing.join(hits, same_keys(existing, hits), "left_outer")
-    # Structs compare field by field with nulls lowest, as the ranking does; equal ones
-    # go to the newcomer.
-    stays = F.struct(*[named(name) for name in order]) > F.struct(*[new[name] for name in order])
-    replaced = F.col(_HIT).isNotNull() & ~stays
-    patched = joined.select(
-        *[F.when(replaced, F.col(new[n])).otherwise(named(n)).alias(n) for n in newest.columns]
-    )
+    joined = existing.join(hits, _same_keys(existing, hits, keys, new), "left_outer")
+    replaced = F.col(_HIT).isNotNull() & ~_stays(order, new)
+    patched = joined.select(*[F.when(replaced, F.col(alias)).otherwise(named(n)).alias(n) for n, alias in new.items()])
     small_keys = F.broadcast(small.select(*[new[key] for key in keys]))
     known = existing.select(*[quoted(key) for key in keys])
-    known = known.join(small_keys, same_keys(known, small_keys), "left_semi")
-    added = small.join(known, same_keys(known, small), "left_anti")
-    return patched.unionByName(
-        added.select(*[F.col(alias).alias(name) for name, alias in new.items()])
-    )
+    known = known.join(small_keys, _same_keys(known, small_keys, keys, new), "left_semi").distinct()
+    added = small.join(known, _same_keys(known, small, keys, new), "left_anti")
+    return patched, added.select(*[F.col(alias).alias(name) for name, alias in new.items()])
 
 
 def retain_last(
@@ -143,9 +169,8 @@ def retain_last(
     cannot revive a deleted key.
 
     ``existing_unique`` states that ``existing`` is a stored table with one row per key.
-    Then, if the newest incoming rows are measured to stay within ``bound``, they are
-    broadcast into ``existing``, which is neither shuffled nor sorted. This runs jobs:
-    one to measure those rows, and one to keep them in the checkpoint folder.
+    Then the newest incoming rows are put into it, see :func:`merge_into_unique`. This runs
+    jobs: one to keep those rows in the checkpoint folder, and one to measure them there.
     """
     if not keys or not order:
         raise ValueError("retain_last needs at least one key and one order column")
@@ -154,14 +179,14 @@ def retain_last(
     if existing is not None:
         existing = with_flag(existing, deleted)
         if existing_unique and _types(existing) == _types(incoming):
-            newest = _rank_one(incoming, keys, order, deleted, order_is_total)
-            if within(newest, bound):
-                merged = _patch(existing, cut_lineage(newest), keys, order)
+            newest = newest_per_key(incoming, keys, order, deleted, order_is_total)
+            placed, others = merge_into_unique(newest, existing, keys, order, bound)
+            merged = others if placed is None else placed.unionByName(others)
         if merged is None:
             incoming = incoming.withColumn(_ARRIVAL, F.lit(1))
             incoming = incoming.unionByName(existing.withColumn(_ARRIVAL, F.lit(0)))
     if merged is None:
-        merged = _rank_one(incoming, keys, order, deleted, order_is_total).drop(_ARRIVAL)
+        merged = newest_per_key(incoming, keys, order, deleted, order_is_total).drop(_ARRIVAL)
     if deleted is not None and not keep_tombstones:
         merged = merged.filter(is_live(deleted)).drop(deleted)
     return merged

@@ -9,17 +9,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import named, quoted
 from strata.functions.dates import next_period, period_of, periods_between, previous_period
-from strata.operators.merge import is_live, retain_last, with_flag
-from strata.plans.sizing import DEFAULT_BOUND, Bound, within
-from strata.session import cut_lineage
+from strata.operators.merge import is_live, merge_into_unique, retain_last, with_flag
+from strata.plans.sizing import DEFAULT_BOUND, Bound
 
 _UNTIL = "__until"
 
@@ -46,10 +43,15 @@ def _last_per_period(
     unit: str,
     period: str,
     order_is_total: bool,
+    upto: dt.date,
 ) -> DataFrame:
     moment = named(order[0])
+    # A row in no period, or in one that is not built, must not get lost in silence.
+    lost = F.raise_error(F.concat(F.lit(f"{order[0]} is null or after {upto}: "), F.coalesce(moment.cast("string"), F.lit("null"))))
+    inside = moment.cast("date") < next_period(period_of(F.lit(upto).cast("date"), unit), unit)
+    at = F.when(moment.isNotNull() & inside, period_of(moment, unit)).otherwise(lost.cast("date"))
     return retain_last(
-        changes.filter(moment.isNotNull()).withColumn(period, period_of(moment, unit)),
+        changes.withColumn(period, at),
         keys=[*keys, period],
         order=order,
         deleted=deleted,
@@ -96,12 +98,12 @@ def pit_snapshots(
 ) -> DataFrame:
     """Every period's snapshot from the full change history, in one pass.
 
-    The period of a row is that of ``order[0]``; a row without a date belongs to none.
-    ``upto`` is the last period to build. Rows are first cut to one per key and period,
+    The period of a row is that of ``order[0]``; a row without a date, or after the period
+    ``upto``, the last one to build, fails the job. Rows are first cut to one per key and period,
     on the map side too, so a key with a third of all changes reaches the second shuffle
     with at most one row per period.
     """
-    latest = _last_per_period(changes, keys, order, deleted, unit, period, order_is_total)
+    latest = _last_per_period(changes, keys, order, deleted, unit, period, order_is_total, upto)
     return _spread(latest, keys, deleted, upto, unit, period, keep_tombstones)
 
 
@@ -154,63 +156,73 @@ def roll_forward(
     order_is_total: bool = False,
     bound: Bound = DEFAULT_BOUND,
 ) -> DataFrame:
-    """The rebuilt snapshots of all periods from the earliest one that ``late`` touches.
-
-    ``stored`` are the snapshots so far, tombstones included, up to ``stored_upto``;
-    periods after that are filled from the last one. All periods are rebuilt in one
-    pass instead of one after the other: a stored snapshot already holds the newest
-    row of each key at that time, so each late row only has to compete with it in the
-    periods that the late row reaches. Earlier partitions are not read. While the
-    keys of ``late`` stay within ``bound``, stored rows of other keys do not shuffle.
-    ``first`` hands in the earliest period if it is known already.
+    """The rebuilt snapshots of all periods from the earliest one that must change.
+
+    ``stored`` are the snapshots so far, tombstones included, up to ``stored_upto``; every
+    period after that, up to ``upto``, is filled from the last one, whether it has late rows
+    or not. All periods are rebuilt in one pass instead of one after the other: a stored
+    snapshot already holds the newest row of each key at that time, so each late row only
+    has to compete with it in the periods that the late row reaches. Earlier partitions are
+    not read. While the late rows, in all periods they reach, stay within ``bound``, stored
+    rows are not shuffled. ``first`` hands in the earliest period of ``late`` if it is known
+    already. A late row without a date, or after ``upto``, fails the job.
     """
-    upto = max(upto or stored_upto, stored_upto)
-    first = first or earliest_affected(late, order[0], unit)
-    if first is None:
-        return _finish(stored.filter(F.lit(False)), deleted, keep_tombstones)
-    latest = _last_per_period(late, keys, order, deleted, unit, period, order_is_total)
-    late_keys = latest.select(*[quoted(key) for key in keys]).distinct()
-    few = within(late_keys, bound)
-    if few:
-        latest = cut_lineage(latest)
-        late_keys = latest.select(*[quoted(key) for key in keys]).distinct()
-    arrivals = _spread(latest, keys, None, upto, unit, period, True)
-    affected = stored.filter(F.col(period) >= F.lit(first))
-    if upto > stored_upto:
-        missing = periods_between(
-            next_period(F.lit(stored_upto), unit), F.lit(upto).cast("date"), unit
-        )
-        others = [named(name) for name in stored.columns if name != period]
-        carried = (
-            stored.filter(F.col(period) == F.lit(stored_upto))
-            .select(*others, F.explode(missing).alias(period))
-            .filter(F.col(period) >= F.lit(first))
-        )
-        affected = affected.unionByName(carried)
-    touched, untouched = affected, None
-    if few:
-        touched = _with_keys(affected, late_keys, keys, "left_semi")
-        untouched = _with_keys(affected, late_keys, keys, "left_anti")
-    rebuilt = retain_last(
-        arrivals,
-        touched,
-        keys=[*keys, period],
+    placed, others = roll_forward_parts(
+        stored,
+        late,
+        keys=keys,
         order=order,
+        stored_upto=stored_upto,
+        upto=upto,
+        first=first,
         deleted=deleted,
-        keep_tombstones=True,
+        unit=unit,
+        period=period,
         order_is_total=order_is_total,
+        bound=bound,
     )
-    if untouched is not None:
-        rebuilt = rebuilt.unionByName(untouched)
+    rebuilt = others if placed is None else placed.unionByName(others)
     return _finish(rebuilt, deleted, keep_tombstones)
 
 
-def _with_keys(df: DataFrame, chosen: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Null-safe semi or anti join of ``df`` with a bounded set of keys."""
-    alias = {key: f"__key_{i}" for i, key in enumerate(keys)}
-    small = F.broadcast(chosen.select(*[named(key).alias(alias[key]) for key in keys]))
-    same = reduce(and_, [df[quoted(key)].eqNullSafe(small[alias[key]]) for key in keys])
-    return df.join(small, same, how)
+def roll_forward_parts(
+    stored: DataFrame,
+    late: DataFrame,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    stored_upto: dt.date,
+    upto: dt.date | None = None,
+    first: dt.date | None = None,
+    deleted: str | None = None,
+    unit: str = "month",
+    period: str = "period",
+    order_is_total: bool = False,
+    bound: Bound = DEFAULT_BOUND,
+) -> tuple[DataFrame | None, DataFrame]:
+    """:func:`roll_forward`, with the rows that stand where stored ones stood apart from the others."""
+    upto = max(upto or stored_upto, stored_upto)
+    first = first or earliest_affected(late, order[0], unit)
+    following = _after(stored, stored_upto, unit)
+    if first is None or first > following:
+        first = following
+    latest = _last_per_period(late, keys, order, deleted, unit, period, order_is_total, upto)
+    arrivals = _spread(latest, keys, None, upto, unit, period, True)
+    others = [named(name) for name in stored.columns if name != period]
+    # Each stored period stands for itself, and the last one for all periods after it too.
+    missing = periods_between(F.lit(following).cast("date"), F.lit(upto).cast("date"), unit)
+    here = F.array(F.col(period))
+    last = F.col(period) == F.lit(stored_upto).cast("date")
+    carried = F.when(last, F.concat(here, missing)).otherwise(here)
+    wanted = stored.filter(F.col(period) >= F.least(F.lit(first), F.lit(stored_upto)).cast("date"))
+    affected = wanted.select(*others, F.explode(carried).alias(period)).filter(F.col(period) >= F.lit(first))
+    return merge_into_unique(arrivals, affected.select(*[named(n) for n in arrivals.columns]), [*keys, period], order, bound)
+
+
+def _after(df: DataFrame, day: dt.date, unit: str) -> dt.date:
+    """The period after the one of ``day``."""
+    start = period_of(F.lit(day).cast("date"), unit)
+    return df.sparkSession.range(1).select(next_period(start, unit)).first()[0]
 
 
 def _finish(df: DataFrame, deleted: str | None, keep_tombstones: bool) -> DataFrame:

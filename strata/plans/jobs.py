@@ -4,23 +4,34 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import StructType
 
 from strata.functions.columns import named, quoted
-from strata.functions.dates import period_of, periods_between, previous_period
+from strata.functions.dates import next_period, period_of, periods_between
 from strata.operators.conform import Declared, conform
-from strata.operators.merge import current_state, is_live, retain_last, with_flag
+from strata.operators.merge import current_state, is_live, merge_into_unique, newest_per_key, with_flag
 from strata.operators.product import Enrichment, standardize, wide_product
 from strata.operators.temporal import (
     pit_partition,
     pit_snapshots,
-    roll_forward,
+    roll_forward_parts,
+)
+from strata.plans.sizing import sized_for, within
+from strata.sources.partitions import (
+    Columns,
+    among,
+    column_list,
+    of_partitions,
+    partition_folders,
+    rebuild_partitions,
+    swap_table_partitions,
+    value_tuple,
 )
-from strata.plans.sizing import sized_for
-from strata.sources.partitions import rebuild_partitions, swap_table_partitions
 from strata.sources.raw import read_raw
 from strata.sources.snapshots import (
     latest_version,
@@ -92,19 +103,11 @@ def apply_changes(
     return read_snapshot(spark, state_path, version).filter(is_live(deleted)).drop(deleted)
 
 
-def _of_partitions(df: DataFrame, column: str, values: Iterable) -> DataFrame:
-    """Rows of some partitions; the filter is on literals, so other folders are not read."""
-    values = list(values)
-    cell = df[quoted(column)]
-    chosen = cell.isin([value for value in values if value is not None])
-    return df.filter((chosen | cell.isNull()) if None in values else chosen)
-
-
 def reprocess(
     source: DataFrame,
     build: Callable[[DataFrame], DataFrame],
     path: str,
-    column: str,
+    column: Columns,
     affected: Iterable,
 ) -> list:
     """Rebuild the ``affected`` partitions of a table from the same partitions of ``source``.
@@ -112,29 +115,92 @@ def reprocess(
     Running it again changes nothing. Returns the partitions that became empty.
     """
     affected = list(affected)
-    chosen = _of_partitions(source, column, affected)
+    chosen = of_partitions(source, column, affected)
     with sized_for(chosen):
         return rebuild_partitions(build(chosen), path, column, affected)
 
 
+def _stored_partitions(
+    spark: SparkSession, path: str, column: Columns, folders: Iterable[str], rows: DataFrame, evolve: bool
+) -> tuple[DataFrame, DataFrame | None]:
+    """``rows`` and the rows of some partition folders, in the same columns.
+
+    The stored ones are read in their own schema. Where that and the one of ``rows`` differ,
+    nothing is dropped or made up: it is an error, unless ``evolve`` asks for columns that
+    one side lacks to be null there.
+    """
+    folders = [f"{path.rstrip('/')}/{folder}" for folder in folders]
+    if not folders:
+        return rows, None
+    parts = column_list(column)
+    # All footers of the partitions to be read are looked at: older files may have fewer columns.
+    inferred = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*folders).schema
+    own = StructType([field for field in inferred.fields if field.name not in parts])
+    given = {field.name: field for field in rows.schema.fields}
+    for field in own.fields:
+        if field.name in given and given[field.name].dataType != field.dataType:
+            raise ValueError(f"column {field.name!r} is stored as {field.dataType.simpleString()}")
+    lacking = [field for field in own.fields if field.name not in given]
+    added = [field for name, field in given.items() if name not in own.names and name not in parts]
+    if (lacking or added) and not evolve:
+        raise ValueError(
+            f"columns differ from the stored ones: missing {[f.name for f in lacking]}, new {[f.name for f in added]}"
+        )
+    schema = StructType([*own.fields, *added, *[given[name] for name in parts]])
+    stored = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    rows = rows.withColumns({field.name: F.lit(None).cast(field.dataType) for field in lacking})
+    return rows, stored.select(*[named(name) for name in rows.columns])
+
+
+def _assert_not_moved(changes: DataFrame, table: DataFrame, column: Columns, keys: Sequence[str], touched: list) -> None:
+    """No key of ``changes`` may stand in two partitions, of its own rows or of the table."""
+    parts = column_list(column)
+    names = [named(key) for key in keys]
+    at = changes.select(*names, F.struct(*[named(part) for part in parts]).alias("__at")).distinct()
+    if not at.groupBy(*keys).count().filter("count > 1").isEmpty():
+        raise ValueError(f"a key of {list(keys)} stands in several partitions of {parts}")
+    elsewhere = table.filter(~F.coalesce(_touches(table, parts, touched), F.lit(False))).select(*names)
+    if not _found_elsewhere(elsewhere, at.select(*names), keys).isEmpty():
+        raise ValueError(f"a key of {list(keys)} is stored in another partition of {parts}")
+
+
+def _touches(table: DataFrame, parts: list[str], touched: list) -> Column:
+    return among([table[quoted(part)] for part in parts], [value_tuple(value) for value in touched])
+
+
+def _found_elsewhere(stored: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored keys that are among some others; these are broadcast if they are few."""
+    alias = {key: f"__key_{i}" for i, key in enumerate(keys)}
+    small = keys_of.select(*[named(key).alias(alias[key]) for key in keys])
+    if within(small):
+        small = F.broadcast(small)
+    same = reduce(and_, [stored[quoted(key)].eqNullSafe(small[alias[key]]) for key in keys])
+    return stored.join(small, same, "left_semi")
+
+
 def merge_partitions(
     incoming: DataFrame,
     path: str,
-    column: str,
+    column: Columns,
     *,
     keys: Sequence[str],
     order: Sequence[str],
     deleted: str | None = None,
     order_is_total: bool = False,
+    evolve: bool = False,
+    follows_key: bool = False,
 ) -> list:
     """Merge ``incoming`` into a table partitioned by ``column``, touching few partitions.
 
     For tables too large to be rewritten on each run. ``column`` must follow from the
     key (a creation month, say, or a hash bucket), so that all versions of a row share
-    a partition. Only the partitions that ``incoming`` touches are read and rewritten;
-    their values, at most as many as there are folders, come to the driver. The table
-    stores the delete flag, so merging the same rows again changes nothing. Returns the
-    touched values.
+    a partition; a key that is found in another one fails the job. That check reads the key
+    columns of the table; ``follows_key`` says that it is not needed, as for hash buckets.
+    Only the partitions that ``incoming`` touches are read as a whole and rewritten; their
+    values, at most as many as there are folders, come to the driver. The table stores the
+    delete flag, so merging the same rows again changes nothing. Columns that differ from
+    the stored ones fail the job, or become null where they lack with ``evolve``. Returns
+    the touched values.
 
     Readers may see some partitions before and some after the merge. If the driver dies
     while Spark swaps the folders, rows of a partition may be left in the staging folder
@@ -145,62 +211,70 @@ def merge_partitions(
     touched = _values(changes, column)
     if not touched:
         return []
-    stored = None
-    if Storage(spark, path).names():
-        stored = _of_partitions(spark.read.schema(changes.schema).parquet(path), column, touched)
+    storage, parts = Storage(spark, path), column_list(column)
+    folders = partition_folders(storage, parts, touched)
+    if not follows_key and storage.names():
+        # The key columns alone; a table without any folder yet has none to compare with.
+        every = spark.read.schema(StructType([changes.schema[name] for name in (*keys, *parts)])).parquet(path)
+        _assert_not_moved(changes, every, column, keys, touched)
+    changes, stored = _stored_partitions(spark, path, column, folders.values(), changes, evolve)
     with sized_for(changes, *([] if stored is None else [stored])):
-        merged = retain_last(
-            changes,
-            stored,
-            keys=keys,
-            order=order,
-            deleted=deleted,
-            keep_tombstones=True,
-            order_is_total=order_is_total,
-            existing_unique=True,
-        )
-        rebuild_partitions(merged, path, column, touched)
+        placed, others = _merged(changes, stored, keys, order, deleted, order_is_total)
+        rebuild_partitions(others, path, column, touched, in_place=placed)
     return touched
 
 
-def _values(df: DataFrame, column: str) -> list:
-    return [row[0] for row in df.select(quoted(column)).distinct().collect()]
+def _merged(
+    changes: DataFrame,
+    stored: DataFrame | None,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None,
+    order_is_total: bool,
+) -> tuple[DataFrame | None, DataFrame]:
+    newest = newest_per_key(changes, keys, order, deleted, order_is_total)
+    return (None, newest) if stored is None else merge_into_unique(newest, stored, keys, order)
+
+
+def _values(df: DataFrame, column: Columns) -> list:
+    """Distinct partition values, as tuples where there are several columns."""
+    parts = column_list(column)
+    found = [tuple(row) for row in df.select(*[quoted(part) for part in parts]).distinct().collect()]
+    return found if len(parts) > 1 else [value for (value,) in found]
 
 
 def merge_table_partitions(
     incoming: DataFrame,
     table: str,
-    column: str,
+    column: Columns,
     folder: str,
     *,
     keys: Sequence[str],
     order: Sequence[str],
     deleted: str | None = None,
     order_is_total: bool = False,
+    follows_key: bool = False,
 ) -> list:
     """:func:`merge_partitions` for a catalog table, without overwriting anything.
 
     The touched partitions are written to the new ``folder`` and switched over in the
-    catalog, see :func:`strata.sources.partitions.swap_table_partitions`.
+    catalog, see :func:`strata.sources.partitions.swap_table_partitions`. The columns must
+    be those of the table.
     """
     spark = incoming.sparkSession
     changes = with_flag(incoming, deleted)
+    every = spark.table(table)
+    if set(every.columns) != set(changes.columns):
+        raise ValueError(f"columns differ: {sorted(set(every.columns) ^ set(changes.columns))}")
     touched = _values(changes, column)
     if not touched:
         return []
-    stored = _of_partitions(spark.table(table), column, touched)
+    if not follows_key:
+        _assert_not_moved(changes, every, column, keys, touched)
+    stored = of_partitions(every, column, touched).select(*[named(name) for name in changes.columns])
     with sized_for(changes, stored):
-        merged = retain_last(
-            changes,
-            stored,
-            keys=keys,
-            order=order,
-            deleted=deleted,
-            keep_tombstones=True,
-            order_is_total=order_is_total,
-            existing_unique=True,
-        )
-        swap_table_partitions(merged, table, column, touched, folder)
+        placed, others = _merged(changes, stored, keys, order, deleted, order_is_total)
+        swap_table_partitions(others, table, column, touched, folder, in_place=placed)
     return touched
 
 
@@ -214,25 +288,31 @@ def load_period(
     deleted: str | None = None,
     unit: str = "month",
     period: str = "period",
+    evolve: bool = False,
 ) -> None:
     """Rebuild the current period's partition of a snapshot table, by ingest time.
 
-    Reads two partitions, the previous and the current one, and writes one. The table
-    stores the delete flag; running the job again changes nothing.
+    Reads two partitions, the current one and the newest one before it, however long ago
+    that was, and writes one. The table stores the delete flag; running the job again
+    changes nothing. Columns that differ from the stored ones fail the job, or become null
+    where they lack with ``evolve``.
     """
     spark = incoming.sparkSession
     changes = with_flag(incoming, deleted)
-    here = F.lit(current).cast("date")
-    row = spark.range(1).select(period_of(here, unit), previous_period(period_of(here, unit), unit))
-    now, before = row.first()
-    schema = StructType(changes.schema.fields).add(period, DateType())
-
-    def stored(start: dt.date) -> DataFrame:
-        if not Storage(spark, path).exists(f"{period}={start}"):
+    now = spark.range(1).select(period_of(F.lit(current).cast("date"), unit)).first()[0]
+    folders = _periods(spark, path, period)
+    earlier = max((start for start in folders if start < now), default=None)
+    chosen = [folders[start] for start in (earlier, now) if start in folders]
+    dated = changes.withColumn(period, F.lit(now).cast("date"))
+    dated, stored = _stored_partitions(spark, path, period, chosen, dated, evolve)
+    changes = dated.drop(period)
+
+    def of(start: dt.date | None) -> DataFrame:
+        if stored is None or start not in folders:
             return changes.limit(0)
-        return _of_partitions(spark.read.schema(schema).parquet(path), period, [start]).drop(period)
+        return of_partitions(stored, period, [start]).drop(period)
 
-    previous, present = stored(before), stored(now)
+    previous, present = of(earlier), of(now)
     with sized_for(changes, previous, present):
         rebuilt = pit_partition(
             changes, previous, present, keys=keys, order=order, deleted=deleted, keep_tombstones=True
@@ -241,6 +321,12 @@ def load_period(
         rebuild_partitions(rebuilt, path, period, [now])
 
 
+def _periods(spark: SparkSession, path: str, period: str) -> dict[dt.date, str]:
+    """Folder of each stored period."""
+    found = partition_folders(Storage(spark, path), [period])
+    return {dt.date.fromisoformat(text): folder for (text,), folder in found.items()}
+
+
 def roll_snapshots(
     late: DataFrame,
     path: str,
@@ -252,43 +338,49 @@ def roll_snapshots(
     unit: str = "month",
     period: str = "period",
     order_is_total: bool = False,
+    evolve: bool = False,
 ) -> list[dt.date]:
     """Merge ``late`` into a snapshot table and roll it forward to the period ``upto``.
 
     Rebuilds the partitions from the earliest affected one on, and leaves older ones
-    alone. Without a table yet, all are built. The table stores the delete flag;
-    running the job again changes nothing. Returns the periods that were written.
+    alone. Every period up to ``upto`` gets its snapshot, also one without changes and also
+    if there are no late rows at all. Without a table yet, all are built. The table stores
+    the delete flag; running the job again changes nothing. Columns that differ from the
+    stored ones fail the job, or become null where they lack with ``evolve``. Returns the
+    periods that were written.
     """
     spark = late.sparkSession
     changes = with_flag(late, deleted)
-    dates = changes.select(period_of(named(order[0]), unit).alias("at"))
-    first, newest = dates.agg(F.min("at"), F.max("at")).first()
-    if first is None:
+    moment = named(order[0])
+    dates = changes.select(period_of(moment, unit).alias("at"))
+    first, newest, undated = dates.agg(F.min("at"), F.max("at"), F.count_if(F.col("at").isNull())).first()
+    if undated:
+        raise ValueError(f"{undated} rows have no {order[0]}")
+    folders = _periods(spark, path, period)
+    if first is None and not folders:
         return []
-    prefix = f"{period}="
-    found = [n.removeprefix(prefix) for n in Storage(spark, path).names() if n.startswith(prefix)]
-    how = {
-        "keys": keys,
-        "order": order,
-        "deleted": deleted,
-        "unit": unit,
-        "period": period,
-        "keep_tombstones": True,
-        "order_is_total": order_is_total,
-    }
-    stored_upto = dt.date.fromisoformat(max(found)) if found else None
+    last = period_of(F.lit(upto).cast("date"), unit)
+    upto = spark.range(1).select(last).first()[0]
+    stored_upto = max(folders, default=None)
     upto = max(upto, stored_upto or upto)
-    if newest > upto:
+    if newest is not None and newest > upto:
         raise ValueError(f"rows of {newest} lie after the last period {upto}")
+    how = {"keys": keys, "order": order, "deleted": deleted, "unit": unit, "period": period, "order_is_total": order_is_total}
+    placed = None
     if stored_upto:
-        schema = StructType(changes.schema.fields).add(period, DateType())
-        stored = spark.read.schema(schema).parquet(path)
-        rolled = roll_forward(stored, changes, stored_upto=stored_upto, upto=upto, first=first, **how)
+        step = next_period(F.lit(stored_upto).cast("date"), unit)
+        following = spark.range(1).select(step).first()[0]
+        first = following if first is None else min(first, following)
+        # The last stored period is also where later ones are filled from.
+        needed = [folder for start, folder in sorted(folders.items()) if start >= min(first, stored_upto)]
+        dated = changes.withColumn(period, period_of(moment, unit))
+        dated, stored = _stored_partitions(spark, path, period, needed, dated, evolve)
+        changes = dated.drop(period)
+        placed, rolled = roll_forward_parts(stored, changes, stored_upto=stored_upto, upto=upto, first=first, **how)
     else:
-        rolled = pit_snapshots(changes, upto=upto, **how)
-    last = period_of(F.lit(upto).cast("date"), unit)
-    calendar = periods_between(F.lit(first).cast("date"), last, unit)
+        rolled = pit_snapshots(changes, upto=upto, keep_tombstones=True, **how)
+    calendar = periods_between(F.lit(first).cast("date"), F.lit(upto).cast("date"), unit)
     written = spark.range(1).select(calendar).first()[0]
     with sized_for(changes, rolled):
-        rebuild_partitions(rolled, path, period, written)
+        rebuild_partitions(rolled, path, period, written, in_place=placed)
     return written

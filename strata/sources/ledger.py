@@ -105,11 +105,11 @@ class RunLedger:
             self.record(job, current.started_at, current.until, current.run_id)
 
     def bounds(self, job: str, first: str, end: str) -> tuple[dt.datetime, dt.datetime]:
-        """Start times of two runs: two rows read to the driver."""
+        """Up to where two runs have read: two rows read to the driver."""
         chosen = self.runs().filter((F.col("job") == job) & F.col("run_id").isin(first, end))
         starts = {
             row["run_id"]: _from_micros(row["micros"])
-            for row in chosen.select("run_id", F.unix_micros("started_at").alias("micros")).collect()
+            for row in chosen.select("run_id", F.unix_micros("read_until").alias("micros")).collect()
         }
         missing = [name for name in (first, end) if name not in starts]
         if missing:
@@ -138,8 +138,9 @@ def unprocessed(df: DataFrame, processed: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def replay_range(df: DataFrame, ledger: RunLedger, job: str, first: str, end: str, at: str) -> DataFrame:
-    """Rows that arrived from the start of run ``first`` (inclusive) to that of ``end`` (exclusive).
+    """Rows that came after what run ``first`` had read, up to what run ``end`` has read.
 
+    With runs that leave a ``lag``, that is where their reading ended, not their start.
     ``at`` is the arrival time, in UTC if it has no zone. The bounds become literals, so
     the filter reaches the scan.
     """

@@ -20,6 +20,7 @@ from strata.sources.storage import Storage
 
 _PREFIX = "v="
 _MARK = "_PUBLISHED"
+_LABEL = "_LABEL"
 
 
 def version_path(path: str, version: int) -> str:
@@ -30,7 +31,17 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions, oldest first."""
     storage = Storage(spark, path)
     found = [int(name[len(_PREFIX) :]) for name in storage.names() if name.startswith(_PREFIX)]
-    return sorted(n for n in found if storage.exists(f"{_PREFIX}{n}", _MARK))
+    return sorted(n for n in found if storage.holds_text(f"{_PREFIX}{n}", _MARK))
+
+
+def labelled_version(spark: SparkSession, path: str, label: str) -> int | None:
+    """The complete version that was published with this label, if it is still there."""
+    storage = Storage(spark, path)
+    for number in reversed(versions(spark, path)):
+        folder = f"{_PREFIX}{number}"
+        if storage.exists(folder, _LABEL) and storage.read_text(folder, _LABEL) == label:
+            return number
+    return None
 
 
 def latest_version(spark: SparkSession, path: str, before: int | None = None) -> int | None:
@@ -40,12 +51,17 @@ def latest_version(spark: SparkSession, path: str, before: int | None = None) ->
 
 
 def publish_snapshot(
-    df: DataFrame, path: str, version: int | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    version: int | None = None,
+    partition_by: Sequence[str] = (),
+    label: str | None = None,
 ) -> int:
     """Write ``df`` as a new version and return its number.
 
     With an explicit ``version`` a repeated call does nothing once that version is
-    complete, so a job that is run again publishes once.
+    complete, so a job that is run again publishes once. A ``label`` is kept beside the
+    rows; :func:`labelled_version` finds it again.
     """
     spark = df.sparkSession
     storage = Storage(spark, path)
@@ -53,12 +69,14 @@ def publish_snapshot(
         last = latest_version(spark, path)
         version = 0 if last is None else last + 1
     folder = f"{_PREFIX}{version}"
-    if storage.exists(folder, _MARK):
+    if storage.holds_text(folder, _MARK):
         return version
     if partition_by:
         df = spread_by(df, *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(version_path(path, version))
+    if label is not None:
+        storage.write_text(label, folder, _LABEL)
     storage.write_text(df.schema.json(), folder, _MARK)
     return version
 

@@ -6,6 +6,8 @@ storage Spark can reach. Names and schemas are handled here, never data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -32,12 +34,22 @@ class Storage:
         return [status.getPath().getName() for status in self._fs.listStatus(path)]
 
     def write_text(self, text: str, *parts: str) -> None:
-        """Create a small file; on object stores it appears as a whole or not at all."""
-        stream = self._fs.create(self._path(*parts), True)
+        """Create a small file under another name and rename it, so that it is never seen half written."""
+        draft = (*parts[:-1], f".{parts[-1]}.{uuid.uuid4().hex}")
+        stream = self._fs.create(self._path(*draft), True)
         try:
             stream.write(bytearray(text, "utf-8"))
         finally:
             stream.close()
+        if self._fs.exists(self._path(*parts)):
+            self._fs.delete(self._path(*parts), False)
+        if not self._fs.rename(self._path(*draft), self._path(*parts)):
+            raise OSError(f"could not put {'/'.join(parts)} in place")
+
+    def holds_text(self, *parts: str) -> bool:
+        """Is there a file here that is not empty?"""
+        path = self._path(*parts)
+        return self._fs.exists(path) and self._fs.getFileStatus(path).getLen() > 0
 
     def read_text(self, *parts: str) -> str:
         stream = self._fs.open(self._path(*parts))

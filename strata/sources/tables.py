@@ -7,8 +7,9 @@ from functools import wraps
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from strata.operators.conform import Declared, conform, table_schema
+from strata.operators.conform import Declared, conform, resolve_schema, table_schema
 from strata.sources.partitions import spread_by
 from strata.sources.snapshots import publish_snapshot, purge_versions, version_path
 
@@ -30,16 +31,31 @@ def write_conformed(
 ) -> DataFrame:
     """Write ``df`` to a catalog table, conformed to ``schema`` or to the table's own.
 
-    Returns the conformed frame. It appends, or replaces the table's rows. Rows of a
-    partitioned table are gathered by partition first. A table that ``df`` itself reads
-    cannot be replaced this way; see :func:`replace_table`.
+    Columns are matched by name, whatever their order in ``schema``, which must have all
+    columns of the table and no others. It appends, or replaces the table's rows, and
+    returns a read of the table in the order of ``schema``. Rows of a partitioned table are
+    gathered by partition first. A table that ``df`` itself reads cannot be replaced this
+    way; see :func:`replace_table`.
     """
     spark = df.sparkSession
-    fitted = conform(df, table_schema(spark, table) if schema is None else schema, mode)
+    own = table_schema(spark, table)
+    fitted = _for_table(df, own, schema, mode)
     parts = [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
     gathered = spread_by(fitted, *parts) if parts else fitted
     gathered.write.insertInto(table, overwrite=overwrite)
-    return fitted
+    return read_conformed(spark, table, schema, mode)
+
+
+def _for_table(df: DataFrame, own: StructType, schema: Declared | None, mode: str) -> DataFrame:
+    """``df`` conformed to ``schema``, then to the columns of the table in the table's order."""
+    if schema is None:
+        return conform(df, own, mode)
+    declared = resolve_schema(schema)
+    # The catalog folds the case of names.
+    wanted, given = ({name.lower() for name in kind.names} for kind in (own, declared))
+    if wanted != given:
+        raise ValueError(f"not in the table: {sorted(given - wanted)}; not declared: {sorted(wanted - given)}")
+    return conform(conform(df, declared, mode), own, mode)
 
 
 def replace_table(
@@ -60,12 +76,12 @@ def replace_table(
     spark = df.sparkSession
     if any(column.isPartition for column in spark.catalog.listColumns(table)):
         raise ValueError(f"{table} is partitioned; rebuild its partitions instead")
-    fitted = conform(df, table_schema(spark, table) if schema is None else schema, mode)
+    fitted = _for_table(df, table_schema(spark, table), schema, mode)
     version = publish_snapshot(fitted, path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{version_path(path, version)}'")
     spark.catalog.refreshTable(table)
     purge_versions(spark, path, keep)
-    return fitted
+    return read_conformed(spark, table, schema, mode)
 
 
 def reads_table(table: str, schema: Declared | None = None, mode: str = "strict") -> Callable:
@@ -85,7 +101,7 @@ def reads_table(table: str, schema: Declared | None = None, mode: str = "strict"
 def writes_table(
     table: str, schema: Declared | None = None, mode: str = "strict", overwrite: bool = False
 ) -> Callable:
-    """Decorator: write the returned frame to the table, and return it conformed."""
+    """Decorator: write the returned frame to the table, and return a read of the table."""
 
     def decorate(function: Callable) -> Callable:
         @wraps(function)

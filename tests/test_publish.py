@@ -11,11 +11,13 @@ from strata import (
     current_state_incremental,
     current_state_partitioned,
     flatten_changes,
+    labelled_version,
     latest_version,
     merge_partitions,
     merge_table_partitions,
     process_new_files,
     publish_snapshot,
+    purge_swapped,
     purge_versions,
     read_raw,
     read_snapshot,
@@ -23,6 +25,7 @@ from strata import (
     read_unprocessed,
     rebuild_partitions,
     rebuild_table_partitions,
+    replay_files,
     replay_range,
     swap_table_partitions,
     unprocessed,
@@ -392,3 +395,170 @@ def test_apply_changes_job(spark, rows):
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
+
+
+def test_empty_mark_is_no_version(spark, rows):
+    path = working_folder(spark, "snap")
+    publish_snapshot(spark.range(1), path)
+    spark.range(9).write.parquet(version_path(path, 1))
+    open(f"{local(version_path(path, 1))}/_PUBLISHED", "w").close()  # the driver died between
+    assert latest_version(spark, path) == 0
+    assert publish_snapshot(spark.range(2), path, version=1, label="again") == 1
+    assert rows(read_snapshot(spark, path)) == [(0,), (1,)]
+    assert labelled_version(spark, path, "again") == 1 and labelled_version(spark, path, "other") is None
+    assert not [n for n in os.listdir(local(version_path(path, 1))) if n.startswith("._PUB") and not n.endswith(".crc")]
+
+
+def test_new_checkpoint_over_an_older_state(spark, rows):
+    """A state begun by a job, then a stream, then a stream with a new checkpoint: no batch is dropped."""
+    path = working_folder(spark, "stream")
+    apply_changes(spark.createDataFrame([(None, (1, "a"), 10)], EVENT), f"{path}/state", keys=["id"])
+
+    def arrive(number, *events):
+        spark.createDataFrame(events, EVENT).coalesce(1).write.mode("append").parquet(f"{path}/in{number}")
+        return current_state_incremental(
+            spark, f"{path}/in{number}", EVENT, f"{path}/state", f"{path}/checkpoint{number}",
+            keys=["id"], order=["_as_of"], deleted="_deleted", transform=flatten_changes,
+        )
+
+    assert arrive(1, (None, (2, "b"), 20)) == 1
+    assert arrive(1, (None, (3, "c"), 20)) == 2
+    assert arrive(2, (None, (4, "d"), 20)) == 3
+    assert rows(read_state(spark, f"{path}/state", "_deleted"), "id") == [(1,), (2,), (3,), (4,)]
+
+
+def test_another_number_of_buckets_is_refused(spark):
+    path = working_folder(spark, "stream")
+
+    def arrive(buckets, key):
+        spark.createDataFrame([(None, (key, "x"), 10)], EVENT).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        current_state_partitioned(
+            spark, f"{path}/in", EVENT, f"{path}/state", f"{path}/checkpoint",
+            keys=["id"], order=["_as_of"], deleted="_deleted", transform=flatten_changes, buckets=buckets,
+        )
+
+    arrive(3, 1)
+    with pytest.raises(ValueError, match="3 buckets"):
+        arrive(4, 2)
+    arrive(3, 3)
+    assert spark.read.parquet(f"{path}/state").count() == 3
+
+
+def state_table(spark, path, *stored):
+    columns = "id int, v int, extra string, gone boolean, p string"
+    spark.createDataFrame(stored, columns).write.partitionBy("p").parquet(path)
+    return columns
+
+
+def test_merge_keeps_the_columns_of_the_table(spark, rows):
+    path = working_folder(spark, "parts")
+    columns = state_table(spark, path, (1, 1, "kept", False, "a"), (2, 1, "kept", False, "b"))
+    how = {"keys": ["id"], "order": ["v"], "deleted": "gone"}
+    less = spark.createDataFrame([(1, 2, False, "a"), (3, 1, False, "a")], "id int, v int, gone boolean, p string")
+    with pytest.raises(ValueError, match="extra"):
+        merge_partitions(less, path, "p", **how)
+    with pytest.raises(ValueError, match="'v'"):
+        merge_partitions(spark.createDataFrame([(1, "2", "x", False, "a")], columns.replace("v int", "v string")), path, "p", **how)
+    merge_partitions(less, path, "p", evolve=True, **how)
+    merge_partitions(less.withColumns({"v": F.lit(9), "more": F.lit(1), "extra": F.lit("e")}), path, "p", evolve=True, **how)
+    table = spark.read.option("mergeSchema", "true").parquet(path)
+    assert rows(table, "id", "v", "extra", "more") == [(1, 9, "e", 1), (2, 1, "kept", None), (3, 9, "e", 1)]
+
+
+def test_moved_key_is_refused(spark):
+    path = working_folder(spark, "parts")
+    columns = state_table(spark, path, (1, 1, "x", False, "a"), (2, 1, "x", False, "b"))
+    how = {"keys": ["id"], "order": ["v"], "deleted": "gone"}
+    with pytest.raises(ValueError, match="another partition"):
+        merge_partitions(spark.createDataFrame([(1, 2, "x", False, "b")], columns), path, "p", **how)
+    with pytest.raises(ValueError, match="several partitions"):
+        merge_partitions(spark.createDataFrame([(7, 2, "x", False, "b"), (7, 3, "x", False, "c")], columns), path, "p", **how)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_patched_rows_are_not_shuffled(spark, monkeypatch, plan):
+    path = working_folder(spark, "parts")
+    columns = state_table(spark, path, *[(i, 1, "x", False, "ab"[i % 2]) for i in range(50)])
+    plans = []
+    from strata.plans import jobs
+
+    def seen(df, *args, in_place=None, **how):
+        plans.append((plan(df), plan(in_place)))
+        return rebuild_partitions(df, *args, in_place=in_place, **how)
+
+    monkeypatch.setattr(jobs, "rebuild_partitions", seen)
+    merge_partitions(spark.createDataFrame([(2, 2, "y", False, "a"), (90, 1, "y", False, "a")], columns), path, "p", keys=["id"], order=["v"], deleted="gone")
+    (_, placed), = plans
+    assert "Exchange hashpartitioning" not in placed and "REBALANCE" not in placed
+    table = spark.read.parquet(path)
+    assert table.count() == 51 and table.filter("extra = 'y'").count() == 2
+
+
+def test_partitions_of_several_columns(spark, rows):
+    path = working_folder(spark, "parts")
+    df = spark.createDataFrame([(1, 1997, "a"), (2, 1997, None), (3, 1998, "a"), (4, 1998, "b/c")], "id int, y int, p string")
+    df.write.partitionBy("y", "p").parquet(path)
+    new = df.filter("id in (2, 4)").withColumn("id", F.col("id") * 10)
+    assert rebuild_partitions(new, path, ["y", "p"], [(1997, None), (1998, "a"), (1998, "b/c")]) == [(1998, "a")]
+    assert rows(spark.read.parquet(path), "id") == [(1,), (20,), (40,)]
+    touched = merge_partitions(
+        spark.createDataFrame([(1, 1997, "a", 5), (9, 1999, "z", 1)], "id int, y int, p string, v int").withColumn("gone", F.lit(False)),
+        working_folder(spark, "other"), ["y", "p"], keys=["id"], order=["v"], deleted="gone",
+    )
+    assert sorted(touched) == [(1997, "a"), (1999, "z")]
+    name = "two_" + path[-12:]
+    spark.sql(f"create table {name} (id int, y int, p string) using parquet partitioned by (y, p) location '{path}/t'")
+    df.write.insertInto(name)
+    assert swap_table_partitions(new, name, ["y", "p"], [(1997, None), (1998, "a")], f"{path}/r1") == [(1998, "a")]
+    assert rows(spark.table(name), "id") == [(1,), (4,), (20,)]
+    assert rebuild_table_partitions(df.filter("id = 0"), name, ["y", "p"], [(1997, None)]) == [(1997, None)]
+    assert rows(spark.table(name), "id") == [(1,), (4,)]
+
+
+def test_rebuild_empties_a_partition_that_was_switched(spark, rows):
+    path = working_folder(spark, "parts")
+    name = "years_" + path[-12:]
+    spark.sql(f"create table {name} (id int, y int) using parquet partitioned by (y) location '{path}/t'")
+    years(spark).write.insertInto(name)
+    swap_table_partitions(spark.table(name), name, "y", [1997, 1998], f"{path}/r/1")
+    assert rebuild_table_partitions(rebuilt(spark.table(name)), name, "y", [1997, 1998]) == [1998]
+    assert rows(spark.table(name)) == [(4, 1999), (10, 1997), (20, 1997)]
+
+
+def test_swapped_folders_are_purged(spark, rows):
+    path = working_folder(spark, "parts")
+    name = "years_" + path[-12:]
+    spark.sql(f"create table {name} (id int, y int) using parquet partitioned by (y) location '{path}/t'")
+    years(spark).write.insertInto(name)
+    swap_table_partitions(spark.table(name), name, "y", [1997, 1998], f"{path}/r/1")
+    swap_table_partitions(spark.table(name), name, "y", [1998], f"{path}/r/2")
+    before = rows(spark.table(name))
+    assert [f.rsplit("/", 2)[1:] for f in purge_swapped(spark, name, f"{path}/r")] == [["1", "y=1998"]]
+    swap_table_partitions(spark.table(name), name, "y", [1997], f"{path}/r/3")
+    assert len(purge_swapped(spark, name, f"{path}/r")) == 1
+    assert sorted(os.listdir(f"{local(path)}/r")) == ["2", "3"]
+    assert purge_swapped(spark, name, f"{path}/r") == [] and rows(spark.table(name)) == before
+
+
+def test_replay_goes_by_what_runs_have_read(spark):
+    path = working_folder(spark, "replay")
+    ledger = RunLedger(spark, f"{path}/runs")
+    start = 1_700_000_000
+    for n, hours in enumerate((0, 2, 4)):
+        spark.range(n, n + 1).coalesce(1).write.mode("append").json(f"{path}/files/{n}")
+        for name in os.listdir(f"{local(path)}/files/{n}"):
+            os.utime(f"{local(path)}/files/{n}/{name}", (start + 3600 * hours,) * 2)
+    hour = lambda n: dt.datetime.fromtimestamp(start + 3600 * n, dt.UTC)
+    # Runs at one, three and five hours read with a lag of one hour and a half.
+    for n in (1, 3, 5):
+        ledger.record("job", hour(n), hour(n - 1.5), run_id=f"r{n}")
+    folders = [f"{path}/files/{n}" for n in range(3)]
+    got = lambda a, b: sorted(r[0] for r in replay_files(ledger, "job", a, b, folders, "id bigint").collect())
+    assert got("r1", "r3") == [0] and got("r3", "r5") == [1]
+
+
+def test_no_time_limit_by_default(spark):
+    import inspect
+
+    for function in (process_new_files, current_state_incremental, current_state_partitioned):
+        assert inspect.signature(function).parameters["timeout"].default is None

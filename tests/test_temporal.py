@@ -42,7 +42,6 @@ HISTORY = [
     (2, "2024-02-01", "x", False),
     (2, "2024-03-31", "x", True),
     (2, "2024-05-02", "y", False),
-    (3, None, "undated", False),
 ]
 MONTHS = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01", "2024-05-01"]
 EXPECTED = {
@@ -111,9 +110,15 @@ def test_all_snapshots(spark):
     assert got == EXPECTED == brute_force(HISTORY, MONTHS)
 
 
-def test_snapshots_stop_at_upto(spark):
-    got = by_period(pit_snapshots(changes(spark, *HISTORY), upto=day("2024-03-01"), **HOW))
-    assert got == {month: EXPECTED[month] for month in MONTHS[:3]}
+@pytest.mark.parametrize("lost", [(3, None, "undated", False), (3, "2024-06-01", "after the last period", False)])
+def test_rows_in_no_period_fail_the_job(spark, lost):
+    stored = store(spark, HISTORY, "2024-05-01")
+    with pytest.raises(Exception, match="null or after 2024-05-01"):
+        pit_snapshots(changes(spark, *HISTORY, lost), upto=day("2024-05-01"), **HOW).collect()
+    with pytest.raises(Exception, match="null or after 2024-05-01"):
+        roll_forward(stored, changes(spark, *LATE, lost), stored_upto=day("2024-05-01"), **HOW).collect()
+    with pytest.raises(ValueError):
+        roll_snapshots(changes(spark, *HISTORY, lost), working_folder(spark, "t"), upto=day("2024-05-01"), **HOW)
 
 
 def test_hot_key_is_cut_before_both_shuffles(spark, plan):
@@ -123,7 +128,7 @@ def test_hot_key_is_cut_before_both_shuffles(spark, plan):
 
 
 def test_affected(spark, rows):
-    late = changes(spark, *HISTORY[2:])
+    late = changes(spark, *HISTORY[2:], (3, None, "undated", False))
     got = rows(affected_partitions(late, "at"))
     assert got == [(day("2024-02-01"),), (day("2024-03-01"),), (day("2024-05-01"),)]
     assert earliest_affected(late, "at") == day("2024-02-01")
@@ -174,7 +179,7 @@ def test_late_rows_roll_forward(spark, rows_bound):
 
 
 def test_roll_forward_into_new_periods(spark):
-    old = [row for row in HISTORY if not row[1] or row[1] < "2024-03"]
+    old = [row for row in HISTORY if row[1] < "2024-03"]
     new = [row for row in HISTORY if row[1] and row[1] >= "2024-03"] + LATE[2:]
     stored = store(spark, old, "2024-02-01")
     rolled = roll_forward(
@@ -231,6 +236,7 @@ def test_snapshot_table_takes_late_rows(spark):
         assert by_period(table, "gone") == brute_force(HISTORY + LATE, MONTHS)
     assert set(os.listdir(f"{path.removeprefix('file:')}/period=2024-01-01")) == january
     assert roll_snapshots(changes(spark), path, **settings) == []
+    assert roll_snapshots(changes(spark), working_folder(spark, "t"), **settings) == []
     with pytest.raises(ValueError, match="2024-06-01"):
         roll_snapshots(changes(spark, (1, "2024-06-09", "too late", False)), path, **settings)
 
@@ -258,3 +264,64 @@ def test_partition_rebuild_equals_history(spark):
         live = {row["id"]: row["value"] for row in previous.filter("not gone").collect()}
         assert live == EXPECTED[start.isoformat()]
     assert retain_last(previous, keep_tombstones=True, **HOW).count() == 2
+
+
+LONG = [*MONTHS, "2024-06-01", "2024-07-01", "2024-08-01"]
+
+
+def test_quiet_periods_get_their_snapshot(spark):
+    """Stored up to March; late rows begin in June; the last month has none at all."""
+    path = working_folder(spark, "table")
+    early = [row for row in HISTORY if row[1] < "2024-04"]
+    late = [(1, "2024-06-15", "june", False), (5, "2024-07-01", "july", False)]
+    settings = {**HOW}
+    roll_snapshots(changes(spark, *early), path, upto=day("2024-03-01"), **settings)
+    written = roll_snapshots(changes(spark, *late), path, upto=day("2024-08-20"), **settings)
+    assert written == [day(month) for month in LONG[3:]]
+    table = spark.read.schema(CHANGE + ", period date").parquet(path)
+    assert by_period(table, "gone") == brute_force(early + late, LONG)
+    stored = store(spark, early, "2024-03-01")
+    for bound in (Bound(), Bound(rows=0)):
+        rolled = roll_forward(stored, changes(spark, *late), stored_upto=day("2024-03-01"), upto=day("2024-08-01"), bound=bound, **HOW)
+        assert by_period(rolled, "gone") == brute_force(early + late, LONG[3:])
+
+
+def test_roll_forward_without_late_rows(spark):
+    path = working_folder(spark, "table")
+    roll_snapshots(changes(spark, *HISTORY), path, upto=day("2024-05-01"), **HOW)
+    assert roll_snapshots(changes(spark), path, upto=day("2024-07-01"), **HOW) == [day(m) for m in LONG[5:7]]
+    table = spark.read.schema(CHANGE + ", period date").parquet(path)
+    assert by_period(table, "gone") == brute_force(HISTORY, LONG[:7])
+
+
+def test_period_after_a_gap_starts_from_the_newest_before(spark):
+    path = working_folder(spark, "table")
+    load_period(changes(spark, (1, "2024-01-10", "a", False), (2, "2024-01-11", "b", False)), path, day("2024-01-31"), **HOW)
+    load_period(changes(spark, (1, "2024-03-10", "c", False)), path, day("2024-03-31"), **HOW)
+    table = spark.read.schema(CHANGE + ", period date").parquet(path)
+    assert by_period(table, "gone") == {"2024-01-01": {1: "a", 2: "b"}, "2024-03-01": {1: "c", 2: "b"}}
+
+
+def test_columns_of_stored_snapshots_are_kept(spark):
+    path = working_folder(spark, "table")
+    full = changes(spark, (1, "2024-01-10", "a", False)).withColumn("extra", F.lit("kept"))
+    load_period(full, path, day("2024-01-31"), **HOW)
+    less = changes(spark, (2, "2024-02-10", "b", False))
+    with pytest.raises(ValueError, match="extra"):
+        load_period(less, path, day("2024-02-28"), **HOW)
+    with pytest.raises(ValueError, match="extra"):
+        roll_snapshots(less, path, upto=day("2024-02-01"), **HOW)
+    with pytest.raises(ValueError, match="value"):
+        load_period(full.withColumn("value", F.lit(1)), path, day("2024-02-28"), **HOW)
+    load_period(less, path, day("2024-02-28"), evolve=True, **HOW)
+    roll_snapshots(less.withColumn("more", F.lit(1)), path, upto=day("2024-03-01"), evolve=True, **HOW)
+    table = spark.read.option("mergeSchema", "true").parquet(path).filter("period >= '2024-02-01'")
+    got = {(r["period"].month, r["id"], r["extra"], r["more"]) for r in table.collect()}
+    assert got == {(2, 1, "kept", None), (2, 2, None, 1), (3, 1, "kept", None), (3, 2, None, 1)}
+
+
+def test_stored_rows_are_scanned_once_and_not_shuffled(spark, plan):
+    stored = store(spark, HISTORY, "2024-05-01")
+    text = plan(roll_forward(stored, changes(spark, *LATE), stored_upto=day("2024-05-01"), **HOW))
+    assert "hashpartitioning" not in text.split("Union")[1].split("BroadcastExchange")[0]
+    assert text.count("FileScan parquet") == 2  # all columns once, the keys once
