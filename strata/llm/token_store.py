@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 _REMEMBERED = 600_000  # words; more are encoded again
 _LONG_WORD = 64
+_PLAIN = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe: it may begin a piece with the letters after it
 
 
@@ -88,7 +89,10 @@ class Codes:
 
 
 class _Words:
-    """Encodes different words many at a time, with a special token between them as the border."""
+    """Encodes different words many at a time, with a special token between them as the border.
+
+    What is known is kept as one array of words, and their ids one after the other.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
@@ -97,45 +101,44 @@ class _Words:
         self._tool = Tokenizer.from_file(path)
         special = {x.content: i for i, x in self._tool.get_added_tokens_decoder().items() if x.special}
         self._border = min(special.items(), default=None)
-        self._special = tuple(special)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
+        self.special = tuple(special)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._words = pa.array([], pa.string())
+        self._ids, self._ends = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An array of ids, and where in it those of each of the different ``words`` begin and end."""
+        if len(self._words) > _REMEMBERED:
+            self._forget()
+        missing = words.filter(pc.invert(pc.is_in(words, value_set=self._words)))
+        if len(missing):
+            ids, sizes = self._encode(missing.to_pylist())
+            before = len(self._ids)
+            self._words = pa.concat_arrays([self._words, missing])
+            self._ids = np.concatenate([self._ids, ids])
+            self._ends = np.concatenate([self._ends, before + np.cumsum(sizes)])
+        place = pc.index_in(words, value_set=self._words).to_numpy(zero_copy_only=False)
+        begins = np.concatenate([[0], self._ends])
+        return self._ids, begins[place], begins[place + 1]
+
+    def _one(self, text: str) -> np.ndarray:
         return np.array(self._tool.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def all(self, words: list[str]) -> list[bytes]:
-        """Ids of each word. Marks after a word of ASCII are a piece of their own, so both are looked up apart."""
-        bodies, tails = list(words), [""] * len(words)
-        for i, word in enumerate(words):
-            if word.isascii() and not any(x in word for x in self._special):
-                body = word.rstrip(_MARKS)
-                if body and body[-1].isalnum():
-                    bodies[i], tails[i] = body.lower(), word[len(body) :]
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        fresh = self.encode(list({x for x in (*bodies, *tails) if x not in self.known}))
-        known = self.known
-        found = [
-            (known[body] if body in known else fresh[body]) + (known[tail] if tail in known else fresh[tail])
-            for body, tail in zip(bodies, tails, strict=True)
-        ]
-        known.update((word, ids) for word, ids in fresh.items() if len(word) <= _LONG_WORD)
-        return found
-
-    def encode(self, words: list[str]) -> dict[str, bytes]:
-        alone = [w for w in words if self._border is None or any(x in w for x in self._special)]
-        found = {word: self._ids(word).tobytes() for word in alone}
-        rest = [word for word in words if word not in found]
-        for start in range(0, len(rest), 512):
-            part = rest[start : start + 512]
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
+        found = []
+        for start in range(0, len(words), 512):
+            part = words[start : start + 512]
+            if self._border is None or any(x in word for word in part for x in self.special):
+                found += [self._one(word) for word in part]
+                continue
             text, number = self._border
-            ids = self._ids(text.join(part))
+            ids = self._one(text.join(part))
             borders = np.flatnonzero(ids == number)
-            data, begin = ids.tobytes(), 0
-            for word, end in zip(part, [*borders.tolist(), len(ids)], strict=True):
-                found[word] = data[4 * begin : 4 * end]
-                begin = end + 1
-        return found
+            found += np.split(np.delete(ids, borders), borders - np.arange(len(borders)))
+        return np.concatenate(found), np.array([len(ids) for ids in found])
 
 
 @lru_cache(maxsize=2)
@@ -143,27 +146,56 @@ def _tokenizer(path: str) -> _Words:
     return _Words(path)
 
 
+def _cut_marks(words: pa.Array, special: tuple[str, ...]) -> tuple[pa.Array, np.ndarray]:
+    """Words without the marks that follow their last letter or digit of ASCII, and these marks; whose they are.
+
+    Such marks are a piece of their own for the tokenizer, whatever stands before them.
+    """
+    words = pa.concat_arrays([words])
+    borders = np.frombuffer(words.buffers()[1], np.int32)[: len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    body = borders[:-1] + pc.binary_length(pc.ascii_rtrim(words, characters=_MARKS)).to_numpy(zero_copy_only=False)
+    cut = (body > borders[:-1]) & _PLAIN[data[np.maximum(body - 1, 0)]]
+    for text in special:
+        cut &= ~pc.match_substring(words, text).to_numpy(zero_copy_only=False)
+    pairs = np.stack([np.where(cut, body, borders[1:]), borders[1:]], 1).ravel()
+    some = np.diff(np.concatenate([borders[:1], pairs])) > 0
+    pieces = pa.Array.from_buffers(
+        pa.string(), int(some.sum()), [None, pa.py_buffer(np.concatenate([borders[:1], pairs[some]])), words.buffers()[2]]
+    )
+    return pieces, np.repeat(np.arange(len(words)), 2)[some]
+
+
 def encode_words(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts and how many each text has.
 
-    For vocabularies that drop white space: each different word is encoded once. The texts
-    may not be null.
+    For vocabularies that drop white space and case: each different word is encoded once.
+    The texts may not be null.
     """
     tool = _tokenizer(path)
     split = pc.ascii_split_whitespace(texts)
     words = split.flatten()
-    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-    of = np.repeat(np.arange(len(texts)), sizes)
-    coded = words.dictionary_encode()
-    found = tool.all(coded.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    every = np.frombuffer(b"".join(found), "<u4")
-    begin = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
-    codes = coded.indices.to_numpy() if len(words) else np.zeros(0, np.int64)
-    size = lengths[codes] if len(codes) else np.zeros(0, np.int64)
-    ends = np.cumsum(size)
-    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[codes] - (ends - size), size) if len(codes) else np.zeros(0, np.int64)
-    return every[places], np.bincount(of, weights=size, minlength=len(texts)).astype(np.int64)
+    if len(words) == 0:
+        return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+    of = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    held = tuple(x for x in tool.special if pc.any(pc.match_substring(texts, x)).as_py())
+    pieces, whose = _cut_marks(words, held)
+    if len(pieces) == 0:
+        return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+    coded = pieces.dictionary_encode()
+    # The vocabulary has no case; beyond ASCII that is left to the tokenizer.
+    different = coded.dictionary
+    special = pc.match_substring(different, held[0]) if held else pa.array(np.zeros(len(different), bool))
+    for x in held[1:]:
+        special = pc.or_(special, pc.match_substring(different, x))
+    plain = pc.and_(pc.string_is_ascii(different), pc.invert(special))
+    folded = pc.if_else(plain, pc.ascii_lower(different), different).dictionary_encode()
+    ids, begins, ends = tool.ids_of(folded.dictionary)
+    codes = folded.indices.to_numpy()[coded.indices.to_numpy()]
+    sizes = (ends - begins)[codes]
+    stops = np.cumsum(sizes)
+    places = np.arange(stops[-1]) + np.repeat(begins[codes] - (stops - sizes), sizes)
+    return ids[places], np.bincount(of[whose], weights=sizes, minlength=len(texts)).astype(np.int64)
 
 
 def _with_ends(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
@@ -184,7 +216,7 @@ def open_block(packed: bytes) -> tuple[pa.Array, np.ndarray, Codes]:
     return pa.array(numbers, mask=known == 0), counts, Codes(packed[4 + 17 * docs :])
 
 
-def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch_bytes: int = 4 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch_bytes: int = 16 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in order of doc_id.
 
     A block holds whole documents of about ``batch_bytes`` of text.
