@@ -3,10 +3,11 @@
 The counts of all training bigrams are quantised on a logarithmic scale and put into a Bloom
 filter: an n-gram with level q goes in q times, with the numbers 1 to q. A reader probes for
 1, 2, 3, ... until a probe fails, and so gets the level back; an n-gram is never too low, and
-rarely too high. The filter is built in parts by the tasks that add up the counts, and only
-its bits, of about ``bits`` for each insertion, are broadcast. If they are more than
-``segment_bytes``, they are broadcast in several segments of at most that size, and each
-segment scores the bigrams that belong to it; nothing is left out.
+rarely too high. The filter is built in parts by the tasks that add up the counts, with
+``bits`` for each insertion. Up to ``broadcast_bytes`` it is broadcast. A larger one stays
+where it is: each block of texts sends its different bigrams to the parts they belong to, is
+probed there, and gets the levels back. Both ways give the same levels, nothing is left out,
+and what a task holds does not grow with the corpus.
 
 How often each single token stands in the training texts is counted exactly, over all of
 them. Texts are tokenised once, in blocks; a block holds each of its different tokens once
@@ -14,9 +15,10 @@ and exchanges them for their total counts, so what is shuffled are different tok
 rather than tokens, and no token is hot. Tokens are told apart by hashes of 64 bits.
 
 The model: with N training tokens of which n1 are of a kind met once, a token never seen has
-probability (n1 + 1) / (N + 2) and one seen c times the rest times c / N. A bigram's share is
-mixed with that by a weight for the history's count (in powers of two): the part of the bigram
-tokens there that stand alone, which is how often a next one would be new.
+probability (n1 + 1) / (N + 2) and one seen c times the rest times c / N. A bigram's share of
+its history is mixed with that. The weights, one for each power of two of the history's count,
+are those with the best likelihood of the training bigrams when each is left out of its own
+counts; for that, counts are taken by powers of two as well.
 
 Defined results: a null text is empty and holds the end token alone; a null doc_id counts as
 the empty text where the training texts are chosen; without training texts all scores are 0;
@@ -27,7 +29,7 @@ result.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,8 @@ from strata.sources.storage import Storage
 _START, _END = np.uint64(0x5354415254), np.uint64(0x454E44)  # stand for the borders of a text
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _KEPT = np.uint64(16)  # low bits of an n-gram's hash that are not kept
-_CLASSES = 64
+_CLASSES = 64  # powers of two of a count
+_LEVELS = 1 << 20  # more than there are for any growth
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -112,25 +115,25 @@ def build_part(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) ->
 
 
 @dataclass(frozen=True)
-class Segment:
-    """Neighbouring parts of the filter: bits, where each part begins (in bits), how many it has."""
+class Filter:
+    """Parts of the filter one after the other: where each begins (in bits), and how many bits it has."""
 
-    first: int
     begin: np.ndarray
     size: np.ndarray
-    bits: np.ndarray
+    bits: bytes
 
     def levels(self, keys: np.ndarray, parts: np.ndarray, probes: int) -> np.ndarray:
-        """Levels from repeated probes, for n-grams that belong to parts of this segment."""
+        """Levels from repeated probes, for n-grams that belong to these parts."""
+        held_bits = np.frombuffer(self.bits, np.uint8)
         found, active = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        begin, size = self.begin[parts - self.first], self.size[parts - self.first].astype(np.uint64)
+        begin, size = self.begin[parts], self.size[parts].astype(np.uint64)
         number = 1
         while len(active):
             held = active
             for i in range(probes):
                 # Most that are not there fall out at the first probes, so each probe looks at fewer.
                 place = _place(keys[held], number, i, size[held]) + begin[held]
-                held = held[(self.bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)]
+                held = held[(held_bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)]
                 if not len(held):
                     break
             found[held] += 1
@@ -207,6 +210,13 @@ def _blocks(docs: DataFrame, train: Column, block_bytes: int) -> DataFrame:
     return chosen.mapInArrow(pack, _BLOCK)
 
 
+def _rows(batch: pa.RecordBatch):
+    """The rows of a batch; binary cells are not copied."""
+    for i in range(batch.num_rows):
+        cells = ((name, column[i]) for name, column in zip(batch.schema.names, batch.columns, strict=True))
+        yield {name: x.as_buffer() if pa.types.is_binary(x.type) else x.as_py() for name, x in cells}
+
+
 def _counts(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes, sizes and training flags of a block read from the table."""
     return (
@@ -221,7 +231,7 @@ def _send_tokens(buckets: int):
 
     def send(batches):
         for batch in batches:
-            for block in batch.to_pylist():
+            for block in _rows(batch):
                 codes, sizes, train = _counts(block)
                 hashes = np.frombuffer(block["hashes"], "<u8")
                 counts = np.bincount(codes[np.repeat(train, sizes)], minlength=len(hashes))
@@ -283,34 +293,58 @@ def _keys(history: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 def _class(totals: np.ndarray) -> np.ndarray:
+    """The power of two above each count; 0 for none."""
     return np.frexp(totals.astype(np.float64))[1]
 
 
+@dataclass(frozen=True)
+class _Bigrams:
+    """The different bigrams of some texts of a block."""
+
+    which: np.ndarray  # number of the bigram at each position
+    counts: np.ndarray
+    before: np.ndarray  # total count of the history; that of the start is the number of texts
+    after: np.ndarray  # total count of the token
+    keys: np.ndarray
+
+
+def _bigrams(block: dict, texts: int, only_training: bool = False) -> _Bigrams:
+    codes, sizes, train = _counts(block)
+    if only_training:
+        codes, sizes = codes[np.repeat(train, sizes)], sizes[train]
+    hashes = np.append(np.frombuffer(block["hashes"], "<u8"), _START)
+    totals = np.append(_numbers(block["totals"], 6).astype(np.int64), texts)
+    kinds = len(hashes) - 1
+    pairs, which, counts = np.unique(_pairs(codes, sizes, kinds), return_inverse=True, return_counts=True)
+    history, token = np.divmod(pairs, kinds + 1)
+    return _Bigrams(which, counts, totals[history], totals[token], _keys(hashes[history], hashes[token]))
+
+
+def _by_bucket(keys: np.ndarray, buckets: int):
+    """Bucket by bucket, the places of its keys."""
+    order = np.argsort(keys, kind="stable")
+    borders = np.searchsorted(_bucket(keys[order], buckets), np.arange(buckets + 1))
+    for b in range(buckets):
+        if borders[b] < borders[b + 1]:
+            yield b, order[borders[b] : borders[b + 1]]
+
+
 def _send_bigrams(buckets: int, texts: int):
     """The different bigrams of each block's training texts, by bucket of their hash."""
 
     def send(batches):
         for batch in batches:
-            for block in batch.to_pylist():
-                codes, sizes, train = _counts(block)
-                hashes = np.append(np.frombuffer(block["hashes"], "<u8"), _START)
-                totals = np.append(_numbers(block["totals"], 6).astype(np.int64), texts)
-                kinds = len(hashes) - 1
-                pairs, counts = np.unique(_pairs(codes[np.repeat(train, sizes)], sizes[train], kinds), return_counts=True)
-                history, token = np.divmod(pairs, kinds + 1)
-                keys = _keys(hashes[history], hashes[token])
-                order = np.argsort(keys)
-                keys, counts, groups = keys[order], counts[order], _class(totals[history[order]])
-                borders = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
+            for block in _rows(batch):
+                found = _bigrams(block, texts, only_training=True)
+                classes = (_class(found.before) * _CLASSES + _class(found.after)).astype(np.uint64)
                 rows = [
                     {
                         "bucket": b,
-                        "keys": _planes(keys[at] >> _KEPT, 6),
-                        "counts": _planes(counts[at], 4),
-                        "classes": groups[at].astype(np.uint8).tobytes(),
+                        "keys": _planes(found.keys[at] >> _KEPT, 6),
+                        "counts": _planes(found.counts[at], 4),
+                        "classes": _planes(classes[at], 2),
                     }
-                    for b in range(buckets)
-                    if (at := slice(borders[b], borders[b + 1])).start < at.stop
+                    for b, at in _by_bucket(found.keys, buckets)
                 ]
                 schema = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("keys", "counts", "classes")])
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -318,68 +352,76 @@ def _send_bigrams(buckets: int, texts: int):
     return send
 
 
-_PART = "bucket long, size long, bits binary, tokens array<long>, alone array<long>"
+_PART = "bucket long, size long, bits binary, cells array<long>, kinds array<long>"
 
 
 def _add_bigrams(bits: int, probes: int, growth: float):
-    """One part of the filter, with the bigram tokens, and those that stand alone, of each class of histories."""
+    """One part of the filter, and how many bigrams there are by classes of history and token and by level."""
 
     def add(sent: pa.Table) -> pa.Table:
         keys = np.concatenate([_numbers(x, 6) for x in sent["keys"].to_pylist()])
         counts = np.concatenate([_numbers(x, 4) for x in sent["counts"].to_pylist()]).astype(np.int64)
-        groups = np.frombuffer(b"".join(sent["classes"].to_pylist()), np.uint8)
+        classes = np.concatenate([_numbers(x, 2) for x in sent["classes"].to_pylist()]).astype(np.int64)
         order = np.argsort(keys, kind="stable")
         keys, first = np.unique(keys[order], return_index=True)
-        counts, groups = np.add.reduceat(counts[order], first), groups[order][first]
-        size, held = build_part(keys, LogCounts(growth).level(counts), bits, probes)
-        tokens = np.bincount(groups, weights=counts, minlength=_CLASSES).astype(np.int64)
-        alone = np.bincount(groups[counts == 1], minlength=_CLASSES)
+        counts, classes = np.add.reduceat(counts[order], first), classes[order][first]
+        levels = LogCounts(growth).level(counts)
+        size, held = build_part(keys, levels, bits, probes)
+        cells, kinds = np.unique(classes * _LEVELS + levels, return_counts=True)
         return pa.table(
             {
                 "bucket": sent["bucket"].slice(0, 1),
                 "size": pa.array([size], pa.int64()),
                 "bits": pa.array([held], pa.binary()),
-                "tokens": pa.array([tokens.tolist()], pa.list_(pa.int64())),
-                "alone": pa.array([alone.tolist()], pa.list_(pa.int64())),
+                "cells": pa.array([cells.tolist()], pa.list_(pa.int64())),
+                "kinds": pa.array([kinds.tolist()], pa.list_(pa.int64())),
             }
         )
 
     return add
 
 
-def _segments(parts: DataFrame, segment_bytes: int) -> list[tuple[int, int]]:
-    """First and last bucket of each segment, by the sizes of the parts."""
-    sizes = sorted((row["bucket"], row["size"] // 8) for row in parts.select("bucket", "size").collect())
-    found, room = [], 0
-    for bucket, size in sizes:
-        if not found or size > room:
-            found.append([bucket, bucket])
-            room = segment_bytes
-        found[-1][1] = bucket
-        room -= size
-    return [tuple(x) for x in found]
-
-
-def _load(parts: DataFrame, first: int, last: int) -> Segment:
-    """The bits of a segment; they are at most segment_bytes, or one part."""
-    table = parts.where(F.col("bucket").between(first, last)).select("bucket", "size", "bits").toArrow()
-    begin, size, bits = np.zeros(last - first + 1, np.int64), np.full(last - first + 1, 64, np.int64), [bytes(8)]
-    at = 64  # a bucket without n-grams reads these bits, which are not set
+def _load(parts: DataFrame, buckets: int) -> Filter:
+    """The whole filter, whose size has been checked."""
+    table = parts.select("bucket", "size", "bits").toArrow()
+    begin, size, bits, at = np.zeros(buckets, np.int64), np.full(buckets, 64, np.int64), [bytes(8)], 64
+    # A bucket without n-grams reads the first bits, which are not set.
     for bucket, n, held in zip(*(table[c].to_pylist() for c in ("bucket", "size", "bits")), strict=True):
-        begin[bucket - first], size[bucket - first] = at, n
+        begin[bucket], size[bucket] = at, n
         bits.append(held)
         at += 8 * len(held)
-    return Segment(first, begin, size, np.frombuffer(b"".join(bits), np.uint8))
+    return Filter(begin, size, b"".join(bits))
+
+
+def fit_mix(cells: np.ndarray, kinds: np.ndarray, unigram, growth: float) -> np.ndarray:
+    """For each class of histories, the weight of single tokens with the best left-out likelihood.
+
+    ``cells`` are classes of history and token and levels of bigrams, as one number; ``kinds``
+    is how many different bigrams each has.
+    """
+    classes, levels = np.divmod(cells, _LEVELS)
+    before, after = np.divmod(classes, _CLASSES)
+    count = LogCounts(growth).count(levels)
+    middle = lambda c: np.exp2(c - 0.5)
+    share = np.minimum(1, (count - 1) / np.maximum(middle(before) - 1, 1))
+    single = unigram(middle(after))
+    weights = np.linspace(0.01, 0.99, 99)
+    mix = np.ones(_CLASSES)
+    for c in np.unique(before):
+        at = before == c
+        chance = (1 - weights[:, None]) * share[at] + weights[:, None] * single[at]
+        mix[c] = weights[np.argmax((kinds[at] * count[at] * np.log(chance)).sum(1))]
+    return mix
 
 
 @dataclass(frozen=True)
 class Model:
     tokens: int  # N
     kinds: int  # V
-    alone: int
+    alone: int  # n1
     texts: int
     buckets: int
-    mix: np.ndarray  # weight of the single-token model for each class of histories
+    mix: np.ndarray  # weight of single tokens for each class of histories
     probes: int
     growth: float
 
@@ -388,66 +430,116 @@ class Model:
         return np.where(totals > 0, (1 - new) * totals / max(self.tokens, 1), new)
 
 
-_SCORES = "block long, place long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+_SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
-def _score(model: Model, segment, first: int, last: int, is_first: bool):
-    """Scores of each document from the bigrams of the buckets ``first`` to ``last``."""
+def _block_scores(model: Model, block: dict, levels_of) -> pa.RecordBatch:
+    """Scores of the documents of a block; ``levels_of`` gives the levels of some bigrams."""
+    codes, sizes, train = _counts(block)
+    totals = _numbers(block["totals"], 6).astype(np.int64)
+    found = _bigrams(block, model.texts)
+    count = np.zeros(len(found.keys))
+    some = _asked(found)
+    count[some] = LogCounts(model.growth).count(levels_of(found.keys[some]))
+    weight = np.where(found.before > 0, model.mix[_class(found.before)], 1.0)
+    share = np.minimum(count / np.maximum(found.before, 1), 1)
+    value = np.log10((1 - weight) * share + weight * model.unigram(found.after))
+    base = np.log10((totals + 1) / (model.tokens + model.kinds + 1))
+    starts = np.cumsum(sizes) - sizes
+    known = np.frombuffer(block["known"], np.uint8) == 0
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.frombuffer(block["docs"], "<i8"), mask=known),
+            pa.array(~train),
+            pa.array(sizes),
+            pa.array(np.add.reduceat((totals > 0).astype(np.int64)[codes], starts)),
+            pa.array(np.add.reduceat(base[codes], starts)),
+            pa.array(np.add.reduceat(value[found.which], starts)),
+        ],
+        [field.split()[0] for field in _SCORES.split(", ")],
+    )
+
+
+def _asked(found: _Bigrams) -> np.ndarray:
+    """A bigram with a token that no training text has is unseen; the others are looked up."""
+    return np.flatnonzero((found.before > 0) & (found.after > 0))
+
+
+def _score_here(model: Model, broadcast):
+    """Scores of blocks with the filter at hand."""
 
     def run(batches):
-        held, levels = segment.value, LogCounts(model.growth)
+        held = broadcast.value
         for batch in batches:
-            for block in batch.to_pylist():
-                codes, sizes, train = _counts(block)
-                hashes = np.append(np.frombuffer(block["hashes"], "<u8"), _START)
-                totals = np.append(_numbers(block["totals"], 6).astype(np.int64), model.texts)
-                kinds = len(hashes) - 1
-                pairs, which = np.unique(_pairs(codes, sizes, kinds), return_inverse=True)
-                history, token = np.divmod(pairs, kinds + 1)
-                keys = _keys(hashes[history], hashes[token])
-                part = _bucket(keys, model.buckets)
-                mine = np.flatnonzero((part >= first) & (part <= last))
-                value = np.zeros(len(pairs))
-                seen, single = totals[history[mine]], model.unigram(totals[token[mine]])
-                count = np.zeros(len(mine))
-                some = np.flatnonzero((seen > 0) & (totals[token[mine]] > 0))  # a bigram of unseen tokens is unseen
-                count[some] = levels.count(held.levels(keys[mine[some]] >> _KEPT, part[mine[some]], model.probes))
-                weight = np.where(seen > 0, model.mix[_class(seen)], 1.0)
-                value[mine] = np.log10((1 - weight) * np.minimum(count / np.maximum(seen, 1), 1) + weight * single)
-                starts = np.cumsum(sizes) - sizes
-                score = np.add.reduceat(value[which], starts)
-                c = totals[codes]
-                if is_first:
-                    each = np.log10((totals + 1) / (model.tokens + model.kinds + 1))
-                    base = np.add.reduceat(each[codes], starts)
-                else:
-                    base = np.zeros(len(sizes))
-                known = np.frombuffer(block["known"], np.uint8) == 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(sizes), block["block"])),
-                        pa.array(np.arange(len(sizes))),
-                        pa.array(np.frombuffer(block["docs"], "<i8"), mask=known),
-                        pa.array(~train),
-                        pa.array(sizes),
-                        pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)),
-                        pa.array(base),
-                        pa.array(score),
-                    ],
-                    [field.split()[0] for field in _SCORES.split(", ")],
+            for block in _rows(batch):
+                yield _block_scores(
+                    model, block, lambda keys: held.levels(keys >> _KEPT, _bucket(keys, model.buckets), model.probes)
                 )
 
     return run
 
 
+def _send_questions(model: Model):
+    """The bigrams that each block asks for, by bucket."""
+
+    def send(batches):
+        for batch in batches:
+            for block in _rows(batch):
+                found = _bigrams(block, model.texts)
+                keys = found.keys[_asked(found)]
+                rows = [
+                    {"bucket": b, "block": block["block"], "keys": _planes(keys[at] >> _KEPT, 6)}
+                    for b, at in _by_bucket(keys, model.buckets)
+                ]
+                schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary())])
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return send
+
+
+def _answer(model: Model):
+    """Levels of the bigrams that blocks ask of one part of the filter."""
+
+    def answer(part: pa.Table, asked: pa.Table) -> pa.Table:
+        levels = []
+        for x in asked["keys"].to_pylist():
+            keys = _numbers(x, 6)
+            found = np.zeros(len(keys), np.int64)
+            if len(part):
+                held = Filter(np.zeros(1, np.int64), part["size"].to_numpy(), part["bits"][0].as_buffer())
+                found = held.levels(keys, np.zeros(len(keys), np.int64), model.probes)
+            levels.append(_planes(found, 3))
+        return pa.table({"bucket": asked["bucket"], "block": asked["block"], "levels": pa.array(levels, pa.binary())})
+
+    return answer
+
+
+def _score_answered(model: Model):
+    """Scores of one block with the levels that were sent back to it."""
+
+    def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        levels = [_numbers(x, 3) for x in answers.sort_by("bucket")["levels"].to_pylist()]
+
+        def levels_of(keys: np.ndarray) -> np.ndarray:
+            back = np.zeros(len(keys), np.int64)
+            if levels:
+                back[np.argsort(keys, kind="stable")] = np.concatenate(levels)
+            return back
+
+        (block,) = _rows(blocks.combine_chunks().to_batches()[0])
+        return pa.Table.from_batches([_block_scores(model, block, levels_of)])
+
+    return score
+
+
 def score_texts(
     docs: DataFrame,
     train: Column | None = None,
     bits: int = 12,
     probes: int = 6,
     growth: float = 1.3,
-    block_bytes: int = 16 << 20,
-    segment_bytes: int = 512 << 20,
+    block_bytes: int = 4 << 20,
+    broadcast_bytes: int = 192 << 20,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
@@ -464,10 +556,9 @@ def score_texts(
 
     packed = saved(_blocks(docs, train, block_bytes), "packed")
     entries, tokens = packed.agg(F.sum("n_vocabulary"), F.sum("n_train")).first()
+    columns = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     if entries is None:
-        return spark.createDataFrame([], _SCORES).select(
-            "doc_id", "held_out", "n_tokens", "n_known", F.lit(0).cast("long").alias("train_tokens"), "base_score", "score"
-        )
+        return spark.createDataFrame([], _SCORES).withColumn("train_tokens", F.lit(0).cast("long")).select(*columns)
     buckets = max(16, -(-entries // 500_000))
     sent = packed.select("block", "codes", "sizes", "train", "hashes").mapInArrow(
         _send_tokens(buckets), "bucket long, block long, hashes binary, counts binary"
@@ -487,26 +578,19 @@ def score_texts(
         _send_bigrams(gram_buckets, texts), "bucket long, keys binary, counts binary, classes binary"
     )
     parts = saved(grams.groupBy("bucket").applyInArrow(_add_bigrams(bits, probes, growth), _PART), "filter")
-    by_class = parts.select(F.posexplode(F.arrays_zip("tokens", "alone")).alias("class", "n")).groupBy("class").agg(
-        F.sum("n.tokens").alias("tokens"), F.sum("n.alone").alias("alone")
-    )
-    mix = np.ones(_CLASSES)
-    for row in by_class.collect():
-        if row["tokens"]:
-            mix[row["class"]] = min(0.99, max(0.01, row["alone"] / row["tokens"]))
-    model = Model(*sums, texts, gram_buckets, mix, probes, growth)
-    found = _segments(parts, segment_bytes) or [(0, gram_buckets - 1)]
-    scored = None
-    for number, (first, last) in enumerate(found):
-        # Together the segments cover all buckets, those without n-grams too.
-        first = 0 if number == 0 else found[number - 1][1] + 1
-        last = gram_buckets - 1 if number == len(found) - 1 else last
-        segment = spark.sparkContext.broadcast(_load(parts, first, last))
-        one = counted.mapInArrow(_score(model, segment, first, last, number == 0), _SCORES)
-        scored = one if scored is None else scored.unionByName(one)
-    if len(found) > 1:
-        same = [F.first(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known")]
-        scored = scored.groupBy("block", "place").agg(*same, F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
-    return scored.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    cells = parts.select(F.explode(F.arrays_zip("cells", "kinds")).alias("x")).groupBy("x.cells").agg(F.sum("x.kinds"))
+    cells = np.array([tuple(row) for row in cells.collect()], np.int64).reshape(-1, 2)  # classes and levels are few
+    model = Model(*sums, texts, gram_buckets, np.ones(_CLASSES), probes, growth)
+    model = replace(model, mix=fit_mix(cells[:, 0], cells[:, 1], model.unigram, growth))
+    if (parts.agg(F.sum("size")).first()[0] or 0) <= 8 * broadcast_bytes:
+        held = spark.sparkContext.broadcast(_load(parts, gram_buckets))
+        scored = counted.mapInArrow(_score_here(model, held), _SCORES)
+    else:
+        asked = counted.mapInArrow(_send_questions(model), "bucket long, block long, keys binary")
+        levels = (
+            parts.groupBy("bucket")
+            .cogroup(asked.groupBy("bucket"))
+            .applyInArrow(_answer(model), "bucket long, block long, levels binary")
+        )
+        scored = counted.groupBy("block").cogroup(levels.groupBy("block")).applyInArrow(_score_answered(model), _SCORES)
+    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long")).select(*columns)

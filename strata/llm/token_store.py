@@ -175,13 +175,11 @@ def encode_words(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     tool = _tokenizer(path)
     split = pc.ascii_split_whitespace(texts)
     words = split.flatten()
-    if len(words) == 0:
+    if not pc.any(pc.not_equal(words, "")).as_py():
         return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
     of = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
     held = tuple(x for x in tool.special if pc.any(pc.match_substring(texts, x)).as_py())
     pieces, whose = _cut_marks(words, held)
-    if len(pieces) == 0:
-        return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
     coded = pieces.dictionary_encode()
     # The vocabulary has no case; beyond ASCII that is left to the tokenizer.
     different = coded.dictionary
