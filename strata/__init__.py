@@ -2,7 +2,7 @@
 
 from strata.functions.casting import count_lost, fit
 from strata.functions.dates import from_epoch_millis, parse_date, period_of
-from strata.functions.protection import hmac_sha256, redact, seal, unseal
+from strata.functions.protection import hmac_sha256, redact, rewrap, seal, unseal
 from strata.operators.conform import (
     conform,
     conform_losses,
@@ -21,6 +21,7 @@ from strata.operators.privacy import (
     pii_encrypt,
     pii_redact,
     pii_remove,
+    pii_rewrap,
     pii_scan,
     pii_tokenize,
     vault_additions,
@@ -131,6 +132,7 @@ __all__ = [
     "pii_encrypt",
     "pii_redact",
     "pii_remove",
+    "pii_rewrap",
     "pii_scan",
     "pii_tokenize",
     "pit_partition",
@@ -155,6 +157,7 @@ __all__ = [
     "reprocess",
     "resolve_schema",
     "retain_last",
+    "rewrap",
     "roll_forward",
     "roll_snapshots",
     "route",

@@ -12,9 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    AtomicType,
     ByteType,
+    CharType,
     DataType,
     DecimalType,
+    DoubleType,
+    FloatType,
+    FractionalType,
     IntegerType,
     IntegralType,
     LongType,
@@ -23,6 +28,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    VarcharType,
 )
 
 _LIMITS = {ByteType: 2**7, ShortType: 2**15, IntegerType: 2**31, LongType: 2**63}
@@ -43,16 +49,6 @@ def _same(source: DataType, target: DataType) -> bool:
     return source.simpleString() == target.simpleString()
 
 
-def _holds_struct(dtype: DataType) -> bool:
-    if isinstance(dtype, StructType):
-        return True
-    if isinstance(dtype, ArrayType):
-        return _holds_struct(dtype.elementType)
-    if isinstance(dtype, MapType):
-        return _holds_struct(dtype.keyType) or _holds_struct(dtype.valueType)
-    return False
-
-
 def _child(source: StructType, name: str, case_sensitive: bool) -> StructField:
     field = find_field(source, name, case_sensitive)
     if field is None:
@@ -67,6 +63,9 @@ def _try_cast(column: Column, source: DataType, target: DataType) -> Column:
     microseconds each. A value out of range, or a text without any digit, is
     recognised without one.
     """
+    if isinstance(target, (CharType, VarcharType)):
+        text = column.cast("string")
+        return F.when(F.char_length(text) <= target.length, text)
     attempt = column.try_cast(target)
     if isinstance(source, IntegralType) and type(target) in _LIMITS:
         limit = _LIMITS[type(target)]
@@ -76,6 +75,32 @@ def _try_cast(column: Column, source: DataType, target: DataType) -> Column:
     return attempt
 
 
+def _always_fits(source: DataType, target: DataType) -> bool:
+    """Casts that cannot fail, whatever the value."""
+    if type(target) is StringType:
+        return isinstance(source, AtomicType)
+    widths = [ByteType, ShortType, IntegerType, LongType]
+    if type(source) in widths and type(target) in widths:
+        return widths.index(type(source)) <= widths.index(type(target))
+    return isinstance(source, (IntegralType, FloatType)) and isinstance(target, DoubleType)
+
+
+def _strictly(column: Column, source: DataType, target: DataType) -> Column:
+    """The cast, with the failure built in: it does not depend on the session's ANSI mode."""
+    if _always_fits(source, target):
+        return column.cast(target)
+    if not isinstance(source, AtomicType):
+        return column.cast(target)
+    value = _try_cast(column, source, target)
+    kind = target.simpleString()
+    misfit = F.raise_error(F.concat(column.cast("string"), F.lit(f" does not fit {kind}"))).cast(_plain(target))
+    return F.when(column.isNull() | value.isNotNull(), value).otherwise(misfit)
+
+
+def _plain(target: DataType) -> DataType:
+    return StringType() if isinstance(target, (CharType, VarcharType)) else target
+
+
 def fit(
     column: Column,
     source: DataType,
@@ -95,15 +120,15 @@ def fit(
             )
             children.append(value.alias(wanted.name))
         return F.when(column.isNotNull(), F.struct(*children))
-    # A cast of the whole collection stays inside generated code, so elements are
-    # visited one by one only where a cast cannot express the change.
-    by_element = lenient or _holds_struct(source)
-    if isinstance(source, ArrayType) and isinstance(target, ArrayType) and by_element:
+    if isinstance(source, ArrayType) and isinstance(target, ArrayType):
+        # A cast of the whole collection stays inside generated code.
+        if _always_fits(source.elementType, target.elementType):
+            return column.cast(target)
         return F.transform(
             column,
             lambda item: fit(item, source.elementType, target.elementType, lenient, case_sensitive),
         )
-    if isinstance(source, MapType) and isinstance(target, MapType) and by_element:
+    if isinstance(source, MapType) and isinstance(target, MapType):
         out = column
         if not _same(source.valueType, target.valueType):
             out = F.transform_values(
@@ -116,13 +141,17 @@ def fit(
                 out, lambda k, _: fit(k, source.keyType, target.keyType, False, case_sensitive)
             )
         return out
-    return _try_cast(column, source, target) if lenient else column.cast(target)
+    return _try_cast(column, source, target) if lenient else _strictly(column, source, target)
 
 
 def count_lost(
     column: Column, source: DataType, target: DataType, case_sensitive: bool = False
 ) -> Column:
-    """How many non-null values inside ``column`` a lenient fit would turn into null."""
+    """How many non-null values inside ``column`` a fit would change beyond their type.
+
+    That is, values that a lenient fit turns into null, and numbers that lose a fraction in
+    either mode.
+    """
     nothing = F.lit(0).cast("long")
     if _same(source, target):
         return nothing
@@ -139,7 +168,12 @@ def count_lost(
     elif isinstance(source, MapType) and isinstance(target, MapType):
         items, old, new = F.map_values(column), source.valueType, target.valueType
     else:
-        lost = column.isNotNull() & _try_cast(column, source, target).isNull()
+        value = _try_cast(column, source, target)
+        lost = column.isNotNull() & value.isNull()
+        if isinstance(source, FractionalType) and isinstance(target, (IntegralType, DecimalType)):
+            exact = isinstance(target, IntegralType) or isinstance(source, DecimalType)
+            if exact:  # a double is hardly ever a decimal exactly
+                lost = lost | F.coalesce(value.cast(source) != column, F.lit(False))
         return F.when(lost, F.lit(1)).otherwise(F.lit(0)).cast("long")
     added = F.aggregate(
         items, nothing, lambda acc, item: acc + count_lost(item, old, new, case_sensitive)

@@ -63,8 +63,10 @@ def conform(df: DataFrame, schema: Declared, mode: str = "strict") -> DataFrame:
     """Exactly the declared columns, in declared order, in the declared types.
 
     One projection, so the scan below reads only these columns. A missing column
-    fails analysis. In strict mode a value that does not fit fails the job (ANSI);
-    in lenient mode it becomes null, see :func:`conform_losses`.
+    fails analysis. In strict mode a value that does not fit fails the job, whatever the
+    session's ANSI setting; in lenient mode it becomes null. A number keeps its whole part
+    where the declared type has no fraction, in both modes; :func:`conform_losses` counts
+    these cases too.
     """
     lenient = _check_mode(mode)
     exact = _case_sensitive(df)
@@ -79,7 +81,7 @@ def conform(df: DataFrame, schema: Declared, mode: str = "strict") -> DataFrame:
 
 
 def conform_losses(df: DataFrame, schema: Declared) -> DataFrame:
-    """Rows ``(column_name, lost)``: how many values a lenient conform turns into null.
+    """Rows ``(column_name, lost)``: how many values become null in a lenient conform, or lose a fraction.
 
     One pass over the declared columns, reduced on the map side.
     """

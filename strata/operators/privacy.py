@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
-from strata.functions.columns import named
+from strata.functions.columns import named, quoted
 from strata.functions.protection import (
-    PII_PATTERNS,
+    chosen_patterns,
     count_kind,
     has_digit,
     hmac_sha256,
     redact_kind,
+    rewrap,
     seal,
     unseal,
 )
@@ -21,29 +23,88 @@ from strata.plans.skew import lookup_join
 
 
 def pii_remove(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Drop fields; a dotted name drops a field inside a struct. Unknown names raise."""
+    """Drop fields; a dotted name drops a field inside structs, or inside arrays of structs.
+
+    A name that is not in the schema raises, at whatever depth: the data would stay in.
+    Names that hold dots themselves are found too.
+    """
     for name in fields:
-        top, _, inner = name.partition(".")
-        if top not in df.columns:
-            raise ValueError(f"no column {top!r}")
-        if inner:
-            df = df.withColumn(top, named(top).dropFields(inner))
+        top, rest = _resolve(df.schema, name)
+        if rest:
+            df = df.withColumn(top, _without(named(top), df.schema[top].dataType, rest, name))
         else:
             df = df.drop(top)
     return df
 
 
+def _resolve(schema: StructType, path: str) -> tuple[str, str]:
+    """The field that ``path`` begins with, and what is left of it."""
+    parts = path.split(".")
+    for k in range(len(parts), 0, -1):
+        name = ".".join(parts[:k])
+        if name in schema.names:
+            return name, ".".join(parts[k:])
+    raise ValueError(f"no field {path!r} in {schema.simpleString()}")
+
+
+def _without(column: Column, dtype: DataType, path: str, whole: str) -> Column:
+    if isinstance(dtype, ArrayType):
+        return F.transform(column, lambda item: _without(item, dtype.elementType, path, whole))
+    if not isinstance(dtype, StructType):
+        raise ValueError(f"{whole!r} leads into {dtype.simpleString()}, which has no fields")
+    name, rest = _resolve(dtype, path)
+    if rest:
+        return column.withField(quoted(name), _without(column[name], dtype[name].dataType, rest, whole))
+    if len(dtype.fields) == 1:
+        raise ValueError(f"{whole!r} is the only field; remove what holds it")
+    return column.dropFields(quoted(name))
+
+
+_SEALED_TYPE = "sealed_type"
+
+
 def pii_encrypt(
     df: DataFrame, columns: Sequence[str], master: bytes, key_id: str, data_key: bytes | None = None
 ) -> DataFrame:
-    """Replace text columns by their encrypted form, on the executors."""
-    sealed = {name: seal(named(name), master, key_id, data_key) for name in columns}
-    return df.withColumns(sealed)
+    """Replace columns by their encrypted form, on the executors.
+
+    The type of each is kept in the column's metadata, which Parquet files keep too.
+    """
+    sealed = {
+        name: seal(named(name), master, key_id, data_key).alias(
+            name, metadata={_SEALED_TYPE: df.schema[name].dataType.simpleString()}
+        )
+        for name in columns
+    }
+    return df.select(*[sealed.get(name, named(name)) for name in df.columns])
+
+
+def pii_decrypt(
+    df: DataFrame,
+    columns: Sequence[str],
+    masters: Mapping[str, bytes],
+    types: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The reverse of :func:`pii_encrypt`; ``masters`` holds every key id still in use.
+
+    Values get the type that the column's metadata names, or that of ``types``; else text.
+    """
+    opened = {}
+    for name in columns:
+        kind = (types or {}).get(name) or df.schema[name].metadata.get(_SEALED_TYPE, "string")
+        opened[name] = unseal(named(name), masters).cast(kind).alias(name, metadata={})
+    return df.select(*[opened.get(name, named(name)) for name in df.columns])
 
 
-def pii_decrypt(df: DataFrame, columns: Sequence[str], masters: Mapping[str, bytes]) -> DataFrame:
-    """The reverse of :func:`pii_encrypt`; ``masters`` holds every key id still in use."""
-    return df.withColumns({name: unseal(named(name), masters) for name in columns})
+def pii_rewrap(
+    df: DataFrame, columns: Sequence[str], masters: Mapping[str, bytes], master: bytes, key_id: str
+) -> DataFrame:
+    """Encrypted columns under another master key, without decrypting the values."""
+    changed = {
+        name: rewrap(named(name), masters, master, key_id).alias(name, metadata=df.schema[name].metadata)
+        for name in columns
+    }
+    return df.select(*[changed.get(name, named(name)) for name in df.columns])
 
 
 def pii_tokenize(df: DataFrame, columns: Sequence[str], key: bytes) -> DataFrame:
@@ -101,25 +162,35 @@ def pii_detokenize(
 
 
 def pii_redact(
-    df: DataFrame, columns: Sequence[str], kinds: Sequence[str] | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    kinds: Sequence[str] | None = None,
+    patterns: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Replace sensitive spans inside whole texts by the name of their kind."""
+    """Replace sensitive spans inside whole texts by the name of their kind.
+
+    ``patterns`` adds kinds of the caller's, as Java regular expressions.
+    """
     flags = {name: f"__digit_{i}" for i, name in enumerate(columns)}
     df = df.withColumns({flag: has_digit(named(name)) for name, flag in flags.items()})
-    for kind in list(PII_PATTERNS) if kinds is None else kinds:
+    for kind, pattern in chosen_patterns(kinds, patterns).items():
         df = df.withColumns(
-            {name: redact_kind(named(name), kind, F.col(flag)) for name, flag in flags.items()}
+            {name: redact_kind(named(name), kind, pattern, F.col(flag)) for name, flag in flags.items()}
         )
     return df.drop(*flags.values())
 
 
 def pii_scan(
-    df: DataFrame, column: str, by: Sequence[str] = (), kinds: Sequence[str] | None = None
+    df: DataFrame,
+    column: str,
+    by: Sequence[str] = (),
+    kinds: Sequence[str] | None = None,
+    patterns: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Rows ``(*by, kind, hits, rows_hit)``: what a redaction would find, all kinds in one pass."""
-    chosen = list(PII_PATTERNS) if kinds is None else list(kinds)
+    chosen = chosen_patterns(kinds, patterns)
     text = named(column)
-    counts = {f"c{i}": count_kind(text, kind) for i, kind in enumerate(chosen)}
+    counts = {f"c{i}": count_kind(text, *item) for i, item in enumerate(chosen.items())}
     groups = [named(name) for name in by]
     counted = df.select(*groups, *[cell.alias(name) for name, cell in counts.items()])
     totals = []
