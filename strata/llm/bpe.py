@@ -26,22 +26,29 @@ from pyspark.sql import functions as F
 
 from strata.llm.vocabulary import PIECES, Vocabulary, load
 
-_REMEMBERED = 400_000  # pieces; more are found again
+_REMEMBERED = 100_000  # pieces, twice; more are found again
 _LONG_PIECE = 64
 
 
 class _Pieces(dict):
-    """Ids of a piece as bytes of unsigned 32-bit numbers, found when first asked for."""
+    """Ids of a piece as bytes of unsigned 32-bit numbers, found when first asked for.
+
+    When it is full, what it holds is put aside, and pieces that are asked for again come back.
+    """
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self._encoder = encoder
+        self._aside: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self._encoder.encode_piece(piece.encode("utf-8"))
-        value = struct.pack(f"<{len(ids)}I", *ids)
+        value = self._aside.get(piece)
+        if value is None:
+            ids = self._encoder.encode_piece(piece.encode("utf-8"))
+            value = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= _LONG_PIECE:
             if len(self) >= _REMEMBERED:
+                self._aside = dict(self)
                 self.clear()
             self[piece] = value
         return value
@@ -94,10 +101,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(load(path))
 
 
+def _small(batches, rows: int = 256):
+    """Few rows at a time, so that what is made of them takes little room."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _texts(column: pa.Array):
-    for start in range(0, len(column), 256):  # a few texts at a time as Python strings
-        for text in column.slice(start, 256).to_pylist():
-            yield text or ""
+    for text in column:
+        yield text.as_py() or ""
 
 
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
@@ -105,9 +118,11 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         tool = encoder(path)
-        for batch in batches:
-            ids = [np.frombuffer(tool.encode(text), "<u4").astype(np.int32) for text in _texts(batch.column("text"))]
-            column = pa.array(ids, pa.list_(pa.int32()))
+        for batch in _small(batches):
+            found = [tool.encode(text) for text in _texts(batch.column("text"))]
+            ends = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in found])]).astype(np.int32)
+            ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
+            column = pa.ListArray.from_arrays(pa.array(ends), ids)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", "ids"])
 
     return _narrow(docs).mapInArrow(run, "doc_id long, ids array<int>")
@@ -118,7 +133,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         tool = encoder(path)
-        for batch in batches:
+        for batch in _small(batches):
             texts = [tool.decode(np.array(ids or [], np.uint32)) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
@@ -131,7 +146,7 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         tool = encoder(path)
-        for batch in batches:
+        for batch in _small(batches):
             counts, codes, texts = [], [], []
             for text in _texts(batch.column("text")):
                 ids = tool.encode(text)

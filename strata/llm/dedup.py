@@ -130,7 +130,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return _mix(keys + np.arange(1, bands + 1, dtype=np.uint64)[None, :] * np.uint64(_GOLDEN))
 
 
-def _pieces(texts: pa.Array, most: int = 2 << 20):
+def _pieces(texts: pa.Array, most: int = 512 << 10):
     """Neighbouring texts of about ``most`` bytes together."""
     total, start = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)), 0
     while start < len(texts):

@@ -17,6 +17,7 @@ blocks, which read as an empty result.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -29,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_REMEMBERED = 600_000  # words; more are encoded again
+_REMEMBERED = 800_000  # words; more are encoded again
 _LONG_WORD = 64
 _PLAIN = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # no apostrophe: it may begin a piece with the letters after it
@@ -102,6 +103,11 @@ class _Words:
         special = {x.content: i for i, x in self._tool.get_added_tokens_decoder().items() if x.special}
         self._border = min(special.items(), default=None)
         self.special = tuple(special)
+        with open(path, encoding="utf-8") as file:
+            suffix = json.load(file)["model"].get("end_of_word_suffix")
+        vocabulary = self._tool.get_vocab()
+        self._ends_word = np.zeros(1 + max(vocabulary.values()), bool)
+        self._ends_word[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -112,24 +118,39 @@ class _Words:
         """An array of ids, and where in it those of each of the different ``words`` begin and end."""
         if len(self._words) > _REMEMBERED:
             self._forget()
-        missing = words.filter(pc.invert(pc.is_in(words, value_set=self._words)))
-        if len(missing):
-            ids, sizes = self._encode(missing.to_pylist())
+        place = pc.fill_null(pc.index_in(words, value_set=self._words), -1).to_numpy(zero_copy_only=False).copy()
+        # Words of letters alone come first, as they are encoded in another way.
+        new = np.flatnonzero(place < 0)
+        letters = pc.match_substring_regex(words, "^[a-z]+$").to_numpy(zero_copy_only=False)[new]
+        new = np.concatenate([new[letters], new[~letters]])
+        if len(new):
+            place[new] = len(self._words) + np.arange(len(new))
+            missing = words.take(pa.array(new))
+            ids, sizes = self._encode(missing.to_pylist(), int(letters.sum()))
             before = len(self._ids)
             self._words = pa.concat_arrays([self._words, missing])
             self._ids = np.concatenate([self._ids, ids])
             self._ends = np.concatenate([self._ends, before + np.cumsum(sizes)])
-        place = pc.index_in(words, value_set=self._words).to_numpy(zero_copy_only=False)
         begins = np.concatenate([[0], self._ends])
         return self._ids, begins[place], begins[place + 1]
 
     def _one(self, text: str) -> np.ndarray:
         return np.array(self._tool.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words one after the other, and how many each has."""
+    def _encode(self, words: list[str], letters: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has.
+
+        The first ``letters`` words are of letters alone. Such a word ends with the first token
+        that has the mark for it, so white space is border enough.
+        """
         found = []
-        for start in range(0, len(words), 512):
+        for start in range(0, letters, 64):
+            part = words[start : min(start + 64, letters)]
+            ids = self._one(" ".join(part))
+            ends = np.flatnonzero(self._ends_word[ids]) + 1
+            same = len(ends) == len(part) and ends[-1] == len(ids)
+            found += np.split(ids, ends[:-1]) if same else [self._one(word) for word in part]
+        for start in range(letters, len(words), 512):
             part = words[start : start + 512]
             if self._border is None or any(x in word for word in part for x in self.special):
                 found += [self._one(word) for word in part]
@@ -214,7 +235,7 @@ def open_block(packed: bytes) -> tuple[pa.Array, np.ndarray, Codes]:
     return pa.array(numbers, mask=known == 0), counts, Codes(packed[4 + 17 * docs :])
 
 
-def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch_bytes: int = 16 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch_bytes: int = 3 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in order of doc_id.
 
     A block holds whole documents of about ``batch_bytes`` of text.
@@ -254,20 +275,23 @@ def _blocks(spark: SparkSession, folder: str) -> DataFrame:
     return blocks.join(F.broadcast(offsets), "part").withColumn("start", F.col("offset") + F.col("before"))
 
 
+def _documents(batches):
+    """Of each block: doc_id, start and number of tokens of its documents, and their ids as bytes."""
+    for batch in batches:
+        for start, block in zip(batch.column("start"), batch.column("block"), strict=True):
+            doc_ids, counts, codes = open_block(block.as_buffer())
+            data = memoryview(codes.take(np.arange(len(codes))).astype("<u4").tobytes())
+            ends = np.cumsum(counts)
+            ids = [data[4 * int(a) : 4 * int(b)] for a, b in zip(ends - counts, ends, strict=True)]
+            yield doc_ids, pa.array(start.as_py() + ends - counts), pa.array(counts), ids
+
+
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ``ids`` (little-endian unsigned 32-bit numbers) of every document."""
 
     def run(batches):
-        for batch in batches:
-            for begin, packed in zip(batch.column("start").to_pylist(), batch.column("block").to_pylist(), strict=True):
-                doc_ids, counts, codes = open_block(packed)
-                data = codes.take(np.arange(len(codes))).astype("<u4").tobytes()
-                ends = np.cumsum(counts)
-                ids = [data[4 * int(a) : 4 * int(b)] for a, b in zip(ends - counts, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(begin + ends - counts), pa.array(counts), pa.array(ids, pa.binary())],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
+        for *columns, ids in _documents(batches):
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
     return _blocks(spark, folder).select("start", "block").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
@@ -277,8 +301,9 @@ def tokens_at(spark: SparkSession, folder: str, positions: list[int]) -> DataFra
 
     def run(batches):
         for batch in batches:
-            for begin, packed, wanted in zip(*(batch.column(c).to_pylist() for c in ("start", "block", "wanted")), strict=True):
-                ids = open_block(packed)[2].take(np.array(wanted) - begin)
+            for begin, block, places in zip(*(batch.column(c) for c in ("start", "block", "wanted")), strict=True):
+                wanted = places.as_py()
+                ids = open_block(block.as_buffer())[2].take(np.array(wanted) - begin.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(ids.astype(np.int64))], ["position", "token_id"])
 
     inside = F.filter(
@@ -293,11 +318,9 @@ def stored_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and the crc32 of the stored ids of every document."""
 
     def run(batches):
-        for batch in batches:
-            sums = [zlib.crc32(ids) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("doc_id", "start", "n_tokens")] + [pa.array(sums, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
+        for doc_ids, starts, counts, ids in _documents(batches):
+            sums = pa.array([zlib.crc32(x) for x in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([doc_ids, starts, counts, sums], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_tokens(spark, folder).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    blocks = _blocks(spark, folder).select("start", "block")
+    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
