@@ -384,13 +384,16 @@ def _add_bigrams(bits: int, probes: int, growth: float):
 def _load(parts: DataFrame, buckets: int) -> Filter:
     """The whole filter, whose size has been checked."""
     table = parts.select("bucket", "size", "bits").toArrow()
-    begin, size, bits, at = np.zeros(buckets, np.int64), np.full(buckets, 64, np.int64), [bytes(8)], 64
+    begin, size, bits, at, held = np.zeros(buckets, np.int64), np.full(buckets, 64, np.int64), [bytes(8)], 64, None
     # A bucket without n-grams reads the first bits, which are not set.
-    for bucket, n, held in zip(*(table[c].to_pylist() for c in ("bucket", "size", "bits")), strict=True):
+    for bucket, n, held in zip(table["bucket"].to_pylist(), table["size"].to_pylist(), table["bits"], strict=True):
         begin[bucket], size[bucket] = at, n
-        bits.append(held)
-        at += 8 * len(held)
-    return Filter(begin, size, b"".join(bits))
+        bits.append(held.as_buffer())  # not copied
+        at += 8 * bits[-1].size
+    whole = b"".join(bits)
+    del table, bits, held
+    pa.default_memory_pool().release_unused()
+    return Filter(begin, size, whole)
 
 
 def fit_mix(cells: np.ndarray, kinds: np.ndarray, unigram, growth: float) -> np.ndarray:
