@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from strata.functions.columns import named, quoted
 from strata.functions.dates import parse_date
 from strata.operators.grain import assert_grain
-from strata.plans.skew import hot_key_hashes, lookup_join
 from strata.plans.sizing import broadcasts_anyway
-from strata.session import cut_lineage
+from strata.plans.skew import hot_keys, key_kinds, lookup_join
 
 
 def standardize(
@@ -55,11 +54,12 @@ class Enrichment:
 def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFrame:
     """``base`` with related attributes added by left outer joins; its rows stay as they are.
 
-    Small sides are broadcast by Spark. For larger ones hot keys are split off, see
-    :mod:`strata.plans.skew`; a second split would evaluate the first one twice, so
-    the frame is checkpointed in between.
+    Small sides are broadcast by Spark. For larger ones hot keys are spread over several
+    tasks, see :mod:`strata.plans.skew`; one pass over ``base`` finds them for all lookups
+    whose keys are columns of ``base``. Keys that an earlier lookup adds are left to Spark's
+    own treatment of skew, unless ``split_hot`` asks for more.
     """
-    result, forks = base, 0
+    sides = []
     for item in enrichments:
         keys = [f"__key_{i}" for i in range(len(item.on))]
         pairs = zip(item.on.values(), keys, strict=True)
@@ -72,23 +72,31 @@ def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFram
         )
         if item.unique:
             assert_grain(attributes.filter(F.col(keys[0]).isNotNull()), keys)
-        hot: list[int] = []
-        splits = item.split_hot
-        if splits is None:
-            splits = not broadcasts_anyway(attributes)
-        if splits:
-            # Look for hot keys in the scan where they come from, if they are there.
-            known = set(item.on) <= set(base.columns)
-            hot = hot_key_hashes(base if known else result, list(item.on))
-            if hot and forks:
-                result = cut_lineage(result)
-            forks += bool(hot)
-        result = lookup_join(
-            result, attributes, dict(zip(item.on, keys, strict=True)), split_hot=splits, hot=hot
-        )
+        sides.append((item, attributes, dict(zip(item.on, keys, strict=True))))
+    hot = _hot_keys_of_base(base, sides)
+    result = base
+    for i, (item, attributes, on) in enumerate(sides):
+        here = set(item.on) <= set(base.columns)
+        split = (i in hot or item.split_hot) if here or item.split_hot else False
+        result = lookup_join(result, attributes, on, split_hot=split, hot=hot.get(i))
     return result
 
 
+def _hot_keys_of_base(base: DataFrame, sides: Sequence[tuple]) -> dict[int, dict[int, int]]:
+    """Hot keys of the lookups that need them and whose keys are in ``base``, by their number."""
+    wanted = {}
+    for i, (item, attributes, on) in enumerate(sides):
+        if item.split_hot is False or not set(item.on) <= set(base.columns):
+            continue
+        kinds = key_kinds(base, attributes, on)
+        if kinds is not None and (item.split_hot or not broadcasts_anyway(attributes)):
+            wanted[i] = (list(item.on), kinds)
+    if not wanted:
+        return {}
+    found = hot_keys(base, [keys for keys, _ in wanted.values()], [kinds for _, kinds in wanted.values()])
+    return dict(zip(wanted, found, strict=True))
+
+
 def _most_rows(df: DataFrame, keys: list[Column]) -> int:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.max("n").alias("most")).first()["most"] or 0
@@ -99,18 +107,18 @@ def nest_attribute(
     keys: Sequence[str],
     value: str,
     name: str | None = None,
-    max_values: int = 1_000_000,
+    max_values: int | None = None,
 ) -> DataFrame:
     """Child rows folded into one sorted array of distinct values per key.
 
     Repeated values are removed first, on the map side too, so only what ends up in
-    an array is gathered. Null values are left out. An array is one cell of one row:
-    if a key turns out to have more than ``max_values`` values, this raises before
-    anything is gathered (counting runs a job over the key columns).
+    an array is gathered. Null values are left out. An array is one cell of one row: where
+    that may get too large, ``max_values`` has the values counted first, and raises before
+    anything is gathered.
     """
     names = [named(key) for key in keys]
     distinct = children.select(*names, named(value)).distinct()
-    if _most_rows(children, names) > max_values and _most_rows(distinct, names) > max_values:
+    if max_values is not None and _most_rows(distinct, names) > max_values:
         raise ValueError(f"more than {max_values} values of {value!r} for one {list(keys)}")
     folded = F.array_sort(F.collect_list(quoted(value))).alias(name or value)
     return distinct.groupBy(*names).agg(folded)

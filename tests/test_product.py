@@ -32,7 +32,7 @@ from strata.plans.sizing import (
     task_sizes,
     within,
 )
-from strata.plans.skew import hot_key_hashes
+from strata.plans.skew import hot_keys
 
 BOOK = "title string, publish_date string, author string"
 AUTHOR = "name string, id bigint, birth_date string"
@@ -124,9 +124,17 @@ def skewed(spark, n=9000):
 def test_hot_keys_are_found(spark):
     df = skewed(spark)
     hashes = {r[0]: r[1] for r in spark.sql("select 1 as k, xxhash64(1L) union all select null, xxhash64(null)").collect()}
-    assert set(hot_key_hashes(df, ["k"])) == set(hashes.values())
-    assert hot_key_hashes(spark.range(5000), ["id"]) == []
-    assert hot_key_hashes(spark.range(0), ["id"]) == []
+    both = df.withColumn("d", F.col("k").cast("double"))
+    found, as_double = hot_keys(both, [["k"], ["d"]])
+    assert set(found) == set(hashes.values()) and len(as_double) == 2
+    assert all(300 <= salts <= 400 for salts in found.values())  # a third of 1024 shares
+    assert hot_keys(spark.range(5000), [["id"]]) == [{}]
+    assert hot_keys(spark.range(0), [["id"]]) == [{}]
+
+
+def test_key_with_one_row_in_three_hundred_is_found(spark):
+    df = spark.range(90_000).select(F.when(F.col("id") % 300 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert len(hot_keys(df, [["k"]])[0]) == 1
 
 
 @pytest.mark.parametrize("how", ["left_outer", "left_semi", "left_anti"])
@@ -139,8 +147,9 @@ def test_split_equals_plain_join(spark, rows, plan, how):
     try:
         split = lookup_join(left, right, {"k": "rk"}, how)
         text = plan(split)
-        # Hot keys are joined without a shuffle, the others with one.
-        assert "BroadcastHashJoin" in text and "SortMergeJoin" in text
+        # One join over one scan of either side; only the list of hot keys is broadcast.
+        assert text.count("SortMergeJoin") == 1 and "__salt" in text
+        assert text.count("Range (0, 9000, step=1") == 1
         assert rows(split) == rows(lookup_join(left, right, {"k": "rk"}, how, split_hot=False))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -150,30 +159,33 @@ def test_split_across_integer_types(spark, plan):
     left = skewed(spark).select("id", F.col("k").cast("int").alias("k"))
     right = spark.range(3000).select(F.col("id").alias("rk"), F.lit("v").alias("v"))
     out = lookup_join(left, right, {"k": "rk"}, split_hot=True)
-    assert plan(out).count("Join") == 2
+    assert "__salt" in plan(out)
     plain = lookup_join(left, right, {"k": "rk"}, split_hot=False)
     assert out.filter("v is null").count() == plain.filter("v is null").count()
 
 
-def test_no_split_where_hashes_could_differ(spark, rows):
-    left = spark.sql("select * from values (0.0D, 1), (-0.0D, 2), (0.0D, 3) as t(k, i)")
-    right = spark.sql("select 0.0D as k, 'zero' as v")
+@pytest.mark.parametrize("kind", ["double", "float", "int"])
+def test_split_of_numbers_of_unlike_types(spark, rows, kind):
+    left = spark.sql("select * from values (0.0D, 1), (-0.0D, 2), (0.0D, 3), (2.0D, 4), (double('nan'), 5) as t(k, i)")
+    right = spark.sql(f"select cast(0 as {kind}) as k, 'zero' as v union all select cast(2 as {kind}), 'two'")
     assert rows(lookup_join(left, right, {"k": "k"}, split_hot=True), "i", "v") == [
-        (1, "zero"), (2, "zero"), (3, "zero"),
+        (1, "zero"), (2, "zero"), (3, "zero"), (4, "two"), (5, None),
     ]
 
 
 def test_no_split_where_text_collates(spark):
     left = spark.sql("select collate('A', 'UTF8_LCASE') as k from range(10)")
     right = spark.sql("select collate('a', 'UTF8_LCASE') as k, 1 as v")
-    assert lookup_join(left, right, {"k": "k"}, split_hot=True).filter("v = 1").count() == 10
+    assert lookup_join(left, right, {"k": "k"}).filter("v = 1").count() == 10
+    with pytest.raises(ValueError, match="may differ"):
+        lookup_join(left, right, {"k": "k"}, split_hot=True)
 
 
 def test_null_lookup_keys_do_not_prevent_the_split(spark, plan):
     left = skewed(spark)
     right = spark.range(500).selectExpr("if(id < 400, null, id) as rk", "id as v")
-    out = lookup_join(left, right, {"k": "rk"}, split_hot=True, bound=Bound(rows=100))
-    assert plan(out).count("Join") == 2
+    out = lookup_join(left, right, {"k": "rk"}, split_hot=True)
+    assert "__salt" in plan(out)
     assert out.count() == left.count()
 
 
@@ -184,11 +196,31 @@ def test_lookup_must_not_repeat_a_column(spark):
     assert lookup_join(left, left, {"id": "id"}, "left_semi").columns == ["id", "v"]
 
 
-def test_oversized_hot_side_is_not_broadcast(spark, rows):
-    left = spark.range(100).selectExpr("id", "1L as k")
-    right = spark.createDataFrame([(1, "x" * 100)], "rk bigint, v string")
-    out = lookup_join(left, right, {"k": "rk"}, split_hot=True, bound=Bound(rows=10, bytes=50))
-    assert out.filter("v is not null").count() == 100
+def test_wide_lookup_rows_of_hot_keys_are_repeated_not_broadcast(spark, plan):
+    left = spark.range(100).selectExpr("1L as k", "'the same row' as t")
+    right = spark.createDataFrame([(1, ["x" * 100] * 50)], "rk bigint, v array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup_join(left, right, {"k": "rk"})
+        assert "SortMergeJoin" in plan(out) and out.columns == ["k", "t", "v"]
+        assert out.filter("v is not null").count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_one_scan_of_the_base_and_no_checkpoint(spark, plan):
+    path = working_folder(spark, "base")
+    skewed(spark).withColumn("j", F.col("id") % 2).write.parquet(path)
+    one = spark.range(500).selectExpr("id as a", "id as x")
+    two = spark.range(500).selectExpr("id as b", "id as y")
+    out = wide_product(
+        spark.read.parquet(path),
+        [Enrichment(one, {"k": "a"}, {"x": "x"}, split_hot=True), Enrichment(two, {"j": "b"}, {"y": "y"}, split_hot=True)],
+    )
+    text = plan(out)
+    assert text.count("FileScan parquet") == 1 and "ExistingRDD[id" not in text and "Union" not in text
+    assert out.count() == 9000 and out.filter("y is null").count() == 0
 
 
 def test_measured_bound(spark):

@@ -20,6 +20,7 @@ _CURRENT = f"""
 select user_id, ts, event_id, event_type, value from ({_LATEST_EVENT}) where rn = 1 and not deleted
 """
 ORACLE["merge_latest"] = _CURRENT
+ORACLE["merge_both_ways"] = f"select way, s.* from ({_CURRENT}) s, (values ('broadcast'), ('joined')) w(way)"
 ORACLE["current_state_incremental"] = _CURRENT
 ORACLE["current_state_partitioned"] = _CURRENT
 
@@ -192,7 +193,7 @@ from orders
 _PRODUCT = """
     select o.*, c.c_name as customer_name, n.n_name as nation, r.r_name as region
     from orders o
-    left join (select * from customer where c_mktsegment = 'BUILDING') c on o.o_custkey = c.c_custkey
+    left join customer c on o.o_custkey = c.c_custkey and o.o_orderstatus <> 'P'
     left join nation n on c.c_nationkey = n.n_nationkey
     left join region r on n.n_regionkey = r.r_regionkey
 """
@@ -203,7 +204,7 @@ select o_orderkey, o_totalprice, customer_name, nation, region from ({_PRODUCT})
 
 ORACLE["wide_product_hot"] = """
 select event_id, user_id, event_type, c_name as customer_name, n_name as nation
-from events
+from (select event_id, event_type, case when event_id % 300 = 0 then 1 else user_id end as user_id from events)
 left join customer on user_id = c_custkey
 left join nation on c_nationkey = n_nationkey
 """
@@ -231,10 +232,12 @@ select o_custkey, array_to_string(labels, '|') as labels from ({_LABELS})
 ORACLE["attach_nested"] = """
 with nested as (
     select l_orderkey, list_sort(list(distinct l_partkey)) as parts
-    from lineitem where l_returnflag = 'R' group by 1
+    from lineitem group by 1
+), keyed as (
+    select case when o_orderstatus <> 'P' then o_orderkey else -1 - o_orderkey end as o_orderkey, o_orderstatus from orders
 )
-select o_orderkey, o_orderstatus, coalesce(array_to_string(parts, '|'), '') as returned
-from orders left join nested on o_orderkey = l_orderkey
+select o_orderkey, o_orderstatus, coalesce(array_to_string(nested.parts, '|'), '') as parts
+from keyed left join nested on o_orderkey = l_orderkey
 """
 
 ORACLE["array_filter"] = f"""
@@ -285,14 +288,19 @@ _PIT = f"""
 
 ORACLE["pit_snapshots"] = _PIT
 
-ORACLE["roll_snapshots"] = _PIT
+# Two months after the last order that have none.
+_PIT_LONGER = _PIT.replace(
+    "date_trunc('month', max(o_orderdate))::timestamp", "date_trunc('month', max(o_orderdate))::timestamp + interval 2 month"
+)
+
+ORACLE["roll_snapshots"] = _PIT_LONGER
 
 ORACLE["load_period"] = """
 with ranked as (
     select y.period, o.*, row_number() over (
         partition by y.period, o.o_custkey order by o.o_orderdate desc, o.o_orderkey desc) as rn
-    from (select unnest(generate_series(1995, 2001)) as period) y
-    join orders o on year(o.o_orderdate) between 1995 and y.period
+    from (select distinct year(o_orderdate) as period from orders where year(o_orderdate) <> 1998) y
+    join orders o on year(o.o_orderdate) <= y.period
 )
 select o_custkey, o_orderkey, o_orderdate, o_totalprice, period || '-01-01' as period
 from ranked where rn = 1 and o_orderstatus <> 'F'
@@ -312,7 +320,7 @@ select o_custkey, o_orderkey, o_orderdate, o_totalprice from ({_PIT}) where peri
 """
 
 ORACLE["roll_forward"] = f"""
-select * from ({_PIT})
+select * from ({_PIT_LONGER})
 where period >= (
     select least(min(date_trunc('month', o_orderdate)), timestamp '2001-04-01')::date::varchar
     from orders where {_IS_LATE})

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import strata as st
 from strata.operators.merge import is_live
+from strata.plans.sizing import Bound
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,6 +80,19 @@ def merge_latest(spark: SparkSession, folder: str) -> DataFrame:
     return st.retain_last(incoming, existing, deleted="deleted", **EVENT_ORDER)
 
 
+@query
+def merge_both_ways(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes put into a stored state by a broadcast, and by a join as if they were too many for that."""
+    existing, incoming = _halves(_versions(spark, folder))
+    settings = {"deleted": "deleted", **EVENT_ORDER}
+    state = st.retain_last(existing, keep_tombstones=True, **settings)
+    ways = [
+        st.retain_last(incoming, state, existing_unique=True, bound=bound, **settings).withColumn("way", F.lit(way))
+        for way, bound in (("broadcast", Bound()), ("joined", Bound(rows=0)))
+    ]
+    return ways[0].unionByName(ways[1])
+
+
 @query
 def merge_missing_flag(spark: SparkSession, folder: str) -> DataFrame:
     """The stored rows know no delete flag, so all of them are live."""
@@ -187,19 +201,23 @@ def apply_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def current_state_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """A state begun by a job, continued by a stream, and by another one with a new checkpoint."""
     early, late = _halves(_versions(spark, folder))
     work = st.working_folder(spark, "stream")
-    source = f"{work}/landing"
+    odd = F.col("event_id") % 2 == 1
+    first = st.retain_last(late.filter(odd), deleted="deleted", keep_tombstones=True, **EVENT_ORDER)
+    st.publish_snapshot(first, f"{work}/state")
 
-    def arrive(part: DataFrame) -> int | None:
-        part.write.mode("append").parquet(source)
+    def arrive(part: DataFrame, stream: str) -> int | None:
+        part.write.mode("append").parquet(f"{work}/{stream}")
         return st.current_state_incremental(
-            spark, source, early.schema, f"{work}/state", f"{work}/checkpoint",
+            spark, f"{work}/{stream}", early.schema, f"{work}/state", f"{work}/checkpoint-{stream}",
             deleted="deleted", **EVENT_ORDER,
         )
 
-    arrive(late)
-    arrive(early)
+    arrive(late.filter(~odd), "one")
+    arrive(early.filter(odd), "one")
+    arrive(early.filter(~odd), "two")
     return st.read_state(spark, f"{work}/state", "deleted")
 
 
@@ -351,7 +369,9 @@ def write_conformed(spark: SparkSession, folder: str) -> DataFrame:
     path = st.working_folder(spark, "lines")
     name = "lines_" + path[-12:]
     spark.sql(f"CREATE TABLE {name} ({LINE_SCHEMA}) USING parquet LOCATION '{path}/rows'")
-    st.write_conformed(table(spark, folder, "lineitem"), name)
+    # The columns go to their names, not to their places.
+    shuffled = "l_shipdate date, l_quantity int, l_extendedprice decimal(12,2), l_orderkey int, l_linenumber bigint"
+    st.write_conformed(table(spark, folder, "lineitem"), name, shuffled)
     declared = "l_shipdate string, l_orderkey bigint, l_extendedprice string"
     return st.read_conformed(spark, name, declared)
 
@@ -416,12 +436,14 @@ def load_typed_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _product(spark: SparkSession, folder: str) -> DataFrame:
-    building = table(spark, folder, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    """All orders; some of them are of customers that the base table has but the lookup lacks."""
+    orders = table(spark, folder, "orders")
+    unknown = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).otherwise(-1 - F.col("o_custkey"))
     return st.wide_product(
-        table(spark, folder, "orders"),
+        orders.withColumn("o_custkey", unknown),
         [
             st.Enrichment(
-                building,
+                table(spark, folder, "customer"),
                 {"o_custkey": "c_custkey"},
                 {"customer_name": "c_name", "nation_key": "c_nationkey"},
             ),
@@ -446,10 +468,11 @@ def wide_product(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def wide_product_hot(spark: SparkSession, folder: str) -> DataFrame:
-    """The way taken when the looked-up side is too large to broadcast."""
+    """The way taken when the looked-up side is too large to broadcast: one user has one event in 300."""
     customer = table(spark, folder, "customer")
+    busy = F.when(F.col("event_id") % 300 == 0, F.lit(1).cast("long")).otherwise(F.col("user_id"))
     return st.wide_product(
-        table(spark, folder, "events").select("event_id", "user_id", "event_type"),
+        table(spark, folder, "events").select("event_id", busy.alias("user_id"), "event_type"),
         [
             st.Enrichment(
                 customer,
@@ -501,15 +524,17 @@ def nest_attribute(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def attach_nested(spark: SparkSession, folder: str) -> DataFrame:
-    finished = table(spark, folder, "lineitem").filter(F.col("l_returnflag") == "R")
+    """All lines by order; an order of status P is looked up under a key that no line has."""
+    orders = table(spark, folder, "orders")
+    key = F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).otherwise(-1 - F.col("o_orderkey"))
     product = st.attach_nested(
-        table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"),
-        finished,
+        orders.select(key.alias("o_orderkey"), "o_orderstatus"),
+        table(spark, folder, "lineitem"),
         {"o_orderkey": "l_orderkey"},
         "l_partkey",
-        "returned",
+        "parts",
     )
-    return product.withColumn("returned", F.array_join(F.col("returned").cast("array<string>"), "|"))
+    return product.withColumn("parts", F.array_join(F.col("parts").cast("array<string>"), "|"))
 
 
 @query
@@ -567,6 +592,10 @@ def _last_month(changes: DataFrame) -> dt.date:
     return changes.agg(F.trunc(F.max("o_orderdate"), "month").alias("last")).first()["last"]
 
 
+def _two_months_after(spark: SparkSession, month: dt.date) -> dt.date:
+    return spark.range(1).select(F.add_months(F.lit(month), 2)).first()[0]
+
+
 def _is_late() -> Column:
     recent = F.col("o_orderdate") >= F.lit("2000-06-01").cast("timestamp_ntz")
     return recent & (F.col("o_orderpriority") == "1-URGENT")
@@ -615,7 +644,7 @@ def snapshot_at(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def roll_forward(spark: SparkSession, folder: str) -> DataFrame:
-    """Late rows merged into stored months, which also gain the months up to the last one."""
+    """Late rows merged into stored months, which also gain all months up to two quiet ones."""
     changes = _order_changes(spark, folder)
     month = dt.date(2001, 3, 1)
     known = ~_is_late() & (F.col("o_orderdate").cast("date") < "2001-04-01")
@@ -624,7 +653,7 @@ def roll_forward(spark: SparkSession, folder: str) -> DataFrame:
         stored,
         changes.filter(~known).drop("o_orderpriority"),
         stored_upto=month,
-        upto=_last_month(changes),
+        upto=_two_months_after(spark, _last_month(changes)),
         deleted="gone",
         keep_tombstones=False,
         **PIT,
@@ -634,14 +663,21 @@ def roll_forward(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def roll_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """A snapshot table loaded from on-time rows, then brought up to date with late ones."""
+    """A snapshot table in four runs: a gap of months, then late rows for it, then no rows at all."""
     path = st.working_folder(spark, "rolled")
     changes = _order_changes(spark, folder)
     last = _last_month(changes)
-    late = _is_late()
+    late, day = _is_late(), F.col("o_orderdate").cast("date")
+    old, new = day < "2001-01-01", day >= "2001-04-01"
     settings = {**PIT, "deleted": "gone"}
-    for part in (changes.filter(~late), changes.filter(late)):
-        st.roll_snapshots(part.drop("o_orderpriority"), path, last, **settings)
+    runs = [
+        (changes.filter(old & ~late), dt.date(2000, 12, 1)),
+        (changes.filter(new & ~late), last),
+        (changes.filter(late | ~(old | new)), last),
+        (changes.limit(0), _two_months_after(spark, last)),
+    ]
+    for rows, upto in runs:
+        st.roll_snapshots(rows.drop("o_orderpriority"), path, upto, **settings)
     return _live_snapshots(spark, path)
 
 
@@ -656,9 +692,13 @@ def load_period(spark: SparkSession, folder: str) -> DataFrame:
     """Years loaded one after the other, each from its own orders and the year before."""
     path = st.working_folder(spark, "yearly")
     changes = _order_changes(spark, folder).drop("o_orderpriority")
-    for year in range(1995, 2002):
+    years = changes.select(F.year("o_orderdate").alias("y")).distinct().collect()
+    for year in sorted(row["y"] for row in years):
+        if year == 1998:  # a run that did not happen: its orders come with the next one
+            continue
+        known = (F.year("o_orderdate") == year) | ((F.year("o_orderdate") == 1998) & F.lit(year == 1999))
         st.load_period(
-            changes.filter(F.year("o_orderdate") == year),
+            changes.filter(known),
             path,
             dt.date(year, 7, 1),
             keys=PIT["keys"],
