@@ -1,9 +1,11 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every query of the workload against its SQL, on the smallest tables."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import connect, spark_rows, sql_rows
+from workload.oracle import ORACLE
+from workload.spark_queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,18 +16,19 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, plan, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     text = plan(df)
     for unwanted in ("Python", "Pandas", "CartesianProduct", "NestedLoopJoin"):
         assert unwanted not in text
     # Only totals over everything end in one task, which gets one row from each other task.
     assert "SinglePartition" not in text or name == "conform_losses"
-    columns, wanted = sql_rows(connection, oracle_sql()[name])
+    columns, wanted = sql_rows(connection, ORACLE[name])
     assert sorted(df.columns) == columns
     assert spark_rows(df) == wanted
 
