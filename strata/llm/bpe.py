@@ -24,6 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.memory import tidy
 from strata.llm.vocabulary import PIECES, Vocabulary, load
 
 _REMEMBERED = 100_000  # pieces, twice; more are found again
@@ -125,7 +126,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
             column = pa.ListArray.from_arrays(pa.array(ends), ids)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column], ["doc_id", "ids"])
 
-    return _narrow(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return _narrow(docs).mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
@@ -138,7 +139,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     chosen = encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), encoded["ids"].alias("ids"))
-    return chosen.mapInArrow(run, "doc_id long, text string")
+    return chosen.mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def round_trips(docs: DataFrame, path: str) -> DataFrame:
@@ -156,7 +157,7 @@ def round_trips(docs: DataFrame, path: str) -> DataFrame:
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(codes, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return _narrow(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _narrow(docs).mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _narrow(docs: DataFrame) -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
+from strata.llm.memory import tidy
 from strata.plans.sizing import within
 from strata.session import cut_lineage, working_folder
 
@@ -168,7 +169,7 @@ def signed(docs: DataFrame, coordinates: int, width: int) -> DataFrame:
                     ["doc_id", "mark", "node", "signature"],
                 )
 
-    return _worded(docs).mapInArrow(sign, "doc_id long, mark long, node long, signature binary")
+    return _worded(docs).mapInArrow(tidy(sign), "doc_id long, mark long, node long, signature binary")
 
 
 def _band_links(nodes: DataFrame, coordinates: int, rows: int) -> DataFrame:
@@ -181,7 +182,7 @@ def _band_links(nodes: DataFrame, coordinates: int, rows: int) -> DataFrame:
             node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(node)], ["band", "node"])
 
-    bands = nodes.select("node", "signature").mapInArrow(cut, "band long, node long")
+    bands = nodes.select("node", "signature").mapInArrow(tidy(cut), "band long, node long")
     first = bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
     shared = first.where("hub < last").select(F.col("band").alias("shared"), "hub")
     linked = bands.join(shared, bands["band"] == shared["shared"]).where("node <> hub")
@@ -255,7 +256,7 @@ def _verified(
                     ["node", "root", "blocks", "signature", "shingles"],
                 )
 
-    cut_up = texts.mapInArrow(cut, "node long, root long, blocks int, signature binary, shingles binary")
+    cut_up = texts.mapInArrow(tidy(cut), "node long, root long, blocks int, signature binary, shingles binary")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     sent = cut_up.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select(
@@ -292,7 +293,7 @@ def _verified(
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     ordered = sent.repartition(*key).sortWithinPartitions(*key, "node")
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(tidy(run), "a long, b long")
 
 
 def _classes(

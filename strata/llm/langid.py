@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.memory import tidy
+
 UNKNOWN = "und"
 _CLASSES = 64
 _WIDTHS = (2, 3, 4)
@@ -197,7 +199,7 @@ def fit_language_model(
                     [pa.array([langs[i].as_py()] * len(pieces), pa.string()), pa.array(pieces, pa.binary())], ["lang", "window"]
                 )
 
-    sample = rows.where(parts).mapInArrow(cut, "lang string, window binary").toArrow()
+    sample = rows.where(parts).mapInArrow(tidy(cut), "lang string, window binary").toArrow()
     labels = tuple(sorted(counts))
     langs, pieces = sample["lang"].to_pylist(), sample["window"].to_pylist()
     order = sorted(range(len(pieces)), key=lambda i: (langs[i], pieces[i]))  # the same model on every run
@@ -240,7 +242,7 @@ def predict_languages(docs: DataFrame, model: ByteNetwork | None) -> DataFrame:
                 [batch.column("doc_id"), pa.array(names[label], pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: ByteNetwork | None, least_score: float = 0.0) -> DataFrame:
@@ -252,4 +254,4 @@ def keep_identified(docs: DataFrame, model: ByteNetwork | None, least_score: flo
             label, score = _predicted(batch.column("text"), model, tables)
             yield batch.filter(pa.array((label >= 0) & (score >= least_score)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -39,6 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.memory import tidy
 from strata.session import working_folder
 from strata.sources.storage import Storage
 
@@ -207,7 +208,7 @@ def _blocks(docs: DataFrame, train: Column, block_bytes: int) -> DataFrame:
                 block, start = block + 1, stop
 
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], train.alias("train"))
-    return chosen.mapInArrow(pack, _BLOCK)
+    return chosen.mapInArrow(tidy(pack), _BLOCK)
 
 
 def _rows(batch: pa.RecordBatch):
@@ -564,7 +565,7 @@ def score_texts(
         return spark.createDataFrame([], _SCORES).withColumn("train_tokens", F.lit(0).cast("long")).select(*columns)
     buckets = max(16, -(-entries // 500_000))
     sent = packed.select("block", "codes", "sizes", "train", "hashes").mapInArrow(
-        _send_tokens(buckets), "bucket long, block long, hashes binary, counts binary"
+        tidy(_send_tokens(buckets)), "bucket long, block long, hashes binary, counts binary"
     )
     totals = saved(sent.groupBy("bucket").applyInArrow(_add_tokens, _TOTALS), "totals")
     sums = totals.agg(F.sum("tokens"), F.sum("kinds"), F.sum("alone")).first()
@@ -578,7 +579,7 @@ def score_texts(
     texts = docs.where(train).count()
     gram_buckets = max(16, -(-tokens // 1_000_000))
     grams = counted.select("codes", "sizes", "train", "hashes", "totals").mapInArrow(
-        _send_bigrams(gram_buckets, texts), "bucket long, keys binary, counts binary, classes binary"
+        tidy(_send_bigrams(gram_buckets, texts)), "bucket long, keys binary, counts binary, classes binary"
     )
     parts = saved(grams.groupBy("bucket").applyInArrow(_add_bigrams(bits, probes, growth), _PART), "filter")
     cells = parts.select(F.explode(F.arrays_zip("cells", "kinds")).alias("x")).groupBy("x.cells").agg(F.sum("x.kinds"))
@@ -587,9 +588,9 @@ def score_texts(
     model = replace(model, mix=fit_mix(cells[:, 0], cells[:, 1], model.unigram, growth))
     if (parts.agg(F.sum("size")).first()[0] or 0) <= 8 * broadcast_bytes:
         held = spark.sparkContext.broadcast(_load(parts, gram_buckets))
-        scored = counted.mapInArrow(_score_here(model, held), _SCORES)
+        scored = counted.mapInArrow(tidy(_score_here(model, held)), _SCORES)
     else:
-        asked = counted.mapInArrow(_send_questions(model), "bucket long, block long, keys binary")
+        asked = counted.mapInArrow(tidy(_send_questions(model)), "bucket long, block long, keys binary")
         levels = (
             parts.groupBy("bucket")
             .cogroup(asked.groupBy("bucket"))

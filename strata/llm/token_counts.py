@@ -33,6 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.memory import tidy
 from strata.llm.vocabulary import Vocabulary, load
 
 # Classes of characters. Some small letters have their own, as they may follow an apostrophe.
@@ -245,4 +246,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, batch_bytes: int
                 start = stop
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    return chosen.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return chosen.mapInArrow(tidy(run), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -30,6 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.llm.memory import tidy
+
 _REMEMBERED = 800_000  # words; more are encoded again
 _LONG_WORD = 64
 _PLAIN = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
@@ -261,7 +263,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch
     # The hash keeps many rows of one doc_id from meeting in one task.
     keys = (F.col("doc_id"), F.xxhash64("text"), F.col("text"))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(*keys[:2])
-    blocks = ordered.sortWithinPartitions(*keys).mapInArrow(run, "part int, number int, before long, n_tokens long, block binary")
+    blocks = ordered.sortWithinPartitions(*keys).mapInArrow(tidy(run), "part int, number int, before long, n_tokens long, block binary")
     blocks.write.option("compression", "zstd").mode("errorifexists").parquet(folder)
 
 
@@ -293,7 +295,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         for *columns, ids in _documents(batches):
             yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
 
-    return _blocks(spark, folder).select("start", "block").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return _blocks(spark, folder).select("start", "block").mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def tokens_at(spark: SparkSession, folder: str, positions: list[int]) -> DataFrame:
@@ -311,7 +313,7 @@ def tokens_at(spark: SparkSession, folder: str, positions: list[int]) -> DataFra
         lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("n_tokens")),
     )
     chosen = _blocks(spark, folder).select("start", "block", inside.alias("wanted")).where(F.size("wanted") > 0)
-    return chosen.mapInArrow(run, "position long, token_id long")
+    return chosen.mapInArrow(tidy(run), "position long, token_id long")
 
 
 def stored_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -323,4 +325,4 @@ def stored_documents(spark: SparkSession, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([doc_ids, starts, counts, sums], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     blocks = _blocks(spark, folder).select("start", "block")
-    return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blocks.mapInArrow(tidy(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
