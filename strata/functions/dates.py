@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,3 +53,35 @@ def periods_between(first: Column, last: Column, unit: str = "month") -> Column:
     return F.when(first <= last, F.sequence(first, last, _step(unit))).otherwise(
         F.array().cast("array<date>")
     )
+
+
+# The same for single dates on the driver, without a job.
+
+
+def start_of(day: dt.date, unit: str = "month") -> dt.date:
+    """First day of the period that ``day`` falls in."""
+    _step(unit)
+    if unit == "day":
+        return day
+    if unit == "week":
+        return day - dt.timedelta(days=day.weekday())
+    months = {"month": 1, "quarter": 3, "year": 12}[unit]
+    return dt.date(day.year, (day.month - 1) // months * months + 1, 1)
+
+
+def start_after(start: dt.date, unit: str = "month") -> dt.date:
+    """The period start after ``start``."""
+    if unit in ("day", "week"):
+        return start + dt.timedelta(days={"day": 1, "week": 7}[unit])
+    # Beyond the longest period, back to its first day.
+    days = {"month": 32, "quarter": 93, "year": 367}[unit]
+    return start_of(start + dt.timedelta(days=days), unit)
+
+
+def starts_between(first: dt.date, last: dt.date, unit: str = "month") -> list[dt.date]:
+    """The period starts from ``first`` to ``last``."""
+    found = []
+    while first <= last:
+        found.append(first)
+        first = start_after(first, unit)
+    return found

@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import named, quoted
-from strata.functions.dates import next_period, period_of, periods_between, previous_period
+from strata.functions.dates import (
+    next_period,
+    period_of,
+    periods_between,
+    previous_period,
+    start_after,
+    start_of,
+)
 from strata.operators.merge import is_live, merge_into_unique, retain_last, with_flag
 from strata.plans.sizing import DEFAULT_BOUND, Bound
 
@@ -203,7 +210,7 @@ def roll_forward_parts(
     """:func:`roll_forward`, with the rows that stand where stored ones stood apart from the others."""
     upto = max(upto or stored_upto, stored_upto)
     first = first or earliest_affected(late, order[0], unit)
-    following = _after(stored, stored_upto, unit)
+    following = start_after(start_of(stored_upto, unit), unit)
     if first is None or first > following:
         first = following
     latest = _last_per_period(late, keys, order, deleted, unit, period, order_is_total, upto)
@@ -219,12 +226,6 @@ def roll_forward_parts(
     return merge_into_unique(arrivals, affected.select(*[named(n) for n in arrivals.columns]), [*keys, period], order, bound)
 
 
-def _after(df: DataFrame, day: dt.date, unit: str) -> dt.date:
-    """The period after the one of ``day``."""
-    start = period_of(F.lit(day).cast("date"), unit)
-    return df.sparkSession.range(1).select(next_period(start, unit)).first()[0]
-
-
 def _finish(df: DataFrame, deleted: str | None, keep_tombstones: bool) -> DataFrame:
     if deleted is None or keep_tombstones:
         return df

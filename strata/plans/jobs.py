@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.functions.columns import named, quoted
-from strata.functions.dates import next_period, period_of, periods_between
+from strata.functions.dates import period_of, start_after, start_of, starts_between
 from strata.operators.conform import Declared, conform
 from strata.operators.merge import current_state, is_live, merge_into_unique, newest_per_key, with_flag
 from strata.operators.product import Enrichment, standardize, wide_product
@@ -299,7 +299,7 @@ def load_period(
     """
     spark = incoming.sparkSession
     changes = with_flag(incoming, deleted)
-    now = spark.range(1).select(period_of(F.lit(current).cast("date"), unit)).first()[0]
+    now = start_of(current, unit)
     folders = _periods(spark, path, period)
     earlier = max((start for start in folders if start < now), default=None)
     chosen = [folders[start] for start in (earlier, now) if start in folders]
@@ -359,8 +359,7 @@ def roll_snapshots(
     folders = _periods(spark, path, period)
     if first is None and not folders:
         return []
-    last = period_of(F.lit(upto).cast("date"), unit)
-    upto = spark.range(1).select(last).first()[0]
+    upto = start_of(upto, unit)
     stored_upto = max(folders, default=None)
     upto = max(upto, stored_upto or upto)
     if newest is not None and newest > upto:
@@ -368,8 +367,7 @@ def roll_snapshots(
     how = {"keys": keys, "order": order, "deleted": deleted, "unit": unit, "period": period, "order_is_total": order_is_total}
     placed = None
     if stored_upto:
-        step = next_period(F.lit(stored_upto).cast("date"), unit)
-        following = spark.range(1).select(step).first()[0]
+        following = start_after(stored_upto, unit)
         first = following if first is None else min(first, following)
         # The last stored period is also where later ones are filled from.
         needed = [folder for start, folder in sorted(folders.items()) if start >= min(first, stored_upto)]
@@ -379,8 +377,7 @@ def roll_snapshots(
         placed, rolled = roll_forward_parts(stored, changes, stored_upto=stored_upto, upto=upto, first=first, **how)
     else:
         rolled = pit_snapshots(changes, upto=upto, keep_tombstones=True, **how)
-    calendar = periods_between(F.lit(first).cast("date"), F.lit(upto).cast("date"), unit)
-    written = spark.range(1).select(calendar).first()[0]
+    written = starts_between(first, upto, unit)
     with sized_for(changes, rolled):
         rebuild_partitions(rolled, path, period, written, in_place=placed)
     return written

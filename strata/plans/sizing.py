@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -32,6 +33,8 @@ class Bound:
 
 DEFAULT_BOUND = Bound()
 
+_ONE_AT_A_TIME = threading.RLock()
+
 
 def _width(schema: StructType) -> Column:
     total = F.lit(_CELL * len(schema.fields)).cast("long")
@@ -94,7 +97,16 @@ def task_sizes(
 
 @contextmanager
 def sized_for(*frames: DataFrame) -> Iterator[None]:
-    """Plan what runs inside the block with task sizes that suit the input of ``frames``."""
+    """Plan what runs inside the block with task sizes that suit the input of ``frames``.
+
+    The sizes are settings of the session that the frames belong to, so another thread that
+    wants its own waits until the block is done.
+    """
+    with _ONE_AT_A_TIME:
+        yield from _sized_for(*frames)
+
+
+def _sized_for(*frames: DataFrame) -> Iterator[None]:
     spark = frames[0].sparkSession
     names = (
         "spark.sql.shuffle.partitions",

@@ -20,7 +20,15 @@ from strata import (
     snapshot_at,
     working_folder,
 )
-from strata.functions.dates import next_period, period_of, periods_between, previous_period
+from strata.functions.dates import (
+    next_period,
+    period_of,
+    periods_between,
+    previous_period,
+    start_after,
+    start_of,
+    starts_between,
+)
 from strata.plans.sizing import Bound
 
 CHANGE = "id int, at date, value string, gone boolean"
@@ -100,6 +108,18 @@ def test_periods(spark, unit, start, before, after):
     assert row[2] == []
 
 
+@pytest.mark.parametrize("unit", ["day", "week", "month", "quarter", "year"])
+def test_periods_on_the_driver_are_the_same(spark, unit):
+    days = [day("1999-12-31") + dt.timedelta(days=17 * n) for n in range(120)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    here = period_of(F.col("d"), unit)
+    for row in df.select("d", here.alias("here"), next_period(here, unit).alias("after")).collect():
+        assert (start_of(row["d"], unit), start_after(row["here"], unit)) == (row["here"], row["after"])
+    first, last = start_of(days[0], unit), start_of(days[9], unit)
+    span = spark.range(1).select(periods_between(F.lit(first), F.lit(last), unit)).first()[0]
+    assert starts_between(first, last, unit) == span and starts_between(last + dt.timedelta(days=999), last, unit) == []
+
+
 def test_unknown_period():
     with pytest.raises(ValueError):
         period_of(F.lit(None), "fortnight")
