@@ -61,6 +61,7 @@ def periods_between(first: Column, last: Column, unit: str = "month") -> Column:
 def start_of(day: dt.date, unit: str = "month") -> dt.date:
     """First day of the period that ``day`` falls in."""
     _step(unit)
+    day = day.date() if isinstance(day, dt.datetime) else day
     if unit == "day":
         return day
     if unit == "week":
