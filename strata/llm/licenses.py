@@ -4,8 +4,9 @@ Of each template the words with the highest inverse document frequency over all
 form the index: word -> (template, position). A document looks up those of its words that
 are indexed; each hit says where the template would have to begin. Beginnings that enough
 rare words agree on are compared with the template, and the template's key phrase must
-stand there word for word. Documents are never shuffled; what reaches the driver is one
-count per word of the templates.
+stand there word for word. Texts are read once and never shuffled: the words that templates
+have are kept with their places in a checkpoint. What reaches the driver is one count for
+each of these words.
 
 Defined results: a null or empty text has no words, null positions, empty labels and score
 0; repeated rows give repeated results; an empty table gives an empty result.
@@ -19,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import cut_lineage
+
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # Phrases that give a label wherever they stand.
@@ -80,15 +83,13 @@ def _hits(words: Column, vocabulary: set[str]) -> Column:
     return F.filter(F.transform(words, look), lambda hit: hit.isNotNull())
 
 
-def document_frequencies(docs: DataFrame, vocabulary: set[str]) -> tuple[int, dict[str, int]]:
-    """Number of documents, and of those that hold each word of ``vocabulary``."""
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
-    own = F.array_distinct(F.transform(_hits(words, vocabulary), lambda hit: hit["w"]))
+def _frequencies(found: DataFrame) -> tuple[int, dict[str, int]]:
+    """Number of documents, and of those that hold each word that was hit."""
+    own = F.array_distinct(F.transform("hits", lambda hit: hit["w"]))
     # The empty word stands for the document itself.
-    present = F.concat(F.array(F.lit("")), F.coalesce(own, F.array().cast("array<string>")))
-    counts = docs.select(F.explode(present).alias("w")).groupBy("w").count().collect()
-    found = {row["w"]: row["count"] for row in counts}
-    return found.pop("", 0), found
+    counts = found.select(F.explode(F.concat(F.array(F.lit("")), own)).alias("w")).groupBy("w").count()
+    number = {row["w"]: row["count"] for row in counts.collect()}
+    return number.pop("", 0), number
 
 
 def _texts(values) -> Column:
@@ -118,7 +119,12 @@ def scan_licenses(
     known = [_template(*template) for template in (templates or TEMPLATES)]
     phrase_words = [tuple(phrase.split()) for phrase in phrases]
     vocabulary = {w for t in known for _, w in t.words} | {w for words in phrase_words for w in words}
-    total, frequency = document_frequencies(docs, vocabulary)
+    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), F.lit(0))
+    found = docs.select("doc_id", words.alias("words"))
+    found = found.select("doc_id", F.size("words").cast("long").alias("n_words"), _hits(F.col("words"), vocabulary).alias("hits"))
+    # The texts are read once; what is kept of them is the few words that templates have.
+    found = cut_lineage(found)
+    total, frequency = _frequencies(found)
 
     def rarity(word: str) -> float:
         return math.log((1 + total) / (1 + frequency.get(word, 0)))
@@ -130,10 +136,6 @@ def scan_licenses(
             if word in rarest:
                 postings.setdefault(word, []).append((number, place))
 
-    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(WORD), F.lit(0))
-    found = docs.select("doc_id", words.alias("words"))
-    found = found.select("doc_id", F.size("words").cast("long").alias("n_words"), _hits(F.col("words"), vocabulary).alias("hits"))
-
     def phrase_at(hit: Column, index: Column) -> Column:
         label = F.lit(None).cast("string")
         for phrase, name in zip(phrase_words, phrases.values(), strict=True):

@@ -237,7 +237,7 @@ def open_block(packed: bytes) -> tuple[pa.Array, np.ndarray, Codes]:
     return pa.array(numbers, mask=known == 0), counts, Codes(packed[4 + 17 * docs :])
 
 
-def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch_bytes: int = 3 << 20) -> None:
+def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch_bytes: int = 6 << 20) -> None:
     """Write the ids of all texts, each followed by ``end_id``, in order of doc_id.
 
     A block holds whole documents of about ``batch_bytes`` of text.
