@@ -39,6 +39,7 @@ from strata.plans.sizing import within
 from strata.session import cut_lineage, working_folder
 
 _HAS_WORD = r"[^\x20\x09-\x0D]"
+_BLOCK_WORDS = 2_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -147,7 +148,7 @@ def _worded(docs: DataFrame) -> DataFrame:
 
 
 def signed(docs: DataFrame, coordinates: int, width: int) -> DataFrame:
-    """doc_id, mark, node (a hash of the words in their order) and signature of each document with words."""
+    """doc_id, mark, node (a hash of the words in their order), words and signature of each document with words."""
 
     def sign(batches):
         for batch in batches:
@@ -164,12 +165,13 @@ def signed(docs: DataFrame, coordinates: int, width: int) -> DataFrame:
                         part.column("doc_id"),
                         part.column("mark"),
                         pa.array(node.view(np.int64)),
+                        pa.array(counts.astype(np.int64)),
                         pa.array([row.tobytes() for row in made], pa.binary()),
                     ],
-                    ["doc_id", "mark", "node", "signature"],
+                    ["doc_id", "mark", "node", "words", "signature"],
                 )
 
-    return _worded(docs).mapInArrow(tidy(sign), "doc_id long, mark long, node long, signature binary")
+    return _worded(docs).mapInArrow(tidy(sign), "doc_id long, mark long, node long, words long, signature binary")
 
 
 def _band_links(nodes: DataFrame, coordinates: int, rows: int) -> DataFrame:
@@ -232,9 +234,11 @@ def _verified(
     docs: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, coordinates: int, least: float, margin: float, block: int
 ) -> DataFrame:
     """Links (a, b) between nodes of the same group whose shingle sets are similar enough."""
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = groups.join(sizes, "root").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    wanted = members.join(nodes, "node").select(
+    # A block holds so many nodes, and so many words of them, at most about.
+    counted = groups.join(nodes.select("node", "words"), "node").groupBy("root")
+    most = F.greatest(F.count(F.lit(1)) / block, F.sum("words") / _BLOCK_WORDS)
+    sizes = counted.agg(F.ceil(most).cast("int").alias("blocks"))
+    wanted = groups.join(sizes, "root").join(nodes, "node").select(
         "node", "root", "blocks", "signature", F.col("at.doc_id").alias("at_doc"), F.col("at.mark").alias("at_mark")
     )
     wanted = cut_lineage(wanted)
@@ -309,7 +313,7 @@ def _classes(
 
     rows = saved(signed(docs, coordinates, width), "rows")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    nodes = saved(rows.groupBy("node").agg(F.min(at).alias("at"), F.first("signature").alias("signature")), "nodes")
+    nodes = saved(rows.groupBy("node").agg(F.min(at).alias("at"), F.first("words").alias("words"), F.first("signature").alias("signature")), "nodes")
     groups = components(_band_links(nodes, coordinates, band_rows))
     # A root stands for itself in its group.
     groups = cut_lineage(groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct()))
