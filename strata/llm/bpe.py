@@ -17,7 +17,6 @@ import hashlib
 import struct
 from functools import lru_cache
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -27,7 +26,6 @@ from pyspark.sql import functions as F
 from strata.llm.memory import tidy
 from strata.llm.vocabulary import PIECES, Vocabulary, load
 
-_REMEMBERED = 100_000  # pieces, twice; more are found again
 _LONG_PIECE = 64
 
 
@@ -37,9 +35,9 @@ class _Pieces(dict):
     When it is full, what it holds is put aside, and pieces that are asked for again come back.
     """
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, most: int):
         super().__init__()
-        self._encoder = encoder
+        self._encoder, self._most = encoder, most
         self._aside: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -48,38 +46,79 @@ class _Pieces(dict):
             ids = self._encoder.encode_piece(piece.encode("utf-8"))
             value = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= _LONG_PIECE:
-            if len(self) >= _REMEMBERED:
+            if len(self) >= self._most:
                 self._aside = dict(self)
                 self.clear()
             self[piece] = value
         return value
 
 
-class Encoder:
+class _Suffixes:
+    """The automaton of the vocabulary's tokens; its states are made when first met.
+
+    A state is the longest end of what was read with which some token begins. So every token
+    that ends here is an end of the state, and ``tokens`` has them, the longest first.
+    """
+
+    _MOST = 400_000  # transitions; more are made again
+
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
-        self._automaton = ahocorasick.Automaton()
-        for token, number in vocabulary.ids.items():
-            if vocabulary.whole(number):
-                self._automaton.add_word(token.decode("latin-1"), (number, len(token)))
-        self._automaton.make_automaton()
+        self._begun = {token[:i] for token in vocabulary.ids for i in range(len(token) + 1)}
+        self.moves: dict[int, int] = {}
+        self.tokens: list[tuple[int, ...]] = [()]
+        self._texts, self._numbers = [b""], {b"": 0}
+
+    def move(self, state: int, byte: int) -> int:
+        text = self._texts[state] + bytes([byte])
+        while text not in self._begun:
+            text = text[1:]
+        number = self._numbers.setdefault(text, len(self._texts))
+        if number == len(self._texts):
+            ids, whole = self._vocabulary.ids, self._vocabulary.whole
+            ends = (ids.get(text[i:]) for i in range(len(text)))
+            self._texts.append(text)
+            self.tokens.append(tuple(token for token in ends if token is not None and whole(token)))
+        if len(self.moves) >= self._MOST:
+            self.moves.clear()
+        self.moves[state << 8 | byte] = number
+        return number
+
+
+class Encoder:
+    def __init__(self, vocabulary: Vocabulary, remembered: int = 80_000):
+        self._vocabulary = vocabulary
+        self._suffixes = _Suffixes(vocabulary)
+        self._size = [len(token) for token in vocabulary.tokens]
         self._find = regex.compile(PIECES).findall
         self._special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")") if vocabulary.special else None
-        self._pieces = _Pieces(self)
+        self._pieces = _Pieces(self, remembered)
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        last = [-1] * (len(piece) + 1)
-        length = [0] * (len(piece) + 1)
-        beside = self._vocabulary.beside
-        for at, (token, size) in self._automaton.iter(piece.decode("latin-1")):
-            end, start = at + 1, at + 1 - size
-            if last[end] < 0 and (start == 0 or beside(last[start], token)):
-                last[end], length[end] = token, size
+        suffixes, sizes, vocabulary = self._suffixes, self._size, self._vocabulary
+        moves, tokens, known = suffixes.moves.get, suffixes.tokens, vocabulary.known_beside.get
+        state, last = 0, [0]  # the last token of each prefix; the empty one has none
+        for end, byte in enumerate(piece, 1):
+            after = moves(state << 8 | byte)
+            state = suffixes.move(state, byte) if after is None else after
+            for token in tokens[state]:
+                start = end - sizes[token]
+                if start:
+                    fits = known(last[start] << 32 | token)
+                    if fits is None:
+                        fits = vocabulary.beside(last[start], token)
+                    if not fits:
+                        continue
+                last.append(token)
+                break
+            else:
+                raise ValueError(f"no token of the vocabulary ends with byte {byte}")
         ids, end = [], len(piece)
         while end:
             ids.append(last[end])
-            end -= length[end]
-        return ids[::-1]
+            end -= sizes[last[end]]
+        ids.reverse()
+        return ids
 
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
@@ -98,8 +137,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    return Encoder(load(path))
+def encoder(path: str, remembered: int = 80_000) -> Encoder:
+    """The encoder of a worker. Twice ``remembered`` pieces are kept; more are found again."""
+    return Encoder(load(path), remembered)
 
 
 def _small(batches, rows: int = 256):
@@ -114,11 +154,11 @@ def _texts(column: pa.Array):
         yield text.as_py() or ""
 
 
-def encode_texts(docs: DataFrame, path: str) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, remembered: int = 80_000) -> DataFrame:
     """doc_id with the ``ids`` of each text."""
 
     def run(batches):
-        tool = encoder(path)
+        tool = encoder(path, remembered)
         for batch in _small(batches):
             found = [tool.encode(text) for text in _texts(batch.column("text"))]
             ends = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in found])]).astype(np.int32)
@@ -142,11 +182,11 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     return chosen.mapInArrow(tidy(run), "doc_id long, text string")
 
 
-def round_trips(docs: DataFrame, path: str) -> DataFrame:
+def round_trips(docs: DataFrame, path: str, remembered: int = 250_000) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each text, encoded and decoded again."""
 
     def run(batches):
-        tool = encoder(path)
+        tool = encoder(path, remembered)
         for batch in _small(batches):
             counts, codes, texts = [], [], []
             for text in _texts(batch.column("text")):

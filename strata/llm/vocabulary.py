@@ -48,7 +48,7 @@ class Vocabulary:
         self._parts = parts
         self.right_edge = [self._edge(t, 1) for t in range(size)]
         self.left_edge = [self._edge(t, 0) for t in range(size)]
-        self._beside: dict[int, bool] = {}
+        self.known_beside: dict[int, bool] = {}
         self._whole: dict[int, bool] = {}
 
     def _edge(self, token: int, side: int) -> tuple[tuple[int, int], ...]:
@@ -76,11 +76,11 @@ class Vocabulary:
     def beside(self, left: int, right: int) -> bool:
         """Are the bytes of both tokens together encoded as just these two tokens?"""
         pair = left << 32 | right
-        known = self._beside.get(pair)
+        known = self.known_beside.get(pair)
         if known is None:
-            if len(self._beside) > 200_000:  # what is known can be found again
-                self._beside.clear()
-            known = self._beside[pair] = self._no_merge_across(left, right, _NEVER)
+            if len(self.known_beside) > 200_000:  # what is known can be found again
+                self.known_beside.clear()
+            known = self.known_beside[pair] = self._no_merge_across(left, right, _NEVER)
         return known
 
     def whole(self, token: int) -> bool:
