@@ -17,11 +17,9 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.vectors import best, matrix, squared_distances, whole_vectors
@@ -74,6 +72,24 @@ def _summaries(data: DataFrame, k: int):
     return sizes.join(near, "cell").collect()
 
 
+def _groups(queries: dict[int, int], size: int) -> tuple[dict[int, int], dict[int, int], int]:
+    """For the cells of queries: the first group, in how many groups they go, and how many there are.
+
+    A cell of many queries is cut into groups of about ``size``; cells of few share one.
+    """
+    first, parts, last, room = {}, {}, -1, 0
+    for cell, count in sorted(queries.items()):
+        if count >= size:
+            first[cell], parts[cell] = last + 1, -(-count // size)
+            last, room = last + parts[cell], 0
+            continue
+        if count > room:
+            last, room = last + 1, size
+        first[cell], parts[cell] = last, 1
+        room -= count
+    return first, parts, last + 1
+
+
 def exact_top_k(
     vectors: DataFrame,
     k: int = 10,
@@ -90,13 +106,13 @@ def exact_top_k(
     Scores are inner products of floor(``scale`` * x).
     """
     spark = vectors.sparkSession
-    # floor() of a double is a long; components beyond it keep their value as a double.
-    data = whole_vectors(vectors, id_column, vector_column).select(
-        "id",
-        F.transform(
-            "v", lambda x: F.when(F.abs(x) * scale < 2.0**52, F.floor(x * scale).cast("double")).otherwise(x * scale)
-        ).alias("v"),
-    )
+
+    def whole(x: Column) -> Column:
+        # floor() of a double is a long; beyond 2 ** 52 a double is whole already.
+        large = F.greatest(F.lit(-1e300), F.least(F.lit(1e300), x * scale))
+        return F.when(F.abs(x) * scale < 2.0**52, F.floor(x * scale).cast("double")).otherwise(large)
+
+    data = whole_vectors(vectors, id_column, vector_column).select("id", F.transform("v", whole).alias("v"))
     schema = "query_id long, rank int, vec_id long, score long"
     width = data.agg(F.max(F.size("v"))).first()[0]
     if width is None:
@@ -112,8 +128,9 @@ def exact_top_k(
     near = [(i, x["away"], min(x["count"], k + 1)) for i, row in enumerate(cells) for x in row["near"]]
     near_cell = np.array([x[0] for x in near])
     near_away, near_count = np.array([x[1] for x in near]), np.array([x[2] for x in near])
-    asked = data.where(F.pmod("id", F.lit(every)) == 0).distinct()
-    groups = max(1, math.ceil(int(asked.count()) / group_queries))
+    chosen = data.where(F.pmod("id", F.lit(every)) == 0)
+    rows_of_id = chosen.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    asked = chosen.distinct().join(rows_of_id, "id").select("id", "v", "own")
     total = int(counts.sum())
 
     def needs(batches):
@@ -123,12 +140,12 @@ def exact_top_k(
             at, length = rows @ centres.T, np.sqrt((rows * rows).sum(1))
             slack = 1e-9 * (1 + length * (np.sqrt((centres * centres).sum(1)).max() + far.max()))
             reach = at + length[:, None] * far
-            sure = np.full(len(rows), -np.inf)
+            sure, own = np.full(len(rows), -np.inf), batch.column("own").to_numpy()
             if total > k:
                 least = at[:, near_cell] - length[:, None] * near_away
                 order = np.argsort(-least, axis=1)
-                for i, o in enumerate(order):  # one of the counted vectors may be the query itself
-                    enough = np.searchsorted(np.cumsum(near_count[o]), k + 1)
+                for i, o in enumerate(order):  # the query's own rows may be among those counted
+                    enough = np.searchsorted(np.cumsum(near_count[o]), k + own[i])
                     sure[i] = least[i, o[enough]] - slack[i] if enough < len(o) else -np.inf
             needed = reach + slack[:, None] >= sure[:, None]
             yield pa.RecordBatch.from_arrays(
@@ -137,17 +154,19 @@ def exact_top_k(
             )
 
     # Queries near the same pivot share a group, so that groups need few cells.
-    home = _assigned(asked, pivots, "id long, v array<double>")
-    group = F.pmod(F.col("cell") * 31 + F.pmod(F.xxhash64("id"), F.lit(-(-groups // pivot_count))), F.lit(groups))
-    ready = home.select("id", "v", group.cast("int").alias("g")).mapInArrow(
-        needs, "id long, v array<double>, g int, sure double, cells array<int>"
+    home = _assigned(asked, pivots, "id long, v array<double>, own long")
+    first, parts, groups = _groups({r["cell"]: r["count"] for r in home.groupBy("cell").count().collect()}, group_queries)
+    if not groups:
+        return spark.createDataFrame([], schema)
+    begin, spread = (F.create_map(*[F.lit(x) for item in part.items() for x in item]) for part in (first, parts))
+    group = F.element_at(begin, F.col("cell")) + F.pmod(F.xxhash64("id"), F.element_at(spread, F.col("cell")))
+    ready = home.select("id", "v", "own", group.cast("int").alias("g")).mapInArrow(
+        needs, "id long, v array<double>, own long, g int, sure double, cells array<int>"
     )
     block_count = F.create_map(*[F.lit(x) for item in salts.items() for x in item])
-    sent = (
-        ready.select("id", "v", "g", "sure", F.explode("cells").alias("cell"))
-        .withColumn("blocks", F.element_at(block_count, F.col("cell")))
-        .select("id", "v", F.xxhash64("v").alias("same"), "sure", "g", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    )
+    every_block = F.explode(F.sequence(F.lit(0), F.element_at(block_count, F.col("cell")) - 1)).alias("block")
+    sent = ready.select("id", "v", F.xxhash64("v").alias("same"), "g", "sure", F.explode("cells").alias("cell"))
+    sent = sent.select("id", "v", "same", "sure", "g", "cell", every_block)
     pairs = ready.select(F.col("g").alias("group"), F.explode("cells").alias("cell")).distinct()
     blocks = placed.select(
         "id", "v", "cell", F.pmod(F.xxhash64("id"), F.element_at(block_count, F.col("cell"))).cast("int").alias("block")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from strata.llm.ann import MultiIndex, nearest_neighbours
-from strata.llm.topk import exact_top_k
+from strata.llm.topk import _groups, exact_top_k
 from strata.llm.vectors import k_means
 
 
@@ -53,6 +53,23 @@ def test_top_k_odd_rows(spark):
     assert exact_top_k(table(spark, [])).collect() == []
 
 
+def test_top_k_of_an_id_that_repeats(spark):
+    chance = np.random.default_rng(8)
+    rows = rows_of(chance.normal(size=(40, 4))) + [(0, [float(x) for x in v], "", 0) for v in [[5, 5, 5, 5]] * 12]
+    got = exact_top_k(table(spark, rows), k=3, every=50, pivot_count=3)
+    wanted = set()
+    for v in {tuple(r[1]) for r in rows if r[0] == 0}:
+        q = [int(np.floor(1024 * float(np.float32(x)))) for x in v]
+        scored = sorted((-sum(int(np.floor(1024 * float(np.float32(x)))) * y for x, y in zip(r[1], q, strict=True)), r[0]) for r in rows if r[0] != 0)
+        wanted |= {(0, n + 1, i, -s) for n, (s, i) in enumerate(scored[:3])}
+    assert set(map(tuple, got.collect())) == wanted
+
+
+def test_groups_of_queries():
+    assert _groups({0: 3, 1: 4, 2: 9, 3: 2, 4: 5}, 8) == ({0: 0, 1: 0, 2: 1, 3: 3, 4: 3}, {0: 1, 1: 1, 2: 2, 3: 1, 4: 1}, 4)
+    assert _groups({}, 8) == ({}, {}, 0)
+
+
 def by_hand_cosines(rows, k, every):
     whole = [(i, np.array(v)) for i, v, *_ in rows]
     found = {}
