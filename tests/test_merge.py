@@ -207,9 +207,9 @@ STATE = f"{PERSON}, _as_of timestamp"
 IDA = (31, "Ida", "Berg", "ida@example.org")
 MOVED = (31, "Ida", "Berg", "berg@example.com")
 NOTHING = (None, None, None, None)
-T1, T2 = 1486500577000, 1486500588691
-WHEN1 = dt.datetime.fromisoformat("2017-02-07T20:49:37")
-WHEN2 = dt.datetime.fromisoformat("2017-02-07T20:49:48.691")
+T1, T2 = 1635920120000, 1635920224250
+WHEN1 = dt.datetime.fromisoformat("2021-11-03T06:15:20")
+WHEN2 = dt.datetime.fromisoformat("2021-11-03T06:17:04.250")
 
 
 def run(spark, rows, events, existing, **more):
