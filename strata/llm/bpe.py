@@ -154,7 +154,7 @@ def _texts(column: pa.Array):
         yield text.as_py() or ""
 
 
-def encode_texts(docs: DataFrame, path: str, remembered: int = 80_000) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, remembered: int = 30_000) -> DataFrame:
     """doc_id with the ``ids`` of each text."""
 
     def run(batches):
