@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from strata.llm.alignment import align_corpus, document_measures
 from strata.llm.ann import nearest_neighbours
 from strata.llm.bpe import round_trips
 from strata.llm.dedup import near_duplicates
@@ -19,6 +20,7 @@ from strata.session import working_folder
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark, folder: str, name: str):
@@ -71,6 +73,12 @@ def op10_near_duplicates(spark, folder):
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_tokenizer_alignment(spark, folder):
+    docs, target = _table(spark, folder, "documents"), working_folder(spark, "alignment")
+    align_corpus(docs, BYTE_BPE, PIECE_BPE, target)
+    return document_measures(docs, target)
+
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_bpe": op2_bpe,
@@ -82,4 +90,5 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_top_k": op9_top_k,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
 }
