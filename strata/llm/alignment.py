@@ -28,9 +28,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +49,9 @@ from strata.session import cut_lineage
 _MARK = "▁"  # what vocabularies of pieces write for a space
 #: A space with a visible character on either side.
 _BETWEEN = re.compile(rf" (?<=[^\s{_MARK}] )(?=[^\s{_MARK}])")
-_BLOCK_BYTES = 6 << 20
-_REMEMBERED = 60_000
+_BLOCK_BYTES = 4 << 20
+_REMEMBERED = 40_000
+_TOGETHER = 4_096  # units that are tokenised at once
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -65,13 +68,15 @@ class _Tokens:
     def __init__(self, texts: list[bytes]):
         self.bytes = texts
         self.sizes = np.array([len(x) for x in texts], np.int64)
-        self.names = np.array([str(i) for i in range(len(texts))], object)
+        names = [str(i) for i in range(len(texts))]
+        self.named = {after: np.array([x + after for x in names], object) for after in ",|;"}
 
 
 class Aligner:
     """Tokenises and aligns units of texts with two vocabularies."""
 
     def __init__(self, byte_file: str, piece_file: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self._a = Tokenizer.from_file(byte_file)
         self._a.encode_special_tokens = True
         self._a.no_truncation()
@@ -104,10 +109,13 @@ class Aligner:
         return b"".join(self.a.bytes[i] for i in a) == whole == b"".join(self.b.bytes[i] for i in b)
 
     def align(self, units: list[str]) -> list[tuple]:
-        """For each unit n_a, n_b, n_links, the text of its groups, and its linked pairs; None if not spelled."""
+        """For each unit n_a, n_b, n_links, the text of its groups, and its linked pairs as bytes; None if not spelled."""
         known = self._known
         missing = [u for u in units if u not in known]
-        fresh = dict(zip(missing, self._align(missing), strict=True)) if missing else {}
+        fresh: dict[str, tuple | None] = {}
+        for start in range(0, len(missing), _TOGETHER):
+            some = missing[start : start + _TOGETHER]
+            fresh.update(zip(some, self._align(some), strict=True))
         found = [fresh[u] if u in fresh else known[u] for u in units]
         if len(known) > _REMEMBERED:
             known.clear()
@@ -131,14 +139,13 @@ class Aligner:
         if not a:
             return []
         count_a, count_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        flat_a = np.concatenate([np.asarray(x, np.int64) for x in a])
-        flat_b = np.concatenate([np.asarray(x, np.int64) for x in b])
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
         ends_a, ends_b = np.cumsum(self.a.sizes[flat_a]), np.cumsum(self.b.sizes[flat_b])
         met = np.searchsorted(ends_b, ends_a)
         linked = ends_b[np.minimum(met, len(ends_b) - 1)] == ends_a
         at_a = np.flatnonzero(linked)
         at_b = met[linked]
-        pairs = flat_a[at_a] << 32 | flat_b[at_b]
+        pairs = (flat_a[at_a] << 32 | flat_b[at_b]).tobytes()
         # Names of ids with what follows them, in the order A's of a group, then B's.
         last_a, last_b = np.zeros(len(flat_a), bool), np.zeros(len(flat_b), bool)
         last_a[at_a], last_b[at_b] = True, True
@@ -146,15 +153,16 @@ class Aligner:
         before_b = np.concatenate([[0], at_b + 1])[group_a]
         upto_a = (at_a + 1)[group_b]
         names = np.empty(len(flat_a) + len(flat_b), object)
-        names[np.arange(len(flat_a)) + before_b] = self.a.names[flat_a] + np.where(last_a, "|", ",").astype(object)
-        names[np.arange(len(flat_b)) + upto_a] = self.b.names[flat_b] + np.where(last_b, ";", ",").astype(object)
+        a_named, b_named = self.a.named, self.b.named
+        names[np.arange(len(flat_a)) + before_b] = np.where(last_a, a_named["|"][flat_a], a_named[","][flat_a])
+        names[np.arange(len(flat_b)) + upto_a] = np.where(last_b, b_named[";"][flat_b], b_named[","][flat_b])
         names = names.tolist()
         unit_ends = np.cumsum(count_a)
         links = np.diff(np.searchsorted(at_a, np.concatenate([[0], unit_ends])))
         out, start, first = [], 0, 0
         for n_a, n_b, n_links in zip(count_a.tolist(), count_b.tolist(), links.tolist(), strict=True):
             stop = start + n_a + n_b
-            out.append((n_a, n_b, n_links, "".join(names[start:stop]), pairs[first : first + n_links]))
+            out.append((n_a, n_b, n_links, "".join(names[start:stop]), pairs[8 * first : 8 * (first + n_links)]))
             start, first = stop, first + n_links
         return out
 
@@ -189,33 +197,36 @@ _BLOCK = (
 )
 
 
+class _Numbers(dict):
+    """Units numbered as they are first met."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 def _block(number: int, texts: list[tuple[bytes, str, int]], work: Aligner) -> dict:
     """What is kept of a block of (mark, text, copies)."""
-    codes_of: dict[str, int] = {}
-    cut = [work.units(text) for _, text, _ in texts]
-    coded = [np.fromiter((codes_of.setdefault(u, len(codes_of)) for u in units), np.int64, len(units)) for units in cut]
+    codes_of = _Numbers()
+    coded = [np.array([codes_of[u] for u in work.units(text)], np.int32) for _, text, _ in texts]
     found = work.align(list(codes_of))
     spelled = np.array([x is not None for x in found])
     sizes = np.array([x[:3] if x else (0, 0, 0) for x in found], np.int64).reshape(-1, 3)
-    rows, kept, times = [], [], np.zeros(len(found))
-    for (mark, _, copies), units, codes in zip(texts, cut, coded, strict=True):
+    rows, kept, times = [], [], np.zeros(len(found), np.int64)
+    for (mark, _, copies), codes in zip(texts, coded, strict=True):
         if spelled[codes].all():
             n_a, n_b, n_links = sizes[codes].sum(0).tolist()
             text = "".join([found[c][3] for c in codes.tolist()])[:-1]
-            sha = hashlib.sha256(text.encode()).hexdigest()
-            times += np.bincount(codes, minlength=len(found)) * float(copies) if len(codes) > len(found) // 8 else 0
-            if len(codes) <= len(found) // 8:
-                np.add.at(times, codes, float(copies))
+            np.add.at(times, codes, copies)
             kept.append(codes)
+            rows.append((mark, n_a, n_b, n_links, n_links, hashlib.sha256(text.encode()).hexdigest(), len(codes)))
         else:
-            n_a = n_b = n_links = 0
-            sha = ""
-            units = []
-        rows.append((mark, n_a, n_b, n_links, n_links, sha, len(units)))
-    pairs = np.concatenate([np.zeros(0, np.int64), *(x[4] for x in found if x)])
+            rows.append((mark, 0, 0, 0, 0, "", 0))
+    pairs = np.frombuffer(b"".join([x[4] for x in found if x]), np.int64)
     of = np.repeat(np.arange(len(found)), sizes[:, 2])
     different, links = np.unique(pairs, return_inverse=True)
-    counts = np.bincount(links, weights=times[of], minlength=len(different)).astype(np.int64)
+    counts = np.zeros(len(different), np.int64)
+    np.add.at(counts, links, times[of])
     names = [x.split(" ")[0] for x in _TEXT.split(", ")]
     return {
         "block": number,
