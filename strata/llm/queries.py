@@ -7,6 +7,7 @@ import public_tokenizers
 from strata.llm.alignment import align_corpus, document_measures
 from strata.llm.ann import nearest_neighbours
 from strata.llm.bpe import round_trips
+from strata.llm.conversations import repair_report
 from strata.llm.dedup import near_duplicates
 from strata.llm.langid import fit_language_model, held_out, predict_languages
 from strata.llm.licenses import scan_licenses
@@ -79,6 +80,10 @@ def op11_tokenizer_alignment(spark, folder):
     return document_measures(docs, target)
 
 
+def op12_conversation_repair(spark, folder):
+    return repair_report(_table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_bpe": op2_bpe,
@@ -91,4 +96,5 @@ QUERIES = {
     "op9_top_k": op9_top_k,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
 }

@@ -1,0 +1,164 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm.conversations import AT_END, Lattice, apply_edits, crossing_costs, damage, repair_conversations, repair_report
+
+WHITE = " \t\n\v\f\r"
+STEP = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+NAMES = {"u": "user", "a": "assistant"}
+
+
+def dropped_and_changed(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        name = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        way = zlib.crc32(name.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if way == 0:
+            continue
+        text = "" if way == 1 else re.sub("[.!?]", "", text) if way == 2 else text
+        out += [(conv, turn, "user" if way == 4 else role, text)] * (2 if way == 3 else 1)
+    return out
+
+
+def cheapest(rows):
+    """(cost, edits, lines) over all ways, state by state: least cost, then least edits."""
+
+    def inserted(ways):
+        for _ in range(3):
+            for state in list(ways):
+                cost, edits, lines = ways[state]
+                for new in "ua":
+                    if STEP.get((state, new)):
+                        offer = (cost + 3, edits + "I", [*lines, NAMES[new] + ":"])
+                        ways[new] = min(ways.get(new, offer), offer)
+        return ways
+
+    ways = inserted({"": (0, "", [])})
+    for role, text, fault in rows:
+        after = {}
+
+        def take(state, offer):
+            after[state] = min(after.get(state, offer), offer)
+
+        for state, (cost, edits, lines) in ways.items():
+            take(state, (cost + 4, edits + "D", lines))
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = 3 if fault == "truncated" else 0
+            if role[:1] and (state, role[:1]) in STEP:
+                take(role[:1], (cost + extra, edits + "K", [*lines, f"{role}:{text}"]))
+            for new in "ua":
+                if (state, new) in STEP:
+                    take(new, (cost + 3 + extra, edits + "R", [*lines, f"{NAMES[new]}:{text}"]))
+        ways = inserted(after)
+    return min(ways[state] for state in ("", "a") if state in ways)
+
+
+def by_hand(original):
+    convs = defaultdict(list)
+    for row in dropped_and_changed(original):
+        convs[row[0]].append(row)
+    out = {}
+    for conv in {row[0] for row in original}:
+        rows = sorted(convs[conv], key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        seen, marked = set(), []
+        for _, _, role, text in rows:
+            visible = text.strip(WHITE)
+            fault = "blank" if not visible else "duplicate" if (role, text) in seen else "truncated" if visible[-1] not in ".!?" else ""
+            seen.add((role, text))
+            marked.append((role, text, fault))
+        turns = [r[1] for r in rows if r[1] is not None]
+        count = {f: sum(x[2] == f for x in marked) for f in ("blank", "duplicate", "truncated")}
+        illegal = sum(x[0][:1] + y[0][:1] not in ("su", "ua", "au") for x, y in zip(marked, marked[1:], strict=False))
+        cost, edits, lines = cheapest(marked)
+        sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        out[conv] = (gaps, count["blank"], count["duplicate"], count["truncated"], illegal, cost, edits, sha)
+    return out
+
+
+COLUMNS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def made(chance, conv, turns):
+    rows = []
+    for turn in range(turns):
+        role = chance.choice(["system", "user", "assistant", "user", "assistant", "tool", None, "", "a"])
+        text = chance.choice(["hi.", "ok", "ok?", "", None, " \n", "x! ", "long text " * 3, f"say {turn}.", "."])
+        rows.append((conv, None if chance.random() < 0.05 else turn + turn // 5, role, text))
+    return rows
+
+
+@pytest.fixture
+def make(spark):
+    def frame(rows, partitions=3):
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+        return df.repartition(partitions).withColumn("copies", F.lit("clash")).withColumn("part", F.lit(None).cast("int"))
+
+    return frame
+
+
+def got(report):
+    return {r["conv_id"]: tuple(r[c] for c in COLUMNS) for r in report.collect()}
+
+
+def test_reports_match_all_ways(make):
+    chance = random.Random(1)
+    rows = [r for conv in range(200) for r in made(chance, conv, chance.randrange(1, 10))]
+    rows += made(chance, None, 30) + rows[:40] + [(500, t, "user", "same.") for t in range(40)] + [(501, 3, "user", "one.")] * 25
+    assert got(repair_report(make(rows))) == by_hand(rows)
+
+
+@pytest.mark.parametrize("segment", [1, 3, 10_000])
+def test_segments_give_the_same(make, segment):
+    chance = random.Random(2)
+    rows = [r for conv in (1, 2, 3, None) for r in made(chance, conv, 60)] + [r for c in range(10, 40) for r in made(chance, c, 3)]
+    rows += [(7, t, "user" if t % 2 else "assistant", f"well {t}.") for t in range(200)]
+    repair = repair_conversations(damage(make(rows)), keep_texts=True, segment_rows=segment)
+    wanted = {conv: x for conv, x in by_hand(rows).items() if x[6]}
+    assert got(repair.report) == wanted
+    texts = defaultdict(list)
+    for row in sorted(repair.texts.collect(), key=lambda r: r["part"]):
+        texts[row["conv_id"]] += [row["repaired"]] if row["repaired"] is not None else []
+    for conv, x in wanted.items():
+        assert hashlib.sha256("\n".join(texts[conv]).encode()).hexdigest() == x[7]
+
+
+def test_long_texts_and_long_conversations(make):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", "word " * 200_000 + f"{t}.") for t in range(6)]
+    rows += [(2, t, "assistant" if t % 3 else "user", f"t{t}.") for t in range(3_000)]
+    assert got(repair_report(make(rows))) == by_hand(rows)
+
+
+def test_empty_tables_and_rows_that_all_go(make):
+    assert got(repair_report(make([]))) == {}
+    lost = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    assert got(repair_report(make([(lost, 0, "user", "x.")]))) == by_hand([(lost, 0, "user", "x.")])
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert got(repair_report(make([(lost, 0, "user", "x.")])))[lost] == nothing
+
+
+def test_prices_are_distances_from_every_state():
+    chance = random.Random(3)
+    for _ in range(60):
+        codes = [chance.randrange(9) for _ in range(chance.randrange(0, 50))]
+        times = [chance.randrange(1, 4) if c == 8 else 1 for c in codes]
+        lattice = Lattice(codes, times)
+        costs = crossing_costs(codes, times)
+        # From any state over the rows to any other, and on to the end.
+        assert lattice.prices[:4] == [min(costs[q][to] + AT_END[to] for to in range(4)) for q in range(4)]
+        for q in range(4):
+            edits, end = lattice.trace(q)
+            price = {"D": 4, "I": 3, "K": 0, "R": 3}
+            assert len([x for x in edits if x != "I"]) == sum(times)
+            paid = sum(price[x] for x in edits) + AT_END[end]
+            assert 0 <= lattice.prices[q] - paid <= 3 * len(codes)  # what is truncated and stays
+            rows = apply_edits(edits, q, codes, times, ["suax"[c % 4] if c < 8 else "" for c in codes], ["t"] * len(codes))
+            assert len(rows) == len([x for x in edits if x != "D"])
