@@ -97,6 +97,30 @@ _CONVERSATIONS = f"""
 
 
 ORACLE: dict[str, str] = {
+    "op13_ngram_join": """
+        with recursive words as (
+            select row_number() over () as r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x20\\x09-\\x0D]+') as w
+            from documents
+        ), sets as (
+            select r, doc_id, list_distinct(list_transform(
+                range(0, case when len(w) = 0 then 0 else greatest(1, len(w) - 3) end),
+                lambda i: array_to_string(w[i + 1 : i + 4], ' '))) as s
+            from words
+        ), shared as (
+            select r, unnest(s) as shingle, len(s) as n from sets
+        ), links as (
+            select a.r as a, b.r as b from shared a join shared b on a.shingle = b.shingle and a.r <> b.r
+            group by a.r, b.r, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reached as (
+            select r, doc_id as seen from sets
+            union
+            select links.b, reached.seen from reached join links on links.a = reached.r
+        )
+        select sets.doc_id, len(s)::bigint as n_shingles, min(seen) as component_id
+        from sets join reached using (r) group by sets.r, sets.doc_id, len(s)
+    """,
     "op12_conversation_repair": _CONVERSATIONS,
     "op9_top_k": """
         with whole as (

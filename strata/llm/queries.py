@@ -13,6 +13,7 @@ from strata.llm.langid import fit_language_model, held_out, predict_languages
 from strata.llm.licenses import scan_licenses
 from strata.llm.lm import score_texts
 from strata.llm.mixing import mix_report
+from strata.llm.ngram_join import ngram_components
 from strata.llm.shipping import ship
 from strata.llm.token_counts import token_counts
 from strata.llm.token_store import stored_documents, write_tokens
@@ -84,6 +85,10 @@ def op12_conversation_repair(spark, folder):
     return repair_report(_table(spark, folder, "conversations"))
 
 
+def op13_ngram_join(spark, folder):
+    return ngram_components(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_lm_scores": op1_lm_scores,
     "op2_bpe": op2_bpe,
@@ -97,4 +102,5 @@ QUERIES = {
     "op10_near_duplicates": op10_near_duplicates,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_ngram_join": op13_ngram_join,
 }
