@@ -3,6 +3,8 @@
 from strata.functions.casting import count_lost, fit
 from strata.functions.dates import from_epoch_millis, parse_date, period_of
 from strata.functions.protection import hmac_sha256, redact, rewrap, seal, unseal
+from strata.operators.asof import asof_join
+from strata.operators.chain import delta_chain, rebase_chain, roll_chain, snapshot_from_chain, snapshots_between
 from strata.operators.conform import (
     conform,
     conform_losses,
@@ -55,6 +57,7 @@ from strata.plans.jobs import (
 )
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
+from strata.sources.digests import dataset_diff_digest, publish_digested
 from strata.sources.ledger import (
     RunLedger,
     read_unprocessed,
@@ -62,6 +65,7 @@ from strata.sources.ledger import (
     replay_range,
     unprocessed,
 )
+from strata.sources.manifest import FileManifest, list_files
 from strata.sources.partitions import (
     purge_swapped,
     rebuild_partitions,
@@ -92,11 +96,13 @@ from strata.streaming.state import (
 
 __all__ = [
     "Enrichment",
+    "FileManifest",
     "GrainError",
     "RunLedger",
     "affected_partitions",
     "apply_changes",
     "array_filter",
+    "asof_join",
     "assert_grain",
     "attach_nested",
     "bronze_to_silver",
@@ -109,6 +115,8 @@ __all__ = [
     "current_state_incremental",
     "current_state_partitioned",
     "dataset_diff",
+    "dataset_diff_digest",
+    "delta_chain",
     "earliest_affected",
     "fit",
     "flatten_changes",
@@ -118,6 +126,7 @@ __all__ = [
     "hmac_sha256",
     "labelled_version",
     "latest_version",
+    "list_files",
     "load_period",
     "load_typed_table",
     "lookup_join",
@@ -139,6 +148,7 @@ __all__ = [
     "pit_snapshots",
     "process_new_files",
     "product_rollup",
+    "publish_digested",
     "publish_snapshot",
     "purge_swapped",
     "purge_versions",
@@ -148,6 +158,7 @@ __all__ = [
     "read_state",
     "read_unprocessed",
     "reads_table",
+    "rebase_chain",
     "rebuild_partitions",
     "rebuild_table_partitions",
     "redact",
@@ -158,6 +169,7 @@ __all__ = [
     "resolve_schema",
     "retain_last",
     "rewrap",
+    "roll_chain",
     "roll_forward",
     "roll_snapshots",
     "route",
@@ -166,6 +178,8 @@ __all__ = [
     "seal",
     "shared_folder",
     "snapshot_at",
+    "snapshot_from_chain",
+    "snapshots_between",
     "standardize",
     "swap_table_partitions",
     "table_schema",

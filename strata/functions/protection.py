@@ -28,9 +28,9 @@ def _apart(pattern: str) -> str:
 # where a run of its characters begins, and a run is not given back, so that a long run of
 # word characters cannot turn quadratic.
 PII_PATTERNS = {
-    "EMAIL": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,24}",
+    "EMAIL": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@(?:[\p{L}\p{M}\p{N}-]++\.)+\p{L}(?:[\p{L}\p{M}\p{N}]|-++(?=[\p{L}\p{M}\p{N}]))++",
     "SECRET": r'token = "[0-9a-f]{40}"',
-    "CREDIT_CARD": _apart("[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}"),
+    "CREDIT_CARD": _apart("(?:3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}|(?:[0-9]{4}[ -]?){3}[0-9]{4}(?:[ -]?[0-9]{3})?)"),
     "IP_ADDRESS": _apart(r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"),
     "SSN": _apart("[0-9]{3}-[0-9]{2}-[0-9]{4}"),
 }

@@ -163,6 +163,11 @@ TEXTS = [
     ("123-45-6789", "[SSN]"),
     ("né123-45-6789é, à10.0.0.1", "né[SSN]é, à[IP_ADDRESS]"),
     ("x123-45-6789 123-45-67890 _10.0.0.1", "x123-45-6789 123-45-67890 _10.0.0.1"),
+    ("at user@example.xn--p1ai.", "at [EMAIL]."),
+    ("e\u0301mile@exa\u0301mple.com e\u0301", "[EMAIL] e\u0301"),
+    ("x@example." + "a" * 30 + "-", "[EMAIL]-"),
+    ("3782 822463 10005, 378282246310005 and 6304000000000000000", "[CREDIT_CARD], [CREDIT_CARD] and [CREDIT_CARD]"),
+    ("123456789012345 12345678901234567", "123456789012345 12345678901234567"),
     ("nothing @ all - 12.5", "nothing @ all - 12.5"),
     (None, None),
     ("", ""),

@@ -35,3 +35,15 @@ def test_query(spark, connection, plan, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_what_is_optional_does_not_take_the_rest_down(monkeypatch, capsys):
+    import sys
+
+    import __spark_entry__ as entry_module
+
+    assert entry_module._optional("strata.no_such_package") is None
+    monkeypatch.setitem(sys.modules, "duckdb", None)  # a module that another one needs is missing
+    monkeypatch.delitem(sys.modules, "check", raising=False)
+    assert entry_module._optional("check") is None
+    assert "without check" in capsys.readouterr().err

@@ -390,9 +390,9 @@ ORACLE["pii_detokenize"] = "select event_id, event_type from events"
 
 # Written for RE2, which has no look-around; its \b knows ASCII word characters only.
 _PATTERNS = {
-    "EMAIL": r"[\pL\pN._%+-]+@([\pL\pN-]+[.])+\pL{2,24}",
+    "EMAIL": r"[\pL\pM\pN._%+-]+@([\pL\pM\pN-]+[.])+\pL([\pL\pM\pN]|-+[\pL\pM\pN])+",
     "SECRET": r'token = "[0-9a-f]{40}"',
-    "CREDIT_CARD": r"\b(\d{4}[ -]?){3}\d{4}\b",
+    "CREDIT_CARD": r"\b(3[47]\d{2}[ -]?\d{6}[ -]?\d{5}|(\d{4}[ -]?){3}\d{4}([ -]?\d{3})?)\b",
     "IP_ADDRESS": r"\b(\d{1,3}[.]){3}\d{1,3}\b",
     "SSN": r"\b\d{3}-\d{2}-\d{4}\b",
 }
@@ -451,3 +451,23 @@ with {_EDITIONS}, signed as (
 select o_orderstatus, o_orderpriority, sum(n)::bigint as surplus
 from signed group by 1, 2 having sum(n) <> 0
 """
+
+ORACLE["dataset_diff_digest"] = ORACLE["dataset_diff"]
+
+# -- snapshots from a chain of deltas ----------------------------------------------------
+
+ORACLE["snapshot_chain"] = _PIT
+ORACLE["roll_chain"] = _PIT_LONGER
+
+# -- files that arrive late, attributes at a moment --------------------------------------
+
+ORACLE["read_manifest"] = f"select event_id, event_type, case when ts >= {SPLIT} then 1 else 2 end::int as run from events"
+
+ORACLE["asof_enrichment"] = """
+with clicks as (
+    select user_id, ts, max(event_id) as event_id from events where event_type = 'click' group by user_id, ts
+)
+select p.event_id, p.user_id, p.ts, c.ts as click_at, c.event_id as click_id
+from (select * from events where event_type = 'purchase') p
+asof left join clicks c on p.user_id = c.user_id and p.ts >= c.ts
+"""

@@ -933,3 +933,90 @@ def multiset_diff(spark: SparkSession, folder: str) -> DataFrame:
     before, after = _two_editions(spark, folder)
     columns = ["o_orderstatus", "o_orderpriority"]
     return st.multiset_diff(before.select(*columns), after.select(*columns))
+
+
+@query
+def dataset_diff_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """The same comparison of two published versions, down a tree of digests."""
+    before, after = _two_editions(spark, folder)
+    path = st.working_folder(spark, "editions")
+    for edition in (before, after):
+        st.publish_digested(edition, path, ["o_orderkey"], rows_per_leaf=256)
+    return st.dataset_diff_digest(spark, path, ["o_orderkey"]).select(
+        "o_orderkey",
+        "change",
+        F.col("before.o_totalprice").alias("old_price"),
+        F.col("after.o_totalprice").alias("new_price"),
+        F.col("after.o_orderstatus").alias("new_status"),
+    )
+
+
+# -- snapshots from a chain of deltas ----------------------------------------------------
+
+CHAIN = {"keys": ["o_custkey"], "order": ["o_orderdate", "o_orderkey"], "deleted": "gone"}
+
+
+def _first_month(changes: DataFrame) -> dt.date:
+    return changes.agg(F.trunc(F.min("o_orderdate"), "month").alias("first")).first()["first"]
+
+
+def _stored_chain(spark: SparkSession, chain: DataFrame) -> DataFrame:
+    path = st.working_folder(spark, "chain")
+    st.publish_snapshot(chain, path, partition_by=["node"])
+    return st.read_snapshot(spark, path)
+
+
+@query
+def snapshot_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Every month's snapshot, each from the few nodes that it is made of."""
+    changes = _order_changes(spark, folder).drop("o_orderpriority")
+    first, last = _first_month(changes), _last_month(changes)
+    options = {"origin": first, **CHAIN}
+    chain = _stored_chain(spark, st.delta_chain(changes, upto=last, **options))
+    return st.snapshots_between(chain, first, last, **options).withColumns(_text("period"))
+
+
+@query
+def roll_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Late rows taken into a stored chain, which also gains all months up to two quiet ones."""
+    changes = _order_changes(spark, folder)
+    first, month = _first_month(changes), dt.date(2001, 3, 1)
+    last = _two_months_after(spark, _last_month(changes))
+    options = {"origin": first, **CHAIN}
+    known = ~_is_late() & (F.col("o_orderdate").cast("date") < "2001-04-01")
+    stored = changes.filter(known).drop("o_orderpriority")
+    chain = _stored_chain(spark, st.delta_chain(stored, upto=month, **options))
+    late = changes.filter(~known).drop("o_orderpriority")
+    rebuilt, touched = st.roll_chain(chain, late, stored_upto=month, upto=last, **options)
+    rolled = chain.where(~F.col("node").isin(touched)).unionByName(rebuilt)
+    return st.snapshots_between(_stored_chain(spark, rolled), first, last, **options).withColumns(_text("period"))
+
+
+# -- files that arrive late, attributes at a moment --------------------------------------
+
+
+@query
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over a folder: the second one finds the files that came after the first, whatever their times."""
+    events = table(spark, folder, "events").select("event_id", "event_type", "ts")
+    base = st.working_folder(spark, "arrivals")
+    manifest = st.FileManifest(spark, f"{base}/manifest")
+    runs = []
+    for number, part in enumerate(reversed(_halves(events)), 1):
+        part.write.mode("append").parquet(f"{base}/files")
+        with manifest.run("events", f"{base}/files") as run:
+            rows = run.read(spark, events.schema).withColumn("run", F.lit(number))
+            rows.write.parquet(f"{base}/run{number}")
+        runs.append(spark.read.parquet(f"{base}/run{number}"))
+    return runs[0].unionByName(runs[1]).select("event_id", "event_type", "run")
+
+
+@query
+def asof_enrichment(spark: SparkSession, folder: str) -> DataFrame:
+    """Each purchase with the user's newest click up to then."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts", "value")
+    bought = events.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    clicks = events.filter(F.col("event_type") == "click")
+    return st.asof_join(
+        bought, clicks, {"user_id": "user_id"}, {"ts": "ts"}, {"click_at": "ts", "click_id": "event_id"}, slice_seconds=86_400
+    )
