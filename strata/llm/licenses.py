@@ -8,6 +8,8 @@ stand there word for word. Texts are read once and never shuffled: the words tha
 have are kept with their places in a checkpoint. What reaches the driver is one count for
 each of these words.
 
+The work grows with the length of a text: a beginning is compared with the words it can span.
+
 Defined results: a null or empty text has no words, null positions, empty labels and score
 0; repeated rows give repeated results; an empty table gives an empty result.
 """
@@ -153,13 +155,15 @@ def scan_licenses(
             for part in (F.lit(word), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in places]))
         ]
     )
-    indexed = F.filter(F.col("hits"), lambda hit: hit["w"].isin(*sorted(postings)))
-    begins = F.flatten(
-        F.transform(
-            indexed,
-            lambda hit: F.transform(F.element_at(index, hit["w"]), lambda at: F.struct(at["t"].alias("t"), (hit["p"] - at["p"]).alias("p"))),
-        )
-    )
+    numbered = F.transform("hits", lambda hit, i: F.struct(hit["p"].alias("p"), hit["w"].alias("w"), i.alias("i")))
+    indexed = F.filter(numbered, lambda hit: hit["w"].isin(*sorted(postings)))
+
+    def beginning(hit: Column, at: Column) -> Column:
+        # Of the hits, as many at most lie between the beginning and this one as words do.
+        first = F.greatest(hit["i"] - at["p"], F.lit(0)) + 1
+        return F.struct(at["t"].alias("t"), (hit["p"] - at["p"]).alias("p"), first.alias("first"))
+
+    begins = F.flatten(F.transform(indexed, lambda hit: F.transform(F.element_at(index, hit["w"]), lambda at: beginning(hit, at))))
     found = found.select(
         "doc_id",
         "n_words",
@@ -167,16 +171,23 @@ def scan_licenses(
         F.filter(F.transform(F.col("hits"), phrase_at), lambda x: x.isNotNull()).alias("base"),
         F.sort_array(begins).alias("begins"),
     )
-    agreed = F.array_distinct(
-        F.filter(F.col("begins"), lambda begin, i: F.get(F.col("begins"), i + (support - 1)) == begin)
-    )
+    def same(other: Column, begin: Column) -> Column:
+        return (other["t"] == begin["t"]) & (other["p"] == begin["p"])
+
+    def agreed_first(begin: Column, i: Column) -> Column:
+        """The first of ``support`` equal beginnings."""
+        before = F.get(F.col("begins"), i - 1)
+        return same(F.get(F.col("begins"), i + (support - 1)), begin) & ~F.coalesce(same(before, begin), F.lit(False))
+
+    agreed = F.filter(F.col("begins"), agreed_first)
     notices, keys = _sets(known)
+    lengths = F.array(*[F.lit(t.words[-1][0] + 1) for t in known])
 
     def present(begin: Column, wanted: Column) -> Column:
-        at = F.element_at(wanted, begin["t"] + 1)
-        return F.transform(
-            at, lambda x: F.array_contains(F.col("hits"), F.struct((x["p"] + begin["p"]).alias("p"), x["w"].alias("w")))
-        )
+        """Which words of a template stand at their places: looked for among the hits that its span can hold."""
+        at, length = F.element_at(wanted, begin["t"] + 1), F.element_at(lengths, begin["t"] + 1)
+        span = F.slice(F.col("hits"), begin["first"], length)
+        return F.transform(at, lambda x: F.array_contains(span, F.struct((x["p"] + begin["p"]).alias("p"), x["w"].alias("w"))))
 
     def verified(begin: Column) -> Column:
         cover = F.aggregate(present(begin, notices), F.lit(0.0), lambda n, yes: n + F.when(yes, 1.0).otherwise(0.0))

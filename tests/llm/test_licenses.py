@@ -1,10 +1,15 @@
+import math
+import random
 import re
+import time
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from strata.llm.licenses import PHRASES, scan_licenses
+from strata.llm.licenses import COMMON, PHRASES, TEMPLATES, scan_licenses
 
 
 def by_hand(text):
@@ -77,3 +82,64 @@ def test_plan_stays_native(make_docs, plan):
 def test_unknown_template_phrase_fails(make_docs):
     with pytest.raises(StopIteration):
         scan_licenses(make_docs(TEXTS), templates=[("x", "some words here", "not there")])
+
+
+def words_of(text):
+    small = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", small)
+
+
+def notices_by_hand(texts, rare_words=5, support=3, least_cover=0.6):
+    """labels and score of every text, each template tried at every place."""
+    templates = []
+    for label, notice, phrase in TEMPLATES:
+        words, key = notice.split(), phrase.split()
+        at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
+        telling = [(i, w) for i, w in enumerate(words) if w not in COMMON]
+        templates.append((label, telling, [x for x in telling if at <= x[0] < at + len(key)]))
+    vocabulary = {w for _, telling, _ in templates for _, w in telling} | {w for phrase in PHRASES for w in phrase.split()}
+    frequency = Counter(w for text in texts for w in set(words_of(text)) & vocabulary)
+    out = []
+    for text in texts:
+        words = words_of(text)
+        *_, base_labels = by_hand(text)
+        labels, score = set(base_labels.split(",")) - {""}, 1.0 if base_labels else 0.0
+        for label, telling, key in templates:
+            rarest = sorted({w for _, w in telling}, key=lambda w: (-math.log((1 + len(texts)) / (1 + frequency[w])), w))[:rare_words]
+            for begin in range(-len(telling) * 4, len(words)):
+
+                def there(wanted, begin=begin):
+                    return [0 <= begin + i < len(words) and words[begin + i] == w for i, w in wanted]
+
+                if sum(there([x for x in telling if x[1] in rarest])) < support or not all(there(key)):
+                    continue
+                cover = sum(there(telling)) / len(telling)
+                if cover >= least_cover:
+                    labels.add(label)
+                    score = score if base_labels else max(score, cover)
+        out.append((",".join(sorted(labels)), round(score, 9)))
+    return out
+
+
+def test_labels_and_scores_match_every_place(make_docs):
+    chance = random.Random(1)
+    texts = ["nothing here", "permission is granted"]
+    for _, notice, _ in TEMPLATES:
+        words = notice.split()
+        texts += [notice, " ".join(words[2:] + words), "x " * 7 + " ".join(w if chance.random() < 0.85 else "odd" for w in words)]
+        texts += [" ".join(chance.choice(words) for _ in range(60)), f"{notice} and {notice}"]
+    docs = make_docs(texts).withColumn("hits", F.lit("clash")).withColumn("begins", F.lit(1)).withColumn("base", F.lit(2))
+    rows = sorted(scan_licenses(docs).collect(), key=lambda r: r["doc_id"])
+    assert [(r["labels"], round(r["score"], 9)) for r in rows] == notices_by_hand(texts)
+
+
+def test_four_megabytes_of_notices(make_docs):
+    whole = " ".join(notice for _, notice, _ in TEMPLATES) + "\n"
+    took = []
+    for size in (1 << 20, 4 << 20):
+        docs = make_docs([whole * (size // len(whole))], 1)
+        start = time.time()
+        row = scan_licenses(docs).first()
+        took.append(time.time() - start)
+        assert row["score"] == 1.0 and row["n_base"] > 100
+    assert took[1] < 60 and took[1] < 10 * max(took[0], 1)
