@@ -227,6 +227,15 @@ def _counts(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
+def _by_bucket(keys: np.ndarray, buckets: int):
+    """Bucket by bucket, the places of its keys; a bucket without any costs nothing."""
+    order = np.argsort(keys, kind="stable")
+    own = _bucket(keys[order], buckets)
+    firsts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[: len(own)])
+    for start, stop in zip(firsts, np.append(firsts[1:], len(own)), strict=False):
+        yield int(own[start]), order[start:stop]
+
+
 def _send_tokens(buckets: int):
     """Each block's different tokens with their training counts, by bucket of their hash."""
 
@@ -236,12 +245,9 @@ def _send_tokens(buckets: int):
                 codes, sizes, train = _counts(block)
                 hashes = np.frombuffer(block["hashes"], "<u8")
                 counts = np.bincount(codes[np.repeat(train, sizes)], minlength=len(hashes))
-                order = np.argsort(hashes)
-                borders = np.searchsorted(_bucket(hashes[order], buckets), np.arange(buckets + 1))
                 rows = [
                     {"bucket": b, "block": block["block"], "hashes": hashes[part].tobytes(), "counts": _planes(counts[part], 4)}
-                    for b in range(buckets)
-                    if len(part := order[borders[b] : borders[b + 1]])
+                    for b, part in _by_bucket(hashes, buckets)
                 ]
                 schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -321,15 +327,6 @@ def _bigrams(block: dict, texts: int, only_training: bool = False) -> _Bigrams:
     return _Bigrams(which, counts, totals[history], totals[token], _keys(hashes[history], hashes[token]))
 
 
-def _by_bucket(keys: np.ndarray, buckets: int):
-    """Bucket by bucket, the places of its keys."""
-    order = np.argsort(keys, kind="stable")
-    borders = np.searchsorted(_bucket(keys[order], buckets), np.arange(buckets + 1))
-    for b in range(buckets):
-        if borders[b] < borders[b + 1]:
-            yield b, order[borders[b] : borders[b + 1]]
-
-
 def _send_bigrams(buckets: int, texts: int):
     """The different bigrams of each block's training texts, by bucket of their hash."""
 
