@@ -55,6 +55,7 @@ from strata.plans.jobs import (
     reprocess,
     roll_snapshots,
 )
+from strata.plans.quarantine import read_good, read_rejected, write_or_reject
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
 from strata.sources.digests import dataset_diff_digest, publish_digested
@@ -153,7 +154,9 @@ __all__ = [
     "purge_swapped",
     "purge_versions",
     "read_conformed",
+    "read_good",
     "read_raw",
+    "read_rejected",
     "read_snapshot",
     "read_state",
     "read_unprocessed",
@@ -190,5 +193,6 @@ __all__ = [
     "with_schema",
     "working_folder",
     "write_conformed",
+    "write_or_reject",
     "writes_table",
 ]

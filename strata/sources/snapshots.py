@@ -56,12 +56,15 @@ def publish_snapshot(
     version: int | None = None,
     partition_by: Sequence[str] = (),
     label: str | None = None,
+    gather: bool = True,
 ) -> int:
     """Write ``df`` as a new version and return its number.
 
     With an explicit ``version`` a repeated call does nothing once that version is
     complete, so a job that is run again publishes once. A ``label`` is kept beside the
-    rows; :func:`labelled_version` finds it again.
+    rows; :func:`labelled_version` finds it again. Rows of a partition are gathered before
+    they are written, unless there are so few partitions that every task may write all
+    (``gather=False``).
     """
     spark = df.sparkSession
     storage = Storage(spark, path)
@@ -71,7 +74,7 @@ def publish_snapshot(
     folder = f"{_PREFIX}{version}"
     if storage.holds_text(folder, _MARK):
         return version
-    if partition_by:
+    if partition_by and gather:
         df = spread_by(df, *partition_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partition_by).parquet(version_path(path, version))

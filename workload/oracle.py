@@ -471,3 +471,11 @@ select p.event_id, p.user_id, p.ts, c.ts as click_at, c.event_id as click_id
 from (select * from events where event_type = 'purchase') p
 asof left join clicks c on p.user_id = c.user_id and p.ts >= c.ts
 """
+
+ORACLE["conform_quarantine"] = """
+select o_orderkey,
+       case when o_orderkey % 10 <> 0 and o_orderpriority <> '5-LOW' then o_totalprice::double end as price,
+       concat_ws(', ', case when o_orderkey % 10 = 0 then 'o_totalprice: does not fit' end,
+                 case when o_orderpriority = '5-LOW' then 'o_orderpriority: is null' end) as reasons
+from orders
+"""

@@ -1020,3 +1020,24 @@ def asof_enrichment(spark: SparkSession, folder: str) -> DataFrame:
     return st.asof_join(
         bought, clicks, {"user_id": "user_id"}, {"ts": "ts"}, {"click_at": "ts", "click_id": "event_id"}, slice_seconds=86_400
     )
+
+
+@query
+def conform_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text, some of it broken: what fits, and what is put aside with its reasons."""
+    orders = table(spark, folder, "orders")
+    broken = F.col("o_orderkey") % 10 == 0
+    text = orders.select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.when(broken, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("o_orderpriority"),
+    )
+    schema = "o_orderkey bigint, o_totalprice double, o_orderpriority string"
+    done = st.write_or_reject(text, schema, st.working_folder(spark, "judged"), required=["o_orderpriority"])
+    good = done.good.select("o_orderkey", F.col("o_totalprice").alias("price"), F.lit("").alias("reasons"))
+    bad = done.rejected.select(
+        F.col("raw.o_orderkey").cast("long").alias("o_orderkey"),
+        F.lit(None).cast("double").alias("price"),
+        F.array_join("reasons", ", ").alias("reasons"),
+    )
+    return good.unionByName(bad)
