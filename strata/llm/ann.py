@@ -10,7 +10,8 @@ number of rows of each cell are broadcast: their size is set by ``centres``, not
 Defined results: vectors that are null, zero, or hold null or non-finite components, and
 rows without id, take no part; shorter vectors count as filled up with zeros; a query's own
 rows are all rows with its id; queries that repeat an id with the same vector count once,
-other rows that repeat are candidates each; an empty table gives an empty result.
+other rows that repeat are candidates each; of equal scores the smaller vec_id comes first;
+other columns are not looked at; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -22,8 +22,8 @@ counts; for that, counts are taken by powers of two as well.
 
 Defined results: a null text is empty and holds the end token alone; a null doc_id counts as
 the empty text where the training texts are chosen; without training texts all scores are 0;
-repeated rows are counted and scored as often as they stand; an empty table gives an empty
-result.
+repeated rows are counted and scored as often as they stand; other columns are not looked at;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ pieces. A different piece is counted once for each batch.
 
 Defined results: a null text has no bytes and no tokens; repeated rows give repeated
 results; a special token's string inside a text counts as one token, as the tokenizers
-library has it by default; an empty table gives an empty result.
+library has it by default; other columns are not looked at, whatever their names; an empty
+table gives an empty result. Texts can have any length.
 """
 
 from __future__ import annotations

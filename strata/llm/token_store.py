@@ -11,7 +11,7 @@ how many tokens its file part has before it; only the totals of the parts are ad
 files are read. Spark commits the files, so a task that runs again leaves nothing twice.
 
 Defined results: a null text holds the end id alone; a null doc_id comes first and stays
-null; repeated rows are stored as often as they stand; an empty table gives files without
+null; repeated rows are stored as often as they stand; other columns are not stored; an empty table gives files without
 blocks, which read as an empty result.
 """
 

@@ -11,7 +11,8 @@ solved by itself with exact integer arithmetic and sends on k candidates a query
 Defined results: vectors that are null or hold null or non-finite components, and rows
 without id, take no part; shorter vectors count as filled up with zeros; a query's own rows
 are all rows with its id; queries that repeat an id with the same vector count once, other
-rows that repeat are candidates each; scores beyond 64 bits are held at the largest long;
+rows that repeat are candidates each; of equal scores the smaller vec_id comes first; other
+columns are not looked at; scores beyond 64 bits are held at the largest long;
 an empty table gives an empty result.
 """
 
