@@ -10,7 +10,8 @@ of each language, chosen by a hash of doc_id, with ``sample_windows`` windows fr
 each. Counts for the sample cover all rows; the prediction uses the text alone.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0, and so is
-every text if no row has a language to learn from; repeated rows give repeated results; a
+every text if no row has a language to learn from; of languages with equal scores the first
+by code point is taken; repeated rows give repeated results; a
 null doc_id counts as the empty text where the held-out rows are chosen; an empty table
 gives an empty result.
 """

@@ -11,7 +11,8 @@ each of these words.
 The work grows with the length of a text: a beginning is compared with the words it can span.
 
 Defined results: a null or empty text has no words, null positions, empty labels and score
-0; repeated rows give repeated results; an empty table gives an empty result.
+0; repeated rows give repeated results; other columns are not looked at, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
