@@ -6,9 +6,12 @@ directory counts the set bits before each word of a bitmap, so the place of an i
 chunk is known at once, and any token is read without decoding what stands around it.
 
 Documents are put in order of doc_id by a range shuffle (rows that share a doc_id by their
-text) and written as blocks of bounded size, a row of a Parquet file for each. A block knows
-how many tokens its file part has before it; only the totals of the parts are added up when
-files are read. Spark commits the files, so a task that runs again leaves nothing twice.
+text) and written as blocks of bounded size, a row of a Parquet file for each. A block stands
+in a page of its own, uncompressed, so that a reader gets at it by the file's index of pages.
+A block knows how many tokens its file part has before it. A directory, written once after
+the blocks, holds for each block its file, its number there and the tokens before it in all
+files, in that order: a single token costs a look there and one page of one file. Spark
+commits the files, so a task that runs again leaves nothing twice.
 
 Defined results: a null text holds the end id alone; a null doc_id comes first and stays
 null; repeated rows are stored as often as they stand; other columns are not stored; an empty table gives files without
@@ -31,6 +34,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.memory import tidy
+from strata.plans.sizing import sized_for
+
+_HEAD = "part int, number int, before long, n_tokens long"
+_DIRECTORY = "start long, n_tokens long, part int, number int, file string"
+_ONE_PAGE_A_ROW = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.page.row.count.limit": "1"}
 
 _REMEMBERED = 800_000  # words; more are encoded again
 _LONG_WORD = 64
@@ -262,18 +270,34 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 2, batch
 
     # The hash keeps many rows of one doc_id from meeting in one task.
     keys = (F.col("doc_id"), F.xxhash64("text"), F.col("text"))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(*keys[:2])
-    blocks = ordered.sortWithinPartitions(*keys).mapInArrow(tidy(run), "part int, number int, before long, n_tokens long, block binary")
-    blocks.write.option("compression", "zstd").mode("errorifexists").parquet(folder)
+    with sized_for(docs):
+        ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange(*keys[:2])
+        blocks = ordered.sortWithinPartitions(*keys).mapInArrow(tidy(run), f"{_HEAD}, block binary")
+        blocks.write.options(**_ONE_PAGE_A_ROW).mode("errorifexists").parquet(f"{folder}/blocks")
+    _write_directory(docs.sparkSession, folder)
 
 
-def _blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """All blocks with ``start``, the number of tokens before them in all files."""
-    blocks = spark.read.schema("part int, number int, before long, n_tokens long, block binary").parquet(folder)
-    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
+def _write_directory(spark: SparkSession, folder: str) -> None:
+    """Where each block stands, in order of the tokens; no block is read for it."""
+    heads = spark.read.schema(_HEAD).parquet(f"{folder}/blocks").select("*", F.col("_metadata.file_name").alias("file"))
+    parts = heads.groupBy("part").agg(F.sum("n_tokens").alias("tokens"))
     earlier = F.sum("tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    # One row for each part, that is for each task of the job that wrote the files.
+    # One row for each part, that is for each task of the job that wrote the blocks.
     offsets = parts.select("part", F.coalesce(earlier, F.lit(0)).alias("offset"))
+    placed = heads.join(F.broadcast(offsets), "part").withColumn("start", F.col("offset") + F.col("before"))
+    columns = ("start", "n_tokens", "part", "number", "file")
+    placed.select(*columns).sort("start").write.mode("errorifexists").parquet(f"{folder}/directory")
+
+
+def _directory(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(_DIRECTORY).parquet(f"{folder}/directory")
+
+
+def _blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """All blocks with ``start``, the number of tokens before them in all files."""
+    blocks = spark.read.schema("part int, before long, block binary").parquet(f"{folder}/blocks")
+    # A part's first block has nothing before it there: one row for each part.
+    offsets = _directory(spark, folder).where("number = 0").select("part", F.col("start").alias("offset"))
     return blocks.join(F.broadcast(offsets), "part").withColumn("start", F.col("offset") + F.col("before"))
 
 
@@ -299,7 +323,13 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tokens_at(spark: SparkSession, folder: str, positions: list[int]) -> DataFrame:
-    """position and token_id for some positions in the order of all files; only their blocks are opened."""
+    """position and token_id for some positions in the order of all files.
+
+    The directory tells which blocks hold them; only these blocks' files are opened, and only
+    their pages read. A position beyond the last token has no row; one asked twice has two.
+    What reaches the driver is one row for each such block, so no more than ``positions``.
+    """
+    result = "position long, token_id long"
 
     def run(batches):
         for batch in batches:
@@ -308,12 +338,22 @@ def tokens_at(spark: SparkSession, folder: str, positions: list[int]) -> DataFra
                 ids = open_block(block.as_buffer())[2].take(np.array(wanted) - begin.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(ids.astype(np.int64))], ["position", "token_id"])
 
-    inside = F.filter(
-        F.array(*[F.lit(int(p)).cast("long") for p in positions]),
-        lambda p: (p >= F.col("start")) & (p < F.col("start") + F.col("n_tokens")),
+    if not positions:
+        return spark.createDataFrame([], result)
+    end = F.col("start") + F.col("n_tokens")
+    inside = F.filter(F.array(*[F.lit(int(p)).cast("long") for p in positions]), lambda p: (p >= F.col("start")) & (p < end))
+    near = _directory(spark, folder).where((F.col("start") <= max(positions)) & (end > min(positions)))
+    found = near.select("part", "number", "start", "file", inside.alias("wanted")).where(F.size("wanted") > 0).collect()
+    if not found:
+        return spark.createDataFrame([], result)
+    files = sorted({f"{folder}/blocks/{row['file']}" for row in found})
+    wanted = spark.createDataFrame(
+        [(row["part"], row["number"], row["start"], row["wanted"]) for row in found],
+        "part int, number int, start long, wanted array<long>",
     )
-    chosen = _blocks(spark, folder).select("start", "block", inside.alias("wanted")).where(F.size("wanted") > 0)
-    return chosen.mapInArrow(tidy(run), "position long, token_id long")
+    blocks = spark.read.schema("part int, number int, block binary").parquet(*files)
+    chosen = blocks.where(F.col("number").isin(sorted({row["number"] for row in found})))
+    return chosen.join(F.broadcast(wanted), ["part", "number"]).select("start", "block", "wanted").mapInArrow(tidy(run), result)
 
 
 def stored_documents(spark: SparkSession, folder: str) -> DataFrame:

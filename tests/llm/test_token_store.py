@@ -1,3 +1,4 @@
+import os
 import random
 import struct
 import zlib
@@ -65,6 +66,44 @@ def test_files_hold_all_documents_in_order(spark, make_docs):
     assert got == {p: every[p] for p in wanted}
 
 
+def bytes_read(spark):
+    return spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead")
+
+
+def test_one_token_opens_one_file_and_reads_one_page_of_it(spark, make_docs):
+    chance = random.Random(5)
+    words = ["".join(chance.choice("abcdefghij") for _ in range(9)) for _ in range(400)]
+    rows = [(i, " ".join(chance.choices(words, k=2000)), "en", "a") for i in range(120)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        folder = stored(spark, make_docs(rows, partitions=4), batch_bytes=60_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    every = [i for _, text, *_ in rows for i in LIBRARY.encode(text, add_special_tokens=False).ids + [2]]
+    blocks = f"{folder}/blocks"
+    sizes = {name: os.path.getsize(f"{blocks}/{name}") for name in os.listdir(blocks) if name.endswith(".parquet")}
+    place = len(every) // 3
+    row = spark.read.parquet(f"{folder}/directory").where(f"start <= {place} and {place} < start + n_tokens").first()
+    for name in sizes:  # any other file would now fail when it is opened
+        if name != row["file"]:
+            os.remove(f"{blocks}/.{name}.crc")
+            with open(f"{blocks}/{name}", "wb") as file:
+                file.write(b"no Parquet")
+    chosen = tokens_at(spark, folder, [place, place])
+    before = bytes_read(spark)
+    assert [tuple(r) for r in chosen.collect()] == [(place, every[place])] * 2
+    assert len(sizes) > 2 and bytes_read(spark) - before < sizes[row["file"]] / 2
+    with pytest.raises(Exception, match="not a Parquet file"):
+        tokens_at(spark, folder, [0, len(every) - 1]).collect()
+
+
+def test_positions_that_do_not_exist(spark, odd_docs, no_docs):
+    folder = stored(spark, odd_docs)
+    assert tokens_at(spark, folder, []).collect() == []
+    assert tokens_at(spark, folder, [-1, 1 << 40]).collect() == []
+    assert tokens_at(spark, stored(spark, no_docs), [0]).collect() == []
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     folder = stored(spark, odd_docs)
     rows = sorted(read_tokens(spark, folder).collect(), key=lambda r: r["start"])
