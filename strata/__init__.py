@@ -22,6 +22,7 @@ from strata.operators.privacy import (
     pii_detokenize,
     pii_encrypt,
     pii_redact,
+    pii_redact_known,
     pii_remove,
     pii_rewrap,
     pii_scan,
@@ -141,6 +142,7 @@ __all__ = [
     "pii_detokenize",
     "pii_encrypt",
     "pii_redact",
+    "pii_redact_known",
     "pii_remove",
     "pii_rewrap",
     "pii_scan",

@@ -19,7 +19,9 @@ from strata.functions.protection import (
     seal,
     unseal,
 )
+from strata.plans.sizing import DEFAULT_BOUND, Bound, within
 from strata.plans.skew import lookup_join
+from strata.session import cut_lineage
 
 
 def pii_remove(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -206,3 +208,81 @@ def pii_scan(
         for i, kind in enumerate(chosen)
     ]
     return counted.groupBy(*groups).agg(*totals).select(*groups, F.inline(F.array(*pairs)))
+
+
+_WORD = r"[\p{L}\p{M}\p{N}]"
+
+
+def _words(column: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(column, F.lit(f"{_WORD}+"), F.lit(0)))
+
+
+def known_values(values: DataFrame, column: str) -> DataFrame:
+    """Rows ``(word, found)``: for each word, the values that are looked for where a text holds it.
+
+    A value is looked for by the one of its words that the fewest values have (ties to the
+    smallest word), so that a first name or a company's form that many values share is no hot
+    key. ``found`` holds the value's length with a minus sign, the value, and the pattern for
+    it. Null and empty values count for nothing; a value without a letter or digit fails the
+    job, as it would be left in the clear.
+    """
+    each = values.select(named(column).cast("string").alias("value")).where("value <> ''").distinct()
+    worded = each.withColumn("words", _words(F.col("value")))
+    checked = F.when(F.size("words") > 0, F.col("words")).otherwise(
+        F.raise_error(F.lit("a known value has neither letter nor digit")).cast("array<string>")
+    )
+    pairs = worded.select("value", F.explode(checked).alias("word"))
+    shared = pairs.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counted = lookup_join(pairs, shared.withColumnRenamed("word", "__word"), {"word": "__word"})
+    rarest = counted.groupBy("value").agg(F.min(F.struct("n", "word")).alias("rarest"))
+    value = F.col("value")
+    pattern = F.concat(
+        F.when(value.rlike(f"^{_WORD}"), F.lit(f"(?<!{_WORD})")).otherwise(""),
+        F.regexp_replace(value, r"([^\p{L}\p{M}\p{N}])", r"\\$1"),
+        F.when(value.rlike(rf"{_WORD}\z"), F.lit(f"(?!{_WORD})")).otherwise(""),
+    )
+    found = F.struct((-F.length(value)).alias("shorter"), value.alias("value"), pattern.alias("pattern"))
+    return rarest.select(F.col("rarest.word").alias("word"), found.alias("found")).groupBy("word").agg(F.collect_list("found").alias("found"))
+
+
+def pii_redact_known(
+    df: DataFrame,
+    column: str,
+    values: DataFrame,
+    value_column: str,
+    kind: str = "KNOWN",
+    bound: Bound = DEFAULT_BOUND,
+) -> DataFrame:
+    """Replace every occurrence of a known value (names, addresses, account numbers) in whole texts.
+
+    A value occurs where its text stands as it is, with no letter, mark or digit right before
+    its first or after its last one. Where occurrences overlap, the leftmost goes first, and the
+    longest of those that begin together. ``values`` may have any size and repeated rows; rows
+    of ``df`` stay as they are otherwise, repeated ones, null texts and other columns too.
+
+    Each different word of a text is looked up among the words of :func:`known_values`, which
+    are broadcast where they stay within ``bound`` and joined with split hot words elsewhere.
+    Only words travel: the values to look for come back to their text by its hash, and a
+    pattern made of them alone decides. Texts whose hashes meet share their patterns, which
+    changes nothing. The values of one word, and those one text may hold, stand in one cell.
+    """
+    wanted = cut_lineage(known_values(values, value_column))
+    small = within(wanted, bound)
+    key, text = "__text_key", named(column)
+    texts = df.select(F.xxhash64(text).alias(key), F.explode(_words(text)).alias("__text_word"))
+    hits = lookup_join(
+        texts, F.broadcast(wanted) if small else wanted, {"__text_word": "word"}, split_hot=False if small else None
+    ).where(F.col("found").isNotNull())
+    # Copies of a text send the same words: once is enough.
+    gathered = hits.groupBy(key).agg(F.sort_array(F.flatten(F.collect_set("found"))).alias("found"))
+    patterns = cut_lineage(gathered.select(key, F.array_join(F.col("found.pattern"), "|").alias("__pattern")))
+    few = within(patterns, bound)
+    joined = lookup_join(
+        df.withColumn(key, F.xxhash64(text)),
+        F.broadcast(patterns.withColumnRenamed(key, "__key")) if few else patterns.withColumnRenamed(key, "__key"),
+        {key: "__key"},
+        split_hot=False if few else None,
+    )
+    mark = F.lit("[" + kind.replace("\\", "\\\\").replace("$", "\\$") + "]")
+    replaced = F.when(F.col("__pattern").isNull(), text).otherwise(F.regexp_replace(text, F.col("__pattern"), mark))
+    return joined.withColumn(column, replaced).select(*[named(name) for name in df.columns])

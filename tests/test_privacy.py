@@ -1,5 +1,6 @@
 import hashlib
 import hmac
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from strata import (
     pii_detokenize,
     pii_encrypt,
     pii_redact,
+    pii_redact_known,
     pii_remove,
     pii_rewrap,
     pii_scan,
@@ -19,6 +21,8 @@ from strata import (
     working_folder,
 )
 from strata.functions.protection import PII_PATTERNS
+from strata.operators.privacy import known_values
+from strata.plans.sizing import Bound
 
 KEY = b"test key"
 MASTERS = {"old": b"o" * 16, "new": b"n" * 32}
@@ -196,3 +200,64 @@ def test_scan(spark, rows):
     got = rows(pii_scan(df, "text", ["lang"], ["EMAIL", "SSN"]))
     assert got == [("a", "EMAIL", 2, 1), ("a", "SSN", 0, 0), ("b", "EMAIL", 0, 0), ("b", "SSN", 0, 0)]
     assert {row[0] for row in rows(pii_scan(df, "text"))} == set(PII_PATTERNS)
+
+
+def searched(text, values):
+    """Brute force: at each place the longest value that fits there."""
+    if text is None:
+        return None
+    word = lambda c: unicodedata.category(c)[0] in "LMN"
+    out, at, longest_first = [], 0, sorted({v for v in values if v}, key=lambda v: (-len(v), v))
+    while at < len(text):
+        for value in longest_first:
+            end = at + len(value)
+            open_before = at == 0 or not (word(text[at - 1]) and word(value[0]))
+            open_after = end >= len(text) or not (word(text[end]) and word(value[-1]))
+            if text.startswith(value, at) and open_before and open_after:
+                out.append("[N$1]")
+                at = end
+                break
+        else:
+            out.append(text[at])
+            at += 1
+    return "".join(out)
+
+
+KNOWN = ["Ada", "Ada Byron", "Byron, Lord", "a.b", "Zoë", "#7 x", "e", "x\\E$1", "two\nlines", "😀 ok", "Ada", None, ""]
+KNOWN_IN = [
+    "Ada Byron, Lord of Adam; Ada, Ada.",
+    "Zoë met Zoe\u0301 and Zoëy: a.b, aab, a.bc, xa.b",
+    "n#7 x#7 xy #7 x #7 x",
+    "x\\E$1 two\nlines two lines 😀 ok😀 okay",
+    "nothing here",
+    "",
+    None,
+    "Ada Byron, Lord of Adam; Ada, Ada.",
+]
+
+
+@pytest.mark.parametrize("limits", [Bound(), Bound(rows=0, bytes=0)], ids=["broadcast", "joined"])
+def test_known_values_are_found_as_by_brute_force(spark, limits):
+    rows = [(i, text, "kept") for i, text in enumerate(KNOWN_IN)]
+    df = spark.createDataFrame(rows, "id int, text string, `word.found` string")
+    values = spark.createDataFrame([(v,) for v in KNOWN], "text string")
+    out = pii_redact_known(df, "text", values, "text", "N$1", limits)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [(i, searched(text, KNOWN), "kept") for i, text, _ in rows]
+    assert pii_redact_known(df, "text", values.limit(0), "text").count() == len(rows)
+    assert pii_redact_known(df.limit(0), "text", values, "text").count() == 0
+
+
+def test_known_values_that_cannot_be_looked_for_fail(spark):
+    df = spark.createDataFrame([("a --- b",)], "text string")
+    with pytest.raises(Exception, match="neither letter nor digit"):
+        pii_redact_known(df, "text", spark.createDataFrame([("---",)], "v string"), "v").collect()
+
+
+def test_a_word_that_all_values_share_is_not_looked_for(spark):
+    values = spark.range(2000).selectExpr("concat('Customer#', lpad(id, 9, '0')) as v")
+    wanted = known_values(values, "v")
+    assert wanted.count() == 2000 and wanted.where("word = 'Customer' or size(found) > 1").count() == 0
+    texts = spark.range(4000).selectExpr("id", "concat('Customer Customer#', lpad(id, 9, '0'), ' ', repeat('Customer ', 50)) as t")
+    out = pii_redact_known(texts, "t", values, "v")
+    assert out.where("t like 'Customer [KNOWN] Customer%'").count() == 2000

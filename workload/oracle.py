@@ -406,6 +406,29 @@ def _redacted(expression: str) -> str:
 
 ORACLE["pii_redact"] = f"select doc_id, {_redacted('text')} as text from documents"
 
+# Every value against every document. Runs of letters and digits are put between marks, in values
+# and texts alike, so that a value is found between whole runs only.
+ORACLE["pii_redact_known"] = r"""
+with known as (
+    select distinct value, regexp_replace(value, '([\pL\pM\pN]+)', chr(1) || '\1' || chr(2), 'g') as marked
+    from (
+        select 'mail' || n_nationkey || '.example.com' as value from nation
+        union all select text from benchmark
+    ) where value <> ''
+), texts as (
+    select doc_id, text, regexp_replace(text, '([\pL\pM\pN]+)', chr(1) || '\1' || chr(2), 'g') as marked
+    from documents
+), held as (
+    select t.doc_id, string_agg(regexp_escape(k.marked), '|' order by length(k.value) desc, k.value) as pattern
+    from texts t, known k where contains(t.marked, k.marked) group by t.doc_id
+)
+select t.doc_id,
+       case when h.pattern is null then t.text
+            else replace(replace(regexp_replace(t.marked, h.pattern, '[KNOWN]', 'g'), chr(1), ''), chr(2), '')
+       end as text
+from texts t left join held h on t.doc_id is not distinct from h.doc_id
+"""
+
 ORACLE["pii_scan"] = " union all ".join(
     f"""
 select lang, '{kind}' as kind, sum(hits)::bigint as hits, count(*) filter (hits > 0) as rows_hit

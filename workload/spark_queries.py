@@ -45,6 +45,7 @@ SCHEMAS = {
         l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
     "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
         value double, props string""",
+    "benchmark": "item_id bigint, text string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
@@ -892,6 +893,16 @@ def pii_redact(spark: SparkSession, folder: str) -> DataFrame:
     return st.pii_redact(table(spark, folder, "documents"), ["text"]).select("doc_id", "text")
 
 
+@query
+def pii_redact_known(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the hosts of all nations and without any passage of the benchmark."""
+    host = F.concat(F.lit("mail"), F.col("n_nationkey"), F.lit(".example.com"))
+    values = table(spark, folder, "nation").select(host.alias("value"))
+    values = values.unionByName(table(spark, folder, "benchmark").select(F.col("text").alias("value")))
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return st.pii_redact_known(documents, "text", values, "value")
+
+
 @query
 def pii_scan(spark: SparkSession, folder: str) -> DataFrame:
     return st.pii_scan(table(spark, folder, "documents"), "text", ["lang"])
