@@ -60,6 +60,7 @@ from strata.plans.quarantine import read_good, read_rejected, write_or_reject
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
 from strata.sources.digests import dataset_diff_digest, publish_digested
+from strata.sources.grain import grain_violations, publish_append, read_appends
 from strata.sources.ledger import (
     RunLedger,
     read_unprocessed,
@@ -125,6 +126,7 @@ __all__ = [
     "from_epoch_millis",
     "grain_check",
     "grain_coverage",
+    "grain_violations",
     "hmac_sha256",
     "labelled_version",
     "latest_version",
@@ -151,10 +153,12 @@ __all__ = [
     "pit_snapshots",
     "process_new_files",
     "product_rollup",
+    "publish_append",
     "publish_digested",
     "publish_snapshot",
     "purge_swapped",
     "purge_versions",
+    "read_appends",
     "read_conformed",
     "read_good",
     "read_raw",

@@ -218,6 +218,15 @@ ORACLE["grain_check"] = """
 select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1
 """
 
+ORACLE["grain_violations"] = """
+with arrived as (
+    select user_id, event_type, date_trunc('hour', ts) as hour from events
+    union all
+    select user_id, event_type, date_trunc('hour', ts) as hour from events where day(ts) = 3
+)
+select user_id, event_type, hour, count(*) as n from arrived group by 1, 2, 3 having count(*) > 1
+"""
+
 ORACLE["grain_coverage"] = """
 select distinct o_orderkey from orders
 where not exists (select 1 from lineitem where l_orderkey = o_orderkey)

@@ -510,6 +510,18 @@ def grain_check(spark: SparkSession, folder: str) -> DataFrame:
     return st.grain_check(table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def grain_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that arrive by day of the month: users and types that come again in a later append."""
+    keys = ["user_id", "event_type", "hour"]
+    events = table(spark, folder, "events").select("user_id", "event_type", F.date_trunc("hour", "ts").alias("hour"), "value")
+    path = st.working_folder(spark, "appends")
+    day = F.dayofmonth("hour")
+    for part in (events.filter(day < 12), events.filter((day >= 12) & (day < 24)), events.filter(day >= 24), events.filter(day == 3)):
+        st.publish_append(part, path, keys)
+    return st.grain_violations(spark, path, keys)
+
+
 @query
 def grain_coverage(spark: SparkSession, folder: str) -> DataFrame:
     return st.grain_coverage(
