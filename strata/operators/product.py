@@ -12,7 +12,10 @@ from strata.functions.columns import named, quoted
 from strata.functions.dates import parse_date
 from strata.operators.grain import assert_grain
 from strata.plans.sizing import broadcasts_anyway
-from strata.plans.skew import hot_keys, key_kinds, lookup_join
+from strata.plans.skew import hot_keys, hot_keys_counted, key_kinds, lookup_join, shares_of
+from strata.session import cut_lineage
+
+_ROWS = "__rows"
 
 
 def standardize(
@@ -56,8 +59,9 @@ def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFram
 
     Small sides are broadcast by Spark. For larger ones hot keys are spread over several
     tasks, see :mod:`strata.plans.skew`; one pass over ``base`` finds them for all lookups
-    whose keys are columns of ``base``. Keys that an earlier lookup adds are left to Spark's
-    own treatment of skew, unless ``split_hot`` asks for more.
+    whose keys are columns of ``base``. For keys that an earlier lookup adds, the rows of
+    ``base`` are counted by the columns that lead there, and the counts follow the lookups,
+    so hot ones (and rows left without a match) are known before any wide row moves.
     """
     sides = []
     for item in enrichments:
@@ -73,11 +77,10 @@ def wide_product(base: DataFrame, enrichments: Sequence[Enrichment]) -> DataFram
         if item.unique:
             assert_grain(attributes.filter(F.col(keys[0]).isNotNull()), keys)
         sides.append((item, attributes, dict(zip(item.on, keys, strict=True))))
-    hot = _hot_keys_of_base(base, sides)
+    hot = _hot_keys_of_base(base, sides) | _hot_keys_added(base, sides)
     result = base
     for i, (item, attributes, on) in enumerate(sides):
-        here = set(item.on) <= set(base.columns)
-        split = (i in hot or item.split_hot) if here or item.split_hot else False
+        split = i in hot or bool(item.split_hot)
         result = lookup_join(result, attributes, on, split_hot=split, hot=hot.get(i))
     return result
 
@@ -97,6 +100,44 @@ def _hot_keys_of_base(base: DataFrame, sides: Sequence[tuple]) -> dict[int, dict
     return dict(zip(wanted, found, strict=True))
 
 
+def _hot_keys_added(base: DataFrame, sides: Sequence[tuple]) -> dict[int, dict[int, int]]:
+    """Hot keys of the lookups that need them and whose keys earlier lookups add, by their number."""
+    wanted = {
+        i
+        for i, (item, attributes, _) in enumerate(sides)
+        if item.split_hot is not False
+        and not set(item.on) <= set(base.columns)
+        and (item.split_hot or not broadcasts_anyway(attributes))
+    }
+    if not wanted:
+        return {}
+    # Which columns are needed before each lookup, found from the last one backwards.
+    needed: list[set[str]] = [set() for _ in range(max(wanted) + 2)]
+    for i in range(max(wanted), -1, -1):
+        item = sides[i][0]
+        added = needed[i + 1] & set(item.columns)
+        needed[i] = (needed[i + 1] - added) | (set(item.on) if added or i in wanted else set())
+
+    def summed(df: DataFrame, columns: set[str], rows: Column) -> DataFrame:
+        return df.groupBy(*[named(name) for name in sorted(columns)]).agg(rows.alias(_ROWS))
+
+    counted = cut_lineage(summed(base, needed[0], F.count(F.lit(1))))
+    total = counted.agg(F.sum(_ROWS)).first()[0] or 0
+    shares, found = shares_of(base), {}
+    for i, (item, attributes, on) in enumerate(sides[: max(wanted) + 1]):
+        if i in wanted:
+            kinds = key_kinds(counted, attributes, on)
+            if kinds is not None:
+                found[i] = hot_keys_counted(counted, list(item.on), kinds, _ROWS, total, shares)
+        added = needed[i + 1] & set(item.columns)
+        if added:
+            narrow = attributes.select(*[named(name) for name in (*on.values(), *sorted(added))])
+            counted = lookup_join(counted, narrow, on)
+        if needed[i + 1] and needed[i + 1] != needed[i]:
+            counted = summed(counted, needed[i + 1], F.sum(_ROWS))
+    return found
+
+
 def _most_rows(df: DataFrame, keys: list[Column]) -> int:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.max("n").alias("most")).first()["most"] or 0

@@ -113,6 +113,23 @@ def hot_keys(
     ]
 
 
+def hot_keys_counted(
+    counted: DataFrame, keys: Sequence[str], kinds: Sequence[DataType], count: str, total: int, shares: int
+) -> dict[int, int]:
+    """:func:`hot_keys` of a frame that says in ``count`` how many of ``total`` rows each of its rows stands for.
+
+    Fewer keys than ``shares`` can be hot, so that many rows reach the driver at most.
+    """
+    sums = counted.groupBy(_key_hash(keys, kinds).alias("h")).agg(F.sum(count).alias("n"))
+    hot = sums.where(F.col("n") * shares > total).collect()
+    return {row["h"]: math.ceil(row["n"] * shares / total) for row in hot}
+
+
+def shares_of(df: DataFrame) -> int:
+    """Into how many parts the rows of ``df`` are thought divided; a key that has more than one is hot."""
+    return _shares(df)
+
+
 def _row_hash(df: DataFrame) -> Column:
     """Spreads the rows of a key, equal rows of different tasks too; a task that runs again does the same."""
     cells = [named(f.name) for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType)) and "map<" not in f.dataType.simpleString()]

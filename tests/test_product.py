@@ -337,3 +337,38 @@ def test_product_job(spark):
             books(spark, MOMO), [Enrichment(authors(spark), {"author": "name"}, {"author_id": "id"})], path
         )
     assert read_snapshot(spark, path).count() == 1
+
+
+def test_hot_keys_of_added_columns_are_split_by_default(spark, rows, plan, monkeypatch):
+    from strata.operators import product as module
+
+    base = spark.range(20_000, numPartitions=4).selectExpr("id", "id % 5000 as shop", "id % 7 as other")
+    shops = spark.range(4_000).selectExpr("id as s", "if(id % 3 = 0, 1, id + 10) as city", "id % 2 as kind")
+    cities = spark.range(6_000).selectExpr("cast(id as int) as c", "id % 900 as land")
+    lands = spark.range(900).selectExpr("id as l", "concat('land ', id) as name")
+    lookups = [
+        Enrichment(shops, {"shop": "s"}, {"city": "city", "kind": "kind"}),
+        Enrichment(cities, {"city": "c"}, {"land": "land"}),
+        Enrichment(lands, {"land": "l"}, {"land_name": "name"}),
+    ]
+    seen = []
+    found = module.hot_keys_counted
+    monkeypatch.setattr(module, "hot_keys_counted", lambda *args: seen.append(found(*args)) or seen[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = wide_product(base, lookups)
+        plain = wide_product(base, [Enrichment(i.frame, i.on, i.columns, split_hot=False) for i in lookups])
+        text = plan(out)
+        assert rows(out) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Shops 0, 3, 6, ... have city 1 (a quarter of all rows), shops from 4,000 on are unknown: no city, no land.
+    city, land = seen
+    of = lambda kind, x: spark.sql(f"select xxhash64(cast({x} as {kind}))").first()[0]
+    exact = base.join(shops, base["shop"] == shops["s"], "left").groupBy("city").count().where("count * 1024 > 20000")
+    expected = {of("bigint", "null" if r["city"] is None else r["city"]): -(-r["count"] * 1024 // 20_000) for r in exact.collect()}
+    assert city == expected and {of("bigint", 1), of("bigint", "null")} == set(city)
+    assert of("bigint", 1) in land and of("bigint", "null") in land
+    assert text.count("__salt") > 4 and "NestedLoop" not in text
+    nothing = wide_product(base.limit(0), [Enrichment(i.frame, i.on, i.columns, split_hot=True) for i in lookups])
+    assert nothing.count() == 0
