@@ -57,9 +57,20 @@ def within(df: DataFrame, bound: Bound = DEFAULT_BOUND) -> bool:
     return measured["n"] <= bound.rows and (measured["size"] or 0) <= bound.bytes
 
 
+_UNKNOWN = 2**63 - 1
+
+
+def _estimate(stats) -> int:
+    """An estimate in bytes; a product of joins, which checkpoints keep, may be larger than Python takes from the JVM."""
+    try:
+        return int(stats.sizeInBytes())
+    except ValueError:  # over 4,300 digits
+        return _UNKNOWN
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Spark's own size estimate, the one its broadcast decision is based on."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return _estimate(df._jdf.queryExecution().optimizedPlan().stats())
 
 
 def scanned_bytes(df: DataFrame) -> int:
@@ -70,7 +81,7 @@ def scanned_bytes(df: DataFrame) -> int:
     plan = df._jdf.queryExecution().optimizedPlan()
     unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
     leaves = plan.collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    sizes = [_estimate(leaves.apply(i).stats()) for i in range(leaves.size())]
     return sum(size for size in sizes if size < unknown)
 
 
