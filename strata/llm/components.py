@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
+from strata.plans.skew import hot_keys_counted, lookup_join
 from strata.session import cut_lineage
 
+_SHARE = 100  # edges of a node that are always left in one task
+_SHARE_BYTES = 128 << 20
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) of longs to (node, root): the smallest node of its component for each other node.
@@ -14,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     Large and small stars by turns: every node links its larger neighbours, then its smaller
     ones, to the smallest it knows. The number of rounds grows with the logarithm of the longest
     chain. Neighbours are never gathered: minima are taken before the shuffle, and rows meet
-    theirs in joins that Spark splits where a node has very many. Roots are not in the result.
+    theirs in joins where a node with very many is spread over salts, as many as it has fair
+    shares of the rows (1/1024 of them or 128 MB, but 100 rows at least). Roots are not in the result.
     """
 
     def down(df: DataFrame) -> DataFrame:
@@ -24,15 +30,24 @@ def components(edges: DataFrame) -> DataFrame:
     def signature(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
+    def meet(df: DataFrame, name: str, least: DataFrame, total: int) -> DataFrame:
+        """``df`` with ``m`` of the node ``name``; about ``total`` rows."""
+        shares = max(1024, total * 16 // _SHARE_BYTES)
+        counted = df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+        hot = hot_keys_counted(counted, [name], [LongType()], "n", max(total, _SHARE * shares), shares)
+        return lookup_join(df, least, {name: "of"}, split_hot=True, hot=hot)
+
     current = cut_lineage(down(edges))
     before = signature(current)
     while before[0]:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), F.least("a", "m").alias("m"))
-        large = both.join(least, both["a"] == least["of"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Neighbours above a node: the edges as they stand, by their smaller end.
+        above = meet(current, "b", least, before[0])
+        large = above.select("a", F.col("m").alias("b"))
         large = cut_lineage(down(large))
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "of")
-        small = large.join(least, large["a"] == least["of"])
+        small = meet(large, "a", least, before[0])
         linked = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("of").alias("a"), F.col("m").alias("b")))
         current = cut_lineage(down(linked))
         now = signature(current)
