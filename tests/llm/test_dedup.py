@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.components import components
 from strata.llm.dedup import dart_signatures, drop_near_duplicates, link_group, near_duplicates
+from strata.plans.sizing import Bound
 
 
 def shingle_set(text):
@@ -131,3 +132,28 @@ def test_components_of_chains_and_stars(spark):
     wanted = {i: 100 for i in range(101, 161)} | {i: 7 for i in range(200, 400)} | {401: 400}
     assert got == wanted
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("few", [None, Bound(0, 0)], ids=["broadcast", "shuffled"])
+def test_components_of_any_graph(spark, few):
+    chance = random.Random(11)
+    edges = [(chance.randrange(300), chance.randrange(300)) for _ in range(230)]  # loops and repeated edges too
+    edges += [(1000 + n, 5000 - n) for n in range(150)] + [(5000 - n, 1001 + n) for n in range(150)]  # a long path up and down
+    edges += [(9000, n) for n in range(7000, 7400)] + [(8000, n) for n in range(8001, 8400)] + [(8000, 9000)]  # hubs above and below
+    near = {}
+    for a, b in edges:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    wanted, seen = {}, set()
+    for start in sorted(near):
+        waiting = [start]
+        while waiting:
+            node = waiting.pop()
+            if node in seen:
+                continue
+            seen.add(node)
+            wanted[node] = start
+            waiting += near[node]
+    table = spark.createDataFrame(edges, "a long, b long")
+    got = [(r["node"], r["root"]) for r in (components(table) if few is None else components(table, few)).collect()]
+    assert sorted(got) == sorted((n, r) for n, r in wanted.items() if n != r)
