@@ -51,6 +51,7 @@ from strata.plans.jobs import (
     build_product,
     load_period,
     load_typed_table,
+    merge_committed,
     merge_partitions,
     merge_table_partitions,
     reprocess,
@@ -59,6 +60,14 @@ from strata.plans.jobs import (
 from strata.plans.quarantine import read_good, read_rejected, write_or_reject
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
+from strata.sources.commits import (
+    CommitConflict,
+    Version,
+    commit_partitions,
+    purge_commits,
+    read_version,
+    table_version,
+)
 from strata.sources.digests import dataset_diff_digest, publish_digested
 from strata.sources.grain import grain_violations, publish_append, read_appends
 from strata.sources.ledger import (
@@ -98,10 +107,12 @@ from strata.streaming.state import (
 )
 
 __all__ = [
+    "CommitConflict",
     "Enrichment",
     "FileManifest",
     "GrainError",
     "RunLedger",
+    "Version",
     "affected_partitions",
     "apply_changes",
     "array_filter",
@@ -111,6 +122,7 @@ __all__ = [
     "bronze_to_silver",
     "build_product",
     "build_session",
+    "commit_partitions",
     "conform",
     "conform_losses",
     "count_lost",
@@ -134,6 +146,7 @@ __all__ = [
     "load_period",
     "load_typed_table",
     "lookup_join",
+    "merge_committed",
     "merge_partitions",
     "merge_table_partitions",
     "multiset_diff",
@@ -156,6 +169,7 @@ __all__ = [
     "publish_append",
     "publish_digested",
     "publish_snapshot",
+    "purge_commits",
     "purge_swapped",
     "purge_versions",
     "read_appends",
@@ -166,6 +180,7 @@ __all__ = [
     "read_snapshot",
     "read_state",
     "read_unprocessed",
+    "read_version",
     "reads_table",
     "rebase_chain",
     "rebuild_partitions",
@@ -192,6 +207,7 @@ __all__ = [
     "standardize",
     "swap_table_partitions",
     "table_schema",
+    "table_version",
     "unprocessed",
     "unseal",
     "vault_additions",

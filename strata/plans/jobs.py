@@ -22,6 +22,7 @@ from strata.operators.temporal import (
     roll_forward_parts,
 )
 from strata.plans.sizing import sized_for, within
+from strata.sources.commits import Version, commit_partitions, read_version
 from strata.sources.partitions import (
     Columns,
     among,
@@ -278,6 +279,55 @@ def merge_table_partitions(
     return touched
 
 
+def merge_committed(
+    incoming: DataFrame,
+    path: str,
+    column: Columns,
+    *,
+    keys: Sequence[str],
+    order: Sequence[str],
+    deleted: str | None = None,
+    order_is_total: bool = False,
+    evolve: bool = False,
+    follows_key: bool = False,
+    attempts: int = 20,
+) -> int | None:
+    """:func:`merge_partitions` for a table of commits, beside other jobs that write to it.
+
+    Returns the number of the commit, None without incoming rows. If another job replaces one
+    of the touched partitions meanwhile, the rows are merged again, into what it left; jobs on
+    other partitions are not in the way. The check that no key has moved looks at the whole
+    table, so without ``follows_key`` any other job's commit is a reason to look again.
+    Tasks have the sizes that the session sets: jobs that size their own wait for each other.
+    """
+    spark = incoming.sparkSession
+    changes = with_flag(incoming, deleted)
+    touched = _values(changes, column)
+    if not touched:
+        return None
+
+    def build(version: Version) -> DataFrame:
+        if version.schema is None:
+            return _merged(changes, None, keys, order, deleted, order_is_total)[1]
+        if not follows_key:
+            _assert_not_moved(changes, read_version(spark, path, version), column, keys, touched)
+        stored, rows = read_version(spark, path, version, touched), changes
+        if evolve:
+            rows, stored = _widened(rows, stored), _widened(stored, rows)
+        elif set(rows.columns) != set(stored.columns):
+            raise ValueError(f"columns differ from the stored ones: {sorted(set(rows.columns) ^ set(stored.columns))}")
+        placed, others = _merged(rows, stored.select(*[named(name) for name in rows.columns]), keys, order, deleted, order_is_total)
+        return others if placed is None else placed.unionByName(others)
+
+    reads = None if follows_key else "all"
+    return commit_partitions(spark, path, column, touched, build, reads=reads, evolve=evolve, attempts=attempts)
+
+
+def _widened(df: DataFrame, other: DataFrame) -> DataFrame:
+    """``df`` with the columns that only ``other`` has, as nulls."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in other.schema.fields if f.name not in df.columns})
+
+
 def load_period(
     incoming: DataFrame,
     path: str,

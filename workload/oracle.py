@@ -115,6 +115,7 @@ from orders_now where not (again and o_orderstatus = 'F')
 """
 
 ORACLE["merge_table_partitions"] = ORACLE["merge_partitions"]
+ORACLE["merge_committed"] = ORACLE["merge_partitions"]
 
 # -- schemas ---------------------------------------------------------------------------
 
