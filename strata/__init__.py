@@ -57,6 +57,7 @@ from strata.plans.jobs import (
     reprocess,
     roll_snapshots,
 )
+from strata.plans.lineage import PartitionLineage, downstream
 from strata.plans.quarantine import read_good, read_rejected, write_or_reject
 from strata.plans.skew import lookup_join
 from strata.session import build_session, shared_folder, working_folder
@@ -111,6 +112,7 @@ __all__ = [
     "Enrichment",
     "FileManifest",
     "GrainError",
+    "PartitionLineage",
     "RunLedger",
     "Version",
     "affected_partitions",
@@ -132,6 +134,7 @@ __all__ = [
     "dataset_diff",
     "dataset_diff_digest",
     "delta_chain",
+    "downstream",
     "earliest_affected",
     "fit",
     "flatten_changes",

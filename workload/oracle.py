@@ -512,3 +512,14 @@ select o_orderkey,
                  case when o_orderpriority = '5-LOW' then 'o_orderpriority: is null' end) as reasons
 from orders
 """
+
+ORACLE["partition_lineage"] = """
+with dated as (
+    select strftime(o_orderdate, '%Y-%m') as month, cast(year(o_orderdate) as varchar) as year, o_orderpriority from orders
+), last_year as (
+    select distinct year from dated where month = (select max(month) from dated)
+)
+select 'years' as "table", year as part, 1 as step from last_year
+union all
+select distinct 'priorities', o_orderpriority, 2 from dated where year in (select year from last_year)
+"""

@@ -1082,3 +1082,21 @@ def conform_quarantine(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("reasons", ", ").alias("reasons"),
     )
     return good.unionByName(bad)
+
+
+@query
+def partition_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """What to rebuild when the last month of orders has changed: its year, then the priorities of that year."""
+    orders = table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.year("o_orderdate").cast("string").alias("year"), "o_orderpriority"
+    )
+    lineage = st.PartitionLineage(spark, st.working_folder(spark, "lineage"))
+
+    def made(source: str, part: str, target: str, target_part: str) -> None:
+        ends = {"source": F.lit(source), "source_part": F.col(part), "target": F.lit(target), "target_part": F.col(target_part)}
+        lineage.record(target, orders.select(*[cell.alias(name) for name, cell in ends.items()]))
+
+    made("orders", "month", "years", "year")
+    made("years", "year", "priorities", "o_orderpriority")
+    changed = orders.agg(F.max("month").alias("part")).select(F.lit("orders").alias("table"), "part")
+    return st.downstream(lineage.links(), changed).select("table", "part", F.col("step").cast("long").alias("step"))
