@@ -16,15 +16,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import named
-from strata.functions.dates import next_period, period_of, start_of, starts_between
-from strata.operators.merge import is_live, retain_last, with_flag
+from strata.functions.dates import next_period, period_of, start_of
+from strata.operators.merge import retain_last, with_flag
+from strata.operators.temporal import spread_periods
 
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
 _DAYS = {"day": 1, "week": 7}
+_NEXT = "__next"
 
 
 def period_number(day: dt.date, origin: dt.date, unit: str = "month") -> int:
@@ -84,6 +86,19 @@ def _newest(df: DataFrame, keys: Sequence[str], order: Sequence[str], deleted: s
     return retain_last(df, keys=[*keys, "node"], order=order, deleted=deleted, keep_tombstones=True)
 
 
+def _in_nodes(
+    numbered: DataFrame, targets: Iterable[tuple[int, int]], keys: Sequence[str], order: Sequence[str], deleted: str | None
+) -> DataFrame:
+    """The newest row of each key and period, in those target nodes of its period that end before the key's next one.
+
+    What a node holds is so known before rows multiply: nothing is sorted or shuffled after that.
+    """
+    single = _newest(numbered, keys, order, deleted)
+    by_time = Window.partitionBy(*[named(key) for key in keys]).orderBy("node")
+    sent = _sent(single.withColumn(_NEXT, F.lead("node").over(by_time)), targets)
+    return sent.where(F.col(_NEXT).isNull() | (F.col("node") < F.col(_NEXT))).drop(_NEXT)
+
+
 def delta_chain(
     changes: DataFrame,
     *,
@@ -98,10 +113,9 @@ def delta_chain(
 
     The period of a row is that of ``order[0]``. Rows are cut to one per key and period first.
     """
-    single = _newest(_numbered(changes, order[0], origin, upto, unit), keys, order, deleted)
     last = max(period_number(upto, origin, unit), 0)
     targets = [(number, node) for number in range(last + 1) for node in nodes_with(number, last)]
-    return _newest(_sent(single, targets), keys, order, deleted)
+    return _in_nodes(_numbered(changes, order[0], origin, upto, unit), targets, keys, order, deleted)
 
 
 def snapshots_between(
@@ -116,14 +130,22 @@ def snapshots_between(
     unit: str = "month",
     period: str = "period",
 ) -> DataFrame:
-    """The live rows of each period from ``first`` to ``last``; only their nodes are read."""
-    starts = starts_between(start_of(first, unit), start_of(last, unit), unit)
-    pairs = [(node, start) for start in starts for node in nodes_of(period_number(start, origin, unit))]
-    table = chain.sparkSession.createDataFrame(pairs, f"of long, `{period}` date")
-    wanted = chain.where(named("node").isin(sorted({node for node, _ in pairs})))
-    joined = wanted.join(F.broadcast(table), named("node") == F.col("of")).drop("of", "node")
-    newest = retain_last(joined, keys=[*keys, period], order=order, deleted=deleted, keep_tombstones=True)
-    return newest if deleted is None else newest.filter(is_live(deleted)).drop(deleted)
+    """The live rows of each period from ``first`` to ``last``; only their nodes are read.
+
+    The state of ``first`` is made of its nodes. What changes after it is told by the rows of
+    each later node that are of that node's own period, so every row is shuffled and sorted
+    once, by key, and repeated in the periods it lasts for after that.
+    """
+    start, last = start_of(first, unit), start_of(last, unit)
+    begin, end = (period_number(day, origin, unit) for day in (start, last))
+    node, moment = named("node"), named(order[0])
+    base = node.isin(nodes_of(begin))
+    wanted = chain.where(base | ((node > max(begin, 0)) & (node <= end)))
+    wanted = wanted.where(base | (_number(moment, origin, unit) == node))
+    dated = wanted.withColumn(period, F.when(base, F.lit(start)).otherwise(period_of(moment, unit))).drop("node")
+    together = dated.repartition(*[named(key) for key in keys])
+    newest = retain_last(together, keys=[*keys, period], order=order, deleted=deleted, keep_tombstones=True)
+    return spread_periods(newest, keys, deleted, last, unit, period, keep_tombstones=False)
 
 
 def snapshot_from_chain(chain: DataFrame, when: dt.date, **options) -> DataFrame:
@@ -151,17 +173,19 @@ def roll_chain(
     """
     upto = max(upto or stored_upto, stored_upto)
     stored_last, last = period_number(stored_upto, origin, unit), period_number(upto, origin, unit)
-    single = _newest(_numbered(with_flag(late, deleted), order[0], origin, upto, unit), keys, order, deleted)
-    numbers = [row["node"] for row in single.select("node").distinct().collect()]
-    arrivals = [(number, node) for number in numbers for node in nodes_with(number, last)]
-    touched = {node for _, node in arrivals} | set(range(stored_last + 1, last + 1))
-    kept = [(node, node) for node in touched if node <= stored_last]
+    arrived = _numbered(with_flag(late, deleted), order[0], origin, upto, unit)
+    numbers = [row["node"] for row in arrived.select("node").distinct().collect()]
+    touched = {node for number in numbers for node in nodes_with(number, last)} | set(range(stored_last + 1, last + 1))
+    sources = {node for node in touched if node <= stored_last}
     for node in touched:
         if node > stored_last:
             low = node - (node & -node)
-            kept += [(source, node) for source in nodes_of(stored_last) if low < source]
-    rows = _sent(single, arrivals).unionByName(_sent(chain.where(named("node").isin(sorted({a for a, _ in kept}))), kept)) if kept else _sent(single, arrivals)
-    return _newest(rows, keys, order, deleted), sorted(touched)
+            sources |= {source for source in nodes_of(stored_last) if low < source}
+    if sources:
+        kept = chain.where(named("node").isin(sorted(sources)))
+        arrived = arrived.unionByName(kept.withColumn("node", F.greatest(_number(named(order[0]), origin, unit), F.lit(0))))
+    targets = [(number, node) for number in range(max(last, 0) + 1) for node in nodes_with(number, last) if node in touched]
+    return _in_nodes(arrived, targets, keys, order, deleted), sorted(touched)
 
 
 def rebase_chain(

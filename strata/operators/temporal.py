@@ -67,7 +67,7 @@ def _last_per_period(
     )
 
 
-def _spread(
+def spread_periods(
     latest: DataFrame,
     keys: Sequence[str],
     deleted: str | None,
@@ -111,7 +111,7 @@ def pit_snapshots(
     with at most one row per period.
     """
     latest = _last_per_period(changes, keys, order, deleted, unit, period, order_is_total, upto)
-    return _spread(latest, keys, deleted, upto, unit, period, keep_tombstones)
+    return spread_periods(latest, keys, deleted, upto, unit, period, keep_tombstones)
 
 
 def pit_partition(
@@ -214,7 +214,7 @@ def roll_forward_parts(
     if first is None or first > following:
         first = following
     latest = _last_per_period(late, keys, order, deleted, unit, period, order_is_total, upto)
-    arrivals = _spread(latest, keys, None, upto, unit, period, True)
+    arrivals = spread_periods(latest, keys, None, upto, unit, period, True)
     others = [named(name) for name in stored.columns if name != period]
     # Each stored period stands for itself, and the last one for all periods after it too.
     missing = periods_between(F.lit(following).cast("date"), F.lit(upto).cast("date"), unit)

@@ -90,3 +90,28 @@ def test_lost_rows_fail_and_empty_ones_do_not(changes, spark):
     empty = delta_chain(changes.limit(0), origin=ORIGIN, upto=LAST, **OPTIONS)
     assert snapshot_from_chain(empty, LAST, origin=ORIGIN, **OPTIONS).isEmpty()
     assert start_after(dt.date(2021, 8, 1)) == dt.date(2021, 9, 1)
+
+
+def steps(plan, df):
+    """Operators of a plan, the last one first."""
+    found = (line.lstrip("+-:* (0123456789)").split("(")[0].split() for line in plan(df).splitlines())
+    return [words[0] for words in found if words]
+
+
+def test_late_rows_are_sorted_before_they_are_repeated(changes, plan):
+    chain = changes.limit(0).withColumn("node", F.lit(0).cast("long"))
+    rebuilt, _ = roll_chain(chain, changes, origin=ORIGIN, stored_upto=LAST, **OPTIONS)
+    made = steps(plan, rebuilt)
+    assert made.index("BroadcastHashJoin") < made.index("Window") < made.index("Sort")
+
+
+@pytest.mark.parametrize("first, last", [((2020, 6, 1), (2021, 2, 9)), ((2021, 8, 1), (2021, 8, 31)), ((2021, 2, 1), (2021, 1, 1))])
+def test_some_periods_after_late_rows(changes, rows, first, last):
+    known = F.col("n") % 7 != 0
+    chain = delta_chain(changes.where(known), origin=ORIGIN, upto=LAST, **OPTIONS).cache()
+    rebuilt, touched = roll_chain(chain, changes.where(~known), origin=ORIGIN, stored_upto=LAST, **OPTIONS)
+    rolled = chain.where(~F.col("node").isin(touched)).unionByName(rebuilt)
+    first, last, columns = dt.date(*first), dt.date(*last), ["period", "k", "at", "n", "v"]
+    got = snapshots_between(rolled, first, last, origin=ORIGIN, **OPTIONS)
+    wanted = whole(changes, "month", first, LAST).where(F.col("period") <= F.lit(last))
+    assert rows(got, *columns) == rows(wanted, *columns)
