@@ -115,3 +115,13 @@ def test_some_periods_after_late_rows(changes, rows, first, last):
     got = snapshots_between(rolled, first, last, origin=ORIGIN, **OPTIONS)
     wanted = whole(changes, "month", first, LAST).where(F.col("period") <= F.lit(last))
     assert rows(got, *columns) == rows(wanted, *columns)
+
+
+def test_nodes_are_sorted_before_they_are_repeated(changes, spark, plan, tmp_path):
+    chain = delta_chain(changes, origin=ORIGIN, upto=LAST, **OPTIONS)
+    made = steps(plan, chain)
+    assert made.index("BroadcastHashJoin") < made.index("Window") < made.index("Sort")
+    chain.write.partitionBy("node").parquet(str(tmp_path / "chain"))
+    made = steps(plan, snapshots_between(spark.read.parquet(str(tmp_path / "chain")), ORIGIN, LAST, origin=ORIGIN, **OPTIONS))
+    assert made.index("Generate") < made.index("Window") < made.index("Sort")
+    assert made.count("Exchange") == 1 and "BroadcastHashJoin" not in made
