@@ -21,6 +21,7 @@ from strata.functions.dates import (
     previous_period,
     start_after,
     start_of,
+    starts_between,
 )
 from strata.operators.merge import is_live, merge_into_unique, retain_last, with_flag
 from strata.plans.sizing import DEFAULT_BOUND, Bound
@@ -192,6 +193,17 @@ def roll_forward(
     return _finish(rebuilt, deleted, keep_tombstones)
 
 
+def _in_each(df: DataFrame, starts: Sequence[dt.date], period: str) -> DataFrame:
+    """``df`` once for each of the periods, every one in tasks of its own.
+
+    A task then has no more rows than its share of ``df``, however many periods there are, and
+    those that write or sort the rows by period need no more memory than for one.
+    """
+    numbers = df.sparkSession.range(0, len(starts), 1, len(starts))
+    start = F.element_at(F.array(*[F.lit(s) for s in starts]), (F.col("id") + 1).cast("int"))
+    return df.crossJoin(numbers.select(start.alias(period)).hint("shuffle_replicate_nl"))
+
+
 def roll_forward_parts(
     stored: DataFrame,
     late: DataFrame,
@@ -217,12 +229,11 @@ def roll_forward_parts(
     arrivals = spread_periods(latest, keys, None, upto, unit, period, True)
     others = [named(name) for name in stored.columns if name != period]
     # Each stored period stands for itself, and the last one for all periods after it too.
-    missing = periods_between(F.lit(following).cast("date"), F.lit(upto).cast("date"), unit)
-    here = F.array(F.col(period))
-    last = F.col(period) == F.lit(stored_upto).cast("date")
-    carried = F.when(last, F.concat(here, missing)).otherwise(here)
-    wanted = stored.filter(F.col(period) >= F.least(F.lit(first), F.lit(stored_upto)).cast("date"))
-    affected = wanted.select(*others, F.explode(carried).alias(period)).filter(F.col(period) >= F.lit(first))
+    affected = stored.filter(F.col(period) >= F.lit(first).cast("date")).select(*others, F.col(period))
+    missing = starts_between(following, start_of(upto, "day"), unit)
+    if missing:
+        last = stored.filter(F.col(period) == F.lit(stored_upto).cast("date")).select(*others)
+        affected = affected.unionByName(_in_each(last, missing, period))
     return merge_into_unique(arrivals, affected.select(*[named(n) for n in arrivals.columns]), [*keys, period], order, bound)
 
 

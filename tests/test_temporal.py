@@ -29,6 +29,7 @@ from strata.functions.dates import (
     start_of,
     starts_between,
 )
+from strata.operators.temporal import roll_forward_parts
 from strata.plans.sizing import Bound
 
 CHANGE = "id int, at date, value string, gone boolean"
@@ -345,3 +346,15 @@ def test_stored_rows_are_scanned_once_and_not_shuffled(spark, plan):
     text = plan(roll_forward(stored, changes(spark, *LATE), stored_upto=day("2024-05-01"), **HOW))
     assert "hashpartitioning" not in text.split("Union")[1].split("BroadcastExchange")[0]
     assert text.count("FileScan parquet") == 2  # all columns once, the keys once
+
+
+def test_a_task_fills_one_new_period(spark):
+    """However many periods are filled from the last stored one, no task holds its rows more than once."""
+    early = [row for row in HISTORY if row[1] < "2024-04"]
+    stored = store(spark, early, "2024-03-01")
+    late = changes(spark, (1, "2024-06-15", "june", False), (5, "2024-07-01", "july", False))
+    placed, others = roll_forward_parts(stored, late, stored_upto=day("2024-03-01"), upto=day("2024-08-01"), **HOW)
+    tasks = placed.select(F.spark_partition_id().alias("task"), "period").distinct().groupBy("task").count()
+    assert tasks.count() >= 5 and tasks.agg(F.max("count")).first()[0] == 1
+    assert placed.count() == 5 * stored.where("period = date'2024-03-01'").count()
+    assert {row["id"] for row in others.collect()} == {5}
