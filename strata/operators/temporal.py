@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -199,9 +200,7 @@ def _in_each(df: DataFrame, starts: Sequence[dt.date], period: str) -> DataFrame
     A task then has no more rows than its share of ``df``, however many periods there are, and
     those that write or sort the rows by period need no more memory than for one.
     """
-    numbers = df.sparkSession.range(0, len(starts), 1, len(starts))
-    start = F.element_at(F.array(*[F.lit(s) for s in starts]), (F.col("id") + 1).cast("int"))
-    return df.crossJoin(numbers.select(start.alias(period)).hint("shuffle_replicate_nl"))
+    return reduce(DataFrame.unionByName, [df.withColumn(period, F.lit(start)) for start in starts])
 
 
 def roll_forward_parts(
