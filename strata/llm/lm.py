@@ -73,6 +73,39 @@ def _numbers(planes: bytes, width: int) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _cells(numbers: np.ndarray, sizes: np.ndarray, width: int) -> pa.Array:
+    """``_planes`` of neighbouring numbers, so many to a cell, without a step for each cell."""
+    ends = np.cumsum(sizes)
+    place = np.arange(len(numbers)) + np.repeat((width - 1) * (ends - sizes), sizes)
+    step, planes = np.repeat(sizes, sizes), np.empty(width * len(numbers), np.uint8)
+    raw = numbers.astype("<u8").view(np.uint8).reshape(-1, 8)
+    for k in range(width):
+        planes[place] = raw[:, k]
+        place += step
+    borders = np.append(0, width * ends).astype("<i8")
+    held = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(borders), pa.py_buffer(planes)])
+    return held.cast(pa.binary())
+
+
+def _from_cells(cells: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all cells one after the other, and how many each cell has."""
+    numbers, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for chunk in cells.chunks:
+        if len(chunk):
+            chunk = chunk.cast(pa.large_binary())
+            borders = np.frombuffer(chunk.buffers()[1], "<i8")[chunk.offset : chunk.offset + len(chunk) + 1]
+            size = np.diff(borders) // width
+            place = np.arange(size.sum()) + np.repeat(borders[:-1] - (np.cumsum(size) - size), size)
+            step, wide = np.repeat(size, size), np.zeros((len(place), 8), np.uint8)
+            planes = np.frombuffer(chunk.buffers()[2] or b"", np.uint8)
+            for k in range(width):
+                wide[:, k] = planes[place]
+                place += step
+            numbers.append(wide.view("<u8").ravel())
+            sizes.append(size)
+    return np.concatenate(numbers), np.concatenate(sizes)
+
+
 def _level_starts(growth: float) -> np.ndarray:
     starts = [1]
     while starts[-1] < 1 << 50:
@@ -94,12 +127,18 @@ class LogCounts:
         return self._middle[levels]
 
 
-def _place(keys: np.ndarray, number: int, probe: int, size: np.ndarray | np.uint64) -> np.ndarray:
-    """Bit of one probe for n-gram ``keys`` with ``number``, in parts of ``size`` bits."""
-    first = _mix(keys + np.uint64(number * int(_STEP) % (1 << 64)))
-    if probe:
-        first = first + np.uint64(probe) * (_mix(first) | np.uint64(1))
-    return ((first >> np.uint64(32)) * size >> np.uint64(32)).astype(np.int64)
+def _first(keys: np.ndarray, number: int) -> np.ndarray:
+    """The hash of the first probe for n-gram ``keys`` with ``number``; :func:`_stride` is from there to each next one."""
+    return _mix(keys + np.uint64(number * int(_STEP) % (1 << 64)))
+
+
+def _stride(first: np.ndarray) -> np.ndarray:
+    return _mix(first) | np.uint64(1)
+
+
+def _place(hashes: np.ndarray, size: np.ndarray | np.uint64) -> np.ndarray:
+    """Bit of a probe in parts of ``size`` bits."""
+    return ((hashes >> np.uint64(32)) * size >> np.uint64(32)).astype(np.int64)
 
 
 def build_part(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) -> tuple[int, bytes]:
@@ -107,8 +146,11 @@ def build_part(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) ->
     size = max(64, min(-(-int(levels.sum()) * bits // 64) * 64, (1 << 32) - 64))
     held, number = np.zeros(size, bool), 1
     while len(keys):
-        for probe in range(probes):
-            held[_place(keys, number, probe, np.uint64(size))] = True
+        at = _first(keys, number)
+        stride = _stride(at)
+        for _ in range(probes):
+            held[_place(at, np.uint64(size))] = True
+            at = at + stride
         number += 1
         more = levels >= number
         keys, levels = keys[more], levels[more]
@@ -130,13 +172,16 @@ class Filter:
         begin, size = self.begin[parts], self.size[parts].astype(np.uint64)
         number = 1
         while len(active):
-            held = active
+            held, at, stride = active, _first(keys[active], number), None
             for i in range(probes):
                 # Most that are not there fall out at the first probes, so each probe looks at fewer.
-                place = _place(keys[held], number, i, size[held]) + begin[held]
-                held = held[(held_bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)]
+                place = _place(at, size[held]) + begin[held]
+                there = (held_bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+                held, at = held[there], at[there]
                 if not len(held):
                     break
+                stride = stride[there] if i else _stride(at)
+                at = at + stride
             found[held] += 1
             active, number = held, number + 1
         return found
@@ -227,13 +272,20 @@ def _counts(block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     )
 
 
-def _by_bucket(keys: np.ndarray, buckets: int):
-    """Bucket by bucket, the places of its keys; a bucket without any costs nothing."""
+def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of the keys in their order, the buckets that have any, and how many each has."""
     order = np.argsort(keys, kind="stable")
     own = _bucket(keys[order], buckets)
     firsts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[: len(own)])
-    for start, stop in zip(firsts, np.append(firsts[1:], len(own)), strict=False):
-        yield int(own[start]), order[start:stop]
+    return order, own[firsts], np.diff(np.append(firsts, len(own)))
+
+
+def _sent(block: int | None, buckets: np.ndarray, **cells: pa.Array) -> pa.RecordBatch:
+    """A row for each bucket, with the number of the block that sends it."""
+    columns = {"bucket": pa.array(buckets, pa.int64())}
+    if block is not None:
+        columns["block"] = pa.array(np.full(len(buckets), block), pa.int64())
+    return pa.RecordBatch.from_pydict(columns | cells)
 
 
 def _send_tokens(buckets: int):
@@ -245,12 +297,8 @@ def _send_tokens(buckets: int):
                 codes, sizes, train = _counts(block)
                 hashes = np.frombuffer(block["hashes"], "<u8")
                 counts = np.bincount(codes[np.repeat(train, sizes)], minlength=len(hashes))
-                rows = [
-                    {"bucket": b, "block": block["block"], "hashes": hashes[part].tobytes(), "counts": _planes(counts[part], 4)}
-                    for b, part in _by_bucket(hashes, buckets)
-                ]
-                schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                order, found, n = _by_bucket(hashes, buckets)
+                yield _sent(block["block"], found, hashes=_cells(hashes[order], n, 8), counts=_cells(counts[order], n, 4))
 
     return send
 
@@ -260,17 +308,16 @@ _TOTALS = "bucket long, block long, totals binary, tokens long, kinds long, alon
 
 def _add_tokens(sent: pa.Table) -> pa.Table:
     """Total counts of a bucket's tokens, returned to each block in the order it sent them."""
-    hashes = [np.frombuffer(x, "<u8") for x in sent["hashes"].to_pylist()]
-    counts = np.concatenate([_numbers(x, 4) for x in sent["counts"].to_pylist()])
-    _, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    hashes, sizes = _from_cells(sent["hashes"], 8)
+    counts, _ = _from_cells(sent["counts"], 4)
+    _, which = np.unique(hashes, return_inverse=True)
     totals = np.bincount(which, weights=counts).astype(np.int64)  # exact below 2 ** 53
-    back = np.split(totals[which], np.cumsum([len(x) for x in hashes])[:-1])
-    first = np.arange(len(back)) == 0
+    first = np.arange(len(sizes)) == 0
     return pa.table(
         {
             "bucket": sent["bucket"],
             "block": sent["block"],
-            "totals": pa.array([_planes(x, 6) for x in back], pa.binary()),
+            "totals": _cells(totals[which], sizes, 6),
             "tokens": pa.array(np.where(first, totals.sum(), 0)),
             "kinds": pa.array(np.where(first, (totals > 0).sum(), 0)),
             "alone": pa.array(np.where(first, (totals == 1).sum(), 0)),
@@ -281,9 +328,8 @@ def _add_tokens(sent: pa.Table) -> pa.Table:
 def _with_totals(blocks: pa.Table, totals: pa.Table) -> pa.Table:
     """A block together with the total count of each of its codes."""
     hashes = np.frombuffer(blocks["hashes"][0].as_py(), "<u8")
-    in_order = totals.sort_by("bucket")["totals"].to_pylist()
     counts = np.empty(len(hashes), np.int64)
-    counts[np.argsort(hashes)] = np.concatenate([_numbers(x, 6) for x in in_order])
+    counts[np.argsort(hashes)], _ = _from_cells(totals.sort_by("bucket")["totals"], 6)
     return blocks.append_column("totals", pa.array([_planes(counts, 6)], pa.binary()))
 
 
@@ -335,17 +381,9 @@ def _send_bigrams(buckets: int, texts: int):
             for block in _rows(batch):
                 found = _bigrams(block, texts, only_training=True)
                 classes = (_class(found.before) * _CLASSES + _class(found.after)).astype(np.uint64)
-                rows = [
-                    {
-                        "bucket": b,
-                        "keys": _planes(found.keys[at] >> _KEPT, 6),
-                        "counts": _planes(found.counts[at], 4),
-                        "classes": _planes(classes[at], 2),
-                    }
-                    for b, at in _by_bucket(found.keys, buckets)
-                ]
-                schema = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("keys", "counts", "classes")])
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                order, own, n = _by_bucket(found.keys, buckets)
+                keys = _cells(found.keys[order] >> _KEPT, n, 6)
+                yield _sent(None, own, keys=keys, counts=_cells(found.counts[order], n, 4), classes=_cells(classes[order], n, 2))
 
     return send
 
@@ -357,11 +395,12 @@ def _add_bigrams(bits: int, probes: int, growth: float):
     """One part of the filter, and how many bigrams there are by classes of history and token and by level."""
 
     def add(sent: pa.Table) -> pa.Table:
-        keys = np.concatenate([_numbers(x, 6) for x in sent["keys"].to_pylist()])
-        counts = np.concatenate([_numbers(x, 4) for x in sent["counts"].to_pylist()]).astype(np.int64)
-        classes = np.concatenate([_numbers(x, 2) for x in sent["classes"].to_pylist()]).astype(np.int64)
+        keys, counts, classes = (_from_cells(sent[c], width)[0] for c, width in (("keys", 6), ("counts", 4), ("classes", 2)))
+        counts, classes = counts.astype(np.int64), classes.astype(np.int64)
         order = np.argsort(keys, kind="stable")
-        keys, first = np.unique(keys[order], return_index=True)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+        keys = keys[first]
         counts, classes = np.add.reduceat(counts[order], first), classes[order][first]
         levels = LogCounts(growth).level(counts)
         size, held = build_part(keys, levels, bits, probes)
@@ -488,29 +527,23 @@ def _send_questions(model: Model):
             for block in _rows(batch):
                 found = _bigrams(block, model.texts)
                 keys = found.keys[_asked(found)]
-                rows = [
-                    {"bucket": b, "block": block["block"], "keys": _planes(keys[at] >> _KEPT, 6)}
-                    for b, at in _by_bucket(keys, model.buckets)
-                ]
-                schema = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary())])
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                order, own, n = _by_bucket(keys, model.buckets)
+                yield _sent(block["block"], own, keys=_cells(keys[order] >> _KEPT, n, 6))
 
     return send
 
 
 def _answer(model: Model):
-    """Levels of the bigrams that blocks ask of one part of the filter."""
+    """Levels of the bigrams that blocks ask of one part of the filter; what several ask is probed once."""
 
     def answer(part: pa.Table, asked: pa.Table) -> pa.Table:
-        levels = []
-        for x in asked["keys"].to_pylist():
-            keys = _numbers(x, 6)
-            found = np.zeros(len(keys), np.int64)
-            if len(part):
-                held = Filter(np.zeros(1, np.int64), part["size"].to_numpy(), part["bits"][0].as_buffer())
-                found = held.levels(keys, np.zeros(len(keys), np.int64), model.probes)
-            levels.append(_planes(found, 3))
-        return pa.table({"bucket": asked["bucket"], "block": asked["block"], "levels": pa.array(levels, pa.binary())})
+        keys, sizes = _from_cells(asked["keys"], 6)
+        keys, which = np.unique(keys, return_inverse=True)
+        found = np.zeros(len(keys), np.int64)
+        if len(part):
+            held = Filter(np.zeros(1, np.int64), part["size"].to_numpy(), part["bits"][0].as_buffer())
+            found = held.levels(keys, np.zeros(len(keys), np.int64), model.probes)
+        return pa.table({"bucket": asked["bucket"], "block": asked["block"], "levels": _cells(found[which], sizes, 3)})
 
     return answer
 
@@ -519,12 +552,11 @@ def _score_answered(model: Model):
     """Scores of one block with the levels that were sent back to it."""
 
     def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        levels = [_numbers(x, 3) for x in answers.sort_by("bucket")["levels"].to_pylist()]
+        levels, _ = _from_cells(answers.sort_by("bucket")["levels"], 3)
 
         def levels_of(keys: np.ndarray) -> np.ndarray:
             back = np.zeros(len(keys), np.int64)
-            if levels:
-                back[np.argsort(keys, kind="stable")] = np.concatenate(levels)
+            back[np.argsort(keys, kind="stable")] = levels
             return back
 
         (block,) = _rows(blocks.combine_chunks().to_batches()[0])

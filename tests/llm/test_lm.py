@@ -4,9 +4,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from strata.llm.lm import Filter, LogCounts, build_part, score_texts
+from strata.llm.lm import Filter, LogCounts, Model, _answer, _cells, _from_cells, _planes, build_part, score_texts
 
 
 def tokens(text):
@@ -122,3 +123,36 @@ def test_small_counts_are_exact():
     assert counts.count(counts.level(few)).tolist() == few.tolist()
     large = np.array([10, 1000, 10**6, 10**12])
     assert np.abs(counts.count(counts.level(large)) / large - 1).max() < 0.3
+
+
+@pytest.mark.parametrize("width", [2, 6, 8])
+def test_cells_hold_the_planes_of_their_numbers(width):
+    chance = np.random.default_rng(2)
+    sizes = np.array([0, 3, 1, 0, 500, 7, 0])
+    numbers = chance.integers(0, 1 << min(8 * width, 63), sizes.sum()).astype(np.uint64)
+    cells = _cells(numbers, sizes, width)
+    assert cells.to_pylist() == [_planes(x, width) for x in np.split(numbers, np.cumsum(sizes)[:-1])]
+    for chunks in ([cells], [cells.slice(0, 2), cells.slice(2, 0), cells.slice(2)], []):
+        back, n = _from_cells(pa.chunked_array(chunks, pa.binary()), width)
+        assert back.tolist() == (numbers.tolist() if chunks else []) and n.tolist() == (sizes.tolist() if chunks else [])
+
+
+def test_a_part_is_probed_once_however_many_blocks_ask(monkeypatch):
+    chance = np.random.default_rng(3)
+    keys, levels = np.unique(chance.integers(0, 1 << 48, 3_000).astype(np.uint64)), 1 + np.arange(3_000) % 5
+    size, bits = build_part(keys, levels[: len(keys)], 12, 6)
+    part = pa.table({"bucket": [0], "size": [size], "bits": pa.array([bits], pa.binary())})
+    blocks = [np.sort(chance.choice(keys, 20, replace=False)) for _ in range(400)] + [np.zeros(0, np.uint64)]
+    cells = _cells(np.concatenate(blocks), np.array([len(x) for x in blocks]), 6)
+    asked = pa.table({"bucket": [0] * len(blocks), "block": range(len(blocks)), "keys": cells})
+    held = Filter(np.array([0]), np.array([size]), bits)
+    wanted = [_planes(held.levels(x, np.zeros(len(x), int), 6), 3) for x in blocks]
+    probed, probe = [], Filter.levels
+    monkeypatch.setattr(Filter, "levels", lambda self, keys, *how: probed.append(keys.tolist()) or probe(self, keys, *how))
+    answer = _answer(Model(1, 1, 1, 1, 1, np.ones(64), 6, 1.3))
+    got = answer(part, asked)
+    assert got["levels"].to_pylist() == wanted and got["block"].to_pylist() == list(range(len(blocks)))
+    assert len(probed) == 1 and len(probed[0]) == len(set(probed[0]))  # each key once, all at a time
+    empty = answer(part.slice(0, 0), asked)
+    assert set(b"".join(empty["levels"].to_pylist())) <= {0}
+    assert answer(part, asked.slice(0, 0)).num_rows == 0
